@@ -70,6 +70,29 @@ def compile_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None
     return batch
 
 
+# Below this many rules the per-row work is too small to repay a round-robin
+# shuffle of the input.
+SPREAD_MIN_RULES = 32
+
+
+def spread_input(df: DataFrame, n_rules: int) -> DataFrame:
+    """Give CPU-heavy rule evaluation at least one task per core.
+
+    A batch input that scans into fewer partitions than the default
+    parallelism (a handful of large row groups) is round-robin repartitioned
+    first. At cluster scale the scan already has thousands of splits, so this
+    is a no-op there; it never runs for streaming inputs.
+    """
+    if df.isStreaming or n_rules < SPREAD_MIN_RULES:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - e.g. a remote session without RDDs
+        return df
+    return df.repartition(target) if current < target else df
+
+
 def _labels(batch: RuleBatch) -> Column:
     return F.array_compact(F.array(*[F.when(p.column, F.lit(rid)) for rid, p in batch.compiled]))
 
@@ -78,6 +101,7 @@ def rule_hits(df: DataFrame, batch: RuleBatch, keys: Sequence[str]) -> DataFrame
     """``keys + [rule_id]``, one row per rule a row satisfies (duplicates kept)."""
     if not batch.compiled:
         raise RuleConfigError("no rules to evaluate")
+    df = spread_input(df, len(batch.compiled))
     return df.select(*keys, F.explode(_labels(batch)).alias("rule_id"))
 
 
@@ -85,6 +109,7 @@ def rule_hit_counts(df: DataFrame, batch: RuleBatch) -> DataFrame:
     """``(rule_id, hits)`` for every compiled rule, zero counts included."""
     if not batch.compiled:
         raise RuleConfigError("no rules to evaluate")
+    df = spread_input(df, len(batch.compiled))
     counts = df.agg(*[F.count_if(p.column).alias(f"h{i}") for i, (_, p) in enumerate(batch.compiled)])
     pairs = F.array(*[F.struct(F.lit(rid).alias("rule_id"), F.col(f"h{i}").alias("hits"))
                       for i, (rid, _) in enumerate(batch.compiled)])

@@ -11,7 +11,8 @@ huge generated method. Here the rules become rows instead:
 The rule side's size is known exactly on the driver (it is the collected
 rule list); it is broadcast in chunks of at most ``max_broadcast_rules`` and
 the chunk results are unioned, so no bound is ever exceeded and no rule is
-dropped. The fact side is never shuffled.
+dropped. The fact side is never shuffled by key (only spread round-robin when
+a small input scans into fewer tasks than there are cores).
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from ..errors import RuleConfigError
 from ..plans import resolution as R
 from ..sources.ruleset import RuleSet
-from .multi_rule import predicate_rule_ids
+from .multi_rule import predicate_rule_ids, spread_input
 
 # Comparison operators a threshold rule may use.
 THRESHOLD_OPS = (">=", ">", "<=", "<", "=", "==", "!=", "<>")
@@ -115,7 +116,7 @@ def rules_as_data_hits(df: DataFrame, thresholds: ThresholdSet | Sequence[Thresh
         raise RuleConfigError("no threshold rules to evaluate")
     spark = df.sparkSession
     fields = sorted({r.field for r in rule_list})
-    facts = facts_long(df, keys, fields)
+    facts = facts_long(spread_input(df, len(rule_list)), keys, fields)
     parts = []
     for start in range(0, len(rule_list), max_broadcast_rules):
         chunk = rule_list[start:start + max_broadcast_rules]

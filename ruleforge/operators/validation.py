@@ -33,8 +33,8 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
     """One row per rule: ``rule_pos, id, process, process_key, active, issues, ok``."""
     as_of = as_of or dt.date.today()
     cat = rules.catalog_df
-    start = F.try_to_date("valid_from", F.lit(RULE_DATE_PATTERN))
-    end = F.try_to_date("valid_till", F.lit(RULE_DATE_PATTERN))
+    start = F.try_to_date("valid_from", RULE_DATE_PATTERN)
+    end = F.try_to_date("valid_till", RULE_DATE_PATTERN)
     day = F.lit(as_of)
     is_builder = F.col("process_key") == "query_builder"
     lookup_keys = F.col("process_key").isin(*R.LOOKUP_KEYS)
@@ -68,8 +68,9 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
     missing = (gotos.join(ids, "target_id", "left_anti")
                .select("rule_pos", F.format_string("goto target %s is not configured", "target_id").alias("issue")))
 
-    conds = rules.conditions_df(outer=False).join(cat.select("rule_pos", "process_key"), "rule_pos")
-    n = F.count(F.lit(1)).over(Window.partitionBy("rule_pos"))
+    conds = (rules.conditions_df(outer=False).join(cat.select("rule_pos", "process_key"), "rule_pos")
+             .withColumn("n_conds", F.count(F.lit(1)).over(Window.partitionBy("rule_pos"))))
+    n = F.col("n_conds")
     pos = F.col("cond_pos") + 1
     ops_allowed = list(COMPARISONS) + list(PREFIX_LIKE)
     join_u = F.upper(F.coalesce(F.col("join"), F.lit("")))

@@ -1,0 +1,47 @@
+"""Reading rule documents with the explicit schema."""
+
+import os
+
+import pytest
+from conftest import FIXTURES, rule, cond
+
+from ruleforge import RuleSet
+
+
+def test_leaves_keep_their_json_text(current_rules, legacy_rules):
+    r2 = current_rules.find("rule_2")[0]
+    assert r2.conditions[0].lookup_value.replace(" ", "") == '{"check_cheque_transaction":"yes","flag":"pass"}'
+    big = legacy_rules.find("big_cash")[0]
+    assert big.conditions[0].field_value == "10000"          # integer token read as text
+    assert big.process_key == "query_builder"                # legacy 'key' alias
+    lst = legacy_rules.find("switch_list")[0]
+    assert lst.conditions[0].lookup_value.startswith("[")
+
+
+def test_objects_only_are_not_inferred_as_structs(spark):
+    rs = RuleSet.from_rules(spark, [rule("v", [{"lookup_value": {"a": "1"}}], process_key="value_lookup")])
+    assert rs.rules()[0].conditions[0].lookup_value == '{"a":"1"}'
+
+
+def test_frames(current_rules, spark):
+    cat = current_rules.catalog_df
+    assert cat.columns[:3] == ["rule_pos", "id", "name"]
+    assert [r.id for r in cat.orderBy("rule_pos").collect()] == ["rule_1", "rule_2", "rule_3", "rule_4", "rule_5"]
+    conds = current_rules.conditions_df()
+    assert conds.count() == 5
+    rs = RuleSet.from_rules(spark, [rule("e", []), rule("f", [cond("a", ">", "1", "AND"), cond("b", "<", "2")])])
+    assert rs.conditions_df().count() == 2
+    assert rs.conditions_df(outer=True).count() == 3
+    assert [(r.cond_pos, r.field_name) for r in rs.conditions_df().orderBy("cond_pos").collect()] == [(0, "a"), (1, "b")]
+
+
+def test_whitespace_is_trimmed(spark):
+    rs = RuleSet.from_rules(spark, [dict(rule(" a ", [cond(" n ", " >= ", "1", " AND ")]), process=" p ")])
+    r = rs.rules()[0]
+    assert (r.id, r.process, r.conditions[0].field_name, r.conditions[0].operator, r.conditions[0].join) == \
+        ("a", "p", "n", ">=", "AND")
+
+
+def test_malformed_document_fails_fast(spark):
+    with pytest.raises(Exception):
+        RuleSet.from_path(spark, os.path.join(FIXTURES, "rules_malformed.json")).rules()

@@ -1,0 +1,48 @@
+"""Registered queries against their DuckDB oracles (sf0.01) and the entry point."""
+
+import os
+import sys
+
+import duckdb
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.join(ROOT, "tools"))
+
+import __spark_entry__ as E  # noqa: E402
+from check_oracle import TABLES, digest  # noqa: E402
+
+SF = "/root/testdata/sf0.01"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{SF}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"create view {t} as select * from read_parquet('{p}')")
+    return con
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF)
+    rows = [tuple(r) for r in df.collect()]
+    cur = duck.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in cur.description]
+    orows = cur.fetchall()
+    assert sorted(df.columns) == sorted(ocols)
+    assert len(rows) == len(orows) > 0
+    assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice"]
+    assert df.count() > 0
