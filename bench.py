@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame  # noqa: E402
 
 from ruleforge import RuleSet  # noqa: E402
 from ruleforge.operators.multi_rule import compile_rules, rule_hit_counts, rule_hits  # noqa: E402
-from ruleforge.operators.rules_as_data import rules_as_data_hits, threshold_rules  # noqa: E402
+from ruleforge.operators.rules_as_data import (  # noqa: E402
+    rules_as_data_hits, threshold_hit_counts, threshold_rules)
 from ruleforge.queries import AS_OF, QUERIES, table  # noqa: E402
 from ruleforge.session import local_session  # noqa: E402
 
@@ -88,6 +89,10 @@ def main() -> None:
         rs = RuleSet.from_rules(spark, generated_rules(n))
         thr = threshold_rules(rs, lineitem, as_of=AS_OF)
         scale[f"rules_as_data_{n}_rules"] = timed(lambda t=thr: rules_as_data_hits(lineitem, t, keys))
+        scale[f"interval_counts_{n}_rules"] = timed(lambda t=thr: threshold_hit_counts(lineitem, t))
+        if n == 1000:
+            batch = compile_rules(rs, lineitem, as_of=AS_OF)
+            scale[f"counts_{n}_rules_one_scan"] = timed(lambda b=batch: rule_hit_counts(lineitem, b))
     spark.stop()
     print(json.dumps({"metric": "sum_of_median_query_sec", "value": headline, "unit": "sec",
                       "queries": results, "scale": scale, "sf": os.path.basename(SF_DIR.rstrip("/")),

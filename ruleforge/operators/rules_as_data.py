@@ -18,12 +18,13 @@ a small input scans into fewer tasks than there are cores).
 from __future__ import annotations
 
 import datetime as dt
+import math
 from dataclasses import dataclass, field
 from decimal import Decimal, InvalidOperation
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,3 +130,134 @@ def rules_as_data_hits(df: DataFrame, thresholds: ThresholdSet | Sequence[Thresh
             "inner")
         parts.append(joined.select(*keys, F.col("r_rule_id").alias("rule_id")))
     return reduce(DataFrame.unionAll, parts)
+
+
+# --------------------------------------------------------------- hit counts
+# Counting hits of many threshold rules does not need (row, rule) pairs. The
+# thresholds of one field cut the number line into intervals; each row falls
+# into exactly one interval (a binary search of about log2(R) flat steps per
+# row), and every threshold rule is satisfied by a
+# contiguous run of intervals. So: histogram of interval indexes per field
+# (map-side combined, at most 2R+1 groups per field), prefix sums over that
+# tiny histogram, and one equi-join per rule on its boundary index.
+
+MAX_BOUNDARIES_PER_PASS = 8192
+MAX_BROADCAST_RULE_ROWS = 100_000
+
+
+def _boundaries(rule: ThresholdRule) -> tuple[float, ...]:
+    t = rule.threshold
+    up = math.nextafter(t, math.inf)
+    if rule.op in (">=", "<"):
+        return (t,)
+    if rule.op in (">", "<="):
+        return (up,)
+    return (t, up)  # = / == / != / <>
+
+
+def _interval_indexes(df: DataFrame, fields: Sequence[str],
+                      bounds: dict[str, list[float]]) -> DataFrame:
+    """Per field, the number of its ``bounds`` that are <= the value
+    (null for null values; NaN, the largest value in Spark's ordering, lands
+    in the top interval).
+
+    Binary search as ``ceil(log2(m))`` flat steps over a constant array, one
+    projection per step: each step reads the previous position twice, so
+    Catalyst keeps the projections apart and the generated code stays small
+    however many thresholds a field has.
+    """
+    values = [F.col(f).cast("double") for f in fields]
+    depth = {f: max(1, math.ceil(math.log2(len(bounds[f]) + 1))) for f in fields}
+    arrays = {f: F.array(*[F.lit(b) for b in bounds[f]],
+                         *[F.lit(math.inf)] * (2 ** depth[f] - len(bounds[f])))
+              for f in fields}
+    cur = df.select(*[v.alias(f"__v{i}") for i, v in enumerate(values)],
+                    *[F.lit(0).alias(f"__p{i}") for i in range(len(fields))])
+    for level in range(max(depth.values())):
+        steps = []
+        for i, f in enumerate(fields):
+            p, v = F.col(f"__p{i}"), F.col(f"__v{i}")
+            if level < depth[f]:
+                step = 2 ** (depth[f] - 1 - level)
+                p = F.when(F.element_at(arrays[f], p + step) <= v, p + step).otherwise(p)
+            steps.append(p.alias(f"__p{i}"))
+        cur = cur.select(*[f"__v{i}" for i in range(len(fields))], *steps)
+    return cur.select(*[F.when(F.col(f"__v{i}").isNotNull(),
+                               F.least(F.col(f"__p{i}"), F.lit(len(bounds[f])))).alias(f)
+                        for i, f in enumerate(fields)])
+
+
+def _rule_lookup(rule: ThresholdRule, index: dict[float, int]) -> tuple[int, str]:
+    """(interval index to read, how to turn the prefix sums into the count)."""
+    t = rule.threshold
+    up = math.nextafter(t, math.inf)
+    if rule.op == ">=":
+        return index[t], "above"         # intervals > j : total - cum(j)
+    if rule.op == "<":
+        return index[t], "upto"          # intervals <= j : cum(j)
+    if rule.op == ">":
+        return index[up], "above"
+    if rule.op == "<=":
+        return index[up], "upto"
+    if rule.op in ("=", "=="):
+        return index[t] + 1, "only"      # the interval [t, nextafter(t))
+    return index[t] + 1, "except"        # != / <>
+
+
+def threshold_hit_counts(df: DataFrame, thresholds: ThresholdSet | Sequence[ThresholdRule]) -> DataFrame:
+    """``(rule_id, hits)`` for threshold rules, exact, without per-rule work per row."""
+    rule_list = list(thresholds.rules if isinstance(thresholds, ThresholdSet) else thresholds)
+    if not rule_list:
+        raise RuleConfigError("no threshold rules to evaluate")
+    spark = df.sparkSession
+    by_field: dict[str, list[ThresholdRule]] = {}
+    for r in rule_list:
+        by_field.setdefault(r.field, []).append(r)
+
+    # group fields into passes so that no single scan carries an oversized CASE tree
+    passes: list[list[str]] = [[]]
+    size = 0
+    for f, rs in by_field.items():
+        n = len({b for r in rs for b in _boundaries(r)})
+        if passes[-1] and size + n > MAX_BOUNDARIES_PER_PASS:
+            passes.append([])
+            size = 0
+        passes[-1].append(f)
+        size += n
+
+    results = []
+    for fields in passes:
+        bounds = {f: sorted({b for r in by_field[f] for b in _boundaries(r)}) for f in fields}
+        if any(len(b) > MAX_BOUNDARIES_PER_PASS for b in bounds.values()):
+            # one field with very many thresholds: split its rules, each part exact
+            for f in fields:
+                rs = by_field[f]
+                step = max(1, MAX_BOUNDARIES_PER_PASS // 2)
+                for s in range(0, len(rs), step):
+                    results.append(threshold_hit_counts(df, rs[s:s + step]))
+            continue
+        hist = (_interval_indexes(df.select(*fields), fields, bounds)
+                .unpivot([], list(fields), "field_name", "k")
+                .where(F.col("k").isNotNull())
+                .groupBy("field_name", "k").agg(F.count(F.lit(1)).alias("n")))
+        grid = spark.createDataFrame(
+            [(f, k) for f in fields for k in range(len(bounds[f]) + 1)], "field_name string, k int")
+        w = Window.partitionBy("field_name").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+        prefix = (grid.join(F.broadcast(hist), ["field_name", "k"], "left")
+                  .select("field_name", "k", F.coalesce("n", F.lit(0)).alias("n"))
+                  .withColumn("cum", F.sum("n").over(w))
+                  .withColumn("total", F.sum("n").over(Window.partitionBy("field_name"))))
+        index = {f: {b: i for i, b in enumerate(bounds[f])} for f in fields}
+        lookups = spark.createDataFrame(
+            [(r.rule_id, r.field, *_rule_lookup(r, index[r.field])) for f in fields for r in by_field[f]],
+            "rule_id string, field_name string, k int, mode string")
+        # both sides are bounded by the rule count, known here on the driver
+        if len(rule_list) <= MAX_BROADCAST_RULE_ROWS:
+            lookups = F.broadcast(lookups)
+        joined = prefix.join(lookups, ["field_name", "k"])
+        hits = (F.when(F.col("mode") == "above", F.col("total") - F.col("cum"))
+                .when(F.col("mode") == "upto", F.col("cum"))
+                .when(F.col("mode") == "only", F.col("n"))
+                .otherwise(F.col("total") - F.col("n")))
+        results.append(joined.select("rule_id", hits.cast("bigint").alias("hits")))
+    return reduce(DataFrame.unionAll, results)

@@ -9,6 +9,7 @@ driver can compare it with the matching SQL in ``ORACLE_SQL``.
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from .functions.json_lookup import json_entries, json_value
 from .operators.elapsed import time_span
 from .operators.evaluate import RuleResult, run_rule
 from .operators.multi_rule import compile_rules, rule_hit_counts, rule_hits
-from .operators.rules_as_data import rules_as_data_hits, threshold_rules
+from .operators.rules_as_data import rules_as_data_hits, threshold_hit_counts, threshold_rules
 from .operators.stages import Stage, run_stages
 from .sources.ruleset import RuleSet
 
@@ -93,17 +94,17 @@ TABLE_RULES = [
 MULTI_RULE_IDS = ["hit_qty_high", "hit_price_high", "hit_qty_low", "hit_flag_r", "hit_status_f"]
 THRESHOLD_RULE_IDS = ["hit_qty_high", "hit_price_high", "hit_qty_low", "thr_discount_high", "thr_tax_low"]
 
-_RULESETS: dict[int, RuleSet] = {}
+_RULESETS: "weakref.WeakKeyDictionary[SparkSession, RuleSet]" = weakref.WeakKeyDictionary()
 
 
 def table_rules(spark: SparkSession) -> RuleSet:
     """The query rule document, loaded once per session."""
-    key = id(spark)
-    if key not in _RULESETS:
+    rs = _RULESETS.get(spark)
+    if rs is None:
         rs = RuleSet.from_rules(spark, TABLE_RULES)
         rs.rules()
-        _RULESETS[key] = rs
-    return _RULESETS[key]
+        _RULESETS[spark] = rs
+    return rs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -255,6 +256,12 @@ def rules_as_data_join(spark, sf_dir):
     return rules_as_data_hits(df, rules, LI_KEYS)
 
 
+def rules_as_data_counts(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem")
+    rules = threshold_rules(table_rules(spark), df, THRESHOLD_RULE_IDS, as_of=AS_OF)
+    return threshold_hit_counts(df, rules)
+
+
 def _prop_key(spark) -> str:
     res = run_rule(table_rules(spark), None, rule_id="ev_props_key", process=IDENT,
                    process_key="value_lookup", value_key="prop_key", as_of=AS_OF)
@@ -297,6 +304,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "multi_rule_hits": multi_rule_hits,
     "rule_hit_counts": rule_hit_counts_query,
     "rules_as_data_join": rules_as_data_join,
+    "rules_as_data_counts": rules_as_data_counts,
     "lookup_value_key": lookup_value_key,
     "lookup_entries": lookup_entries,
 }
@@ -360,6 +368,13 @@ ORACLE_SQL: dict[str, str] = {
         f"select {_LI}, 'thr_discount_high' as rule_id from lineitem where l_discount >= 0.055",
         f"select {_LI}, 'thr_tax_low' as rule_id from lineitem where l_tax < 0.015",
     ]),
+    "rules_as_data_counts": " union all ".join([
+        "select 'hit_qty_high' as rule_id, count(*) as hits from lineitem where l_quantity >= 40",
+        "select 'hit_price_high' as rule_id, count(*) as hits from lineitem where l_extendedprice >= 50000",
+        "select 'hit_qty_low' as rule_id, count(*) as hits from lineitem where l_quantity <= 5",
+        "select 'thr_discount_high' as rule_id, count(*) as hits from lineitem where l_discount >= 0.055",
+        "select 'thr_tax_low' as rule_id, count(*) as hits from lineitem where l_tax < 0.015",
+    ]),
     "lookup_value_key": "select event_id, json_extract_string(props, '$.k') as prop_value from events",
     "lookup_entries": "select event_id, prop_key, json_extract_string(props, '$.\"' || prop_key || '\"') "
                       "as prop_value from (select event_id, props, unnest(json_keys(props)) as prop_key "

@@ -73,3 +73,27 @@ def test_rules_as_data_equals_filters_and_chunks(rs, atm):
 def test_threshold_rules_reject_non_thresholds(rs, atm):
     thr = threshold_rules(rs, atm, ["perth", "chain"], as_of=AS_OF, strict=False)
     assert thr.rules == [] and set(thr.rejected) == {"perth", "chain"}
+
+
+def test_threshold_hit_counts_match_brute_force(spark):
+    from ruleforge.operators import rules_as_data as RD
+    from ruleforge.operators.rules_as_data import ThresholdRule, threshold_hit_counts
+    vals = [0.0, -0.0, 1.0, 1.5, 2.0, 2.0, 3.25, float("nan"), None, float("inf"), -float("inf"), 10.0, 0.055]
+    df = spark.createDataFrame([(i, v, (i * 7) % 5) for i, v in enumerate(vals)], "k int, x double, y int")
+    ops = [">=", ">", "<=", "<", "=", "==", "!=", "<>"]
+    rules = [ThresholdRule(f"r{i}_{j}", "x", op, t) for i, t in enumerate([0.0, 1.5, 2.0, 3.0, 10.0, 0.055])
+             for j, op in enumerate(ops)]
+    rules += [ThresholdRule(f"y{j}", "y", op, 2.0) for j, op in enumerate(ops)]
+    got = {r.rule_id: r.hits for r in threshold_hit_counts(df, rules).collect()}
+    for r in rules:
+        op = "=" if r.op == "==" else r.op
+        expect = df.where(f"{r.field} {op} {r.threshold!r}").count()
+        assert got[r.rule_id] == expect, (r, got[r.rule_id], expect)
+    # split path: force tiny passes, same answer
+    old = RD.MAX_BOUNDARIES_PER_PASS
+    RD.MAX_BOUNDARIES_PER_PASS = 4
+    try:
+        again = {r.rule_id: r.hits for r in threshold_hit_counts(df, rules).collect()}
+    finally:
+        RD.MAX_BOUNDARIES_PER_PASS = old
+    assert again == got
