@@ -15,6 +15,7 @@ from typing import Any, Sequence
 
 from pyspark.sql import DataFrame
 
+from ..session import ensure_checkpoint_dir
 from ..sources.ruleset import RuleSet
 from .evaluate import RuleResult, run_rule
 
@@ -61,6 +62,7 @@ def run_stages(rules: RuleSet, table: DataFrame | str, stages: Sequence[Stage],
             return StagedRun(None, results)
         out = res.df
         if checkpoint_between and not out.isStreaming:
+            ensure_checkpoint_dir(out.sparkSession)
             out = out.checkpoint(eager=True)
         if stage.view_name:
             out.createOrReplaceTempView(stage.view_name)

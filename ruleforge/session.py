@@ -40,7 +40,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
+    as is; if it is unset there, this fails rather than checkpoint to a
+    machine-local folder. Only a local-mode session (tests) gets a scratch
+    folder when the setting is missing.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         configured = tempfile.mkdtemp(prefix="ruleforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
