@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 JSON_OBJECT_TYPE = "map<string,string>"
@@ -38,3 +38,14 @@ def parse_lookup_text(text: str | None) -> Any:
     if text is None:
         raise ValueError("no lookup_value")
     return json.loads(text)
+
+
+def lookup_table(rules) -> "DataFrame":
+    """Every value-lookup rule's named values as rows
+    ``(rule_pos, id, value_key, value)``; rules whose ``lookup_value`` is not
+    a JSON object are left out (the validation report lists them)."""
+    conds = rules.conditions_df()
+    keyed = rules.catalog_df.where(F.col("process_key") == "value_lookup").select("rule_pos")
+    return (conds.join(keyed, "rule_pos")
+            .where(F.col("cond_pos") == 0)
+            .select("rule_pos", "id", F.inline(json_entries("lookup_value")).alias("value_key", "value")))

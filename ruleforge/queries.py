@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .functions.json_lookup import json_entries, json_value
 from .operators.elapsed import time_span
 from .operators.evaluate import RuleResult, run_rule
-from .operators.multi_rule import compile_rules, rule_hit_counts, rule_hits
+from .operators.multi_rule import compile_rules, rule_flags, rule_hit_counts, rule_hits
 from .operators.rules_as_data import rules_as_data_hits, threshold_hit_counts, threshold_rules
 from .operators.stages import Stage, run_stages
 from .sources.ruleset import RuleSet
@@ -250,6 +250,13 @@ def rule_hit_counts_query(spark, sf_dir):
     return rule_hit_counts(df, batch)
 
 
+def multi_rule_flags(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem")
+    batch = compile_rules(table_rules(spark), df, MULTI_RULE_IDS, as_of=AS_OF)
+    return rule_flags(df.select(*LI_KEYS, "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"),
+                      batch, prefix="flag_").drop("l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
+
+
 def rules_as_data_join(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
     rules = threshold_rules(table_rules(spark), df, THRESHOLD_RULE_IDS, as_of=AS_OF)
@@ -303,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_filter_identify": staged_filter_identify,
     "multi_rule_hits": multi_rule_hits,
     "rule_hit_counts": rule_hit_counts_query,
+    "multi_rule_flags": multi_rule_flags,
     "rules_as_data_join": rules_as_data_join,
     "rules_as_data_counts": rules_as_data_counts,
     "lookup_value_key": lookup_value_key,
@@ -361,6 +369,11 @@ ORACLE_SQL: dict[str, str] = {
         "select 'hit_flag_r' as rule_id, count(*) as hits from lineitem where l_returnflag = 'R'",
         "select 'hit_status_f' as rule_id, count(*) as hits from lineitem where l_linestatus = 'F'",
     ]),
+    "multi_rule_flags": f"select {_LI}, coalesce(l_quantity >= 40, false) as flag_hit_qty_high, "
+                        "coalesce(l_extendedprice >= 50000, false) as flag_hit_price_high, "
+                        "coalesce(l_quantity <= 5, false) as flag_hit_qty_low, "
+                        "coalesce(l_returnflag = 'R', false) as flag_hit_flag_r, "
+                        "coalesce(l_linestatus = 'F', false) as flag_hit_status_f from lineitem",
     "rules_as_data_join": " union all ".join([
         f"select {_LI}, 'hit_qty_high' as rule_id from lineitem where l_quantity >= 40",
         f"select {_LI}, 'hit_price_high' as rule_id from lineitem where l_extendedprice >= 50000",

@@ -173,3 +173,16 @@ def test_bad_operand_is_reported_not_raised(spark, atm):
     assert res.rule_validity is False and "no_such_column" in res.message
     res2 = _call(spark, [rule("a", [cond("cash_amount", "=>", "1")])], atm, "a")
     assert res2.rule_validity is False and "operator" in res2.message
+
+
+def test_null_join_means_empty(spark, atm):
+    rules = [rule("a", [{"field_name": "cash_amount", "operator": ">=", "field_value": "20000", "join": None}])]
+    res = _call(spark, rules, atm, "a")
+    assert res.query == " where cash_amount >= 20000" and keys(res.df) == [(9, 18), (9, 19)]
+
+
+def test_bad_date_in_another_rule_does_not_abort(spark, atm):
+    rules = [rule("broken", [cond("cash_amount", ">=", "1")], valid_from="31/02/2021x"),
+             rule("good", [cond("cash_amount", ">=", "20000")])]
+    res = _call(spark, rules, atm, "good")
+    assert res.rule_validity and keys(res.df) == [(9, 18), (9, 19)]

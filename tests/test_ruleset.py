@@ -45,3 +45,10 @@ def test_whitespace_is_trimmed(spark):
 def test_malformed_document_fails_fast(spark):
     with pytest.raises(Exception):
         RuleSet.from_path(spark, os.path.join(FIXTURES, "rules_malformed.json")).rules()
+
+
+def test_lookup_table_spans_all_value_rules(current_rules, legacy_rules):
+    from ruleforge.functions import lookup_table
+    rows = sorted((r.id, r.value_key, r.value) for r in lookup_table(current_rules).collect())
+    assert rows == [("rule_2", "check_cheque_transaction", "yes"), ("rule_2", "flag", "pass")]
+    assert lookup_table(legacy_rules).count() == 0   # a list is not an object

@@ -79,3 +79,10 @@ def test_time_span_per_session(atm):
     assert spans[6].time_diff == 15.0 and spans[6].n_events == 2 and spans[6].total_amount == 22500
     assert spans[7].time_diff == 45.0
     assert str(spans[5].min_time) == "2022-02-03 08:15:00"
+
+
+def test_elapsed_minutes_floor_each_side(spark):
+    df = spark.createDataFrame([(1, "2024-01-01 10:00:00.900"), (1, "2024-01-01 10:01:00.100")], "g int, t string") \
+        .selectExpr("g", "to_timestamp_ntz(t) as ts")
+    row = time_span(df, ["g"], "ts").collect()[0]
+    assert row.time_diff == 1.0   # 10:00:00 -> 10:01:00, not 0.8667
