@@ -216,11 +216,14 @@ class CompiledPredicate:
 
 
 def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = False,
-                  extra: Sequence[Condition] = ()) -> CompiledPredicate:
+                  extra: Sequence[Condition] = (), first_is_target: bool = False) -> CompiledPredicate:
     """Compile a query-builder rule and its goto targets into one predicate.
 
-    ``links[0]`` is the rule that was called; later links are goto targets.
-    ``extra`` conditions (a conditional rule's gate) are ANDed in front.
+    ``links[0]`` is the rule that was called (or, with ``first_is_target``,
+    the first rule a conditional jumped to); later links are goto targets.
+    Inside goto targets an empty join between two conditions means AND; in
+    the called rule it is a configuration error. ``extra`` conditions (a
+    conditional rule's gate) are ANDed in front.
     """
     if not links:
         raise RuleConfigError("nothing to compile")
@@ -235,7 +238,7 @@ def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = Fals
             conn = _connective(cond.join, rule_id)
             last_in_link = ci == len(conds) - 1
             if not last_in_link and not conn:
-                if is_root and not gate_link:
+                if is_root and not gate_link and not first_is_target:
                     raise RuleConfigError(
                         f"rule {rule_id}: condition {ci + 1} has no join before condition {ci + 2}")
                 conn = "AND"  # inside goto targets an empty join means AND

@@ -186,3 +186,13 @@ def test_bad_date_in_another_rule_does_not_abort(spark, atm):
              rule("good", [cond("cash_amount", ">=", "20000")])]
     res = _call(spark, rules, atm, "good")
     assert res.rule_validity and keys(res.df) == [(9, 18), (9, 19)]
+
+
+def test_conditional_target_empty_join_means_and(spark, atm):
+    rules = [rule("c", [{"lookup_value": '{"city": "perth"}'}], ("goto", "t"), process_key="conditional"),
+             rule("t", [cond("cash_amount", ">=", "1000"), cond("cash_transaction", "=", "true")])]
+    res = _call(spark, rules, atm, "c", process_key="conditional")
+    assert res.query == " where cash_amount >= 1000 and cash_transaction = 'true'"
+    assert keys(res.df) == [(5, 11), (6, 12), (6, 13), (7, 14), (7, 15), (8, 16), (9, 18), (9, 19)]
+    called = _call(spark, rules, atm, "t")
+    assert called.rule_validity is False and "no join" in called.message
