@@ -133,3 +133,20 @@ def test_column_and_text_select_the_same_rows(data, items):
     by_column = sorted(r.k for r in data.where(pred.column).collect())
     by_text = sorted(r.k for r in data.where(F.expr(pred.where_text[len(" where"):])).collect())
     assert by_column == by_text
+
+
+def test_rule_on_partition_column_prunes_partitions(spark, atm, tmp_path):
+    from ruleforge import RuleSet, run_rule
+    path = str(tmp_path / "by_city")
+    atm.write.partitionBy("city").parquet(path)
+    t = spark.read.parquet(path)
+    rs = RuleSet.from_rules(spark, [{
+        "id": "p", "name": "", "description": "", "is_valid": "true", "valid_from": "1/1/2020",
+        "valid_till": "1/1/2999", "process": "x", "process_key": "query_builder", "is_lookup": "false",
+        "when": [{"field_name": "city", "operator": "=", "field_value": "perth", "join": "AND"},
+                 {"field_name": "cash_amount", "operator": ">=", "field_value": "1000", "join": ""}],
+        "then": {"field_name": "", "field_value": ""}}])
+    res = run_rule(rs, t, rule_id="p", process="x", process_key="query_builder", as_of=dt.date(2022, 3, 1))
+    plan = res.df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(city" in plan and "(city#" in plan and "= perth)" in plan
+    assert sorted((r.session_id, r.id) for r in res.df.collect()) == [(5, 11), (5, 12), (8, 16)]
