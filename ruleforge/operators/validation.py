@@ -150,3 +150,26 @@ def audit_frame(spark: SparkSession, entries: Iterable[tuple[str, RuleResult]],
 
 def audit_stages(spark: SparkSession, stage_names: Sequence[str], results: Sequence[RuleResult]) -> DataFrame:
     return audit_frame(spark, zip(stage_names, results))
+
+
+def stage_audit(spark: SparkSession, run, stage_names: Sequence[str]) -> DataFrame:
+    """Audit of a staged run with each stage's output row count.
+
+    One row per stage: ``stage, rule_id, status, message, query, rows_out``.
+    Counts come from Spark (a union of one count per stage; each branch is a
+    scan with the stage's fused filters); a rejected stage has no count.
+    """
+    parts = []
+    for name, res in zip(stage_names, run.results):
+        ok = res.valid_params is True and bool(res.rule_validity) and res.df is not None
+        meta = [F.lit(name).alias("stage"), F.lit(",".join(res.rule_ids)).alias("rule_id"),
+                F.lit("ok" if ok else "rejected").alias("status"), F.lit(res.message).alias("message"),
+                F.lit(res.query).alias("query")]
+        if ok:
+            parts.append(res.df.agg(F.count(F.lit(1)).alias("rows_out")).select(*meta, "rows_out"))
+        else:
+            parts.append(spark.range(1).select(*meta, F.lit(None).cast("bigint").alias("rows_out")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

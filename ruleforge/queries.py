@@ -21,6 +21,7 @@ from .operators.evaluate import RuleResult, run_rule
 from .operators.multi_rule import compile_rules, rule_flags, rule_hit_counts, rule_hits
 from .operators.rules_as_data import rules_as_data_hits, threshold_hit_counts, threshold_rules
 from .operators.stages import Stage, run_stages
+from .operators.validation import stage_audit
 from .sources.ruleset import RuleSet
 
 AS_OF = dt.date(2024, 6, 1)
@@ -238,6 +239,14 @@ def staged_filter_identify(spark, sf_dir):
     return run.df.select(*LI_KEYS, "l_returnflag", "l_quantity", "l_extendedprice")
 
 
+def rule_audit(spark, sf_dir):
+    run = run_stages(table_rules(spark), table(spark, sf_dir, "lineitem"), [
+        Stage("li_returns_open", FILT, "query_lookup", view_name="li_open_returns"),
+        Stage("li_net_value", IDENT, "query_builder"),
+    ], as_of=AS_OF, table_name="lineitem")
+    return stage_audit(spark, run, ["filter", "identify"])
+
+
 def multi_rule_hits(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
     batch = compile_rules(table_rules(spark), df, MULTI_RULE_IDS, as_of=AS_OF)
@@ -308,6 +317,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "elapsed_minutes": elapsed_minutes,
     "ordered_result": ordered_result,
     "staged_filter_identify": staged_filter_identify,
+    "rule_audit": rule_audit,
     "multi_rule_hits": multi_rule_hits,
     "rule_hit_counts": rule_hit_counts_query,
     "multi_rule_flags": multi_rule_flags,
@@ -355,6 +365,16 @@ ORACLE_SQL: dict[str, str] = {
     "staged_filter_identify": f"select {_LI}, l_returnflag, l_quantity, l_extendedprice from lineitem "
                               "where l_returnflag = 'R' and l_linestatus in ('O','F') and l_quantity > 30 "
                               "and l_extendedprice - l_quantity * 1000 >= 10000",
+    "rule_audit": "select 'filter' as stage, 'li_returns_open' as rule_id, 'ok' as status, "
+                  "'Successfully returning the lookup query' as message, "
+                  "' select * from lineitem where l_returnflag = ''R'' and l_linestatus in (''O'',''F'') "
+                  "and l_quantity > 30' as query, count(*) as rows_out from lineitem "
+                  "where l_returnflag = 'R' and l_linestatus in ('O','F') and l_quantity > 30 "
+                  "union all select 'identify', 'li_net_value', 'ok', "
+                  "'Successfully returning the dynamically generated query', "
+                  "' select * from li_open_returns  where l_extendedprice - l_quantity * 1000 >= 10000', "
+                  "count(*) from lineitem where l_returnflag = 'R' and l_linestatus in ('O','F') "
+                  "and l_quantity > 30 and l_extendedprice - l_quantity * 1000 >= 10000",
     "multi_rule_hits": " union all ".join([
         f"select {_LI}, 'hit_qty_high' as rule_id from lineitem where l_quantity >= 40",
         f"select {_LI}, 'hit_price_high' as rule_id from lineitem where l_extendedprice >= 50000",

@@ -86,3 +86,16 @@ def test_elapsed_minutes_floor_each_side(spark):
         .selectExpr("g", "to_timestamp_ntz(t) as ts")
     row = time_span(df, ["g"], "ts").collect()[0]
     assert row.time_diff == 1.0   # 10:00:00 -> 10:01:00, not 0.8667
+
+
+def test_stage_audit_counts_rows_and_marks_rejections(spark, current_rules, atm):
+    from ruleforge.operators.stages import Stage, run_stages
+    from ruleforge.operators.validation import stage_audit
+    stages = [Stage("rule_1", "filtration", "query_lookup", "true", view_name="audit_filtered"),
+              Stage("rule_4", "identification", "query_builder", "false")]
+    ok = run_stages(current_rules, atm, stages, as_of=AS_OF, table_name="atm_transactions")
+    rows = [(r.stage, r.status, r.rows_out) for r in stage_audit(spark, ok, ["f", "i"]).collect()]
+    assert rows == [("f", "ok", 7), ("i", "ok", 3)]
+    bad = run_stages(current_rules, atm, stages[::-1], as_of=dt.date(2023, 1, 1))
+    rows = [(r.stage, r.status, r.rows_out) for r in stage_audit(spark, bad, ["i"]).collect()]
+    assert rows == [("i", "rejected", None)]
