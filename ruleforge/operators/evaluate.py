@@ -47,7 +47,7 @@ def _escape_braces(sql: str) -> str:
     return sql.replace("{", "{{").replace("}", "}}")
 
 
-def _reject(res: R.Resolution | None, message: str, rule: Rule | None = None) -> RuleResult:
+def _reject(message: str, rule: Rule | None = None) -> RuleResult:
     return RuleResult(True, False, message, rule_ids=(rule.id,) if rule else ())
 
 
@@ -74,6 +74,8 @@ def gate_conditions(rule: Rule) -> list[Condition]:
         raise RuleConfigError(f"Rule {rule.id}: gate needs a non-empty JSON object")
     conds = []
     for i, (k, v) in enumerate(obj.items()):
+        if v is None or isinstance(v, (dict, list)):
+            raise RuleConfigError(f"Rule {rule.id}: gate value for {k!r} must be a scalar")
         text = v if isinstance(v, str) else ("true" if v is True else "false" if v is False else str(v))
         conds.append(Condition(pos=i, field_name=k, operator="=", field_value=text,
                                join="AND", lookup_value=None))
@@ -131,9 +133,9 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
             return RuleResult(False, True, R.MSG_CONDITIONAL_BAD, value=_first_lookup(rule) or "")
         compiled = compile_rule(df, res, gate=gate, group_links=group_links)
     except RuleConfigError as e:
-        return _reject(res, str(e), rule)
+        return _reject(str(e), rule)
     except (AnalysisException, ParseException) as e:
-        return _reject(res, f"Rule {rule.id}: {str(e).splitlines()[0]}", rule)
+        return _reject(f"Rule {rule.id}: {str(e).splitlines()[0]}", rule)
 
     query = compiled.query_text(table_name)
     out = None
@@ -141,7 +143,7 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
         if mode == "flag":
             last = res.links[-1]
             if not last.then_field or last.is_goto:
-                return _reject(res, f"Rule {last.id} has no outcome column to flag", rule)
+                return _reject(f"Rule {last.id} has no outcome column to flag", rule)
             out = df.withColumn(last.then_field,
                                 F.when(compiled.column, F.lit(last.then_value)))
         elif mode == "filter":
