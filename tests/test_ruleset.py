@@ -52,3 +52,13 @@ def test_lookup_table_spans_all_value_rules(current_rules, legacy_rules):
     rows = sorted((r.id, r.value_key, r.value) for r in lookup_table(current_rules).collect())
     assert rows == [("rule_2", "check_cheque_transaction", "yes"), ("rule_2", "flag", "pass")]
     assert lookup_table(legacy_rules).count() == 0   # a list is not an object
+
+
+def test_json_value_paths_and_fallback(spark):
+    from pyspark.sql import functions as F
+    from ruleforge.functions import json_value
+    doc = """{"a.b": 1, "x": {"y": 2}, "s": "t", "q'k": 3}"""
+    df = spark.createDataFrame([(doc,), ("not json",), ("[1]",)], "j string")
+    got = df.select(*[json_value("j", k).alias(f"c{i}") for i, k in enumerate(["a.b", "x", "s", "q'k", "missing"])]).collect()
+    assert tuple(got[0]) == ("1", '{"y":2}', "t", "3", None)
+    assert all(v is None for r in got[1:] for v in r)
