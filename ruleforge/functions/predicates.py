@@ -89,16 +89,45 @@ def _lhs(field_name: str) -> Column:
         raise RuleConfigError(f"field_name {field_name!r} is not a SQL expression: {e.getMessage() if hasattr(e, 'getMessage') else e}") from None
 
 
-def operand_types(df: DataFrame, field_names: Sequence[str]) -> list[T.DataType]:
-    """Data types of the left operands, from one analysis of ``df`` (no job)."""
+def operand_types(df: DataFrame, field_names: Sequence[str],
+                  known: dict[str, T.DataType] | None = None) -> list[T.DataType]:
+    """Data types of the left operands, from one analysis of ``df`` (no job).
+
+    ``known`` maps operands already typed (e.g. by ``operand_type_map``)
+    so that compiling many rules does not analyse the plan once per rule.
+    """
     if not field_names:
         return []
-    cols = [_lhs(f).alias(f"_op{i}") for i, f in enumerate(field_names)]
+    known = known or {}
+    missing = [f for f in dict.fromkeys(field_names) if f not in known]
+    types = dict(known)
+    if missing:
+        cols = [_lhs(f).alias(f"_op{i}") for i, f in enumerate(missing)]
+        try:
+            schema = df.select(*cols).schema
+        except (AnalysisException, ParseException) as e:
+            raise RuleConfigError(
+                f"cannot resolve condition operand(s) {missing}: {str(e).splitlines()[0]}") from None
+        types.update({f: fld.dataType for f, fld in zip(missing, schema.fields)})
+    return [types[f] for f in field_names]
+
+
+def operand_type_map(df: DataFrame, field_names: Sequence[str]) -> dict[str, T.DataType]:
+    """Types of every operand that resolves against ``df``, in one analysis
+    (operands that do not resolve are left out and reported per rule)."""
+    names = list(dict.fromkeys(f for f in field_names if f))
+    if not names:
+        return {}
     try:
-        schema = df.select(*cols).schema
-    except (AnalysisException, ParseException) as e:
-        raise RuleConfigError(f"cannot resolve condition operand(s) {list(field_names)}: {str(e).splitlines()[0]}") from None
-    return [f.dataType for f in schema.fields]
+        return dict(zip(names, operand_types(df, names)))
+    except RuleConfigError:
+        out = {}
+        for f in names:
+            try:
+                out[f] = operand_types(df, [f])[0]
+            except RuleConfigError:
+                pass
+        return out
 
 
 def _number(value: str, field_name: str, dtype: T.DataType) -> Column:
@@ -216,7 +245,8 @@ class CompiledPredicate:
 
 
 def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = False,
-                  extra: Sequence[Condition] = (), first_is_target: bool = False) -> CompiledPredicate:
+                  extra: Sequence[Condition] = (), first_is_target: bool = False,
+                  known_types: dict[str, T.DataType] | None = None) -> CompiledPredicate:
     """Compile a query-builder rule and its goto targets into one predicate.
 
     ``links[0]`` is the rule that was called (or, with ``first_is_target``,
@@ -251,7 +281,7 @@ def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = Fals
                     conn = ""  # trailing join on the final condition is ignored
             flat.append((cond, conn, li))
 
-    types = operand_types(df, [c.field_name for c, _, _ in flat])
+    types = operand_types(df, [c.field_name for c, _, _ in flat], known_types)
     columns = [condition_column(c, t) for (c, _, _), t in zip(flat, types)]
 
     if group_links:

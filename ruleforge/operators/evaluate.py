@@ -83,11 +83,11 @@ def gate_conditions(rule: Rule) -> list[Condition]:
 
 
 def compile_rule(df: DataFrame, res: R.Resolution, gate: bool = False,
-                 group_links: bool = False) -> CompiledPredicate:
+                 group_links: bool = False, known_types=None) -> CompiledPredicate:
     conditional = res.rule.process_key == "conditional"
     extra = gate_conditions(res.rule) if gate and conditional else ()
     return compile_chain(df, res.links, group_links=group_links, extra=extra,
-                         first_is_target=conditional)
+                         first_is_target=conditional, known_types=known_types)
 
 
 def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, process: str,

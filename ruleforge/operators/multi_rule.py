@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import RuleConfigError
-from ..functions.predicates import CompiledPredicate
+from ..functions.predicates import CompiledPredicate, operand_type_map
 from ..plans import resolution as R
 from ..sources.ruleset import RuleSet
 from .evaluate import compile_rule
@@ -56,13 +56,19 @@ def compile_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None
     raises, so a report never silently misses a rule.
     """
     batch = RuleBatch()
+    resolved = []
     for rid in (rule_ids if rule_ids is not None else predicate_rule_ids(rules)):
         res = R.resolve_by_id(rules, rid, as_of)
         if not res.accepted or not res.links:
             batch.rejected[rid] = res.message or f"Rule {rid} has nothing to evaluate"
             continue
+        resolved.append((rid, res))
+    # type every operand of every rule with one analysis of the plan
+    types = operand_type_map(df, [c.field_name for _, res in resolved
+                                  for link in res.links for c in link.conditions])
+    for rid, res in resolved:
         try:
-            batch.compiled.append((rid, compile_rule(df, res, gate=gate)))
+            batch.compiled.append((rid, compile_rule(df, res, gate=gate, known_types=types)))
         except RuleConfigError as e:
             batch.rejected[rid] = str(e)
     if strict and batch.rejected:

@@ -105,6 +105,7 @@ class RuleSet:
         self.spark = spark
         self.doc_df = doc_df
         self._rules: list[Rule] | None = None
+        self._by_id: dict[str, list[Rule]] | None = None
 
     # ---------------------------------------------------------------- loaders
     @classmethod
@@ -224,4 +225,9 @@ class RuleSet:
 
     def find(self, rule_id: str) -> list[Rule]:
         """All rules with this id, document order."""
-        return [r for r in self.rules() if r.id == rule_id.strip()]
+        if self._by_id is None:
+            index: dict[str, list[Rule]] = {}
+            for r in self.rules():
+                index.setdefault(r.id, []).append(r)
+            self._by_id = index
+        return list(self._by_id.get(rule_id.strip(), ()))
