@@ -7,8 +7,9 @@ schema and evaluated in a single projection:
 * ``rule_hits``   -- long form, one row per (row, rule that fired); built as
   ``explode(array_compact(array(when(p1, 'r1'), ...)))`` in one codegen'd
   stage, no shuffle.
-* ``rule_hit_counts`` -- per-rule counts from one global aggregate of
-  ``count_if(p_i)``: map-side partial counts, a one-row-per-task shuffle.
+* ``rule_hit_counts`` -- per-rule counts from a global aggregate of
+  ``count_if(p_i)`` (at most 90 rules per pass): map-side partial counts, a
+  one-row-per-task shuffle.
 * ``rule_flags``  -- one boolean column per rule, rows kept.
 """
 
@@ -111,15 +112,35 @@ def rule_hits(df: DataFrame, batch: RuleBatch, keys: Sequence[str]) -> DataFrame
     return df.select(*keys, F.explode(_labels(batch)).alias("rule_id"))
 
 
-def rule_hit_counts(df: DataFrame, batch: RuleBatch) -> DataFrame:
-    """``(rule_id, hits)`` for every compiled rule, zero counts included."""
+# Spark compiles a whole stage into one method only while the plan has at most
+# spark.sql.codegen.maxFields (default 100) fields; one count per rule is one
+# field, so counts run in passes of at most this many rules.
+MAX_COUNTS_PER_PASS = 90
+
+
+def rule_hit_counts(df: DataFrame, batch: RuleBatch,
+                    max_rules_per_pass: int = MAX_COUNTS_PER_PASS) -> DataFrame:
+    """``(rule_id, hits)`` for every compiled rule, zero counts included.
+
+    Each pass is one scan with one global aggregate of ``count_if`` per rule
+    (map-side partial counts; one row per task crosses the shuffle). Large
+    rule sets take several passes, each kept within whole-stage codegen,
+    which measures faster than one wide aggregate that falls back to
+    interpreted evaluation.
+    """
     if not batch.compiled:
         raise RuleConfigError("no rules to evaluate")
-    df = spread_input(df, len(batch.compiled))
-    counts = df.agg(*[F.count_if(p.column).alias(f"h{i}") for i, (_, p) in enumerate(batch.compiled)])
-    pairs = F.array(*[F.struct(F.lit(rid).alias("rule_id"), F.col(f"h{i}").alias("hits"))
-                      for i, (rid, _) in enumerate(batch.compiled)])
-    return counts.select(F.inline(pairs))
+    parts = []
+    for start in range(0, len(batch.compiled), max_rules_per_pass):
+        chunk = batch.compiled[start:start + max_rules_per_pass]
+        counts = df.agg(*[F.count_if(p.column).alias(f"h{i}") for i, (_, p) in enumerate(chunk)])
+        pairs = F.array(*[F.struct(F.lit(rid).alias("rule_id"), F.col(f"h{i}").alias("hits"))
+                          for i, (rid, _) in enumerate(chunk)])
+        parts.append(counts.select(F.inline(pairs)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
 
 
 def rule_flags(df: DataFrame, batch: RuleBatch, prefix: str = "hit_") -> DataFrame:

@@ -97,3 +97,11 @@ def test_threshold_hit_counts_match_brute_force(spark):
     finally:
         RD.MAX_BOUNDARIES_PER_PASS = old
     assert again == got
+
+
+def test_counts_in_passes_equal_single_pass(spark, atm):
+    rules = [rule(f"p{i}", [cond("cash_amount", ">=", str(700 * i))]) for i in range(25)]
+    batch = compile_rules(RuleSet.from_rules(spark, rules), atm, as_of=AS_OF)
+    one = sorted(tuple(r) for r in rule_hit_counts(atm, batch).collect())
+    many = sorted(tuple(r) for r in rule_hit_counts(atm, batch, max_rules_per_pass=4).collect())
+    assert one == many and len(one) == 25
