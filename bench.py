@@ -3,7 +3,7 @@
 Runs on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]``; each query is fully materialised through the
 ``noop`` sink, one warm-up then the median of ``$BENCH_REPEAT`` (default 5)
-runs. Prints one JSON line.
+runs (scale experiments: ``$BENCH_SCALE_REPEAT``, default 3). Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -28,16 +28,17 @@ from ruleforge.session import local_session  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 REPEAT = int(os.environ.get("BENCH_REPEAT", "5"))
+SCALE_REPEAT = int(os.environ.get("BENCH_SCALE_REPEAT", "3"))
 
 
 def materialise(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(build) -> float:
+def timed(build, repeat: int = REPEAT) -> float:
     materialise(build())  # warm-up
     runs = []
-    for _ in range(REPEAT):
+    for _ in range(repeat):
         t0 = time.perf_counter()
         materialise(build())
         runs.append(time.perf_counter() - t0)
@@ -75,8 +76,8 @@ def main() -> None:
     for n in (5, 50, 200):
         rs = RuleSet.from_rules(spark, generated_rules(n))
         batch = compile_rules(rs, lineitem, as_of=AS_OF)
-        scale[f"hits_{n}_rules_one_scan"] = timed(lambda b=batch: rule_hits(lineitem, b, keys))
-        scale[f"counts_{n}_rules_one_scan"] = timed(lambda b=batch: rule_hit_counts(lineitem, b))
+        scale[f"hits_{n}_rules_one_scan"] = timed(lambda b=batch: rule_hits(lineitem, b, keys), SCALE_REPEAT)
+        scale[f"counts_{n}_rules_count_if"] = timed(lambda b=batch: rule_hit_counts(lineitem, b), SCALE_REPEAT)
 
         def per_rule(b=batch):
             for _, p in b.compiled:
@@ -88,11 +89,14 @@ def main() -> None:
     for n in (200, 1000):
         rs = RuleSet.from_rules(spark, generated_rules(n))
         thr = threshold_rules(rs, lineitem, as_of=AS_OF)
-        scale[f"rules_as_data_{n}_rules"] = timed(lambda t=thr: rules_as_data_hits(lineitem, t, keys))
-        scale[f"interval_counts_{n}_rules"] = timed(lambda t=thr: threshold_hit_counts(lineitem, t))
+        scale[f"rules_as_data_{n}_rules"] = timed(lambda t=thr: rules_as_data_hits(lineitem, t, keys),
+                                                  SCALE_REPEAT)
+        scale[f"interval_counts_{n}_rules"] = timed(lambda t=thr: threshold_hit_counts(lineitem, t),
+                                                    SCALE_REPEAT)
         if n == 1000:
             batch = compile_rules(rs, lineitem, as_of=AS_OF)
-            scale[f"counts_{n}_rules_one_scan"] = timed(lambda b=batch: rule_hit_counts(lineitem, b))
+            scale[f"counts_{n}_rules_count_if"] = timed(lambda b=batch: rule_hit_counts(lineitem, b),
+                                                        SCALE_REPEAT)
     spark.stop()
     print(json.dumps({"metric": "sum_of_median_query_sec", "value": headline, "unit": "sec",
                       "queries": results, "scale": scale, "sf": os.path.basename(SF_DIR.rstrip("/")),
