@@ -23,7 +23,7 @@ def test_file_stream_filter(spark, current_rules, tmp_path):
                                 process_key="query_lookup", as_of=AS_OF)
     out = str(tmp_path / "out")
     q = start_sink(lookup.df, out, query_name="rules_smoke", checkpoint_location=str(tmp_path / "ckpt"))
-    q.awaitTermination(120)
+    assert q.awaitTermination(120), "stream did not finish"
     got = sorted((r.session_id, r.id) for r in spark.read.parquet(out).collect())
     assert got == [(6, 12), (8, 16), (9, 18)]
 
@@ -39,7 +39,7 @@ def test_restart_resumes_from_checkpoint(spark, current_rules, tmp_path):
         res = run_rule_on_stream(current_rules, stream, rule_id="rule_3", process="identification",
                                  process_key="query_builder", as_of=AS_OF, mode="flag")
         q = start_sink(res.df, out, query_name="rules_restart", checkpoint_location=ckpt)
-        q.awaitTermination(120)
+        assert q.awaitTermination(120), "stream did not finish"
 
     with open(os.path.join(src, "a.csv"), "w") as f:
         f.write("\n".join([header] + rows[:5]) + "\n")
