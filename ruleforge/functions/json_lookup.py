@@ -49,10 +49,11 @@ def parse_lookup_text(text: str | None) -> Any:
 
 def lookup_table(rules) -> "DataFrame":
     """Every value-lookup rule's named values as rows
-    ``(rule_pos, id, value_key, value)``; rules whose ``lookup_value`` is not
-    a JSON object are left out (the validation report lists them)."""
+    ``(doc, rule_pos, id, value_key, value)``; rules whose ``lookup_value``
+    is not a JSON object are left out (the validation report lists them)."""
     conds = rules.conditions_df()
-    keyed = rules.catalog_df.where(F.col("process_key") == "value_lookup").select("rule_pos")
-    return (conds.join(keyed, "rule_pos")
+    keyed = rules.catalog_df.where(F.col("process_key") == "value_lookup").select("doc", "rule_pos")
+    return (conds.join(keyed, ["doc", "rule_pos"])
             .where(F.col("cond_pos") == 0)
-            .select("rule_pos", "id", F.inline(json_entries("lookup_value")).alias("value_key", "value")))
+            .select("doc", "rule_pos", "id",
+                    F.inline(json_entries("lookup_value")).alias("value_key", "value")))

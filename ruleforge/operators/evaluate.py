@@ -61,7 +61,11 @@ def _with_table(text: str, table_name: str | None) -> str:
     return text
 
 
-_GROUP_BY = re.compile(r"^\s*group\s+by\s+(?P<keys>.+?)\s*$", re.IGNORECASE | re.DOTALL)
+# The grouping keys of a stored "[where ...] group by <keys> [having ...] [order by ...]" tail.
+_GROUP_BY = re.compile(
+    r"^(?:.*?\s)?group\s+by\s+(?P<keys>.+?)"
+    r"(?=\s+(?:having|order\s+by|sort\s+by|cluster\s+by|distribute\s+by|limit)\b|\s*$)",
+    re.IGNORECASE | re.DOTALL)
 
 
 def gate_conditions(rule: Rule) -> list[Condition]:
@@ -144,8 +148,10 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
             last = res.links[-1]
             if not last.then_field or last.is_goto:
                 return _reject(f"Rule {last.id} has no outcome column to flag", rule)
-            out = df.withColumn(last.then_field,
-                                F.when(compiled.column, F.lit(last.then_value)))
+            flag = F.when(compiled.column, F.lit(last.then_value))
+            if last.then_field in df.columns:  # keep what earlier rules wrote
+                flag = flag.otherwise(F.col(last.then_field))
+            out = df.withColumn(last.then_field, flag)
         elif mode == "filter":
             out = df.where(compiled.column)
         else:
@@ -200,7 +206,8 @@ def _groupby_lookup(spark, df, rule, apply, table_name, aggregates) -> RuleResul
     tail = (_first_lookup(rule) or "").strip()
     m = _GROUP_BY.match(tail)
     if not m:
-        raise RuleConfigError(f"Rule {rule.id}: groupby_lookup needs 'group by <columns>', got {tail!r}")
+        raise RuleConfigError(
+            f"Rule {rule.id}: groupby_lookup needs '[where ...] group by <columns> ...', got {tail!r}")
     aggs = aggregates or {"row_count": "count(*)"}
     select_list = ", ".join([m.group("keys")] + [f"{expr} AS `{name}`" for name, expr in aggs.items()])
     sql = f"select {select_list} from {{t}} " + _escape_braces(tail)

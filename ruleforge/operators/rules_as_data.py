@@ -36,8 +36,10 @@ from .multi_rule import predicate_rule_ids, spread_input
 # Comparison operators a threshold rule may use.
 THRESHOLD_OPS = (">=", ">", "<=", "<", "=", "==", "!=", "<>")
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-            T.DoubleType, T.DecimalType)
+# Columns whose values convert to double exactly; the join and the interval
+# histogram compare as double. bigint and decimal rules stay on the compiled
+# path (multi_rule), which compares in the column's own type.
+_EXACT_AS_DOUBLE = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
 
 RULE_ROW_SCHEMA = T.StructType([
     T.StructField("r_rule_id", T.StringType(), False),
@@ -76,8 +78,9 @@ def threshold_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | Non
             out.rejected[rid] = f"Rule {rid} is not a single threshold condition"
             continue
         c = conds[0]
-        if c.field_name not in types or not isinstance(types[c.field_name], _NUMERIC):
-            out.rejected[rid] = f"Rule {rid}: {c.field_name!r} is not a numeric column"
+        if c.field_name not in types or not isinstance(types[c.field_name], _EXACT_AS_DOUBLE):
+            out.rejected[rid] = (f"Rule {rid}: {c.field_name!r} is not an int/float/double column "
+                                 "(evaluate it with multi_rule instead)")
             continue
         if c.operator not in THRESHOLD_OPS:
             out.rejected[rid] = f"Rule {rid}: operator {c.operator!r} is not a threshold comparison"
@@ -85,7 +88,9 @@ def threshold_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | Non
         try:
             value = Decimal((c.field_value or "").strip())
         except InvalidOperation:
-            out.rejected[rid] = f"Rule {rid}: value {c.field_value!r} is not a number"
+            value = None
+        if value is None or not value.is_finite() or not math.isfinite(float(value)):
+            out.rejected[rid] = f"Rule {rid}: value {c.field_value!r} is not a finite number"
             continue
         out.rules.append(ThresholdRule(rid, c.field_name, c.operator, float(value)))
     if strict and out.rejected:

@@ -30,7 +30,11 @@ def _issue(cond, fmt: str, *args) -> F.Column:
 
 
 def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
-    """One row per rule: ``rule_pos, id, process, process_key, active, issues, ok``."""
+    """One row per rule: ``doc, rule_pos, id, process, process_key, active, issues, ok``.
+
+    Runs over the rule document (configuration); ``collect_list`` gathers
+    at most one issue per check per condition of a single rule.
+    """
     as_of = as_of or dt.date.today()
     cat = rules.catalog_df
     start = F.try_to_date("valid_from", RULE_DATE_PATTERN)
@@ -39,9 +43,10 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
     is_builder = F.col("process_key") == "query_builder"
     lookup_keys = F.col("process_key").isin(*R.LOOKUP_KEYS)
     dup = F.count(F.lit(1)).over(Window.partitionBy("id"))
+    key = ["doc", "rule_pos"]
 
     header = cat.select(
-        "rule_pos", "id", "process", "process_key", "field_name", "field_value", "n_conditions",
+        "doc", "rule_pos", "id", "process", "process_key", "field_name", "field_value", "n_conditions",
         ((F.col("is_valid") == "true") & start.isNotNull() & end.isNotNull()
          & (start <= day) & (day <= end)).alias("active"),
         F.array(
@@ -64,19 +69,19 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
 
     # goto targets that no rule carries
     ids = cat.select(F.col("id").alias("target_id")).distinct()
-    gotos = cat.where(F.col("field_name") == "goto").select("rule_pos", F.col("field_value").alias("target_id"))
+    gotos = cat.where(F.col("field_name") == "goto").select(*key, F.col("field_value").alias("target_id"))
     missing = (gotos.join(ids, "target_id", "left_anti")
-               .select("rule_pos", F.format_string("goto target %s is not configured", "target_id").alias("issue")))
+               .select(*key, F.format_string("goto target %s is not configured", "target_id").alias("issue")))
 
-    conds = (rules.conditions_df(outer=False).join(cat.select("rule_pos", "process_key"), "rule_pos")
-             .withColumn("n_conds", F.count(F.lit(1)).over(Window.partitionBy("rule_pos"))))
+    conds = (rules.conditions_df(outer=False).join(cat.select(*key, "process_key"), key)
+             .withColumn("n_conds", F.count(F.lit(1)).over(Window.partitionBy(*key))))
     n = F.col("n_conds")
     pos = F.col("cond_pos") + 1
     ops_allowed = list(COMPARISONS) + list(PREFIX_LIKE)
     join_u = F.upper(F.coalesce(F.col("join"), F.lit("")))
     is_number = F.col("field_value").rlike("^[0-9]+$")
     cond_issues = conds.select(
-        "rule_pos",
+        *key,
         F.explode(F.array(
             _issue(is_builder & ~F.upper(F.col("operator")).isin(*[o.upper() for o in ops_allowed]),
                    "condition %d: operator %s is not supported", pos, F.col("operator")),
@@ -96,9 +101,9 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
     ).where(F.col("issue").isNotNull())
 
     extra = (cond_issues.unionByName(missing)
-             .groupBy("rule_pos").agg(F.array_sort(F.collect_list("issue")).alias("more")))
-    out = (header.join(extra, "rule_pos", "left")
-           .select("rule_pos", "id", "process", "process_key", "active",
+             .groupBy(*key).agg(F.array_sort(F.collect_list("issue")).alias("more")))
+    out = (header.join(extra, key, "left")
+           .select("doc", "rule_pos", "id", "process", "process_key", "active",
                    F.concat(F.array_compact("header_issues"),
                             F.coalesce("more", F.array().cast("array<string>"))).alias("issues")))
     return out.withColumn("ok", F.size("issues") == 0)

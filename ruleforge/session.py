@@ -56,3 +56,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="ruleforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The configured shared checkpoint folder itself (stable across
+    applications, unlike ``sc.getCheckpointDir()``, which adds a fresh
+    per-application sub-folder). Streaming queries keep their offsets under
+    it so a restarted application resumes instead of reprocessing."""
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
+    return ensure_checkpoint_dir(spark)

@@ -96,9 +96,12 @@ class Rule:
 class RuleSet:
     """A loaded rule document.
 
-    ``doc_df`` holds the raw document rows (``rules: array<struct>``);
-    ``rules_df``/``catalog_df``/``conditions_df`` are its flattened views and
-    ``rules()`` the driver-side list used to compile predicates.
+    ``doc_df`` holds the raw document rows (``doc`` = source file, ``rules:
+    array<struct>``); ``rules_df``/``catalog_df``/``conditions_df`` are its
+    flattened views, keyed by ``(doc, rule_pos)`` so a folder of several
+    documents keeps every rule apart, and ``rules()`` is the driver-side list
+    used to compile predicates (documents in path order, rules in document
+    order).
     """
 
     def __init__(self, spark: SparkSession, doc_df: DataFrame):
@@ -116,14 +119,15 @@ class RuleSet:
         read silently as ``rules = null``.
         """
         doc = (spark.read.schema(RULESET_SCHEMA)
-               .option("multiLine", True).option("mode", "FAILFAST").json(path))
+               .option("multiLine", True).option("mode", "FAILFAST").json(path)
+               .select(F.col("_metadata.file_path").alias("doc"), "rules"))
         return cls(spark, doc)
 
     @classmethod
     def from_json_text(cls, spark: SparkSession, text: str) -> "RuleSet":
         doc = (spark.createDataFrame([(text,)], "doc string")
                .select(F.from_json("doc", RULESET_SCHEMA, {"mode": "FAILFAST"}).alias("d"))
-               .select("d.*"))
+               .select(F.lit("").alias("doc"), "d.rules"))
         return cls(spark, doc)
 
     @classmethod
@@ -135,15 +139,17 @@ class RuleSet:
     @classmethod
     def from_dataframe(cls, doc_df: DataFrame) -> "RuleSet":
         """Wrap a DataFrame that already has a ``rules`` column of RULE_TYPE."""
-        return cls(doc_df.sparkSession, doc_df.select(F.col("rules").cast(RULESET_SCHEMA["rules"].dataType)))
+        doc = F.col("doc").cast("string") if "doc" in doc_df.columns else F.lit("")
+        return cls(doc_df.sparkSession, doc_df.select(
+            doc.alias("doc"), F.col("rules").cast(RULESET_SCHEMA["rules"].dataType).alias("rules")))
 
     # ------------------------------------------------------------------ frames
     @property
     def rules_df(self) -> DataFrame:
-        """One row per rule, in document order (``rule_pos``)."""
+        """One row per rule; ``rule_pos`` is its position in document ``doc``."""
         return (self.doc_df
-                .select(F.posexplode("rules").alias("rule_pos", "rule"))
-                .select("rule_pos", "rule.*"))
+                .select("doc", F.posexplode("rules").alias("rule_pos", "rule"))
+                .select("doc", "rule_pos", "rule.*"))
 
     @staticmethod
     def _header_columns() -> list[Column]:
@@ -166,7 +172,7 @@ class RuleSet:
         """Rule header, trimmed, legacy ``key`` folded into ``process_key`` and
         the outcome flattened into ``field_name``/``field_value``."""
         return self.rules_df.select(
-            "rule_pos", *self._header_columns(),
+            "doc", "rule_pos", *self._header_columns(),
             F.coalesce(F.size("when"), F.lit(-1)).alias("n_conditions"))
 
     def conditions_df(self, outer: bool = False) -> DataFrame:
@@ -177,9 +183,9 @@ class RuleSet:
         """
         explode = F.posexplode_outer if outer else F.posexplode
         return (self.rules_df
-                .select("rule_pos", _strip(F.col("id")).alias("id"),
+                .select("doc", "rule_pos", _strip(F.col("id")).alias("id"),
                         explode("when").alias("cond_pos", "c"))
-                .select("rule_pos", "id", "cond_pos",
+                .select("doc", "rule_pos", "id", "cond_pos",
                         _strip(F.col("c.field_name")).alias("field_name"),
                         _strip(F.col("c.operator")).alias("operator"),
                         F.col("c.field_value").alias("field_value"),
@@ -200,13 +206,13 @@ class RuleSet:
                     _strip(c["join"]).alias("join"),
                     c["lookup_value"].alias("lookup_value")))
             rows = (self.rules_df
-                    .select("rule_pos", *self._header_columns(), conds.alias("conds"))
+                    .select("doc", "rule_pos", *self._header_columns(), conds.alias("conds"))
                     .collect())
-            rows.sort(key=lambda r: r["rule_pos"])
+            rows.sort(key=lambda r: (r["doc"] or "", r["rule_pos"]))
             out = []
-            for r in rows:
+            for pos, r in enumerate(rows):
                 out.append(Rule(
-                    pos=r["rule_pos"], id=_blank(r["id"]), name=_blank(r["name"]),
+                    pos=pos, id=_blank(r["id"]), name=_blank(r["name"]),
                     description=_blank(r["description"]), is_valid=_blank(r["is_valid"]),
                     valid_from=_blank(r["valid_from"]), valid_till=_blank(r["valid_till"]),
                     process=_blank(r["process"]), process_key=_blank(r["process_key"]),

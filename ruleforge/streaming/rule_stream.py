@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.evaluate import RuleResult, run_rule
-from ..session import ensure_checkpoint_dir
+from ..session import checkpoint_root
 from ..sources.ruleset import RuleSet
 
 
@@ -31,7 +31,7 @@ def start_sink(result: DataFrame, path: str, *, query_name: str, fmt: str = "par
     cluster's checkpoint folder unless a location is given, so a restarted
     query resumes exactly where it stopped."""
     if checkpoint_location is None:
-        base = ensure_checkpoint_dir(result.sparkSession)
+        base = checkpoint_root(result.sparkSession)
         checkpoint_location = posixpath.join(base, "streams", query_name)
     writer = (result.writeStream.format(fmt).outputMode("append")
               .option("path", path).option("checkpointLocation", checkpoint_location)

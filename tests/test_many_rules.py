@@ -105,3 +105,13 @@ def test_counts_in_passes_equal_single_pass(spark, atm):
     one = sorted(tuple(r) for r in rule_hit_counts(atm, batch).collect())
     many = sorted(tuple(r) for r in rule_hit_counts(atm, batch, max_rules_per_pass=4).collect())
     assert one == many and len(one) == 25
+
+
+def test_threshold_rules_refuse_inexact_or_non_finite(spark):
+    df = spark.createDataFrame([(1, 2, 3.0)], "big bigint, small int, x double")
+    rs = RuleSet.from_rules(spark, [rule("nan", [cond("x", ">=", "NaN")]),
+                                    rule("inf", [cond("x", "<", "Infinity")]),
+                                    rule("big", [cond("big", ">=", "9007199254740993")]),
+                                    rule("ok", [cond("small", ">=", "2")])])
+    thr = threshold_rules(rs, df, ["nan", "inf", "big", "ok"], as_of=AS_OF, strict=False)
+    assert [t.rule_id for t in thr.rules] == ["ok"] and set(thr.rejected) == {"nan", "inf", "big"}

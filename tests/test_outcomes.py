@@ -196,3 +196,23 @@ def test_conditional_target_empty_join_means_and(spark, atm):
     assert keys(res.df) == [(5, 11), (6, 12), (6, 13), (7, 14), (7, 15), (8, 16), (9, 18), (9, 19)]
     called = _call(spark, rules, atm, "t")
     assert called.rule_validity is False and "no join" in called.message
+
+
+def test_flag_mode_keeps_earlier_flags(spark, atm):
+    from ruleforge.operators.stages import Stage, run_stages
+    rules = [rule("big", [cond("cash_amount", ">=", "20000")], ("is_ttr", "true")),
+             rule("perth", [cond("city", "=", "perth")], ("is_ttr", "true"))]
+    run = run_stages(RuleSet.from_rules(spark, rules), atm, [
+        Stage("big", "identification", "query_builder", options={"mode": "flag"}),
+        Stage("perth", "identification", "query_builder", options={"mode": "flag"})], as_of=AS_OF)
+    flagged = sorted((r.session_id, r.id) for r in run.df.where("is_ttr = 'true'").collect())
+    assert flagged == [(5, 11), (5, 12), (8, 16), (8, 17), (9, 18), (9, 19)]
+
+
+def test_group_by_lookup_with_where_having_and_order(spark, atm):
+    rules = [rule("g", [{"lookup_value": " where city <> 'darwin' group by session_id having count(*) > 1 "
+                                         "order by session_id"}], process="filtration",
+                  process_key="groupby_lookup")]
+    res = _call(spark, rules, atm, "g", process="filtration", process_key="groupby_lookup",
+                aggregates={"n": "count(*)"})
+    assert [(r.session_id, r.n) for r in res.df.collect()] == [(5, 2), (6, 2), (8, 2), (9, 2)]

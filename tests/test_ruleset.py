@@ -25,7 +25,7 @@ def test_objects_only_are_not_inferred_as_structs(spark):
 
 def test_frames(current_rules, spark):
     cat = current_rules.catalog_df
-    assert cat.columns[:3] == ["rule_pos", "id", "name"]
+    assert cat.columns[:4] == ["doc", "rule_pos", "id", "name"]
     assert [r.id for r in cat.orderBy("rule_pos").collect()] == ["rule_1", "rule_2", "rule_3", "rule_4", "rule_5"]
     conds = current_rules.conditions_df()
     assert conds.count() == 5
@@ -62,3 +62,17 @@ def test_json_value_paths_and_fallback(spark):
     got = df.select(*[json_value("j", k).alias(f"c{i}") for i, k in enumerate(["a.b", "x", "s", "q'k", "missing"])]).collect()
     assert tuple(got[0]) == ("1", '{"y":2}', "t", "3", None)
     assert all(v is None for r in got[1:] for v in r)
+
+
+def test_folder_of_documents_keeps_rules_apart(spark, tmp_path):
+    import json
+    from ruleforge.operators.validation import rule_validation
+    folder = tmp_path / "docs"
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps({"rules": [rule("a1", [cond("x", ">", "1")]),
+                                                         rule("a2", [cond("x", "<", "9")])]}))
+    (folder / "b.json").write_text(json.dumps({"rules": [rule("b1", [cond("x", "=>", "1")])]}))
+    rs = RuleSet.from_path(spark, str(folder))
+    assert [r.id for r in rs.rules()] == ["a1", "a2", "b1"]
+    rep = {r.id: r.issues for r in rule_validation(rs).collect()}
+    assert rep["a1"] == [] and rep["a2"] == [] and any("=>" in i for i in rep["b1"])
