@@ -7,10 +7,15 @@ audit trail, the SQL text the original rule engine would have produced.
 Decisions (see SURVEY §3.5):
 * ``field_name`` is a SQL expression (``a - b`` is allowed), parsed by Spark.
 * The literal is typed by the *left operand's* data type, found by analysing
-  ``df.select(expr)`` (no job runs). Numeric operand -> number; string operand
-  with an all-digit value -> numeric comparison of ``try_cast(lhs as decimal)``
-  (``'036' = 36`` holds, malformed text is null instead of an error);
-  boolean / date / timestamp operands -> literal of that type.
+  ``df.select(expr)`` (no job runs). Numeric operand -> number (float columns
+  compare with a float literal); string operand with an all-digit value ->
+  numeric comparison of ``try_cast(lhs as decimal(38, 18))`` (``'036' = 36``
+  holds, malformed text is null instead of an error; text with more than 18
+  decimals is rounded); boolean / date / timestamp operands -> literal of
+  that type.
+* The rendered text equals the original engine's wherever that text is
+  valid SQL; where it was not (a numeric LIKE value rendered ``x LIKE 36%``)
+  the value is quoted instead.
 * ``LIKE`` / ``NOT LIKE`` (exact spelling) are prefix matches: value + ``%``.
   Without wildcards in the value this is ``startswith`` (pushed to Parquet).
 * ``join`` (AND / OR) follows a condition; conditions fold with SQL precedence
@@ -56,7 +61,7 @@ FALSE_TEXT = ("f", "false", "n", "no", "0")
 
 _NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
                   T.FloatType, T.DoubleType, T.DecimalType)
-_STRING_MATCH_DECIMAL = "decimal(38,10)"
+_STRING_MATCH_INT_DIGITS = 20  # string operands compare as decimal(38, 18) by default
 
 
 def is_plain_number(value: str | None) -> bool:
@@ -138,9 +143,15 @@ def _number(value: str, field_name: str, dtype: T.DataType) -> Column:
             f"value {value!r} is not a number but {field_name} is {dtype.simpleString()}") from None
     if not d.is_finite():
         raise RuleConfigError(f"value {value!r} for {field_name} is not a finite number")
+    if isinstance(dtype, T.FloatType):
+        return F.lit(float(d)).cast("float")  # compare in the column's own precision
+    if isinstance(dtype, T.DoubleType):
+        return F.lit(float(d))
     if d == d.to_integral_value() and abs(d) < 2 ** 63:
         return F.lit(int(d))
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+    digits, exponent = len(d.as_tuple().digits), d.as_tuple().exponent
+    if max(digits, digits + exponent) > 38 or -exponent > 38:
+        # beyond any decimal(38): every value of the operand lies on one side
         return F.lit(float(d))
     return F.lit(d)
 
@@ -163,9 +174,10 @@ def typed_literal_compare(lhs: Column, dtype: T.DataType, field_name: str,
         return cmp(lhs, _number(value, field_name, dtype))
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
         if is_plain_number(value):
-            if len(value) > 28:
+            if len(value) > 38:
                 raise RuleConfigError(f"numeric value {value!r} is too long")
-            return cmp(lhs.try_cast(_STRING_MATCH_DECIMAL), F.lit(Decimal(value)))
+            scale = 38 - max(len(value), _STRING_MATCH_INT_DIGITS)
+            return cmp(lhs.try_cast(f"decimal(38,{scale})"), F.lit(Decimal(value)))
         return cmp(lhs, F.lit(value))
     if isinstance(dtype, T.BooleanType):
         text = value.strip().lower()
@@ -284,19 +296,26 @@ def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = Fals
     types = operand_types(df, [c.field_name for c, _, _ in flat], known_types)
     columns = [condition_column(c, t) for (c, _, _), t in zip(flat, types)]
 
+    n_gate = len(extra)
+    gate_cols, columns = columns[:n_gate], columns[n_gate:]
+    body = flat[n_gate:]
     if group_links:
         per_link: dict[int, list[tuple[Column, str]]] = {}
-        for col, (_, conn, li) in zip(columns, flat):
+        for col, (_, conn, li) in zip(columns, body):
             per_link.setdefault(li, []).append((col, conn))
         column = reduce(op.and_, [fold_precedence(v) for _, v in sorted(per_link.items())])
     else:
-        column = fold_precedence([(col, conn) for col, (_, conn, _) in zip(columns, flat)])
+        column = fold_precedence([(col, conn) for col, (_, conn, _) in zip(columns, body)])
+    if gate_cols:  # the gate guards the whole chain, not just its first OR-group
+        column = reduce(op.and_, gate_cols) & column
 
     text = " where"
     joined_prev = False
     for idx, (cond, conn, li) in enumerate(flat):
         if idx > 0 and not joined_prev:
             text += " and"
+        if n_gate and idx == n_gate and not group_links:
+            text += " ("
         if group_links and (idx == 0 or flat[idx - 1][2] != li):
             text += " ("
         text += render_condition(cond)
@@ -306,5 +325,7 @@ def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = Fals
         joined_prev = idx < len(flat) - 1 and bool(raw_join) and raw_join.upper() == conn
         if joined_prev:
             text += "  {}".format(raw_join)
+    if n_gate and not group_links:
+        text += " )"
     return CompiledPredicate(column=column, where_text=text,
                              rule_ids=tuple(r.id for r in links))

@@ -61,11 +61,37 @@ def _with_table(text: str, table_name: str | None) -> str:
     return text
 
 
-# The grouping keys of a stored "[where ...] group by <keys> [having ...] [order by ...]" tail.
-_GROUP_BY = re.compile(
-    r"^(?:.*?\s)?group\s+by\s+(?P<keys>.+?)"
-    r"(?=\s+(?:having|order\s+by|sort\s+by|cluster\s+by|distribute\s+by|limit)\b|\s*$)",
-    re.IGNORECASE | re.DOTALL)
+_GROUP_BY = re.compile(r"\bgroup\s+by\b", re.IGNORECASE)
+_AFTER_KEYS = re.compile(r"\b(?:having|order\s+by|sort\s+by|cluster\s+by|distribute\s+by|limit)\b",
+                         re.IGNORECASE)
+
+
+def _top_level(text: str, pattern: re.Pattern, start: int = 0) -> list[re.Match]:
+    """Matches of ``pattern`` outside parentheses and quoted literals."""
+    depth, quote, spans = 0, None, []
+    for i, ch in enumerate(text):
+        if quote:
+            quote = None if ch == quote else quote
+        elif ch in "'\"`":
+            quote = ch
+        elif ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        spans.append(depth == 0 and quote is None)
+    return [m for m in pattern.finditer(text, start) if spans[m.start()]]
+
+
+def grouping_keys(tail: str) -> str | None:
+    """The keys of the top-level ``group by`` in a stored
+    ``[where ...] group by <keys> [having ...] [order by ...]`` tail."""
+    found = _top_level(tail, _GROUP_BY)
+    if not found:
+        return None
+    start = found[-1].end()
+    after = _top_level(tail, _AFTER_KEYS, start)
+    keys = tail[start:after[0].start() if after else len(tail)].strip()
+    return keys or None
 
 
 def gate_conditions(rule: Rule) -> list[Condition]:
@@ -131,10 +157,10 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
             return _groupby_lookup(spark, df, rule, apply, table_name, aggregates)
         if key == "transformation":
             return _transformation(df, rule, apply, table_name)
-        if df is None:
-            raise RuleConfigError("a query_builder or conditional rule needs a table to type its literals")
         if key == "conditional" and not res.links:
             return RuleResult(False, True, R.MSG_CONDITIONAL_BAD, value=_first_lookup(rule) or "")
+        if df is None:
+            raise RuleConfigError("a query_builder or conditional rule needs a table to type its literals")
         compiled = compile_rule(df, res, gate=gate, group_links=group_links)
     except RuleConfigError as e:
         return _reject(str(e), rule)
@@ -204,12 +230,12 @@ def _query_lookup(spark, df, rule, apply, table_name, order_by) -> RuleResult:
 
 def _groupby_lookup(spark, df, rule, apply, table_name, aggregates) -> RuleResult:
     tail = (_first_lookup(rule) or "").strip()
-    m = _GROUP_BY.match(tail)
-    if not m:
+    keys = grouping_keys(tail)
+    if keys is None:
         raise RuleConfigError(
             f"Rule {rule.id}: groupby_lookup needs '[where ...] group by <columns> ...', got {tail!r}")
     aggs = aggregates or {"row_count": "count(*)"}
-    select_list = ", ".join([m.group("keys")] + [f"{expr} AS `{name}`" for name, expr in aggs.items()])
+    select_list = ", ".join([keys] + [f"{expr} AS `{name}`" for name, expr in aggs.items()])
     sql = f"select {select_list} from {{t}} " + _escape_braces(tail)
     out = spark.sql(sql, t=df) if apply and df is not None else None
     query = (f" select {select_list} from {table_name} " + tail) if table_name else tail

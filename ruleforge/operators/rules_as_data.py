@@ -4,7 +4,7 @@ When a document holds hundreds or thousands of single-condition rules
 (``field >= threshold``), compiling each into its own CASE branch makes one
 huge generated method. Here the rules become rows instead:
 
-    facts  = df.unpivot(keys, fields) -> (keys, field_name, value)
+    facts  = (keys, field, value) per row and rule field (inline of an array)
     rules  = (rule_id, field_name, op, threshold)      -- from the driver list
     hits   = facts JOIN broadcast(rules) ON field_name AND value <op> threshold
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import struct
 from dataclasses import dataclass, field
 from decimal import Decimal, InvalidOperation
 from functools import reduce
@@ -92,12 +93,39 @@ def threshold_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | Non
         if value is None or not value.is_finite() or not math.isfinite(float(value)):
             out.rejected[rid] = f"Rule {rid}: value {c.field_value!r} is not a finite number"
             continue
-        out.rules.append(ThresholdRule(rid, c.field_name, c.operator, float(value)))
+        exact = _as_double_threshold(types[c.field_name], c.operator, value)
+        if exact is None:
+            out.rejected[rid] = (f"Rule {rid}: {c.operator} {c.field_value} on an integer column has no "
+                                 "exact double form (evaluate it with multi_rule instead)")
+            continue
+        out.rules.append(ThresholdRule(rid, c.field_name, exact[0], exact[1]))
     if strict and out.rejected:
         raise RuleConfigError("; ".join(f"{k}: {v}" for k, v in out.rejected.items()))
     return out
 
 
+def _as_double_threshold(dtype: T.DataType, op: str, value: Decimal) -> tuple[str, float] | None:
+    """(operator, threshold) that gives, on the double-cast column, exactly the
+    answer the compiled rule gives in the column's own type; None if none does.
+
+    Integer columns: a fractional threshold becomes the equivalent integer
+    bound (``x >= 2.5`` -> ``x >= 3``). Float columns: the threshold is rounded
+    to float precision first, as the compiled float comparison does.
+    """
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):
+        if value == value.to_integral_value():
+            return op, float(value)
+        lo = math.floor(value)
+        bounds = {">=": (">=", lo + 1), ">": (">=", lo + 1), "<=": ("<=", lo), "<": ("<=", lo)}
+        if op not in bounds:
+            return None  # = / != a fraction: constant over integers; leave to the compiled path
+        new_op, bound = bounds[op]
+        return new_op, float(bound)
+    if isinstance(dtype, T.FloatType):
+        return op, struct.unpack("f", struct.pack("f", float(value)))[0]
+    return op, float(value)
+
+
 def _theta(value: Column, op: Column, threshold: Column) -> Column:
     return (((op == ">=") & (value >= threshold))
             | ((op == ">") & (value > threshold))
@@ -107,11 +135,17 @@ def _theta(value: Column, op: Column, threshold: Column) -> Column:
             | (op.isin("!=", "<>") & (value != threshold)))
 
 
+FIELD, VALUE = "__rule_field", "__rule_value"
+
+
 def facts_long(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """``(keys, field_name, value)`` with every numeric field as double."""
-    wide = df.select(*keys, *[F.col(f).cast("double").alias(f) for f in fields])
-    return (wide.unpivot(list(keys), list(fields), "field_name", "value")
-            .where(F.col("value").isNotNull()))
+    """``keys + (__rule_field, __rule_value)``: one row per (row, rule field),
+    the field's value as double. Internal names keep keys that are also rule
+    fields (or are called ``value``) apart."""
+    pairs = F.array(*[F.struct(F.lit(f).alias(FIELD), F.col(f).cast("double").alias(VALUE))
+                      for f in fields])
+    return (df.select(*keys, F.inline(pairs))
+            .where(F.col(VALUE).isNotNull()))
 
 
 def rules_as_data_hits(df: DataFrame, thresholds: ThresholdSet | Sequence[ThresholdRule],
@@ -130,8 +164,8 @@ def rules_as_data_hits(df: DataFrame, thresholds: ThresholdSet | Sequence[Thresh
                                      RULE_ROW_SCHEMA)
         joined = facts.join(
             F.broadcast(rows),
-            (facts["field_name"] == rows["r_field"])
-            & _theta(facts["value"], rows["r_op"], rows["r_threshold"]),
+            (facts[FIELD] == rows["r_field"])
+            & _theta(facts[VALUE], rows["r_op"], rows["r_threshold"]),
             "inner")
         parts.append(joined.select(*keys, F.col("r_rule_id").alias("rule_id")))
     return reduce(DataFrame.unionAll, parts)

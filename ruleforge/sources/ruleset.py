@@ -101,7 +101,9 @@ class RuleSet:
     flattened views, keyed by ``(doc, rule_pos)`` so a folder of several
     documents keeps every rule apart, and ``rules()`` is the driver-side list
     used to compile predicates (documents in path order, rules in document
-    order).
+    order). A folder behaves like one document concatenated in path order:
+    ids (call selection, goto targets, duplicates) resolve across all files,
+    the first usable rule winning.
     """
 
     def __init__(self, spark: SparkSession, doc_df: DataFrame):

@@ -115,3 +115,27 @@ def test_threshold_rules_refuse_inexact_or_non_finite(spark):
                                     rule("ok", [cond("small", ">=", "2")])])
     thr = threshold_rules(rs, df, ["nan", "inf", "big", "ok"], as_of=AS_OF, strict=False)
     assert [t.rule_id for t in thr.rules] == ["ok"] and set(thr.rejected) == {"nan", "inf", "big"}
+
+
+def test_threshold_paths_agree_with_compiled_rules(spark):
+    from ruleforge.operators.rules_as_data import threshold_hit_counts
+    df = spark.createDataFrame([(i, i % 7, i / 10.0) for i in range(40)], "id int, value int, amount float")
+    ids = []
+    rules = []
+    for j, (field, op, v) in enumerate([("value", ">=", "2.5"), ("value", ">", "2.0000000000000001"),
+                                        ("value", "<", "3.5"), ("value", "<=", "2.9"),
+                                        ("amount", ">=", "0.1"), ("amount", "=", "0.3"),
+                                        ("amount", "!=", "0.3"), ("id", ">=", "7")]):
+        rules.append(rule(f"t{j}", [cond(field, op, v)]))
+        ids.append(f"t{j}")
+    rs = RuleSet.from_rules(spark, rules)
+    thr = threshold_rules(rs, df, ids, as_of=AS_OF)
+    batch = compile_rules(rs, df, ids, as_of=AS_OF)
+    compiled = {r.rule_id: r.hits for r in rule_hit_counts(df, batch).collect()}
+    assert {r.rule_id: r.hits for r in threshold_hit_counts(df, thr).collect()} == compiled
+    # keys that are also rule fields, or are called "value", do not collide
+    hits = rules_as_data_hits(df, thr, ["id", "value", "amount"])
+    got = {}
+    for r in hits.collect():
+        got[r.rule_id] = got.get(r.rule_id, 0) + 1
+    assert {k: got.get(k, 0) for k in compiled} == compiled

@@ -216,3 +216,16 @@ def test_group_by_lookup_with_where_having_and_order(spark, atm):
     res = _call(spark, rules, atm, "g", process="filtration", process_key="groupby_lookup",
                 aggregates={"n": "count(*)"})
     assert [(r.session_id, r.n) for r in res.df.collect()] == [(5, 2), (6, 2), (8, 2), (9, 2)]
+
+
+def test_conditional_without_goto_needs_no_table(spark):
+    rules = [rule("c", [{"lookup_value": '{"x": "1"}'}], process_key="conditional")]
+    res = _call(spark, rules, None, "c", process_key="conditional")
+    assert res.as_tuple()[:3] == (False, True, "Conditional process without proper condition setup.")
+
+
+def test_grouping_keys_use_the_top_level_group_by():
+    from ruleforge.operators.evaluate import grouping_keys
+    assert grouping_keys("where k in (select k from t group by k) group by a, b order by a") == "a, b"
+    assert grouping_keys("where s = 'group by z' group by a having count(*) > 1") == "a"
+    assert grouping_keys("where x > 1") is None

@@ -103,7 +103,22 @@ def test_goto_links_and_grouping(data):
 def test_gate_conditions_come_first(data):
     gate = [Condition(0, "cur", "=", "AUD", "AND", None)]
     ids, text = _ids(data, [_rule("b", [("n", ">=", "5", "")])], extra=gate)
-    assert ids == [1] and text == " where cur = 'AUD'  AND n >= 5"
+    assert ids == [1] and text == " where cur = 'AUD'  AND ( n >= 5 )"
+    # the gate guards every OR-group of the target
+    ids, text = _ids(data, [_rule("b", [("n", "=", "10", "OR"), ("n", "=", "20", "")])], extra=gate)
+    assert ids == [1] and text == " where cur = 'AUD'  AND ( n = 10  OR n = 20 )"
+
+
+def test_float_string_and_huge_literals(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(1, 0.1, "36.00000000004", Decimal("5")), (2, 0.5, "36", Decimal("6"))],
+                               "k int, f float, s string, d decimal(10,2)")
+    assert _ids(df, [_rule("r", [("f", "=", "0.1", "")])])[0] == [1]
+    assert _ids(df, [_rule("r", [("f", ">", "0.1", "")])])[0] == [2]
+    assert _ids(df, [_rule("r", [("s", "=", "36", "")])])[0] == [2]
+    assert _ids(df, [_rule("r", [("s", ">", "36", "")])])[0] == [1]
+    assert _ids(df, [_rule("r", [("d", "<", "1E+40", "")])])[0] == [1, 2]
+    assert _ids(df, [_rule("r", [("k", ">", "99999999999999999999999999999999999999999", "")])])[0] == []
 
 
 def test_filter_reaches_parquet_scan(spark, tmp_path):
