@@ -36,6 +36,11 @@ class RuleResult:
     predicate: Column | None = None
     rule_ids: tuple[str, ...] = field(default_factory=tuple)
 
+    @property
+    def ok(self) -> bool:
+        """Parameters matched and the rule produced its result."""
+        return self.valid_params is True and bool(self.rule_validity)
+
     def as_tuple(self):
         """``(valid_params, rule_validity, message, query_or_value, df)``."""
         out = self.value if self.value is not None else self.query
@@ -253,6 +258,13 @@ def _transformation(df, rule, apply, table_name) -> RuleResult:
     out = df.withColumn(target, column) if apply and df is not None else None
     if out is not None:
         out.schema  # analyse now so a bad expression is reported as a rule error
-    query = f" select * replace ({expr} as {target}) from {table_name or '{t}'} "
+    if df is not None:
+        cols = [f"{expr} as {target}" if c == target else f"`{c}`" for c in df.columns]
+        if target not in df.columns:
+            cols.append(f"{expr} as {target}")
+        select_list = ", ".join(cols)
+    else:
+        select_list = f"*, {expr} as {target}"
+    query = f" select {select_list} from {table_name or '{t}'} "
     return RuleResult(True, True, "Successfully returning the transformed table", query=query,
                       df=out, predicate=None, rule_ids=(rule.id,))

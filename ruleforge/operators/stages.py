@@ -37,7 +37,7 @@ class StagedRun:
 
     @property
     def ok(self) -> bool:
-        return all(r.valid_params is True and r.rule_validity for r in self.results)
+        return all(r.ok for r in self.results)
 
 
 def run_stages(rules: RuleSet, table: DataFrame | str, stages: Sequence[Stage], *,
@@ -45,27 +45,35 @@ def run_stages(rules: RuleSet, table: DataFrame | str, stages: Sequence[Stage],
                checkpoint_between: bool = False) -> StagedRun:
     """Run ``stages`` in order; stop at the first rejected stage.
 
-    ``checkpoint_between`` writes each intermediate result with a reliable
-    ``checkpoint()`` (into ``spark.checkpoint.dir``) so a lost executor does
-    not recompute earlier stages; off by default because stages are cheap
-    filters that Catalyst fuses.
+    A stage without ``view_name`` is named in the next stage's query text as
+    a subquery of its own query, so every audited text can be re-run as is.
+    ``checkpoint_between`` writes each intermediate result (not the final
+    one) with a reliable ``checkpoint()`` into ``spark.checkpoint.dir`` so a
+    lost executor does not recompute earlier stages; it is off by default
+    because stages are cheap filters that Catalyst fuses. Set
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` to have Spark delete
+    the files once the result is no longer referenced.
     """
     current: DataFrame | str = table
     name = table_name if table_name else (table if isinstance(table, str) else None)
     results: list[RuleResult] = []
-    for stage in stages:
+    for i, stage in enumerate(stages):
         res = run_rule(rules, current, rule_id=stage.rule_id, process=stage.process,
                        process_key=stage.process_key, is_lookup=stage.is_lookup,
                        as_of=as_of, table_name=name, **stage.options)
         results.append(res)
-        if not (res.valid_params is True and res.rule_validity) or res.df is None:
+        if not res.ok or res.df is None:
             return StagedRun(None, results)
         out = res.df
-        if checkpoint_between and not out.isStreaming:
+        if checkpoint_between and i < len(stages) - 1 and not out.isStreaming:
             ensure_checkpoint_dir(out.sparkSession)
             out = out.checkpoint(eager=True)
         if stage.view_name:
             out.createOrReplaceTempView(stage.view_name)
             name = stage.view_name
+        elif name and res.query.lstrip().lower().startswith("select"):
+            name = "({})".format(res.query.strip())
+        else:
+            name = None
         current = out
     return StagedRun(current if isinstance(current, DataFrame) else None, results)

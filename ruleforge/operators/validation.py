@@ -21,12 +21,17 @@ from ..plans import resolution as R
 from ..sources.ruleset import RuleSet
 from .evaluate import RuleResult
 
-RULE_DATE_PATTERN = "d/M/y"
+RULE_DATE_PATTERN = "d/M/yyyy"
 MAX_BROADCAST_RULES = 100_000
 
 
 def _issue(cond, fmt: str, *args) -> F.Column:
-    return F.when(cond, F.format_string(fmt, *args))
+    return F.when(F.coalesce(cond, F.lit(False)), F.format_string(fmt, *args))
+
+
+def _rule_date(c: str) -> F.Column:
+    """day/month/4-digit-year, as rule resolution reads it (null otherwise)."""
+    return F.when(F.col(c).rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_date(c, RULE_DATE_PATTERN))
 
 
 def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
@@ -36,9 +41,11 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
     at most one issue per check per condition of a single rule.
     """
     as_of = as_of or dt.date.today()
-    cat = rules.catalog_df
-    start = F.try_to_date("valid_from", RULE_DATE_PATTERN)
-    end = F.try_to_date("valid_till", RULE_DATE_PATTERN)
+    blank = ["process", "process_key", "is_lookup", "is_valid", "field_name", "field_value",
+             "valid_from", "valid_till"]
+    cat = rules.catalog_df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in blank else c
+                                    for c in rules.catalog_df.columns])
+    start, end = _rule_date("valid_from"), _rule_date("valid_till")
     day = F.lit(as_of)
     is_builder = F.col("process_key") == "query_builder"
     lookup_keys = F.col("process_key").isin(*R.LOOKUP_KEYS)
@@ -73,12 +80,15 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
     missing = (gotos.join(ids, "target_id", "left_anti")
                .select(*key, F.format_string("goto target %s is not configured", "target_id").alias("issue")))
 
-    conds = (rules.conditions_df(outer=False).join(cat.select(*key, "process_key"), key)
-             .withColumn("n_conds", F.count(F.lit(1)).over(Window.partitionBy(*key))))
-    n = F.col("n_conds")
+    conds = (rules.conditions_df(outer=False)
+             .select(*key, "cond_pos", *[F.coalesce(F.col(c), F.lit("")).alias(c)
+                                         for c in ("field_name", "operator", "join")],
+                     "field_value", "lookup_value")
+             .join(cat.select(*key, "process_key", "n_conditions"), key))
+    n = F.col("n_conditions")
     pos = F.col("cond_pos") + 1
     ops_allowed = list(COMPARISONS) + list(PREFIX_LIKE)
-    join_u = F.upper(F.coalesce(F.col("join"), F.lit("")))
+    join_u = F.upper(F.col("join"))
     is_number = F.col("field_value").rlike("^[0-9]+$")
     cond_issues = conds.select(
         *key,
@@ -90,8 +100,9 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
             _issue(is_builder & (join_u == "") & (F.col("cond_pos") < n - 1),
                    "condition %d has no join before condition %d", pos, pos + 1),
             _issue(is_builder & F.col("field_value").isNull(), "condition %d has no field_value", pos),
-            _issue(is_builder & is_number & F.col("field_value").try_cast("bigint").isNull(),
-                   "condition %d: value %s does not fit a bigint", pos, F.col("field_value")),
+            _issue(is_builder & F.col("field_name").rlike(r"^\s*$"), "condition %d has no field_name", pos),
+            _issue(is_builder & is_number & (F.length("field_value") > 38),
+                   "condition %d: value %s has more than 38 digits", pos, F.col("field_value")),
             _issue((F.col("process_key") == "value_lookup") & json_object("lookup_value").isNull(),
                    "lookup_value is not a JSON object"),
             _issue(F.col("process_key").isin("query_lookup", "groupby_lookup")
@@ -114,13 +125,18 @@ REQUEST_COLUMNS = ("process", "process_key", "rule_id", "is_lookup")
 
 def unmatched_requests(rules: RuleSet, requests: DataFrame) -> DataFrame:
     """Calls (process, process_key, rule_id, is_lookup) that no rule answers,
-    with the message the rule call would report."""
+    with the message the rule call would report. Values are stripped and a
+    null ``is_lookup`` follows from the process key, as in ``run_rule``."""
     cat = rules.catalog_df.select(
         F.col("process").alias("_p"), F.col("process_key").alias("_k"),
         F.col("id").alias("_i"), F.col("is_lookup").alias("_l")).distinct()
-    if len(rules.rules()) <= MAX_BROADCAST_RULES:
+    if rules.rule_count() <= MAX_BROADCAST_RULES:
         cat = F.broadcast(cat)
-    trimmed = requests.select("*", *[F.trim(F.col(c).cast("string")).alias(f"_req_{c}") for c in REQUEST_COLUMNS])
+    strip = lambda c: F.regexp_replace(F.col(c).cast("string"), r"^\s+|\s+$", "")
+    derived = F.when(strip("process_key").isin(*R.LOOKUP_KEYS), F.lit("true")).otherwise(F.lit("false"))
+    trimmed = requests.select(
+        "*", *[strip(c).alias(f"_req_{c}") for c in REQUEST_COLUMNS if c != "is_lookup"],
+        F.coalesce(strip("is_lookup"), derived).alias("_req_is_lookup"))
     cond = ((trimmed["_req_process"] == cat["_p"]) & (trimmed["_req_process_key"] == cat["_k"])
             & (trimmed["_req_rule_id"] == cat["_i"]) & (trimmed["_req_is_lookup"] == cat["_l"]))
     return (trimmed.join(cat, cond, "left_anti")
@@ -143,10 +159,10 @@ AUDIT_SCHEMA = T.StructType([
 def audit_frame(spark: SparkSession, entries: Iterable[tuple[str, RuleResult]],
                 logged_at: dt.datetime | None = None) -> DataFrame:
     """One audit row per (stage name, rule result)."""
-    when = logged_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    when = logged_at or dt.datetime.now(dt.timezone.utc)  # aware: no driver-zone shift
     rows = []
     for stage, res in entries:
-        ok = res.valid_params is True and bool(res.rule_validity)
+        ok = res.ok
         rows.append((stage, ",".join(res.rule_ids), res.valid_params is True, bool(res.rule_validity),
                      "ok" if ok else "rejected", res.message,
                      res.query if res.value is None else str(res.value), when))
@@ -157,23 +173,32 @@ def audit_stages(spark: SparkSession, stage_names: Sequence[str], results: Seque
     return audit_frame(spark, zip(stage_names, results))
 
 
+STAGE_AUDIT_SCHEMA = "stage string, rule_id string, status string, message string, query string, rows_out bigint"
+
+
 def stage_audit(spark: SparkSession, run, stage_names: Sequence[str]) -> DataFrame:
     """Audit of a staged run with each stage's output row count.
 
-    One row per stage: ``stage, rule_id, status, message, query, rows_out``.
-    Counts come from Spark (a union of one count per stage; each branch is a
-    scan with the stage's fused filters); a rejected stage has no count.
+    One row per stage name: ``stage, rule_id, status, message, query,
+    rows_out``. Counts come from Spark (a union of one count per stage; each
+    branch is a scan with the stage's fused filters). A rejected stage has
+    no count, and stages after it are listed as ``skipped``.
     """
     parts = []
-    for name, res in zip(stage_names, run.results):
-        ok = res.valid_params is True and bool(res.rule_validity) and res.df is not None
-        meta = [F.lit(name).alias("stage"), F.lit(",".join(res.rule_ids)).alias("rule_id"),
-                F.lit("ok" if ok else "rejected").alias("status"), F.lit(res.message).alias("message"),
-                F.lit(res.query).alias("query")]
-        if ok:
-            parts.append(res.df.agg(F.count(F.lit(1)).alias("rows_out")).select(*meta, "rows_out"))
+    for i, name in enumerate(stage_names):
+        res = run.results[i] if i < len(run.results) else None
+        if res is None:
+            meta = (name, "", "skipped", "an earlier stage was rejected", "")
+        else:
+            ok = res.ok and res.df is not None
+            meta = (name, ",".join(res.rule_ids), "ok" if ok else "rejected", res.message, res.query)
+        cols = [F.lit(v).alias(k) for v, k in zip(meta, ("stage", "rule_id", "status", "message", "query"))]
+        if res is not None and res.ok and res.df is not None:
+            parts.append(res.df.agg(F.count(F.lit(1)).alias("rows_out")).select(*cols, "rows_out"))
         else:
-            parts.append(spark.range(1).select(*meta, F.lit(None).cast("bigint").alias("rows_out")))
+            parts.append(spark.range(1).select(*cols, F.lit(None).cast("bigint").alias("rows_out")))
+    if not parts:
+        return spark.createDataFrame([], STAGE_AUDIT_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -113,7 +113,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _ok(res: RuleResult) -> DataFrame:
-    if not (res.valid_params is True and res.rule_validity) or res.df is None:
+    if not res.ok or res.df is None:
         raise RuntimeError(f"rule rejected: {res.message}")
     return res.df
 
@@ -344,7 +344,7 @@ ORACLE_SQL: dict[str, str] = {
                "where o_orderstatus = 'F' or o_totalprice >= 200000",
     "pred_precedence": f"select {_LI}, l_returnflag, l_quantity from lineitem "
                        "where l_returnflag = 'R' or l_returnflag = 'A' and l_quantity >= 40",
-    "pred_bool": "select doc_id, toxic from labels where toxic = 1",
+    "pred_bool": "select doc_id, toxic from labels where toxic <> 0",
     "goto_chain": "select p_partkey, p_size, p_type, p_brand from part where p_size >= 10 "
                   "and p_size < 45 and p_type = 'ECONOMY' and p_brand like 'Brand#2%'",
     "conditional_goto": "select event_id, event_type, value from events where value - 10 >= 100",

@@ -62,7 +62,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The configured shared checkpoint folder itself (stable across
     applications, unlike ``sc.getCheckpointDir()``, which adds a fresh
     per-application sub-folder). Streaming queries keep their offsets under
-    it so a restarted application resumes instead of reprocessing."""
+    it so a restarted application resumes instead of reprocessing. Only a
+    local session without the setting (tests) falls back to this
+    application's scratch folder, which does not outlive it."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)

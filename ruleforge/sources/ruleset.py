@@ -141,7 +141,9 @@ class RuleSet:
     @classmethod
     def from_dataframe(cls, doc_df: DataFrame) -> "RuleSet":
         """Wrap a DataFrame that already has a ``rules`` column of RULE_TYPE."""
-        doc = F.col("doc").cast("string") if "doc" in doc_df.columns else F.lit("")
+        # one key per document row: a zero-padded row id keeps rows apart and in order
+        doc = (F.col("doc").cast("string") if "doc" in doc_df.columns
+               else F.format_string("%020d", F.monotonically_increasing_id()))
         return cls(doc_df.sparkSession, doc_df.select(
             doc.alias("doc"), F.col("rules").cast(RULESET_SCHEMA["rules"].dataType).alias("rules")))
 
@@ -228,6 +230,13 @@ class RuleSet:
             self._rules = out
         return self._rules
 
+    def rule_count(self) -> int:
+        """Number of rules; from the driver list when it is loaded already,
+        otherwise counted by Spark without collecting the document."""
+        if self._rules is not None:
+            return len(self._rules)
+        return self.rules_df.count()
+
     def rule_ids(self) -> list[str]:
         return [r.id for r in self.rules()]
 

@@ -22,6 +22,8 @@ def run_rule_on_stream(rules: RuleSet, stream: DataFrame, **kwargs) -> RuleResul
     """``run_rule`` for a streaming input (the result DataFrame streams too)."""
     if not stream.isStreaming:
         raise ValueError("expected a streaming DataFrame (spark.readStream...)")
+    if kwargs.get("order_by"):
+        raise ValueError("order_by is not supported on a stream; sort the sink's output instead")
     return run_rule(rules, stream, **kwargs)
 
 

@@ -23,7 +23,10 @@ def test_validation_report(spark):
         rule("dup", [cond("a", ">", "1")]), rule("dup", [cond("a", ">", "2")]),
         rule("val", [{"lookup_value": "[1, 2]"}], process_key="value_lookup"),
         rule("expired", [cond("a", ">", "1")], valid_till="01/01/2022"),
-        rule("huge", [cond("a", ">", "99999999999999999999")]),
+        rule("huge", [cond("a", ">", "9" * 39)]),
+        {**rule("nokey", [cond("a", ">", "1")]), "process_key": None},
+        rule("year2", [cond("a", ">", "1")], valid_till="31/12/24"),
+        rule("noop", [{"field_name": "a", "field_value": "1", "join": ""}]),
     ])
     rep = {r.id + str(r.rule_pos): r for r in rule_validation(rs, AS_OF).collect()}
     assert rep["ok0"].ok and rep["ok0"].active
@@ -36,12 +39,16 @@ def test_validation_report(spark):
     assert any("appears 2 times" in i for i in rep["dup7"].issues)
     assert "lookup_value is not a JSON object" in rep["val9"].issues
     assert rep["expired10"].ok and not rep["expired10"].active
-    assert any("does not fit a bigint" in i for i in rep["huge11"].issues)
+    assert any("more than 38 digits" in i for i in rep["huge11"].issues)
+    assert "Invalid Process key." in rep["nokey12"].issues
+    assert any("valid_till" in i for i in rep["year213"].issues)
+    assert any("operator" in i for i in rep["noop14"].issues)
 
 
 def test_unmatched_requests(spark, current_rules):
     reqs = spark.createDataFrame([("filtration", "query_lookup", "rule_1", "true"),
                                   ("identification", "query_builder", " rule_4 ", "false"),
+                                  ("identification", "query_builder", "rule_3\t", None),
                                   ("identification", "query_builder", "rule_9", "false")],
                                  "process string, process_key string, rule_id string, is_lookup string")
     out = unmatched_requests(current_rules, reqs).collect()
@@ -99,3 +106,38 @@ def test_stage_audit_counts_rows_and_marks_rejections(spark, current_rules, atm)
     bad = run_stages(current_rules, atm, stages[::-1], as_of=dt.date(2023, 1, 1))
     rows = [(r.stage, r.status, r.rows_out) for r in stage_audit(spark, bad, ["i"]).collect()]
     assert rows == [("i", "rejected", None)]
+
+
+def test_stage_texts_are_runnable_and_audit_lists_skipped(spark, current_rules, atm):
+    from ruleforge.operators.stages import Stage, run_stages
+    from ruleforge.operators.validation import stage_audit
+    run = run_stages(current_rules, atm, [Stage("rule_1", "filtration", "query_lookup", "true"),
+                                          Stage("rule_4", "identification", "query_builder", "false")],
+                     as_of=AS_OF, table_name="atm_transactions")
+    text = run.results[1].query
+    assert text.startswith(" select * from (select * from atm_transactions where")
+    assert spark.sql(text).count() == run.df.count() == 3
+    bad = run_stages(current_rules, atm, [Stage("rule_4", "identification", "query_builder", "false"),
+                                          Stage("rule_1", "filtration", "query_lookup", "true")],
+                     as_of=dt.date(2023, 1, 1))
+    rows = [(r.stage, r.status) for r in stage_audit(spark, bad, ["a", "b"]).collect()]
+    assert rows == [("a", "rejected"), ("b", "skipped")]
+    assert stage_audit(spark, bad, []).count() == 0
+
+
+def test_audit_time_is_not_shifted(spark, current_rules, atm):
+    from pyspark.sql import functions as F
+    res = run_rule(current_rules, atm, rule_id="rule_3", process="identification",
+                   process_key="query_builder", as_of=AS_OF)
+    when = dt.datetime(2024, 1, 1, 12, 0, tzinfo=dt.timezone.utc)
+    out = audit_frame(spark, [("s", res)], logged_at=when)
+    assert out.select(F.unix_timestamp("logged_at")).first()[0] == int(when.timestamp())
+
+
+def test_transformation_text_is_runnable(spark, atm):
+    from ruleforge import RuleSet
+    rs = RuleSet.from_rules(spark, [rule("t", [{"field_name": "cash_amount + 1"}], ("cash_amount", ""),
+                                         process_key="transformation")])
+    res = run_rule(rs, atm, rule_id="t", process="identification", process_key="transformation",
+                   table_name="atm_transactions", as_of=AS_OF)
+    assert sorted(tuple(r) for r in spark.sql(res.query).collect()) == sorted(tuple(r) for r in res.df.collect())
