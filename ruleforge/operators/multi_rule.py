@@ -11,6 +11,7 @@ schema and evaluated in a single projection:
   ``count_if(p_i)`` (at most 90 rules per pass): map-side partial counts, a
   one-row-per-task shuffle.
 * ``rule_flags``  -- one boolean column per rule, rows kept.
+* ``rule_hit_lists`` -- one array column of the rules a row satisfies.
 """
 
 from __future__ import annotations
@@ -143,6 +144,16 @@ def rule_hit_counts(df: DataFrame, batch: RuleBatch,
     return out
 
 
+def rule_hit_lists(df: DataFrame, batch: RuleBatch, name: str = "hit_rules") -> DataFrame:
+    """All rows, plus one ``array<string>`` column of the rules each row
+    satisfies (document order). One field however many rules there are, so
+    the projection stays within whole-stage codegen where ``rule_flags``
+    (one column per rule) would not."""
+    if not batch.compiled:
+        raise RuleConfigError("no rules to evaluate")
+    return spread_input(df, len(batch.compiled)).withColumn(name, _labels(batch))
+
+
 def rule_flags(df: DataFrame, batch: RuleBatch, prefix: str = "hit_") -> DataFrame:
     """All rows, plus a boolean ``<prefix><rule_id>`` column per rule
     (null-safe: a predicate that is unknown for a row counts as false)."""

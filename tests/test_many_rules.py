@@ -139,3 +139,13 @@ def test_threshold_paths_agree_with_compiled_rules(spark):
     for r in hits.collect():
         got[r.rule_id] = got.get(r.rule_id, 0) + 1
     assert {k: got.get(k, 0) for k in compiled} == compiled
+
+
+def test_hit_lists_match_flags(rs, atm):
+    from ruleforge.operators.multi_rule import rule_hit_lists
+    batch = compile_rules(rs, atm, ["big_total", "perth", "none", "chain"], as_of=AS_OF)
+    lists = {(r.session_id, r.id): r.hit_rules for r in rule_hit_lists(atm, batch).collect()}
+    flags = rule_flags(atm, batch).collect()
+    for r in flags:
+        expect = [rid for rid in batch.rule_ids if r["hit_" + rid]]
+        assert lists[(r.session_id, r.id)] == expect
