@@ -9,10 +9,10 @@ Decisions (see SURVEY §3.5):
 * The literal is typed by the *left operand's* data type, found by analysing
   ``df.select(expr)`` (no job runs). Numeric operand -> number (float columns
   compare with a float literal); string operand with an all-digit value ->
-  numeric comparison of ``try_cast(lhs as decimal(38, 18))`` (``'036' = 36``
-  holds, malformed text is null instead of an error; text with more than 18
-  decimals is rounded); boolean / date / timestamp operands -> literal of
-  that type.
+  numeric comparison of ``try_cast(lhs as decimal(38, 18))``, or
+  ``decimal(38, 0)`` for text with more than 20 integer digits (``'036' = 36``
+  holds, malformed text is null instead of an error; digits beyond the scale
+  are rounded); boolean / date / timestamp operands -> literal of that type.
 * The rendered text equals the original engine's wherever that text is
   valid SQL; where it was not (a numeric LIKE value rendered ``x LIKE 36%``)
   the value is quoted instead.
@@ -149,10 +149,12 @@ def _number(value: str, field_name: str, dtype: T.DataType) -> Column:
         return F.lit(float(d))
     if d == d.to_integral_value() and abs(d) < 2 ** 63:
         return F.lit(int(d))
-    digits, exponent = len(d.as_tuple().digits), d.as_tuple().exponent
-    if max(digits, digits + exponent) > 38 or -exponent > 38:
+    if d.adjusted() >= 38:
         # beyond any decimal(38): every value of the operand lies on one side
         return F.lit(float(d))
+    digits, exponent = len(d.as_tuple().digits), d.as_tuple().exponent
+    if max(digits, digits + exponent, -exponent) > 38:
+        raise RuleConfigError(f"value {value!r} for {field_name} has more than 38 significant digits")
     return F.lit(d)
 
 
@@ -177,7 +179,10 @@ def typed_literal_compare(lhs: Column, dtype: T.DataType, field_name: str,
             if len(value) > 38:
                 raise RuleConfigError(f"numeric value {value!r} is too long")
             scale = 38 - max(len(value), _STRING_MATCH_INT_DIGITS)
-            return cmp(lhs.try_cast(f"decimal(38,{scale})"), F.lit(Decimal(value)))
+            fine = lhs.try_cast(f"decimal(38,{scale})")
+            coarse = lhs.try_cast("decimal(38,0)")  # more integer digits than `fine` holds
+            target = F.lit(Decimal(value))
+            return F.when(fine.isNotNull(), cmp(fine, target)).otherwise(cmp(coarse, target))
         return cmp(lhs, F.lit(value))
     if isinstance(dtype, T.BooleanType):
         text = value.strip().lower()

@@ -56,6 +56,27 @@ def _reject(message: str, rule: Rule | None = None) -> RuleResult:
     return RuleResult(True, False, message, rule_ids=(rule.id,) if rule else ())
 
 
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _existing_column(df: DataFrame, name: str) -> str | None:
+    """The column ``withColumn(name, ...)`` would replace, if any (Spark
+    matches names case-insensitively unless spark.sql.caseSensitive)."""
+    if df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true":
+        return name if name in df.columns else None
+    return next((c for c in df.columns if c.lower() == name.lower()), None)
+
+
+def _projection_text(df: DataFrame, target: str, expr_text: str) -> str:
+    """Select list of ``df`` with ``target`` replaced by (or appended as) an expression."""
+    existing = _existing_column(df, target)
+    cols = [f"{expr_text} as {_quote(target)}" if c == existing else _quote(c) for c in df.columns]
+    if existing is None:
+        cols.append(f"{expr_text} as {_quote(target)}")
+    return ", ".join(cols)
+
+
 def _first_lookup(rule: Rule) -> str | None:
     return rule.conditions[0].lookup_value if rule.conditions else None
 
@@ -180,9 +201,17 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
             if not last.then_field or last.is_goto:
                 return _reject(f"Rule {last.id} has no outcome column to flag", rule)
             flag = F.when(compiled.column, F.lit(last.then_value))
-            if last.then_field in df.columns:  # keep what earlier rules wrote
-                flag = flag.otherwise(F.col(last.then_field))
+            existing = _existing_column(df, last.then_field)
+            value_text = "'" + last.then_value.replace("'", "''") + "'"
+            pred_text = compiled.where_text[len(" where"):].strip()
+            if existing is not None:  # keep what earlier rules wrote
+                flag = flag.otherwise(F.col(existing))
+                flag_text = f"case when {pred_text} then {value_text} else {_quote(existing)} end"
+            else:
+                flag_text = f"case when {pred_text} then {value_text} end"
             out = df.withColumn(last.then_field, flag)
+            query = " select {} from {} ".format(_projection_text(df, last.then_field, flag_text),
+                                                table_name) if table_name else " " + flag_text
         elif mode == "filter":
             out = df.where(compiled.column)
         else:
@@ -259,12 +288,9 @@ def _transformation(df, rule, apply, table_name) -> RuleResult:
     if out is not None:
         out.schema  # analyse now so a bad expression is reported as a rule error
     if df is not None:
-        cols = [f"{expr} as {target}" if c == target else f"`{c}`" for c in df.columns]
-        if target not in df.columns:
-            cols.append(f"{expr} as {target}")
-        select_list = ", ".join(cols)
+        select_list = _projection_text(df, target, expr)
     else:
-        select_list = f"*, {expr} as {target}"
+        select_list = f"*, {expr} as {_quote(target)}"
     query = f" select {select_list} from {table_name or '{t}'} "
     return RuleResult(True, True, "Successfully returning the transformed table", query=query,
                       df=out, predicate=None, rule_ids=(rule.id,))

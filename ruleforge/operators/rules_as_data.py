@@ -95,8 +95,9 @@ def threshold_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | Non
             continue
         exact = _as_double_threshold(types[c.field_name], c.operator, value)
         if exact is None:
-            out.rejected[rid] = (f"Rule {rid}: {c.operator} {c.field_value} on an integer column has no "
-                                 "exact double form (evaluate it with multi_rule instead)")
+            out.rejected[rid] = (f"Rule {rid}: {c.operator} {c.field_value} has no exact double form "
+                                 f"on a {types[c.field_name].simpleString()} column "
+                                 "(evaluate it with multi_rule instead)")
             continue
         out.rules.append(ThresholdRule(rid, c.field_name, exact[0], exact[1]))
     if strict and out.rejected:
@@ -122,7 +123,12 @@ def _as_double_threshold(dtype: T.DataType, op: str, value: Decimal) -> tuple[st
         new_op, bound = bounds[op]
         return new_op, float(bound)
     if isinstance(dtype, T.FloatType):
-        return op, struct.unpack("f", struct.pack("f", float(value)))[0]
+        try:
+            rounded = struct.unpack("f", struct.pack("f", float(value)))[0]
+        except OverflowError:
+            return None
+        # beyond float range the threshold would become infinite: leave it to the compiled path
+        return (op, rounded) if math.isfinite(rounded) else None
     return op, float(value)
 
 

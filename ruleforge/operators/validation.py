@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.json_lookup import json_object
 from ..functions.predicates import COMPARISONS, PREFIX_LIKE
 from ..plans import resolution as R
-from ..sources.ruleset import RuleSet
+from ..sources.ruleset import RuleSet, strip_ws
 from .evaluate import RuleResult
 
 RULE_DATE_PATTERN = "d/M/yyyy"
@@ -89,7 +89,6 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
     pos = F.col("cond_pos") + 1
     ops_allowed = list(COMPARISONS) + list(PREFIX_LIKE)
     join_u = F.upper(F.col("join"))
-    is_number = F.col("field_value").rlike("^[0-9]+$")
     cond_issues = conds.select(
         *key,
         F.explode(F.array(
@@ -101,8 +100,6 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
                    "condition %d has no join before condition %d", pos, pos + 1),
             _issue(is_builder & F.col("field_value").isNull(), "condition %d has no field_value", pos),
             _issue(is_builder & F.col("field_name").rlike(r"^\s*$"), "condition %d has no field_name", pos),
-            _issue(is_builder & is_number & (F.length("field_value") > 38),
-                   "condition %d: value %s has more than 38 digits", pos, F.col("field_value")),
             _issue((F.col("process_key") == "value_lookup") & json_object("lookup_value").isNull(),
                    "lookup_value is not a JSON object"),
             _issue(F.col("process_key").isin("query_lookup", "groupby_lookup")
@@ -132,7 +129,8 @@ def unmatched_requests(rules: RuleSet, requests: DataFrame) -> DataFrame:
         F.col("id").alias("_i"), F.col("is_lookup").alias("_l")).distinct()
     if rules.rule_count() <= MAX_BROADCAST_RULES:
         cat = F.broadcast(cat)
-    strip = lambda c: F.regexp_replace(F.col(c).cast("string"), r"^\s+|\s+$", "")
+    def strip(c: str) -> F.Column:
+        return strip_ws(F.col(c).cast("string"))
     derived = F.when(strip("process_key").isin(*R.LOOKUP_KEYS), F.lit("true")).otherwise(F.lit("false"))
     trimmed = requests.select(
         "*", *[strip(c).alias(f"_req_{c}") for c in REQUEST_COLUMNS if c != "is_lookup"],
@@ -193,7 +191,7 @@ def stage_audit(spark: SparkSession, run, stage_names: Sequence[str]) -> DataFra
             ok = res.ok and res.df is not None
             meta = (name, ",".join(res.rule_ids), "ok" if ok else "rejected", res.message, res.query)
         cols = [F.lit(v).alias(k) for v, k in zip(meta, ("stage", "rule_id", "status", "message", "query"))]
-        if res is not None and res.ok and res.df is not None:
+        if res is not None and meta[2] == "ok":
             parts.append(res.df.agg(F.count(F.lit(1)).alias("rows_out")).select(*cols, "rows_out"))
         else:
             parts.append(spark.range(1).select(*cols, F.lit(None).cast("bigint").alias("rows_out")))

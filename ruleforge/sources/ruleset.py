@@ -53,7 +53,7 @@ RULE_TYPE = T.StructType([
 RULESET_SCHEMA = T.StructType([T.StructField("rules", T.ArrayType(RULE_TYPE))])
 
 
-def _strip(c: Column) -> Column:
+def strip_ws(c: Column) -> Column:
     """Python ``str.strip()`` semantics: drop leading/trailing whitespace."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
@@ -140,12 +140,26 @@ class RuleSet:
 
     @classmethod
     def from_dataframe(cls, doc_df: DataFrame) -> "RuleSet":
-        """Wrap a DataFrame that already has a ``rules`` column of RULE_TYPE."""
-        # one key per document row: a zero-padded row id keeps rows apart and in order
-        doc = (F.col("doc").cast("string") if "doc" in doc_df.columns
-               else F.format_string("%020d", F.monotonically_increasing_id()))
-        return cls(doc_df.sparkSession, doc_df.select(
-            doc.alias("doc"), F.col("rules").cast(RULESET_SCHEMA["rules"].dataType).alias("rules")))
+        """Wrap a DataFrame with a ``rules`` column of RULE_TYPE (one row per
+        document) and optionally a ``doc`` column naming each document.
+
+        Without ``doc`` the documents (configuration, small) are numbered on
+        the driver in the order Spark returns them, so the keys stay the same
+        however often the frame is re-read.
+        """
+        spark = doc_df.sparkSession
+        rules_type = RULESET_SCHEMA["rules"].dataType
+        if "doc" not in doc_df.columns:
+            texts = [r[0] for r in doc_df.select(F.to_json(F.struct(
+                F.col("rules").cast(rules_type).alias("rules")))).collect()]
+            numbered = spark.createDataFrame([(f"{i:09d}", t) for i, t in enumerate(texts)],
+                                             "doc string, text string")
+            return cls(spark, numbered.select(
+                "doc", F.from_json("text", RULESET_SCHEMA)["rules"].alias("rules")))
+        dtype = dict(doc_df.dtypes)["doc"]
+        doc = (F.format_string("%020d", F.col("doc")) if dtype in ("tinyint", "smallint", "int", "bigint")
+               else F.coalesce(F.col("doc").cast("string"), F.lit("")))
+        return cls(spark, doc_df.select(doc.alias("doc"), F.col("rules").cast(rules_type).alias("rules")))
 
     # ------------------------------------------------------------------ frames
     @property
@@ -158,17 +172,17 @@ class RuleSet:
     @staticmethod
     def _header_columns() -> list[Column]:
         return [
-            _strip(F.col("id")).alias("id"),
-            _strip(F.col("name")).alias("name"),
-            _strip(F.col("description")).alias("description"),
-            _strip(F.col("is_valid")).alias("is_valid"),
-            _strip(F.col("valid_from")).alias("valid_from"),
-            _strip(F.col("valid_till")).alias("valid_till"),
-            _strip(F.col("process")).alias("process"),
-            _strip(F.coalesce(F.col("process_key"), F.col("key"))).alias("process_key"),
-            _strip(F.col("is_lookup")).alias("is_lookup"),
-            _strip(F.col("then.field_name")).alias("field_name"),
-            _strip(F.col("then.field_value")).alias("field_value"),
+            strip_ws(F.col("id")).alias("id"),
+            strip_ws(F.col("name")).alias("name"),
+            strip_ws(F.col("description")).alias("description"),
+            strip_ws(F.col("is_valid")).alias("is_valid"),
+            strip_ws(F.col("valid_from")).alias("valid_from"),
+            strip_ws(F.col("valid_till")).alias("valid_till"),
+            strip_ws(F.col("process")).alias("process"),
+            strip_ws(F.coalesce(F.col("process_key"), F.col("key"))).alias("process_key"),
+            strip_ws(F.col("is_lookup")).alias("is_lookup"),
+            strip_ws(F.col("then.field_name")).alias("field_name"),
+            strip_ws(F.col("then.field_value")).alias("field_value"),
         ]
 
     @property
@@ -187,13 +201,13 @@ class RuleSet:
         """
         explode = F.posexplode_outer if outer else F.posexplode
         return (self.rules_df
-                .select("doc", "rule_pos", _strip(F.col("id")).alias("id"),
+                .select("doc", "rule_pos", strip_ws(F.col("id")).alias("id"),
                         explode("when").alias("cond_pos", "c"))
                 .select("doc", "rule_pos", "id", "cond_pos",
-                        _strip(F.col("c.field_name")).alias("field_name"),
-                        _strip(F.col("c.operator")).alias("operator"),
+                        strip_ws(F.col("c.field_name")).alias("field_name"),
+                        strip_ws(F.col("c.operator")).alias("operator"),
                         F.col("c.field_value").alias("field_value"),
-                        _strip(F.col("c.join")).alias("join"),
+                        strip_ws(F.col("c.join")).alias("join"),
                         F.col("c.lookup_value").alias("lookup_value")))
 
     # ------------------------------------------------------------ driver list
@@ -204,10 +218,10 @@ class RuleSet:
                 F.coalesce(F.col("when"), F.array().cast(T.ArrayType(CONDITION_TYPE))),
                 lambda c, i: F.struct(
                     i.alias("pos"),
-                    _strip(c["field_name"]).alias("field_name"),
-                    _strip(c["operator"]).alias("operator"),
+                    strip_ws(c["field_name"]).alias("field_name"),
+                    strip_ws(c["operator"]).alias("operator"),
                     c["field_value"].alias("field_value"),
-                    _strip(c["join"]).alias("join"),
+                    strip_ws(c["join"]).alias("join"),
                     c["lookup_value"].alias("lookup_value")))
             rows = (self.rules_df
                     .select("doc", "rule_pos", *self._header_columns(), conds.alias("conds"))

@@ -149,3 +149,10 @@ def test_hit_lists_match_flags(rs, atm):
     for r in flags:
         expect = [rid for rid in batch.rule_ids if r["hit_" + rid]]
         assert lists[(r.session_id, r.id)] == expect
+
+
+def test_threshold_beyond_float_range_is_left_to_compiled_path(spark):
+    df = spark.createDataFrame([(1.0,)], "f float")
+    rs = RuleSet.from_rules(spark, [rule("huge", [cond("f", "<", "1e39")])])
+    thr = threshold_rules(rs, df, ["huge"], as_of=AS_OF, strict=False)
+    assert thr.rules == [] and "huge" in thr.rejected

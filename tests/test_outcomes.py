@@ -229,3 +229,25 @@ def test_grouping_keys_use_the_top_level_group_by():
     assert grouping_keys("where k in (select k from t group by k) group by a, b order by a") == "a, b"
     assert grouping_keys("where s = 'group by z' group by a having count(*) > 1") == "a"
     assert grouping_keys("where x > 1") is None
+
+
+def test_flag_stage_texts_rerun_to_the_same_rows(spark, atm):
+    from ruleforge.operators.stages import Stage, run_stages
+    rules = [rule("big", [cond("cash_amount", ">=", "20000")], ("IS_TTR", "true")),
+             rule("perth", [cond("city", "=", "perth")], ("is_ttr", "true"))]
+    run = run_stages(RuleSet.from_rules(spark, rules), atm, [
+        Stage("big", "identification", "query_builder", options={"mode": "flag"}),
+        Stage("perth", "identification", "query_builder", options={"mode": "flag"})],
+        as_of=AS_OF, table_name="atm_transactions")
+    assert len(run.df.columns) == len(atm.columns) + 1
+    flagged = sorted((r.session_id, r.id) for r in run.df.where("is_ttr = 'true'").collect())
+    assert flagged == [(5, 11), (5, 12), (8, 16), (8, 17), (9, 18), (9, 19)]
+    rerun = spark.sql(run.results[1].query)
+    assert sorted(tuple(r) for r in rerun.collect()) == sorted(tuple(r) for r in run.df.collect())
+
+
+def test_transformation_matches_target_case_insensitively(spark, atm):
+    rules = [rule("t", [{"field_name": "cash_amount * 2"}], ("CASH_AMOUNT", ""), process_key="transformation")]
+    res = _call(spark, rules, atm, "t", process_key="transformation", table_name="atm_transactions")
+    assert len(res.df.columns) == len(atm.columns)
+    assert sorted(tuple(r) for r in spark.sql(res.query).collect()) == sorted(tuple(r) for r in res.df.collect())

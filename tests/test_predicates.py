@@ -165,3 +165,11 @@ def test_rule_on_partition_column_prunes_partitions(spark, atm, tmp_path):
     plan = res.df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(city" in plan and "(city#" in plan and "= perth)" in plan
     assert sorted((r.session_id, r.id) for r in res.df.collect()) == [(5, 11), (5, 12), (8, 16)]
+
+
+def test_long_digit_strings_and_precise_literals(spark):
+    df = spark.createDataFrame([(1, "1234567890123456789012345", 1), (2, "7", 2)], "k int, s string, n int")
+    assert _ids(df, [_rule("r", [("s", ">", "5", "")])])[0] == [1, 2]
+    assert _ids(df, [_rule("r", [("s", "=", "1234567890123456789012345", "")])])[0] == [1]
+    with pytest.raises(RuleConfigError):
+        compile_chain(df, [_rule("r", [("n", ">=", "1.0000000000000000000000000000000000000001", "")])])

@@ -76,3 +76,18 @@ def test_folder_of_documents_keeps_rules_apart(spark, tmp_path):
     assert [r.id for r in rs.rules()] == ["a1", "a2", "b1"]
     rep = {r.id: r.issues for r in rule_validation(rs).collect()}
     assert rep["a1"] == [] and rep["a2"] == [] and any("=>" in i for i in rep["b1"])
+
+
+def test_from_dataframe_keys_are_stable_and_ordered(spark):
+    import json
+    from ruleforge.sources.ruleset import RULESET_SCHEMA
+    from pyspark.sql import functions as F
+    docs = [json.dumps({"rules": [rule("r", [cond("x", ">", str(i))])]}) for i in (1, 2)]
+    raw = spark.createDataFrame([(t,) for t in docs], "t string").select(
+        F.from_json("t", RULESET_SCHEMA)["rules"].alias("rules"))
+    rs = RuleSet.from_dataframe(raw)
+    assert [r.conditions[0].field_value for r in rs.rules()] == ["1", "2"]
+    assert rs.catalog_df.select("doc").distinct().count() == 2
+    numbered = raw.withColumn("doc", F.when(F.col("rules")[0]["when"][0]["field_value"] == "1", F.lit(10))
+                              .otherwise(F.lit(9)))
+    assert [r.conditions[0].field_value for r in RuleSet.from_dataframe(numbered).rules()] == ["2", "1"]
