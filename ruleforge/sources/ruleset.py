@@ -141,25 +141,27 @@ class RuleSet:
     @classmethod
     def from_dataframe(cls, doc_df: DataFrame) -> "RuleSet":
         """Wrap a DataFrame with a ``rules`` column of RULE_TYPE (one row per
-        document) and optionally a ``doc`` column naming each document.
+        document) and optionally a ``doc`` column ordering the documents.
 
-        Without ``doc`` the documents (configuration, small) are numbered on
-        the driver in the order Spark returns them, so the keys stay the same
-        however often the frame is re-read.
+        The documents are configuration (small): they are numbered on the
+        driver -- by ``doc`` when given (nulls are refused), else in the order
+        Spark returns them -- so every rule gets a unique, stable key however
+        often the frame is re-read.
         """
         spark = doc_df.sparkSession
         rules_type = RULESET_SCHEMA["rules"].dataType
-        if "doc" not in doc_df.columns:
-            texts = [r[0] for r in doc_df.select(F.to_json(F.struct(
-                F.col("rules").cast(rules_type).alias("rules")))).collect()]
-            numbered = spark.createDataFrame([(f"{i:09d}", t) for i, t in enumerate(texts)],
-                                             "doc string, text string")
-            return cls(spark, numbered.select(
-                "doc", F.from_json("text", RULESET_SCHEMA)["rules"].alias("rules")))
-        dtype = dict(doc_df.dtypes)["doc"]
-        doc = (F.format_string("%020d", F.col("doc")) if dtype in ("tinyint", "smallint", "int", "bigint")
-               else F.coalesce(F.col("doc").cast("string"), F.lit("")))
-        return cls(spark, doc_df.select(doc.alias("doc"), F.col("rules").cast(rules_type).alias("rules")))
+        text = F.to_json(F.struct(F.col("rules").cast(rules_type).alias("rules")))
+        if "doc" in doc_df.columns:
+            rows = doc_df.select("doc", text).collect()
+            if any(r[0] is None for r in rows):
+                raise ValueError("every rule document needs a non-null doc value")
+            rows.sort(key=lambda r: r[0])
+            texts = [r[1] for r in rows]
+        else:
+            texts = [r[0] for r in doc_df.select(text).collect()]
+        numbered = spark.createDataFrame([(f"{i:09d}", t) for i, t in enumerate(texts)],
+                                         "doc string, text string")
+        return cls(spark, numbered.select("doc", F.from_json("text", RULESET_SCHEMA)["rules"].alias("rules")))
 
     # ------------------------------------------------------------------ frames
     @property

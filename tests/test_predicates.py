@@ -173,3 +173,11 @@ def test_long_digit_strings_and_precise_literals(spark):
     assert _ids(df, [_rule("r", [("s", "=", "1234567890123456789012345", "")])])[0] == [1]
     with pytest.raises(RuleConfigError):
         compile_chain(df, [_rule("r", [("n", ">=", "1.0000000000000000000000000000000000000001", "")])])
+
+
+def test_normalised_literals(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(1, Decimal("2.5")), (2, Decimal("0"))], "k int, d decimal(10,2)")
+    assert _ids(df, [_rule("r", [("d", "=", "2.5000000000000000000000000000000000000000", "")])])[0] == [1]
+    assert _ids(df, [_rule("r", [("d", ">", "1E-40", "")])])[0] == [1]
+    assert _ids(df, [_rule("r", [("k", "<", "1E+20", "")])])[0] == [1, 2]

@@ -89,5 +89,7 @@ def test_from_dataframe_keys_are_stable_and_ordered(spark):
     assert [r.conditions[0].field_value for r in rs.rules()] == ["1", "2"]
     assert rs.catalog_df.select("doc").distinct().count() == 2
     numbered = raw.withColumn("doc", F.when(F.col("rules")[0]["when"][0]["field_value"] == "1", F.lit(10))
-                              .otherwise(F.lit(9)))
+                              .otherwise(F.lit(-9)))
     assert [r.conditions[0].field_value for r in RuleSet.from_dataframe(numbered).rules()] == ["2", "1"]
+    with pytest.raises(ValueError):
+        RuleSet.from_dataframe(raw.withColumn("doc", F.lit(None).cast("string")))
