@@ -27,7 +27,7 @@ from __future__ import annotations
 import datetime as dt
 import operator as op
 from dataclasses import dataclass
-from decimal import Context, Decimal, InvalidOperation
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 from typing import Sequence
 
@@ -61,7 +61,6 @@ FALSE_TEXT = ("f", "false", "n", "no", "0")
 
 _NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
                   T.FloatType, T.DoubleType, T.DecimalType)
-_EXACT = Context(prec=1000)  # decimal arithmetic without rounding (the default context keeps 28 digits)
 _STRING_MATCH_INT_DIGITS = 20  # string operands compare as decimal(38, 18) by default
 
 
@@ -150,17 +149,22 @@ def _number(value: str, field_name: str, dtype: T.DataType) -> Column:
         return F.lit(float(d))
     if d == d.to_integral_value() and abs(d) < 2 ** 63:
         return F.lit(int(d))
-    d = d.normalize(_EXACT)
-    if d.adjusted() >= 38 or (d != 0 and d.adjusted() < -38):
-        # outside decimal(38)'s range on either side: every value of the
-        # operand compares the same way as with the double
+    if d.adjusted() >= 38:
+        # beyond decimal(38)'s range: every value of the operand compares the
+        # same way as with the (possibly infinite) double
         return F.lit(float(d))
-    if d.as_tuple().exponent > 0:
-        d = d.quantize(Decimal(1), context=_EXACT)  # no negative decimal scale in Spark
-    digits, exponent = len(d.as_tuple().digits), d.as_tuple().exponent
-    if max(digits, -exponent) > 38:
+    if d != 0 and d.adjusted() < -38:
+        raise RuleConfigError(f"value {value!r} for {field_name} is finer than any decimal(38) step")
+    sign, digits, exponent = d.as_tuple()
+    digits = list(digits)
+    while len(digits) > 1 and digits[-1] == 0:  # drop trailing zeros exactly (no context rounding)
+        digits.pop()
+        exponent += 1
+    if exponent > 0:  # Spark has no negative decimal scale
+        digits, exponent = digits + [0] * exponent, 0
+    if max(len(digits), -exponent) > 38:
         raise RuleConfigError(f"value {value!r} for {field_name} has more than 38 significant digits")
-    return F.lit(d)
+    return F.lit(Decimal((sign, tuple(digits), exponent)))
 
 
 def _parse_temporal(value: str) -> dt.date | dt.datetime | None:

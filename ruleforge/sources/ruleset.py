@@ -141,26 +141,27 @@ class RuleSet:
     @classmethod
     def from_dataframe(cls, doc_df: DataFrame) -> "RuleSet":
         """Wrap a DataFrame with a ``rules`` column of RULE_TYPE (one row per
-        document) and optionally a ``doc`` column ordering the documents.
+        document) and optionally a ``doc`` column naming and ordering them.
 
         The documents are configuration (small): they are numbered on the
-        driver -- by ``doc`` when given (nulls are refused), else in the order
-        Spark returns them -- so every rule gets a unique, stable key however
-        often the frame is re-read.
+        driver -- by ``doc`` when given (null or repeated names are refused),
+        else in the order Spark returns them -- and keyed ``<ordinal>:<name>``,
+        so every rule gets a unique, stable, traceable key however often the
+        frame is re-read.
         """
         spark = doc_df.sparkSession
         rules_type = RULESET_SCHEMA["rules"].dataType
         text = F.to_json(F.struct(F.col("rules").cast(rules_type).alias("rules")))
         if "doc" in doc_df.columns:
             rows = doc_df.select("doc", text).collect()
-            if any(r[0] is None for r in rows):
-                raise ValueError("every rule document needs a non-null doc value")
+            names = [r[0] for r in rows]
+            if any(n is None for n in names) or len(set(names)) != len(names):
+                raise ValueError("every rule document needs its own non-null doc value")
             rows.sort(key=lambda r: r[0])
-            texts = [r[1] for r in rows]
+            named = [(f"{i:09d}:{r[0]}", r[1]) for i, r in enumerate(rows)]
         else:
-            texts = [r[0] for r in doc_df.select(text).collect()]
-        numbered = spark.createDataFrame([(f"{i:09d}", t) for i, t in enumerate(texts)],
-                                         "doc string, text string")
+            named = [(f"{i:09d}", r[0]) for i, r in enumerate(doc_df.select(text).collect())]
+        numbered = spark.createDataFrame(named, "doc string, text string")
         return cls(spark, numbered.select("doc", F.from_json("text", RULESET_SCHEMA)["rules"].alias("rules")))
 
     # ------------------------------------------------------------------ frames

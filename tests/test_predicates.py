@@ -179,5 +179,16 @@ def test_normalised_literals(spark):
     from decimal import Decimal
     df = spark.createDataFrame([(1, Decimal("2.5")), (2, Decimal("0"))], "k int, d decimal(10,2)")
     assert _ids(df, [_rule("r", [("d", "=", "2.5000000000000000000000000000000000000000", "")])])[0] == [1]
-    assert _ids(df, [_rule("r", [("d", ">", "1E-40", "")])])[0] == [1]
+    with pytest.raises(RuleConfigError):  # finer than any decimal step: refused, not read as 0
+        compile_chain(df, [_rule("r", [("d", ">", "1E-40", "")])])
     assert _ids(df, [_rule("r", [("k", "<", "1E+20", "")])])[0] == [1, 2]
+
+
+def test_extreme_literals_are_exact_or_refused(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(1, Decimal("0")), (2, Decimal("3"))], "k int, d decimal(10,2)")
+    for bad in ("1E-400", "1." + "0" * 1005 + "1"):
+        with pytest.raises(RuleConfigError):
+            compile_chain(df, [_rule("r", [("d", ">=", bad, "")])])
+    assert _ids(df, [_rule("r", [("d", "<", "1E+1000000", "")])])[0] == [1, 2]
+    assert _ids(df, [_rule("r", [("d", "=", "3.000000000000000000000000000000000000000000", "")])])[0] == [2]

@@ -91,5 +91,8 @@ def test_from_dataframe_keys_are_stable_and_ordered(spark):
     numbered = raw.withColumn("doc", F.when(F.col("rules")[0]["when"][0]["field_value"] == "1", F.lit(10))
                               .otherwise(F.lit(-9)))
     assert [r.conditions[0].field_value for r in RuleSet.from_dataframe(numbered).rules()] == ["2", "1"]
-    with pytest.raises(ValueError):
-        RuleSet.from_dataframe(raw.withColumn("doc", F.lit(None).cast("string")))
+    assert {r.doc for r in RuleSet.from_dataframe(numbered).catalog_df.collect()} == \
+        {"000000000:-9", "000000001:10"}
+    for bad in (F.lit(None).cast("string"), F.lit("same")):
+        with pytest.raises(ValueError):
+            RuleSet.from_dataframe(raw.withColumn("doc", bad))
