@@ -29,7 +29,7 @@ def json_value(c: Column | str, key: str | Column) -> Column:
     stops at the key instead of building a map of the whole object; keys
     that a path cannot quote fall back to the parsed map.
     """
-    if isinstance(key, str) and not any(ch in key for ch in "'[]\\"):
+    if isinstance(key, str) and key and not any(ch in key for ch in "'[]\\"):
         return F.get_json_object(c if isinstance(c, Column) else F.col(c), f"$['{key}']")
     k = key if isinstance(key, Column) else F.lit(key)
     return F.try_element_at(json_object(c), k)

@@ -121,18 +121,19 @@ def operand_type_map(df: DataFrame, field_names: Sequence[str]) -> dict[str, T.D
     """Types of every operand that resolves against ``df``, in one analysis
     (operands that do not resolve are left out and reported per rule)."""
     names = list(dict.fromkeys(f for f in field_names if f))
-    if not names:
-        return {}
-    try:
-        return dict(zip(names, operand_types(df, names)))
-    except RuleConfigError:
-        out = {}
-        for f in names:
-            try:
-                out[f] = operand_types(df, [f])[0]
-            except RuleConfigError:
-                pass
-        return out
+
+    def typed(part: list[str]) -> dict[str, T.DataType]:
+        if not part:
+            return {}
+        try:
+            return dict(zip(part, operand_types(df, part)))
+        except RuleConfigError:
+            if len(part) == 1:
+                return {}
+            mid = len(part) // 2  # bisect: a few bad operands cost a few analyses
+            return {**typed(part[:mid]), **typed(part[mid:])}
+
+    return typed(names)
 
 
 def _number(value: str, field_name: str, dtype: T.DataType) -> Column:
@@ -177,6 +178,31 @@ def _parse_temporal(value: str) -> dt.date | dt.datetime | None:
     return None
 
 
+def typed_value(value: str, dtype: T.DataType, field_name: str) -> Column:
+    """``value`` as a literal of ``dtype`` (used for flag outcomes written
+    into an existing column); RuleConfigError if it does not convert."""
+    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
+        return F.lit(value)
+    if isinstance(dtype, T.BooleanType):
+        text = value.strip().lower()
+        if text in TRUE_TEXT + FALSE_TEXT:
+            return F.lit(text in TRUE_TEXT)
+    elif isinstance(dtype, _NUMERIC_TYPES):
+        try:
+            d = Decimal(value.strip())
+        except InvalidOperation:
+            d = None
+        if d is not None and d.is_finite():
+            return F.lit(str(d)).try_cast(dtype)
+    elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        parsed = _parse_temporal(value)
+        if parsed is not None:
+            iso = parsed.date().isoformat() if isinstance(dtype, T.DateType) else parsed.isoformat(sep=" ")
+            return F.lit(iso).cast(dtype)
+    raise RuleConfigError(f"outcome value {value!r} does not fit column {field_name} "
+                          f"of type {dtype.simpleString()}")
+
+
 def typed_literal_compare(lhs: Column, dtype: T.DataType, field_name: str,
                           operator: str, value: str) -> Column:
     """``lhs <operator> value`` with the value typed by ``dtype``."""
@@ -221,7 +247,9 @@ def condition_column(cond: Condition, dtype: T.DataType) -> Column:
         text = lhs if isinstance(dtype, T.StringType) else lhs.cast("string")
         if operator in PREFIX_LIKE:  # exact spelling: prefix match
             if any(ch in value for ch in "%_\\"):
-                matched = text.like(value + "%")
+                trailing = len(value) - len(value.rstrip("\\"))
+                pattern = value + ("\\" if trailing % 2 else "")  # keep the appended % a wildcard
+                matched = text.like(pattern + "%")
             else:
                 matched = text.startswith(value)
         else:  # other spelling: the value is the whole LIKE pattern

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..errors import RuleConfigError
 from ..functions.json_lookup import parse_lookup_text
-from ..functions.predicates import CompiledPredicate, compile_chain
+from ..functions.predicates import CompiledPredicate, compile_chain, typed_value
 from ..plans import resolution as R
 from ..sources.ruleset import Condition, Rule, RuleSet
 
@@ -88,16 +88,23 @@ def _with_table(text: str, table_name: str | None) -> str:
 
 
 _GROUP_BY = re.compile(r"\bgroup\s+by\b", re.IGNORECASE)
-_AFTER_KEYS = re.compile(r"\b(?:having|order\s+by|sort\s+by|cluster\s+by|distribute\s+by|limit)\b",
-                         re.IGNORECASE)
+_AFTER_KEYS = re.compile(
+    r"\b(?:having|order\s+by|sort\s+by|cluster\s+by|distribute\s+by|limit|with\s+(?:rollup|cube))\b",
+    re.IGNORECASE)
+_GROUPING_ANALYTICS = re.compile(r"^(?:grouping\s+sets|rollup|cube)\s*\(", re.IGNORECASE)
 
 
 def _top_level(text: str, pattern: re.Pattern, start: int = 0) -> list[re.Match]:
     """Matches of ``pattern`` outside parentheses and quoted literals."""
-    depth, quote, spans = 0, None, []
+    depth, quote, escaped, spans = 0, None, False, []
     for i, ch in enumerate(text):
         if quote:
-            quote = None if ch == quote else quote
+            if escaped:
+                escaped = False
+            elif ch == "\\":
+                escaped = True
+            elif ch == quote:
+                quote = None
         elif ch in "'\"`":
             quote = ch
         elif ch == "(":
@@ -117,6 +124,9 @@ def grouping_keys(tail: str) -> str | None:
     start = found[-1].end()
     after = _top_level(tail, _AFTER_KEYS, start)
     keys = tail[start:after[0].start() if after else len(tail)].strip()
+    if _GROUPING_ANALYTICS.match(keys):
+        raise RuleConfigError("grouping sets / rollup() / cube() lookups are not supported; "
+                              "use 'group by <keys> with rollup' or plain keys")
     return keys or None
 
 
@@ -193,15 +203,30 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
     except (AnalysisException, ParseException) as e:
         return _reject(f"Rule {rule.id}: {str(e).splitlines()[0]}", rule)
 
+    try:
+        query, out = _apply(df, res, rule, compiled, apply, table_name, mode, order_by)
+    except RuleConfigError as e:
+        return _reject(str(e), rule)
+    except (AnalysisException, ParseException) as e:
+        # an aggregate / window / generator operand: a rule error, not a crash later
+        return _reject(f"Rule {rule.id}: {str(e).splitlines()[0]}", rule)
+    return RuleResult(True, True, res.message, query=query, df=out,
+                      predicate=compiled.column, rule_ids=compiled.rule_ids)
+
+
+def _apply(df, res, rule, compiled, apply, table_name, mode, order_by):
+    """The rule's output DataFrame (analysed) and its query text."""
     query = compiled.query_text(table_name)
     out = None
     if apply and df is not None:
         if mode == "flag":
             last = res.links[-1]
             if not last.then_field or last.is_goto:
-                return _reject(f"Rule {last.id} has no outcome column to flag", rule)
-            flag = F.when(compiled.column, F.lit(last.then_value))
+                raise RuleConfigError(f"Rule {last.id} has no outcome column to flag")
             existing = _existing_column(df, last.then_field)
+            value = (typed_value(last.then_value, df.schema[existing].dataType, existing)
+                     if existing is not None else F.lit(last.then_value))
+            flag = F.when(compiled.column, value)
             value_text = "'" + last.then_value.replace("'", "''") + "'"
             pred_text = compiled.where_text[len(" where"):].strip()
             if existing is not None:  # keep what earlier rules wrote
@@ -219,8 +244,8 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
         if order_by:
             out = ordered(out, order_by)
             query += " order by " + ", ".join(order_by)
-    return RuleResult(True, True, res.message, query=query, df=out,
-                      predicate=compiled.column, rule_ids=compiled.rule_ids)
+        out.schema  # analyse now (lazy plans, e.g. streaming)
+    return query, out
 
 
 def ordered(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -17,9 +17,12 @@ schema and evaluated in a single projection:
 from __future__ import annotations
 
 import datetime as dt
+import operator as op
+from functools import reduce
 from dataclasses import dataclass, field
 from typing import Sequence
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +30,7 @@ from ..errors import RuleConfigError
 from ..functions.predicates import CompiledPredicate, operand_type_map
 from ..plans import resolution as R
 from ..sources.ruleset import RuleSet
-from .evaluate import compile_rule
+from .evaluate import compile_rule, gate_conditions
 
 
 @dataclass
@@ -41,22 +44,27 @@ class RuleBatch:
 
 
 def predicate_rule_ids(rules: RuleSet) -> list[str]:
-    """Ids of the builder / conditional rules, document order, unique."""
-    seen: dict[str, None] = {}
+    """Ids whose first rule with conditions (the one ``resolve_by_id`` would
+    pick) is a builder or conditional rule; document order, unique."""
+    first: dict[str, str] = {}
     for r in rules.rules():
-        if r.process_key in ("query_builder", "conditional"):
-            seen.setdefault(r.id, None)
-    return list(seen)
+        if r.conditions:
+            first.setdefault(r.id, r.process_key)
+    return [rid for rid, key in first.items() if key in ("query_builder", "conditional")]
 
 
 def compile_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None = None, *,
                   as_of: dt.date | None = None, gate: bool = False,
-                  strict: bool = True) -> RuleBatch:
+                  strict: bool | None = None) -> RuleBatch:
     """Compile each rule (with its goto chain) against ``df``'s schema.
 
-    Rejected rules are listed in ``rejected``; with ``strict`` any rejection
-    raises, so a report never silently misses a rule.
+    Rejected rules are listed in ``rejected``. ``strict`` (default: on when
+    ``rule_ids`` are named, off when evaluating every predicate rule of the
+    document) makes any rejection raise, so a report on named rules never
+    silently misses one.
     """
+    if strict is None:
+        strict = rule_ids is not None
     batch = RuleBatch()
     resolved = []
     for rid in (rule_ids if rule_ids is not None else predicate_rule_ids(rules)):
@@ -65,19 +73,48 @@ def compile_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None
             batch.rejected[rid] = res.message or f"Rule {rid} has nothing to evaluate"
             continue
         resolved.append((rid, res))
-    # type every operand of every rule with one analysis of the plan
-    types = operand_type_map(df, [c.field_name for _, res in resolved
-                                  for link in res.links for c in link.conditions])
+    # type every operand of every rule (gates included) with one analysis of the plan
+    operands = [c.field_name for _, res in resolved for link in res.links for c in link.conditions]
+    if gate:
+        for _, res in resolved:
+            if res.rule.process_key == "conditional":
+                try:
+                    operands += [c.field_name for c in gate_conditions(res.rule)]
+                except RuleConfigError:
+                    pass
+    types = operand_type_map(df, operands)
     for rid, res in resolved:
         try:
             batch.compiled.append((rid, compile_rule(df, res, gate=gate, known_types=types)))
         except RuleConfigError as e:
             batch.rejected[rid] = str(e)
+    _drop_unusable(df, batch)
     if strict and batch.rejected:
         raise RuleConfigError("; ".join(f"{k}: {v}" for k, v in batch.rejected.items()))
     return batch
 
 
+def _drop_unusable(df: DataFrame, batch: RuleBatch) -> None:
+    """Move predicates Spark cannot filter on (aggregate, window or generator
+    operands) to ``rejected``: one analysis for the whole batch, and only if
+    that fails one per rule."""
+    if not batch.compiled:
+        return
+    try:
+        df.where(reduce(op.or_, [p.column for _, p in batch.compiled])).schema
+        return
+    except (AnalysisException, ParseException):
+        pass
+    keep = []
+    for rid, p in batch.compiled:
+        try:
+            df.where(p.column).schema
+            keep.append((rid, p))
+        except (AnalysisException, ParseException) as e:
+            batch.rejected[rid] = f"Rule {rid}: {str(e).splitlines()[0]}"
+    batch.compiled = keep
+
+
 # Below this many rules the per-row work is too small to repay a round-robin
 # shuffle of the input.
 SPREAD_MIN_RULES = 32
@@ -86,19 +123,17 @@ SPREAD_MIN_RULES = 32
 def spread_input(df: DataFrame, n_rules: int) -> DataFrame:
     """Give CPU-heavy rule evaluation at least one task per core.
 
-    A batch input that scans into fewer partitions than the default
-    parallelism (a handful of large row groups) is round-robin repartitioned
-    first. At cluster scale the scan already has thousands of splits, so this
-    is a no-op there; it never runs for streaming inputs.
+    A batch input read from fewer files than there are cores (locally: a
+    handful of single-row-group files) is round-robin repartitioned first.
+    The file list is plan metadata, so nothing runs here. At cluster scale a
+    table has thousands of files and this is a no-op; it never applies to
+    streaming inputs.
     """
     if df.isStreaming or n_rules < SPREAD_MIN_RULES:
         return df
     target = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - e.g. a remote session without RDDs
-        return df
-    return df.repartition(target) if current < target else df
+    files = len(df.inputFiles())
+    return df.repartition(target) if 0 < files < target else df
 
 
 def _labels(batch: RuleBatch) -> Column:

@@ -65,8 +65,14 @@ class ThresholdSet:
 
 
 def threshold_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None = None, *,
-                    as_of: dt.date | None = None, strict: bool = True) -> ThresholdSet:
-    """Pick the rules that are one numeric comparison on a column of ``df``."""
+                    as_of: dt.date | None = None, strict: bool | None = None) -> ThresholdSet:
+    """Pick the rules that are one numeric comparison on a column of ``df``.
+
+    ``strict`` (default: on when ``rule_ids`` are named) raises on any rule
+    that does not qualify; otherwise such rules are listed in ``rejected``.
+    """
+    if strict is None:
+        strict = rule_ids is not None
     types = {f.name: f.dataType for f in df.schema.fields}
     out = ThresholdSet()
     for rid in (rule_ids if rule_ids is not None else predicate_rule_ids(rules)):

@@ -70,7 +70,8 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
             _issue(F.col("n_conditions") <= 0, "rule has no conditions"),
             _issue((F.col("process_key") == "conditional") & (F.col("field_name") != "goto"),
                    R.MSG_CONDITIONAL_BAD),
-            _issue(dup > 1, "id %s appears %d times; the first usable one wins", F.col("id"), dup),
+            _issue(dup > 1, "id %s appears %d times; they are tried in order: a disabled or expired one "
+                   "rejects the call, one without conditions is skipped", F.col("id"), dup),
         ).alias("header_issues"),
     )
 

@@ -55,7 +55,7 @@ RULESET_SCHEMA = T.StructType([T.StructField("rules", T.ArrayType(RULE_TYPE))])
 
 def strip_ws(c: Column) -> Column:
     """Python ``str.strip()`` semantics: drop leading/trailing whitespace."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")  # (?U): Unicode whitespace, as str.strip()
 
 
 def _blank(value: str | None) -> str:

@@ -156,3 +156,10 @@ def test_threshold_beyond_float_range_is_left_to_compiled_path(spark):
     rs = RuleSet.from_rules(spark, [rule("huge", [cond("f", "<", "1e39")])])
     thr = threshold_rules(rs, df, ["huge"], as_of=AS_OF, strict=False)
     assert thr.rules == [] and "huge" in thr.rejected
+
+
+def test_spread_input_uses_plan_metadata(spark, atm):
+    from ruleforge.operators.multi_rule import spread_input
+    assert spread_input(atm, 5) is atm                       # few rules: untouched
+    spread = spread_input(atm, 64)                           # one small file: spread over the cores
+    assert "RoundRobinPartitioning" in spread._jdf.queryExecution().executedPlan().toString()

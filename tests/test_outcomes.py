@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from conftest import AS_OF, cond, keys, rule
+from pyspark.sql import functions as F
 
 from ruleforge import RuleSet, run_rule
 from ruleforge.plans.resolution import MSG_UNMATCHED
@@ -251,3 +252,50 @@ def test_transformation_matches_target_case_insensitively(spark, atm):
     res = _call(spark, rules, atm, "t", process_key="transformation", table_name="atm_transactions")
     assert len(res.df.columns) == len(atm.columns)
     assert sorted(tuple(r) for r in spark.sql(res.query).collect()) == sorted(tuple(r) for r in res.df.collect())
+
+
+def test_aggregate_operand_is_a_rule_error(spark, atm):
+    from ruleforge.operators.multi_rule import compile_rules, rule_hits
+    rules = [rule("agg", [cond("sum(cash_amount)", ">=", "1")]), rule("ok", [cond("cash_amount", ">=", "20000")])]
+    res = _call(spark, rules, atm, "agg")
+    assert res.rule_validity is False and res.df is None
+    batch = compile_rules(RuleSet.from_rules(spark, rules), atm, ["agg", "ok"], as_of=AS_OF, strict=False)
+    assert batch.rule_ids == ["ok"] and "agg" in batch.rejected
+    assert sorted((r.session_id, r.id) for r in rule_hits(atm, batch, ["session_id", "id"]).collect()) == \
+        [(9, 18), (9, 19)]
+
+
+def test_flag_into_existing_typed_column(spark, atm):
+    df = atm.withColumn("is_ttr", F.lit(0))
+    rules = [rule("big", [cond("cash_amount", ">=", "20000")], ("is_ttr", "1")),
+             rule("bad", [cond("cash_amount", ">=", "20000")], ("is_ttr", "yes"))]
+    res = _call(spark, rules, df, "big", mode="flag")
+    assert dict(res.df.dtypes)["is_ttr"] == "int"
+    assert sorted((r.session_id, r.id) for r in res.df.where("is_ttr = 1").collect()) == [(9, 18), (9, 19)]
+    bad = _call(spark, rules, df, "bad", mode="flag")
+    assert bad.rule_validity is False and "does not fit" in bad.message
+
+
+def test_grouping_key_edge_cases():
+    from ruleforge.errors import RuleConfigError
+    from ruleforge.operators.evaluate import grouping_keys
+    assert grouping_keys("where s = 'it\\'s' group by a") == "a"
+    assert grouping_keys("group by a, b with rollup") == "a, b"
+    with pytest.raises(RuleConfigError):
+        grouping_keys("group by grouping sets ((a), (b))")
+
+
+def test_all_rules_mode_lists_rejections(spark, atm):
+    from ruleforge.operators.multi_rule import compile_rules
+    rules = [rule("X", [{"lookup_value": '{"a": "1"}'}], process_key="value_lookup"),
+             rule("X", [cond("cash_amount", ">", "1")]),
+             rule("off", [cond("cash_amount", ">", "1")], is_valid="false"),
+             rule("ok", [cond("cash_amount", ">", "1")])]
+    batch = compile_rules(RuleSet.from_rules(spark, rules), atm, as_of=AS_OF)
+    assert batch.rule_ids == ["ok"] and set(batch.rejected) == {"off"}
+
+
+def test_unicode_whitespace_is_stripped(spark, atm):
+    rules = [rule("X\u00a0", [cond("cash_amount", ">=", "20000")])]
+    res = _call(spark, rules, atm, "X")
+    assert res.rule_validity and keys(res.df) == [(9, 18), (9, 19)]

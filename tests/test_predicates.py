@@ -192,3 +192,9 @@ def test_extreme_literals_are_exact_or_refused(spark):
             compile_chain(df, [_rule("r", [("d", ">=", bad, "")])])
     assert _ids(df, [_rule("r", [("d", "<", "1E+1000000", "")])])[0] == [1, 2]
     assert _ids(df, [_rule("r", [("d", "=", "3.000000000000000000000000000000000000000000", "")])])[0] == [2]
+
+
+def test_like_prefix_with_trailing_backslash(spark):
+    df = spark.createDataFrame([(1, "C:\\Users"), (2, "C:%"), (3, "D:\\x")], "k int, p string")
+    assert _ids(df, [_rule("r", [("p", "LIKE", "C:\\", "")])])[0] == [1]
+    assert _ids(df, [_rule("r", [("p", "NOT LIKE", "C:\\", "")])])[0] == [2, 3]

@@ -96,3 +96,9 @@ def test_from_dataframe_keys_are_stable_and_ordered(spark):
     for bad in (F.lit(None).cast("string"), F.lit("same")):
         with pytest.raises(ValueError):
             RuleSet.from_dataframe(raw.withColumn("doc", bad))
+
+
+def test_json_value_empty_key(spark):
+    from ruleforge.functions import json_value
+    df = spark.createDataFrame([('{"": "e", "k": 1}',)], "j string")
+    assert tuple(df.select(json_value("j", ""), json_value("j", "k")).first()) == ("e", "1")
