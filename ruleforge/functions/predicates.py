@@ -25,6 +25,7 @@ Decisions (see SURVEY §3.5):
 from __future__ import annotations
 
 import datetime as dt
+import math
 import operator as op
 from dataclasses import dataclass
 from decimal import Decimal, InvalidOperation
@@ -178,6 +179,23 @@ def _parse_temporal(value: str) -> dt.date | dt.datetime | None:
     return None
 
 
+_INT_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def _fits(d: Decimal, dtype: T.DataType) -> bool:
+    """True if ``d`` converts to ``dtype`` without rounding or overflow."""
+    for kind, bits in _INT_BITS.items():
+        if isinstance(dtype, kind):
+            return d == d.to_integral_value() and -(2 ** (bits - 1)) <= d < 2 ** (bits - 1)
+    if isinstance(dtype, T.DecimalType):
+        sign, digits, exponent = d.as_tuple()
+        scale = max(0, -exponent)
+        int_digits = max(0, len(digits) + exponent)
+        exact = d == d.quantize(Decimal(1).scaleb(-dtype.scale)) if scale > dtype.scale else True
+        return exact and int_digits <= dtype.precision - dtype.scale
+    return math.isfinite(float(d))  # float / double
+
+
 def typed_value(value: str, dtype: T.DataType, field_name: str) -> Column:
     """``value`` as a literal of ``dtype`` (used for flag outcomes written
     into an existing column); RuleConfigError if it does not convert."""
@@ -192,8 +210,8 @@ def typed_value(value: str, dtype: T.DataType, field_name: str) -> Column:
             d = Decimal(value.strip())
         except InvalidOperation:
             d = None
-        if d is not None and d.is_finite():
-            return F.lit(str(d)).try_cast(dtype)
+        if d is not None and d.is_finite() and _fits(d, dtype):
+            return F.lit(str(d)).cast(dtype)
     elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         parsed = _parse_temporal(value)
         if parsed is not None:

@@ -17,8 +17,6 @@ schema and evaluated in a single projection:
 from __future__ import annotations
 
 import datetime as dt
-import operator as op
-from functools import reduce
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -100,10 +98,10 @@ def _drop_unusable(df: DataFrame, batch: RuleBatch) -> None:
     that fails one per rule."""
     if not batch.compiled:
         return
-    try:
-        df.where(reduce(op.or_, [p.column for _, p in batch.compiled])).schema
+    try:  # a flat array, not a deep OR chain: thousands of rules stay shallow
+        df.where(F.array_contains(F.array(*[p.column for _, p in batch.compiled]), True)).schema
         return
-    except (AnalysisException, ParseException):
+    except Exception:  # noqa: BLE001 - any failure: find the culprits one by one
         pass
     keep = []
     for rid, p in batch.compiled:
@@ -115,36 +113,32 @@ def _drop_unusable(df: DataFrame, batch: RuleBatch) -> None:
     batch.compiled = keep
 
 
-# Below this many rules the per-row work is too small to repay a round-robin
-# shuffle of the input.
-SPREAD_MIN_RULES = 32
+def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Opt-in: give CPU-heavy rule evaluation at least one task per core.
 
-
-def spread_input(df: DataFrame, n_rules: int) -> DataFrame:
-    """Give CPU-heavy rule evaluation at least one task per core.
-
-    A batch input read from fewer files than there are cores (locally: a
-    handful of single-row-group files) is round-robin repartitioned first.
-    The file list is plan metadata, so nothing runs here. At cluster scale a
-    table has thousands of files and this is a no-op; it never applies to
-    streaming inputs.
+    Round-robin repartitions a batch input that has fewer partitions than
+    ``min_partitions`` (default: the default parallelism) -- worth it when a
+    small input with a few large row groups meets hundreds of rules. Reading
+    the partition count plans the input; if the input contains a shuffle,
+    AQE runs that upstream stage to know it. On a cluster-sized table the
+    scan already has thousands of splits: leave it off there.
     """
-    if df.isStreaming or n_rules < SPREAD_MIN_RULES:
+    if df.isStreaming:
         return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    return df.repartition(target) if 0 < files < target else df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def _labels(batch: RuleBatch) -> Column:
     return F.array_compact(F.array(*[F.when(p.column, F.lit(rid)) for rid, p in batch.compiled]))
 
 
-def rule_hits(df: DataFrame, batch: RuleBatch, keys: Sequence[str]) -> DataFrame:
-    """``keys + [rule_id]``, one row per rule a row satisfies (duplicates kept)."""
+def rule_hits(df: DataFrame, batch: RuleBatch, keys: Sequence[str], *, spread: bool = False) -> DataFrame:
+    """``keys + [rule_id]``, one row per rule a row satisfies (duplicates kept).
+    ``spread`` applies ``spread_input`` first."""
     if not batch.compiled:
         raise RuleConfigError("no rules to evaluate")
-    df = spread_input(df, len(batch.compiled))
+    df = spread_input(df) if spread else df
     return df.select(*keys, F.explode(_labels(batch)).alias("rule_id"))
 
 
@@ -179,14 +173,15 @@ def rule_hit_counts(df: DataFrame, batch: RuleBatch,
     return out
 
 
-def rule_hit_lists(df: DataFrame, batch: RuleBatch, name: str = "hit_rules") -> DataFrame:
+def rule_hit_lists(df: DataFrame, batch: RuleBatch, name: str = "hit_rules", *,
+                   spread: bool = False) -> DataFrame:
     """All rows, plus one ``array<string>`` column of the rules each row
     satisfies (document order). One field however many rules there are, so
     the projection stays within whole-stage codegen where ``rule_flags``
     (one column per rule) would not."""
     if not batch.compiled:
         raise RuleConfigError("no rules to evaluate")
-    return spread_input(df, len(batch.compiled)).withColumn(name, _labels(batch))
+    return (spread_input(df) if spread else df).withColumn(name, _labels(batch))
 
 
 def rule_flags(df: DataFrame, batch: RuleBatch, prefix: str = "hit_") -> DataFrame:

@@ -11,8 +11,8 @@ huge generated method. Here the rules become rows instead:
 The rule side's size is known exactly on the driver (it is the collected
 rule list); it is broadcast in chunks of at most ``max_broadcast_rules`` and
 the chunk results are unioned, so no bound is ever exceeded and no rule is
-dropped. The fact side is never shuffled by key (only spread round-robin when
-a small input scans into fewer tasks than there are cores).
+dropped. The fact side is never shuffled (``spread=True`` opts into a
+round-robin spread of a small, under-partitioned input).
 """
 
 from __future__ import annotations
@@ -161,14 +161,16 @@ def facts_long(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> Dat
 
 
 def rules_as_data_hits(df: DataFrame, thresholds: ThresholdSet | Sequence[ThresholdRule],
-                       keys: Sequence[str], *, max_broadcast_rules: int = 50_000) -> DataFrame:
-    """``keys + [rule_id]`` for every (row, threshold rule) that fires."""
+                       keys: Sequence[str], *, max_broadcast_rules: int = 50_000,
+                       spread: bool = False) -> DataFrame:
+    """``keys + [rule_id]`` for every (row, threshold rule) that fires
+    (``spread`` applies ``spread_input`` first)."""
     rule_list = list(thresholds.rules if isinstance(thresholds, ThresholdSet) else thresholds)
     if not rule_list:
         raise RuleConfigError("no threshold rules to evaluate")
     spark = df.sparkSession
     fields = sorted({r.field for r in rule_list})
-    facts = facts_long(spread_input(df, len(rule_list)), keys, fields)
+    facts = facts_long(spread_input(df) if spread else df, keys, fields)
     parts = []
     for start in range(0, len(rule_list), max_broadcast_rules):
         chunk = rule_list[start:start + max_broadcast_rules]

@@ -158,8 +158,12 @@ def test_threshold_beyond_float_range_is_left_to_compiled_path(spark):
     assert thr.rules == [] and "huge" in thr.rejected
 
 
-def test_spread_input_uses_plan_metadata(spark, atm):
+def test_spread_input_is_opt_in(spark, atm):
     from ruleforge.operators.multi_rule import spread_input
-    assert spread_input(atm, 5) is atm                       # few rules: untouched
-    spread = spread_input(atm, 64)                           # one small file: spread over the cores
+    batch = compile_rules(RuleSet.from_rules(spark, [rule("p", [cond("city", "=", "perth")])]), atm, as_of=AS_OF)
+    plain = rule_hits(atm, batch, KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plain
+    spread = spread_input(atm, 4)                            # one small file: spread over the cores
     assert "RoundRobinPartitioning" in spread._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in rule_hits(atm, batch, KEYS, spread=True).collect()) == \
+        sorted(tuple(r) for r in rule_hits(atm, batch, KEYS).collect())

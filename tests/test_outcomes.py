@@ -299,3 +299,13 @@ def test_unicode_whitespace_is_stripped(spark, atm):
     rules = [rule("X\u00a0", [cond("cash_amount", ">=", "20000")])]
     res = _call(spark, rules, atm, "X")
     assert res.rule_validity and keys(res.df) == [(9, 18), (9, 19)]
+
+
+def test_flag_values_must_fit_existing_numeric_column(spark, atm):
+    df = atm.withColumn("score", F.lit(0)).withColumn("amt", F.lit(0).cast("decimal(5,2)"))
+    for target, value in (("score", "1.5"), ("score", "3000000000"), ("amt", "123456"), ("amt", "1.234")):
+        rules = [rule("r", [cond("cash_amount", ">=", "20000")], (target, value))]
+        res = _call(spark, rules, df, "r", mode="flag")
+        assert res.rule_validity is False, (target, value)
+    ok = _call(spark, [rule("r", [cond("cash_amount", ">=", "20000")], ("amt", "12.5"))], df, "r", mode="flag")
+    assert ok.rule_validity and ok.df.where("amt = 12.5").count() == 2
