@@ -182,18 +182,33 @@ def _parse_temporal(value: str) -> dt.date | dt.datetime | None:
 _INT_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 
 
+_FLOAT32_MAX = 3.4028234663852886e38
+
+
+def _digits(d: Decimal) -> tuple[int, int]:
+    """(integer digits, fractional digits) of ``d`` ignoring trailing zeros,
+    computed from its digit tuple (no decimal context, so no rounding)."""
+    _, digits, exponent = d.as_tuple()
+    digits = list(digits)
+    while len(digits) > 1 and digits[-1] == 0:
+        digits.pop()
+        exponent += 1
+    if digits == [0]:
+        return 0, 0
+    return max(0, len(digits) + exponent), max(0, -exponent)
+
+
 def _fits(d: Decimal, dtype: T.DataType) -> bool:
     """True if ``d`` converts to ``dtype`` without rounding or overflow."""
+    int_digits, frac_digits = _digits(d)
     for kind, bits in _INT_BITS.items():
         if isinstance(dtype, kind):
-            return d == d.to_integral_value() and -(2 ** (bits - 1)) <= d < 2 ** (bits - 1)
+            return frac_digits == 0 and -(2 ** (bits - 1)) <= int(d) < 2 ** (bits - 1)
     if isinstance(dtype, T.DecimalType):
-        sign, digits, exponent = d.as_tuple()
-        scale = max(0, -exponent)
-        int_digits = max(0, len(digits) + exponent)
-        exact = d == d.quantize(Decimal(1).scaleb(-dtype.scale)) if scale > dtype.scale else True
-        return exact and int_digits <= dtype.precision - dtype.scale
-    return math.isfinite(float(d))  # float / double
+        return frac_digits <= dtype.scale and int_digits <= dtype.precision - dtype.scale
+    if isinstance(dtype, T.FloatType):
+        return abs(float(d)) <= _FLOAT32_MAX
+    return math.isfinite(float(d))  # double
 
 
 def typed_value(value: str, dtype: T.DataType, field_name: str) -> Column:
@@ -211,7 +226,9 @@ def typed_value(value: str, dtype: T.DataType, field_name: str) -> Column:
         except InvalidOperation:
             d = None
         if d is not None and d.is_finite() and _fits(d, dtype):
-            return F.lit(str(d)).cast(dtype)
+            if isinstance(dtype, tuple(_INT_BITS)):
+                return F.lit(int(d)).cast(dtype)
+            return F.lit(format(d, "f")).cast(dtype)  # plain notation, exact
     elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         parsed = _parse_temporal(value)
         if parsed is not None:

@@ -125,8 +125,13 @@ def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    spark = df.sparkSession
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): spread as asked
+        return df.repartition(min_partitions) if min_partitions else df.repartition()
+    return df.repartition(target) if current < target else df
 
 
 def _labels(batch: RuleBatch) -> Column:

@@ -309,3 +309,17 @@ def test_flag_values_must_fit_existing_numeric_column(spark, atm):
         assert res.rule_validity is False, (target, value)
     ok = _call(spark, [rule("r", [cond("cash_amount", ">=", "20000")], ("amt", "12.5"))], df, "r", mode="flag")
     assert ok.rule_validity and ok.df.where("amt = 12.5").count() == 2
+
+
+def test_flag_value_notation_and_range(spark, atm):
+    df = (atm.withColumn("score", F.lit(0)).withColumn("big", F.lit(0).cast("decimal(38,2)"))
+          .withColumn("f", F.lit(0.0).cast("float")))
+    for target, value, expect in (("score", "100.0", 100), ("score", "1e2", 100),
+                                  ("big", "1234567890123456789012345678.12", None)):
+        res = _call(spark, [rule("r", [cond("cash_amount", ">=", "20000")], (target, value))], df, "r", mode="flag")
+        assert res.rule_validity, (target, value, res.message)
+        got = [r[target] for r in res.df.where("cash_amount >= 20000").collect()]
+        if expect is not None:
+            assert got == [expect, expect]
+    res = _call(spark, [rule("r", [cond("cash_amount", ">=", "20000")], ("f", "1e39"))], df, "r", mode="flag")
+    assert res.rule_validity is False
