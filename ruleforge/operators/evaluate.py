@@ -170,12 +170,6 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
     the rule's outcome column instead of filtering. ``aggregates`` (alias ->
     SQL expression) are computed per group for ``groupby_lookup`` rules.
     """
-    spark = rules.spark
-    if isinstance(table, str):
-        table_name = table_name or table
-        df = spark.table(table)
-    else:
-        df = table
     if is_lookup is None:
         is_lookup = process_key.strip() in R.LOOKUP_KEYS
     res = R.resolve(rules, process, process_key, rule_id, is_lookup, as_of)
@@ -184,6 +178,15 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
                           rule_ids=(res.rule.id,) if res.rule else ())
     rule = res.rule
     key = rule.process_key
+    df = table if not isinstance(table, str) else None
+    if isinstance(table, str):
+        table_name = table_name or table
+        if key != "value_lookup":  # value lookups never read the table
+            try:
+                df = rules.spark.table(table)
+            except AnalysisException as e:
+                return _reject(f"Rule {rule.id}: {str(e).splitlines()[0]}", rule)
+    spark = df.sparkSession if df is not None else rules.spark  # the data's own session
     try:
         if key == "value_lookup":
             return _value_lookup(rule, value_key)
@@ -294,8 +297,8 @@ def _groupby_lookup(spark, df, rule, apply, table_name, aggregates) -> RuleResul
         raise RuleConfigError(
             f"Rule {rule.id}: groupby_lookup needs '[where ...] group by <columns> ...', got {tail!r}")
     aggs = aggregates or {"row_count": "count(*)"}
-    select_list = ", ".join([keys] + [f"{expr} AS `{name}`" for name, expr in aggs.items()])
-    sql = f"select {select_list} from {{t}} " + _escape_braces(tail)
+    select_list = ", ".join([keys] + [f"{expr} AS {_quote(name)}" for name, expr in aggs.items()])
+    sql = f"select {_escape_braces(select_list)} from {{t}} " + _escape_braces(tail)
     out = spark.sql(sql, t=df) if apply and df is not None else None
     query = (f" select {select_list} from {table_name} " + tail) if table_name else tail
     return RuleResult(True, True, "Successfully returning the grouped query", query=query,

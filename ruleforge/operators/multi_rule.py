@@ -130,7 +130,8 @@ def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         target = min_partitions or spark.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): spread as asked
-        return df.repartition(min_partitions) if min_partitions else df.repartition()
+        n = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        return df.repartition(n)
     return df.repartition(target) if current < target else df
 
 
@@ -161,7 +162,9 @@ def rule_hit_counts(df: DataFrame, batch: RuleBatch,
     (map-side partial counts; one row per task crosses the shuffle). Large
     rule sets take several passes, each kept within whole-stage codegen,
     which measures faster than one wide aggregate that falls back to
-    interpreted evaluation.
+    interpreted evaluation. Every pass re-reads ``df``: if it is expensive
+    to produce (joins, shuffles upstream), persist it first, or count in one
+    pass with ``rule_hit_lists`` + ``explode`` + ``groupBy("rule_id")``.
     """
     if not batch.compiled:
         raise RuleConfigError("no rules to evaluate")

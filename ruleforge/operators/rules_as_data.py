@@ -74,6 +74,8 @@ def threshold_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | Non
     if strict is None:
         strict = rule_ids is not None
     types = {f.name: f.dataType for f in df.schema.fields}
+    case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    by_lower = {} if case_sensitive else {f.name.lower(): f.name for f in df.schema.fields}
     out = ThresholdSet()
     for rid in (rule_ids if rule_ids is not None else predicate_rule_ids(rules)):
         res = R.resolve_by_id(rules, rid, as_of)
@@ -85,7 +87,8 @@ def threshold_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | Non
             out.rejected[rid] = f"Rule {rid} is not a single threshold condition"
             continue
         c = conds[0]
-        if c.field_name not in types or not isinstance(types[c.field_name], _EXACT_AS_DOUBLE):
+        field = c.field_name if c.field_name in types else by_lower.get(c.field_name.lower())
+        if field is None or not isinstance(types[field], _EXACT_AS_DOUBLE):
             out.rejected[rid] = (f"Rule {rid}: {c.field_name!r} is not an int/float/double column "
                                  "(evaluate it with multi_rule instead)")
             continue
@@ -99,18 +102,23 @@ def threshold_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | Non
         if value is None or not value.is_finite() or not math.isfinite(float(value)):
             out.rejected[rid] = f"Rule {rid}: value {c.field_value!r} is not a finite number"
             continue
-        exact = _as_double_threshold(types[c.field_name], c.operator, value)
+        exact = _as_double_threshold(types[field], c.operator, value)
         if exact is None:
             out.rejected[rid] = (f"Rule {rid}: {c.operator} {c.field_value} has no exact double form "
-                                 f"on a {types[c.field_name].simpleString()} column "
+                                 f"on a {types[field].simpleString()} column "
                                  "(evaluate it with multi_rule instead)")
             continue
-        out.rules.append(ThresholdRule(rid, c.field_name, exact[0], exact[1]))
+        out.rules.append(ThresholdRule(rid, field, exact[0], exact[1]))
     if strict and out.rejected:
         raise RuleConfigError("; ".join(f"{k}: {v}" for k, v in out.rejected.items()))
     return out
 
 
+def _column(name: str) -> Column:
+    """A top-level column by its exact name (dots are part of the name)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _as_double_threshold(dtype: T.DataType, op: str, value: Decimal) -> tuple[str, float] | None:
     """(operator, threshold) that gives, on the double-cast column, exactly the
     answer the compiled rule gives in the column's own type; None if none does.
@@ -154,7 +162,7 @@ def facts_long(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> Dat
     """``keys + (__rule_field, __rule_value)``: one row per (row, rule field),
     the field's value as double. Internal names keep keys that are also rule
     fields (or are called ``value``) apart."""
-    pairs = F.array(*[F.struct(F.lit(f).alias(FIELD), F.col(f).cast("double").alias(VALUE))
+    pairs = F.array(*[F.struct(F.lit(f).alias(FIELD), _column(f).cast("double").alias(VALUE))
                       for f in fields])
     return (df.select(*keys, F.inline(pairs))
             .where(F.col(VALUE).isNotNull()))
@@ -219,7 +227,7 @@ def _interval_indexes(df: DataFrame, fields: Sequence[str],
     Catalyst keeps the projections apart and the generated code stays small
     however many thresholds a field has.
     """
-    values = [F.col(f).cast("double") for f in fields]
+    values = [_column(f).cast("double") for f in fields]
     depth = {f: max(1, math.ceil(math.log2(len(bounds[f]) + 1))) for f in fields}
     arrays = {f: F.array(*[F.lit(b) for b in bounds[f]],
                          *[F.lit(math.inf)] * (2 ** depth[f] - len(bounds[f])))
@@ -267,7 +275,7 @@ _COMPARE = {">=": lambda a, b: a >= b, ">": lambda a, b: a > b, "<=": lambda a,
 
 
 def _direct_counts(df: DataFrame, rule_list: Sequence[ThresholdRule]) -> DataFrame:
-    counts = df.agg(*[F.count_if(_COMPARE[r.op](F.col(r.field).cast("double"), F.lit(r.threshold)))
+    counts = df.agg(*[F.count_if(_COMPARE[r.op](_column(r.field).cast("double"), F.lit(r.threshold)))
                       .alias(f"h{i}") for i, r in enumerate(rule_list)])
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(r.rule_id).alias("rule_id"), F.col(f"h{i}").alias("hits"))
@@ -308,7 +316,7 @@ def threshold_hit_counts(df: DataFrame, thresholds: ThresholdSet | Sequence[Thre
                 for s in range(0, len(rs), step):
                     results.append(threshold_hit_counts(df, rs[s:s + step]))
             continue
-        hist = (_interval_indexes(df.select(*fields), fields, bounds)
+        hist = (_interval_indexes(df.select(*[_column(f) for f in fields]), fields, bounds)
                 .unpivot([], list(fields), "field_name", "k")
                 .where(F.col("k").isNotNull())
                 .groupBy("field_name", "k").agg(F.count(F.lit(1)).alias("n")))

@@ -65,9 +65,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     it so a restarted application resumes instead of reprocessing. Only a
     local session without the setting (tests) falls back to this
     application's scratch folder, which does not outlive it."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)  # works without a SparkContext too
+    if configured:
+        return configured
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not sc.master.startswith("local"):

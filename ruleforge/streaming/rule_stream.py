@@ -8,6 +8,7 @@ the stream with its checkpoint in the cluster's checkpoint folder.
 
 from __future__ import annotations
 
+import hashlib
 import posixpath
 
 from pyspark.sql import DataFrame
@@ -28,14 +29,20 @@ def run_rule_on_stream(rules: RuleSet, stream: DataFrame, **kwargs) -> RuleResul
 
 
 def start_sink(result: DataFrame, path: str, *, query_name: str, fmt: str = "parquet",
-               checkpoint_location: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Append the stream to ``path``; offsets and commits live under the
-    cluster's checkpoint folder unless a location is given, so a restarted
-    query resumes exactly where it stopped."""
+               checkpoint_location: str | None = None, available_now: bool = True,
+               output_mode: str = "append") -> StreamingQuery:
+    """Write the stream to ``path``; offsets and commits live under the
+    cluster's checkpoint folder (one folder per query name and output path)
+    unless a location is given, so a restarted query resumes exactly where
+    it stopped. Filters, flags and transformations stream in ``append``
+    mode; a grouped lookup needs ``output_mode="complete"``/``"update"`` (or
+    a watermark) as Spark requires. Changing a rule under the same name and
+    path resumes from the old offsets: give the query a new name then."""
     if checkpoint_location is None:
         base = checkpoint_root(result.sparkSession)
-        checkpoint_location = posixpath.join(base, "streams", query_name)
-    writer = (result.writeStream.format(fmt).outputMode("append")
+        tag = hashlib.sha1(path.encode()).hexdigest()[:12]
+        checkpoint_location = posixpath.join(base, "streams", f"{query_name}-{tag}")
+    writer = (result.writeStream.format(fmt).outputMode(output_mode)
               .option("path", path).option("checkpointLocation", checkpoint_location)
               .queryName(query_name))
     writer = writer.trigger(availableNow=True) if available_now else writer

@@ -167,3 +167,18 @@ def test_spread_input_is_opt_in(spark, atm):
     assert "RoundRobinPartitioning" in spread._jdf.queryExecution().executedPlan().toString()
     assert sorted(tuple(r) for r in rule_hits(atm, batch, KEYS, spread=True).collect()) == \
         sorted(tuple(r) for r in rule_hits(atm, batch, KEYS).collect())
+
+
+def test_threshold_fields_resolve_like_spark(spark):
+    from ruleforge.operators.rules_as_data import threshold_hit_counts
+    df = spark.createDataFrame([(1, 5.0, 2), (2, 50.0, 9)], "id int, `amt.usd` double, Qty int")
+    rs = RuleSet.from_rules(spark, [rule("dot", [cond("`amt.usd`", ">=", "10")]),
+                                    rule("case", [cond("qty", ">=", "3")])])
+    # the compiled path reads `amt.usd` as a quoted name; the threshold path matches it and qty/Qty
+    rs2 = RuleSet.from_rules(spark, [rule("dot", [cond("amt.usd", ">=", "10")]), rule("case", [cond("qty", ">=", "3")])])
+    thr = threshold_rules(rs2, df, ["dot", "case"], as_of=AS_OF)
+    assert [t.field for t in thr.rules] == ["amt.usd", "Qty"]
+    assert {r.rule_id: r.hits for r in threshold_hit_counts(df, thr).collect()} == {"dot": 1, "case": 1}
+    assert sorted(tuple(r) for r in rules_as_data_hits(df, thr, ["id"]).collect()) == [(2, "case"), (2, "dot")]
+    batch = compile_rules(rs, df, ["dot", "case"], as_of=AS_OF)
+    assert {r.rule_id: r.hits for r in rule_hit_counts(df, batch).collect()} == {"dot": 1, "case": 1}

@@ -323,3 +323,21 @@ def test_flag_value_notation_and_range(spark, atm):
             assert got == [expect, expect]
     res = _call(spark, [rule("r", [cond("cash_amount", ">=", "20000")], ("f", "1e39"))], df, "r", mode="flag")
     assert res.rule_validity is False
+
+
+def test_missing_table_is_rejected_and_value_lookups_need_none(spark, current_rules):
+    res = run_rule(current_rules, "no_such_view", rule_id="rule_3", process="identification",
+                   process_key="query_builder", as_of=AS_OF)
+    assert res.rule_validity is False and "no_such_view" in res.message
+    val = run_rule(current_rules, "no_such_view", rule_id="rule_2", process="identification",
+                   process_key="value_lookup", value_key="flag", as_of=AS_OF)
+    assert val.value == "pass"
+
+
+def test_group_by_lookup_braces_and_alias_quoting(spark, atm):
+    rules = [rule("g", [{"lookup_value": " group by regexp_extract(city, 'p{1}', 0)"}], process="filtration",
+                  process_key="groupby_lookup")]
+    res = _call(spark, rules, atm, "g", process="filtration", process_key="groupby_lookup",
+                aggregates={"n`odd": "count_if(city rlike 'e{1}')"})
+    assert res.rule_validity, res.message
+    assert sum(r[1] for r in res.df.collect()) == atm.where("city rlike 'e{1}'").count()
