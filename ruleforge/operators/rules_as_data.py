@@ -316,8 +316,9 @@ def threshold_hit_counts(df: DataFrame, thresholds: ThresholdSet | Sequence[Thre
                 for s in range(0, len(rs), step):
                     results.append(threshold_hit_counts(df, rs[s:s + step]))
             continue
-        hist = (_interval_indexes(df.select(*[_column(f) for f in fields]), fields, bounds)
-                .unpivot([], list(fields), "field_name", "k")
+        idx = _interval_indexes(df.select(*[_column(f) for f in fields]), fields, bounds)
+        pairs = F.array(*[F.struct(F.lit(f).alias("field_name"), _column(f).alias("k")) for f in fields])
+        hist = (idx.select(F.inline(pairs))
                 .where(F.col("k").isNotNull())
                 .groupBy("field_name", "k").agg(F.count(F.lit(1)).alias("n")))
         grid = spark.createDataFrame(

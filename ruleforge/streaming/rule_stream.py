@@ -40,7 +40,7 @@ def start_sink(result: DataFrame, path: str, *, query_name: str, fmt: str = "par
     path resumes from the old offsets: give the query a new name then."""
     if checkpoint_location is None:
         base = checkpoint_root(result.sparkSession)
-        tag = hashlib.sha1(path.encode()).hexdigest()[:12]
+        tag = hashlib.sha1(path.rstrip("/").encode()).hexdigest()[:12]
         checkpoint_location = posixpath.join(base, "streams", f"{query_name}-{tag}")
     writer = (result.writeStream.format(fmt).outputMode(output_mode)
               .option("path", path).option("checkpointLocation", checkpoint_location)

@@ -182,3 +182,12 @@ def test_threshold_fields_resolve_like_spark(spark):
     assert sorted(tuple(r) for r in rules_as_data_hits(df, thr, ["id"]).collect()) == [(2, "case"), (2, "dot")]
     batch = compile_rules(rs, df, ["dot", "case"], as_of=AS_OF)
     assert {r.rule_id: r.hits for r in rule_hit_counts(df, batch).collect()} == {"dot": 1, "case": 1}
+
+
+def test_interval_counts_with_dotted_column_and_many_rules(spark):
+    from ruleforge.operators.rules_as_data import threshold_hit_counts
+    df = spark.createDataFrame([(i, float(i)) for i in range(50)], "id int, `amt.usd` double")
+    rules = [rule(f"r{i}", [cond("amt.usd", ">=", str(i))]) for i in range(40)]
+    thr = threshold_rules(RuleSet.from_rules(spark, rules), df, as_of=AS_OF)
+    got = {r.rule_id: r.hits for r in threshold_hit_counts(df, thr).collect()}
+    assert got == {f"r{i}": 50 - i for i in range(40)}
