@@ -9,12 +9,15 @@ keys and malformed JSON give null.
 from __future__ import annotations
 
 import json
+import re
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 JSON_OBJECT_TYPE = "map<string,string>"
+# keys a get_json_object bracket path reads exactly; anything else uses the parsed map
+_PLAIN_KEY = re.compile(r"^[A-Za-z0-9_]([A-Za-z0-9_.\-]*[A-Za-z0-9_])?$")
 
 
 def json_object(c: Column | str) -> Column:
@@ -29,7 +32,7 @@ def json_value(c: Column | str, key: str | Column) -> Column:
     stops at the key instead of building a map of the whole object; keys
     that a path cannot quote fall back to the parsed map.
     """
-    if isinstance(key, str) and key and not any(ch in key for ch in "'[]\\"):
+    if isinstance(key, str) and _PLAIN_KEY.match(key):
         return F.get_json_object(c if isinstance(c, Column) else F.col(c), f"$['{key}']")
     k = key if isinstance(key, Column) else F.lit(key)
     return F.try_element_at(json_object(c), k)

@@ -27,8 +27,9 @@ from __future__ import annotations
 import datetime as dt
 import math
 import operator as op
+import re
 from dataclasses import dataclass
-from decimal import Decimal, InvalidOperation
+from decimal import Decimal
 from functools import reduce
 from typing import Sequence
 
@@ -65,6 +66,18 @@ _NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
 _STRING_MATCH_INT_DIGITS = 20  # string operands compare as decimal(38, 18) by default
 
 
+_NUMBER_TEXT = re.compile(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$")
+
+
+def parse_number(value: str | None) -> Decimal | None:
+    """A rule's numeric text as an exact Decimal: ASCII digits, optional sign,
+    point and exponent only (no '1_000', no non-ASCII digits); else None."""
+    text = (value or "").strip()
+    if not _NUMBER_TEXT.match(text):
+        return None
+    return Decimal(text)
+
+
 def is_plain_number(value: str | None) -> bool:
     """The rule language's "numeric" test: a non-empty run of ASCII digits.
 
@@ -138,13 +151,10 @@ def operand_type_map(df: DataFrame, field_names: Sequence[str]) -> dict[str, T.D
 
 
 def _number(value: str, field_name: str, dtype: T.DataType) -> Column:
-    try:
-        d = Decimal(value.strip())
-    except InvalidOperation:
+    d = parse_number(value)
+    if d is None:
         raise RuleConfigError(
-            f"value {value!r} is not a number but {field_name} is {dtype.simpleString()}") from None
-    if not d.is_finite():
-        raise RuleConfigError(f"value {value!r} for {field_name} is not a finite number")
+            f"value {value!r} is not a number but {field_name} is {dtype.simpleString()}")
     if isinstance(dtype, T.FloatType):
         return F.lit(float(d)).cast("float")  # compare in the column's own precision
     if isinstance(dtype, T.DoubleType):
@@ -221,11 +231,8 @@ def typed_value(value: str, dtype: T.DataType, field_name: str) -> Column:
         if text in TRUE_TEXT + FALSE_TEXT:
             return F.lit(text in TRUE_TEXT)
     elif isinstance(dtype, _NUMERIC_TYPES):
-        try:
-            d = Decimal(value.strip())
-        except InvalidOperation:
-            d = None
-        if d is not None and d.is_finite() and _fits(d, dtype):
+        d = parse_number(value)
+        if d is not None and _fits(d, dtype):
             if isinstance(dtype, tuple(_INT_BITS)):
                 return F.lit(int(d)).cast(dtype)
             return F.lit(format(d, "f")).cast(dtype)  # plain notation, exact

@@ -96,22 +96,31 @@ _GROUPING_ANALYTICS = re.compile(r"^(?:grouping\s+sets|rollup|cube)\s*\(", re.IG
 
 def _top_level(text: str, pattern: re.Pattern, start: int = 0) -> list[re.Match]:
     """Matches of ``pattern`` outside parentheses and quoted literals."""
-    depth, quote, escaped, spans = 0, None, False, []
+    depth, quote, escaped, comment, spans = 0, None, False, None, []
     for i, ch in enumerate(text):
-        if quote:
+        if comment == "--":
+            comment = None if ch == "\n" else comment
+        elif comment == "/*":
+            if text.startswith("*/", i - 1) and i > 0 and text[i - 1] == "*":
+                comment = None
+        elif quote:
             if escaped:
                 escaped = False
-            elif ch == "\\":
+            elif ch == "\\" and quote != "`":  # backticks escape only by doubling
                 escaped = True
             elif ch == quote:
                 quote = None
+        elif text.startswith("--", i):
+            comment = "--"
+        elif text.startswith("/*", i):
+            comment = "/*"
         elif ch in "'\"`":
             quote = ch
         elif ch == "(":
             depth += 1
         elif ch == ")":
             depth -= 1
-        spans.append(depth == 0 and quote is None)
+        spans.append(depth == 0 and quote is None and comment is None)
     return [m for m in pattern.finditer(text, start) if spans[m.start()]]
 
 
@@ -252,12 +261,14 @@ def _apply(df, res, rule, compiled, apply, table_name, mode, order_by):
 
 
 def ordered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sort by ``keys``; the remaining columns break ties so that a key
-    shared by very many rows can still be range-split across tasks."""
-    key_set = set(keys)
-    ties = [c for c, t in df.dtypes if c not in key_set
+    """Sort by ``keys`` (SQL sort items: ``col``, ``col desc``, ``... nulls
+    last``); the remaining columns break ties so that a key shared by very
+    many rows can still be range-split across tasks."""
+    key_names = {k.strip().split()[0].strip("`").lower() for k in keys if k.strip()}
+    ties = [_quote(c) for c, t in df.dtypes if c.lower() not in key_names
             and not t.startswith(("array", "map", "struct", "variant"))]
-    return df.orderBy(*[F.expr(k) for k in keys], *ties)
+    order = ", ".join(list(keys) + ties)
+    return df.sparkSession.sql("select * from {t} order by " + _escape_braces(order), t=df)
 
 
 def _value_lookup(rule: Rule, value_key: str | None) -> RuleResult:
@@ -282,12 +293,13 @@ def _query_lookup(spark, df, rule, apply, table_name, order_by) -> RuleResult:
         raise RuleConfigError(f"Rule {rule.id} has no lookup query")
     tail = tail.strip()
     out = None
+    query = _with_table(tail, table_name)
     if apply and df is not None:
         out = spark.sql("select * from {t} " + _escape_braces(tail), t=df)
         if order_by:
             out = ordered(out, order_by)
-    return RuleResult(True, True, R.MSG_QUERY_LOOKUP, query=_with_table(tail, table_name),
-                      df=out, rule_ids=(rule.id,))
+            query += " order by " + ", ".join(order_by)
+    return RuleResult(True, True, R.MSG_QUERY_LOOKUP, query=query, df=out, rule_ids=(rule.id,))
 
 
 def _groupby_lookup(spark, df, rule, apply, table_name, aggregates) -> RuleResult:
@@ -296,6 +308,13 @@ def _groupby_lookup(spark, df, rule, apply, table_name, aggregates) -> RuleResul
     if keys is None:
         raise RuleConfigError(
             f"Rule {rule.id}: groupby_lookup needs '[where ...] group by <columns> ...', got {tail!r}")
+    if re.fullmatch(r"\d+(\s*,\s*\d+)*", keys):  # ordinals: the input's columns
+        if df is None:
+            raise RuleConfigError(f"Rule {rule.id}: positional group-by keys need a table")
+        try:
+            keys = ", ".join(_quote(df.columns[int(n) - 1]) for n in re.split(r"\s*,\s*", keys))
+        except IndexError:
+            raise RuleConfigError(f"Rule {rule.id}: group-by position out of range") from None
     aggs = aggregates or {"row_count": "count(*)"}
     select_list = ", ".join([keys] + [f"{expr} AS {_quote(name)}" for name, expr in aggs.items()])
     sql = f"select {_escape_braces(select_list)} from {{t}} " + _escape_braces(tail)

@@ -21,7 +21,6 @@ import datetime as dt
 import math
 import struct
 from dataclasses import dataclass, field
-from decimal import Decimal, InvalidOperation
 from functools import reduce
 from typing import Sequence
 
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import RuleConfigError
+from ..functions.predicates import parse_number
 from ..plans import resolution as R
 from ..sources.ruleset import RuleSet
 from .multi_rule import predicate_rule_ids, spread_input
@@ -95,11 +95,8 @@ def threshold_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | Non
         if c.operator not in THRESHOLD_OPS:
             out.rejected[rid] = f"Rule {rid}: operator {c.operator!r} is not a threshold comparison"
             continue
-        try:
-            value = Decimal((c.field_value or "").strip())
-        except InvalidOperation:
-            value = None
-        if value is None or not value.is_finite() or not math.isfinite(float(value)):
+        value = parse_number(c.field_value)
+        if value is None or not math.isfinite(float(value)):
             out.rejected[rid] = f"Rule {rid}: value {c.field_value!r} is not a finite number"
             continue
         exact = _as_double_threshold(types[field], c.operator, value)

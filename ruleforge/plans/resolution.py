@@ -120,7 +120,7 @@ def resolve(ruleset: RuleSet, process: str, process_key: str, rule_id: str,
     as_of = as_of or dt.date.today()
     want = (process.strip(), process_key.strip(), rule_id.strip(), lookup_flag(is_lookup))
     matched = None
-    for rule in ruleset.rules():
+    for rule in ruleset.find(want[2]):  # same-id rules, document order
         if (rule.process, rule.process_key, rule.id, rule.is_lookup) != want:
             continue
         matched = rule

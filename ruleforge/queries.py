@@ -9,7 +9,6 @@ driver can compare it with the matching SQL in ``ORACLE_SQL``.
 from __future__ import annotations
 
 import datetime as dt
-import weakref
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,16 +94,14 @@ TABLE_RULES = [
 MULTI_RULE_IDS = ["hit_qty_high", "hit_price_high", "hit_qty_low", "hit_flag_r", "hit_status_f"]
 THRESHOLD_RULE_IDS = ["hit_qty_high", "hit_price_high", "hit_qty_low", "thr_discount_high", "thr_tax_low"]
 
-_RULESETS: "weakref.WeakKeyDictionary[SparkSession, RuleSet]" = weakref.WeakKeyDictionary()
-
-
 def table_rules(spark: SparkSession) -> RuleSet:
-    """The query rule document, loaded once per session."""
-    rs = _RULESETS.get(spark)
+    """The query rule document, loaded once per session (kept on the session
+    object, so it goes away with it)."""
+    rs = getattr(spark, "_ruleforge_table_rules", None)
     if rs is None:
         rs = RuleSet.from_rules(spark, TABLE_RULES)
         rs.rules()
-        _RULESETS[spark] = rs
+        spark._ruleforge_table_rules = rs
     return rs
 
 

@@ -35,9 +35,11 @@ def start_sink(result: DataFrame, path: str, *, query_name: str, fmt: str = "par
     cluster's checkpoint folder (one folder per query name and output path)
     unless a location is given, so a restarted query resumes exactly where
     it stopped. Filters, flags and transformations stream in ``append``
-    mode; a grouped lookup needs ``output_mode="complete"``/``"update"`` (or
-    a watermark) as Spark requires. Changing a rule under the same name and
-    path resumes from the old offsets: give the query a new name then."""
+    mode. File sinks only append, so a grouped lookup needs a watermark on
+    its input, or a sink that supports ``output_mode="complete"``/``"update"``
+    (``fmt="memory"``, or ``foreachBatch`` outside this helper). Changing a
+    rule under the same name and path resumes from the old offsets: give the
+    query a new name then."""
     if checkpoint_location is None:
         base = checkpoint_root(result.sparkSession)
         tag = hashlib.sha1(path.rstrip("/").encode()).hexdigest()[:12]

@@ -341,3 +341,29 @@ def test_group_by_lookup_braces_and_alias_quoting(spark, atm):
                 aggregates={"n`odd": "count_if(city rlike 'e{1}')"})
     assert res.rule_validity, res.message
     assert sum(r[1] for r in res.df.collect()) == atm.where("city rlike 'e{1}'").count()
+
+
+def test_order_by_directions_and_lookup_text(current_rules, atm):
+    res = run_rule(current_rules, atm, rule_id="rule_3", process="identification",
+                   process_key="query_builder", as_of=AS_OF, order_by=["transaction_total_amount desc"])
+    totals = [r.transaction_total_amount for r in res.df.collect()]
+    assert totals == sorted(totals, reverse=True)
+    look = run_rule(current_rules, atm, rule_id="rule_1", process="filtration", process_key="query_lookup",
+                    as_of=AS_OF, table_name="atm_transactions", order_by=["id"])
+    assert look.query.endswith(" order by id") and [r.id for r in look.df.collect()] == sorted(
+        r.id for r in look.df.collect())
+
+
+def test_group_by_ordinals_and_comments(spark, atm):
+    from ruleforge.operators.evaluate import grouping_keys
+    assert grouping_keys("where x > 1 -- (old\n group by k") == "k"
+    assert grouping_keys("where `a\\` = 1 /* ( */ group by k") == "k"
+    rules = [rule("g", [{"lookup_value": " group by 1"}], process="filtration", process_key="groupby_lookup")]
+    res = _call(spark, rules, atm, "g", process="filtration", process_key="groupby_lookup")
+    assert sorted((r.session_id, r.row_count) for r in res.df.collect()) == [(5, 2), (6, 2), (7, 2), (8, 2), (9, 2)]
+
+
+def test_numbers_must_be_ascii(spark, atm):
+    for bad in ("1_000", "١٢"):
+        res = _call(spark, [rule("r", [cond("cash_amount", ">=", bad)])], atm, "r")
+        assert res.rule_validity is False, bad

@@ -102,3 +102,10 @@ def test_json_value_empty_key(spark):
     from ruleforge.functions import json_value
     df = spark.createDataFrame([('{"": "e", "k": 1}',)], "j string")
     assert tuple(df.select(json_value("j", ""), json_value("j", "k")).first()) == ("e", "1")
+
+
+def test_json_value_unusual_keys(spark):
+    from ruleforge.functions import json_value
+    df = spark.createDataFrame([('{" k": "sp", "*": "star", "a-b": "dash"}',)], "j string")
+    assert tuple(df.select(json_value("j", " k"), json_value("j", "*"), json_value("j", "a-b")).first()) == \
+        ("sp", "star", "dash")
