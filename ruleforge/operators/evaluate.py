@@ -97,12 +97,19 @@ _GROUPING_ANALYTICS = re.compile(r"^(?:grouping\s+sets|rollup|cube)\s*\(", re.IG
 def _top_level(text: str, pattern: re.Pattern, start: int = 0) -> list[re.Match]:
     """Matches of ``pattern`` outside parentheses and quoted literals."""
     depth, quote, escaped, comment, spans = 0, None, False, None, []
+    nest, skip = 0, 0  # block comments nest in Spark SQL; skip = chars of a marker already read
     for i, ch in enumerate(text):
-        if comment == "--":
+        if skip:
+            skip -= 1
+        elif comment == "--":
             comment = None if ch == "\n" else comment
         elif comment == "/*":
-            if text.startswith("*/", i - 1) and i > 0 and text[i - 1] == "*":
-                comment = None
+            if text.startswith("/*", i):
+                nest, skip = nest + 1, 1
+            elif text.startswith("*/", i):
+                nest, skip = nest - 1, 1
+                if nest == 0:
+                    comment = None
         elif quote:
             if escaped:
                 escaped = False
@@ -113,7 +120,7 @@ def _top_level(text: str, pattern: re.Pattern, start: int = 0) -> list[re.Match]
         elif text.startswith("--", i):
             comment = "--"
         elif text.startswith("/*", i):
-            comment = "/*"
+            comment, nest, skip = "/*", 1, 1
         elif ch in "'\"`":
             quote = ch
         elif ch == "(":
@@ -298,7 +305,9 @@ def _query_lookup(spark, df, rule, apply, table_name, order_by) -> RuleResult:
         out = spark.sql("select * from {t} " + _escape_braces(tail), t=df)
         if order_by:
             out = ordered(out, order_by)
-            query += " order by " + ", ".join(order_by)
+            # wrap: the stored tail may end in its own limit / order by / comment
+            query = (" select * from ({}\n) order by {}".format(query.strip(), ", ".join(order_by))
+                     if table_name else query + "\n order by " + ", ".join(order_by))
     return RuleResult(True, True, R.MSG_QUERY_LOOKUP, query=query, df=out, rule_ids=(rule.id,))
 
 
@@ -311,10 +320,10 @@ def _groupby_lookup(spark, df, rule, apply, table_name, aggregates) -> RuleResul
     if re.fullmatch(r"\d+(\s*,\s*\d+)*", keys):  # ordinals: the input's columns
         if df is None:
             raise RuleConfigError(f"Rule {rule.id}: positional group-by keys need a table")
-        try:
-            keys = ", ".join(_quote(df.columns[int(n) - 1]) for n in re.split(r"\s*,\s*", keys))
-        except IndexError:
-            raise RuleConfigError(f"Rule {rule.id}: group-by position out of range") from None
+        positions = [int(n) for n in re.split(r"\s*,\s*", keys)]
+        if not all(1 <= n <= len(df.columns) for n in positions):
+            raise RuleConfigError(f"Rule {rule.id}: group-by position out of range")
+        keys = ", ".join(_quote(df.columns[n - 1]) for n in positions)
     aggs = aggregates or {"row_count": "count(*)"}
     select_list = ", ".join([keys] + [f"{expr} AS {_quote(name)}" for name, expr in aggs.items()])
     sql = f"select {_escape_braces(select_list)} from {{t}} " + _escape_braces(tail)

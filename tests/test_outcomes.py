@@ -367,3 +367,19 @@ def test_numbers_must_be_ascii(spark, atm):
     for bad in ("1_000", "١٢"):
         res = _call(spark, [rule("r", [cond("cash_amount", ">=", bad)])], atm, "r")
         assert res.rule_validity is False, bad
+
+
+def test_ordered_lookup_text_wraps_and_ordinal_bounds(spark, atm):
+    from ruleforge.errors import RuleConfigError
+    from ruleforge.operators.evaluate import grouping_keys
+    rules = [rule("q", [{"lookup_value": " where city <> 'darwin' limit 100"}], process="filtration",
+                  process_key="query_lookup"),
+             rule("g", [{"lookup_value": " group by 0"}], process="filtration", process_key="groupby_lookup")]
+    res = _call(spark, rules, atm, "q", process="filtration", process_key="query_lookup",
+                table_name="atm_transactions", order_by=["id desc"])
+    assert res.query.startswith(" select * from (select * from atm_transactions where")
+    assert spark.sql(res.query).count() == res.df.count() == 8
+    bad = _call(spark, rules, atm, "g", process="filtration", process_key="groupby_lookup")
+    assert bad.rule_validity is False and "out of range" in bad.message
+    assert grouping_keys("where a = 1 /*/ group by old */ group by k") == "k"
+    assert grouping_keys("where a /* x /* y */ group by z */ group by k") == "k"
