@@ -33,9 +33,13 @@ READ = {
 
 
 def _plan(spark, name):
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # display only: no "..." cut
-    df = E.queries()[name](spark, SF)
-    return df._jdf.queryExecution().executedPlan().toString()
+    try:
+        df = E.queries()[name](spark, SF)
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
 
 
 @pytest.mark.parametrize("name", NO_SHUFFLE)

@@ -46,3 +46,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice"]
     assert df.count() > 0
+
+
+def test_ordered_result_keeps_the_oracle_order(spark, duck):
+    """Row order matters here (o_orderkey is unique, so the order is fully determined)."""
+    rows = [tuple(r) for r in E.queries()["ordered_result"](spark, SF).collect()]
+    cur = duck.execute(E.oracle_sql()["ordered_result"])
+    cols = [d[0] for d in cur.description]
+    spark_cols = E.queries()["ordered_result"](spark, SF).columns
+    orows = [tuple(r[cols.index(c)] for c in spark_cols) for r in cur.fetchall()]
+    assert [r[0] for r in rows] == [r[0] for r in orows]
