@@ -35,6 +35,7 @@ class RuleResult:
     df: DataFrame | None = None
     predicate: Column | None = None
     rule_ids: tuple[str, ...] = field(default_factory=tuple)
+    has_value: bool = False  # a looked-up value (possibly None) rather than query text
 
     @property
     def ok(self) -> bool:
@@ -43,7 +44,7 @@ class RuleResult:
 
     def as_tuple(self):
         """``(valid_params, rule_validity, message, query_or_value, df)``."""
-        out = self.value if self.value is not None else self.query
+        out = self.value if self.has_value else self.query
         return (self.valid_params, self.rule_validity, self.message, out, self.df)
 
 
@@ -194,6 +195,9 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
                           rule_ids=(res.rule.id,) if res.rule else ())
     rule = res.rule
     key = rule.process_key
+    if key == "conditional" and not res.links:  # answered from the rule alone
+        return RuleResult(False, True, R.MSG_CONDITIONAL_BAD, value=(_first_lookup(rule) or "").strip(),
+                          has_value=True, rule_ids=(rule.id,))
     df = table if not isinstance(table, str) else None
     if isinstance(table, str):
         table_name = table_name or table
@@ -212,8 +216,6 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
             return _groupby_lookup(spark, df, rule, apply, table_name, aggregates)
         if key == "transformation":
             return _transformation(df, rule, apply, table_name)
-        if key == "conditional" and not res.links:
-            return RuleResult(False, True, R.MSG_CONDITIONAL_BAD, value=_first_lookup(rule) or "")
         if df is None:
             raise RuleConfigError("a query_builder or conditional rule needs a table to type its literals")
         compiled = compile_rule(df, res, gate=gate, group_links=group_links)
@@ -285,13 +287,16 @@ def _value_lookup(rule: Rule, value_key: str | None) -> RuleResult:
         try:
             value = parse_lookup_text(text)[value_key.strip()]
         except (ValueError, KeyError, TypeError, IndexError):
-            return RuleResult(False, True, R.MSG_VALUE_MISSING.format(value_key), value="", rule_ids=ids)
-        return RuleResult(True, True, R.MSG_VALUE_FOUND.format(value, value_key), value=value, rule_ids=ids)
+            return RuleResult(False, True, R.MSG_VALUE_MISSING.format(value_key), value="",
+                              has_value=True, rule_ids=ids)
+        return RuleResult(True, True, R.MSG_VALUE_FOUND.format(value, value_key), value=value,
+                          has_value=True, rule_ids=ids)
     try:
         entries = [(k, v) for k, v in parse_lookup_text(text).items()]
     except (ValueError, AttributeError):
-        return RuleResult(False, True, R.MSG_VALUE_LIST_BAD, value="", rule_ids=ids)
-    return RuleResult(True, True, R.MSG_VALUE_LIST.format(entries), value=entries, rule_ids=ids)
+        return RuleResult(False, True, R.MSG_VALUE_LIST_BAD, value="", has_value=True, rule_ids=ids)
+    return RuleResult(True, True, R.MSG_VALUE_LIST.format(entries), value=entries, has_value=True,
+                      rule_ids=ids)
 
 
 def _query_lookup(spark, df, rule, apply, table_name, order_by) -> RuleResult:

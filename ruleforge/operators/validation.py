@@ -164,7 +164,7 @@ def audit_frame(spark: SparkSession, entries: Iterable[tuple[str, RuleResult]],
         ok = res.ok
         rows.append((stage, ",".join(res.rule_ids), res.valid_params is True, bool(res.rule_validity),
                      "ok" if ok else "rejected", res.message,
-                     res.query if res.value is None else str(res.value), when))
+                     str(res.value) if res.has_value else res.query, when))
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
 

@@ -383,3 +383,16 @@ def test_ordered_lookup_text_wraps_and_ordinal_bounds(spark, atm):
     assert bad.rule_validity is False and "out of range" in bad.message
     assert grouping_keys("where a = 1 /*/ group by old */ group by k") == "k"
     assert grouping_keys("where a /* x /* y */ group by z */ group by k") == "k"
+
+
+def test_value_and_conditional_payloads(spark):
+    rules = [rule("v", [{"lookup_value": '{"a": null}'}], process_key="value_lookup"),
+             rule("c", [{"lookup_value": '  {"x": "y"}  '}], process_key="conditional")]
+    rs = RuleSet.from_rules(spark, rules)
+    v = run_rule(rs, None, rule_id="v", process="identification", process_key="value_lookup", value_key="a",
+                 as_of=AS_OF)
+    assert v.as_tuple()[:4] == (True, True, "Successfully returning the lookup value <None> for the value key <a>.",
+                                None)
+    c = run_rule(rs, "no_such_table", rule_id="c", process="identification", process_key="conditional",
+                 as_of=AS_OF)
+    assert c.as_tuple()[:4] == (False, True, "Conditional process without proper condition setup.", '{"x": "y"}')
