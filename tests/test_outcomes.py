@@ -1,7 +1,5 @@
 """The outcome matrix of a rule call and the legacy document."""
 
-import datetime as dt
-
 import pytest
 from conftest import AS_OF, cond, keys, rule
 from pyspark.sql import functions as F
