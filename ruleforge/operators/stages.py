@@ -37,7 +37,7 @@ class StagedRun:
 
     @property
     def ok(self) -> bool:
-        return all(r.ok for r in self.results)
+        return self.df is not None and all(r.ok for r in self.results)
 
 
 def run_stages(rules: RuleSet, table: DataFrame | str, stages: Sequence[Stage], *,
@@ -72,7 +72,7 @@ def run_stages(rules: RuleSet, table: DataFrame | str, stages: Sequence[Stage],
             out.createOrReplaceTempView(stage.view_name)
             name = stage.view_name
         elif name and res.query.lstrip().lower().startswith("select"):
-            name = "({})".format(res.query.strip())
+            name = "({}\n)".format(res.query.strip())  # newline: a tail may end in a -- comment
         else:
             name = None
         current = out

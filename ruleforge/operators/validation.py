@@ -9,6 +9,7 @@ did (query text, status, message) and is appended to a table by the caller.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -75,6 +76,7 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
         ).alias("header_issues"),
     )
 
+    goto_targets = sorted({r.then_value for r in rules.rules() if r.is_goto and r.then_value})
     # goto targets that no rule carries
     ids = cat.select(F.col("id").alias("target_id")).distinct()
     gotos = cat.where(F.col("field_name") == "goto").select(*key, F.col("field_value").alias("target_id"))
@@ -85,7 +87,8 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
              .select(*key, "cond_pos", *[F.coalesce(F.col(c), F.lit("")).alias(c)
                                          for c in ("field_name", "operator", "join")],
                      "field_value", "lookup_value")
-             .join(cat.select(*key, "process_key", "n_conditions"), key))
+             .join(cat.select(*key, "process_key", "n_conditions", F.col("field_name").alias("then_field"),
+                              F.col("id").isin(*goto_targets).alias("is_target")), key))
     n = F.col("n_conditions")
     pos = F.col("cond_pos") + 1
     ops_allowed = list(COMPARISONS) + list(PREFIX_LIKE)
@@ -97,19 +100,24 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
                    "condition %d: operator %s is not supported", pos, F.col("operator")),
             _issue(is_builder & ~join_u.isin("AND", "OR", ""),
                    "condition %d: join %s must be AND, OR or empty", pos, F.col("join")),
-            _issue(is_builder & (join_u == "") & (F.col("cond_pos") < n - 1),
+            _issue(is_builder & (join_u == "") & (F.col("cond_pos") < n - 1) & ~F.col("is_target"),
                    "condition %d has no join before condition %d", pos, pos + 1),
+            _issue(is_builder & (F.col("then_field") == "goto") & (join_u == "OR") & (F.col("cond_pos") == n - 1),
+                   "condition %d: a trailing OR cannot lead into a goto", pos),
             _issue(is_builder & F.col("field_value").isNull(), "condition %d has no field_value", pos),
             _issue(is_builder & F.col("field_name").rlike(r"^\s*$"), "condition %d has no field_name", pos),
-            _issue((F.col("process_key") == "value_lookup") & json_object("lookup_value").isNull(),
-                   "lookup_value is not a JSON object"),
-            _issue(F.col("process_key").isin("query_lookup", "groupby_lookup")
+            _issue((F.col("cond_pos") == 0) & (F.col("process_key") == "value_lookup")
+                   & json_object("lookup_value").isNull(), "lookup_value is not a JSON object"),
+            _issue((F.col("cond_pos") == 0) & F.col("process_key").isin("query_lookup", "groupby_lookup")
                    & (F.trim(F.coalesce(F.col("lookup_value"), F.lit(""))) == ""),
                    "lookup query is empty"),
+            _issue((F.col("cond_pos") == 0) & (F.col("process_key") == "transformation")
+                   & ((F.col("field_name") == "") | (F.col("then_field") == "")),
+                   "transformation needs then.field_name (target) and when[0].field_name (expression)"),
         )).alias("issue"),
     ).where(F.col("issue").isNotNull())
 
-    extra = (cond_issues.unionByName(missing)
+    extra = (cond_issues.unionByName(missing).unionByName(_resolution_issues(rules, as_of))
              .groupBy(*key).agg(F.array_sort(F.collect_list("issue")).alias("more")))
     out = (header.join(extra, key, "left")
            .select("doc", "rule_pos", "id", "process", "process_key", "active",
@@ -118,6 +126,28 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
     return out.withColumn("ok", F.size("issues") == 0)
 
 
+def _resolution_issues(rules: RuleSet, as_of: dt.date) -> DataFrame:
+    """Issues found by running the resolution code itself over the rule list
+    (configuration, already on the driver): goto chains as ``follow_gotos``
+    sees them and stored group-by tails as ``grouping_keys`` reads them."""
+    from ..errors import RuleConfigError
+    from .evaluate import grouping_keys
+    rows = []
+    for r in rules.rules():
+        if r.is_goto and r.process_key in ("query_builder", "conditional"):
+            try:
+                R.follow_gotos(rules, r, as_of, include_start=r.process_key != "conditional")
+            except RuleConfigError as e:
+                rows.append((r.doc, r.doc_pos, f"goto chain: {e}"))
+        if r.process_key == "groupby_lookup" and r.conditions:
+            try:
+                if grouping_keys((r.conditions[0].lookup_value or "").strip()) is None:
+                    rows.append((r.doc, r.doc_pos, "groupby_lookup tail has no top-level group by"))
+            except RuleConfigError as e:
+                rows.append((r.doc, r.doc_pos, str(e)))
+    return rules.spark.createDataFrame(rows, "doc string, rule_pos int, issue string")
+
+
 REQUEST_COLUMNS = ("process", "process_key", "rule_id", "is_lookup")
 
 
@@ -125,17 +155,18 @@ def unmatched_requests(rules: RuleSet, requests: DataFrame) -> DataFrame:
     """Calls (process, process_key, rule_id, is_lookup) that no rule answers,
     with the message the rule call would report. Values are stripped and a
     null ``is_lookup`` follows from the process key, as in ``run_rule``."""
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))  # noqa: E731 - as the driver rule list
     cat = rules.catalog_df.select(
-        F.col("process").alias("_p"), F.col("process_key").alias("_k"),
-        F.col("id").alias("_i"), F.col("is_lookup").alias("_l")).distinct()
+        blank("process").alias("_p"), blank("process_key").alias("_k"),
+        blank("id").alias("_i"), blank("is_lookup").alias("_l")).distinct()
     if rules.rule_count() <= MAX_BROADCAST_RULES:
         cat = F.broadcast(cat)
     def strip(c: str) -> F.Column:
-        return strip_ws(F.col(c).cast("string"))
+        return F.coalesce(strip_ws(F.col(c).cast("string")), F.lit(""))
     derived = F.when(strip("process_key").isin(*R.LOOKUP_KEYS), F.lit("true")).otherwise(F.lit("false"))
     trimmed = requests.select(
         "*", *[strip(c).alias(f"_req_{c}") for c in REQUEST_COLUMNS if c != "is_lookup"],
-        F.coalesce(strip("is_lookup"), derived).alias("_req_is_lookup"))
+        F.when(F.col("is_lookup").isNull(), derived).otherwise(strip("is_lookup")).alias("_req_is_lookup"))
     cond = ((trimmed["_req_process"] == cat["_p"]) & (trimmed["_req_process_key"] == cat["_k"])
             & (trimmed["_req_rule_id"] == cat["_i"]) & (trimmed["_req_is_lookup"] == cat["_l"]))
     return (trimmed.join(cat, cond, "left_anti")
@@ -155,6 +186,14 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
+def _audit_text(res: RuleResult) -> str | None:
+    if not res.has_value:
+        return res.query
+    if res.value is None:
+        return None
+    return res.value if isinstance(res.value, str) else json.dumps(res.value)
+
+
 def audit_frame(spark: SparkSession, entries: Iterable[tuple[str, RuleResult]],
                 logged_at: dt.datetime | None = None) -> DataFrame:
     """One audit row per (stage name, rule result)."""
@@ -164,7 +203,7 @@ def audit_frame(spark: SparkSession, entries: Iterable[tuple[str, RuleResult]],
         ok = res.ok
         rows.append((stage, ",".join(res.rule_ids), res.valid_params is True, bool(res.rule_validity),
                      "ok" if ok else "rejected", res.message,
-                     str(res.value) if res.has_value else res.query, when))
+                     _audit_text(res), when))
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
 
@@ -187,10 +226,10 @@ def stage_audit(spark: SparkSession, run, stage_names: Sequence[str]) -> DataFra
     for i, name in enumerate(stage_names):
         res = run.results[i] if i < len(run.results) else None
         if res is None:
-            meta = (name, "", "skipped", "an earlier stage was rejected", "")
+            meta = (name, "", "skipped", "an earlier stage was rejected or produced no table", "")
         else:
-            ok = res.ok and res.df is not None
-            meta = (name, ",".join(res.rule_ids), "ok" if ok else "rejected", res.message, res.query)
+            status = ("ok" if res.df is not None else "no output") if res.ok else "rejected"
+            meta = (name, ",".join(res.rule_ids), status, res.message, res.query)
         cols = [F.lit(v).alias(k) for v, k in zip(meta, ("stage", "rule_id", "status", "message", "query"))]
         if res is not None and meta[2] == "ok":
             parts.append(res.df.agg(F.count(F.lit(1)).alias("rows_out")).select(*cols, "rows_out"))

@@ -87,6 +87,8 @@ class Rule:
     conditions: tuple[Condition, ...] = field(default_factory=tuple)
     then_field: str = ""
     then_value: str = ""
+    doc: str = ""        # source document key ...
+    doc_pos: int = 0     # ... and position in it (catalog_df's doc, rule_pos)
 
     @property
     def is_goto(self) -> bool:
@@ -243,7 +245,8 @@ class RuleSet:
                                   operator=_blank(c["operator"]), field_value=c["field_value"],
                                   join=_blank(c["join"]), lookup_value=c["lookup_value"])
                         for c in r["conds"]),
-                    then_field=_blank(r["field_name"]), then_value=_blank(r["field_value"])))
+                    then_field=_blank(r["field_name"]), then_value=_blank(r["field_value"]),
+                    doc=r["doc"] or "", doc_pos=r["rule_pos"]))
             self._rules = out
         return self._rules
 

@@ -140,3 +140,42 @@ def test_transformation_text_is_runnable(spark, atm):
     res = run_rule(rs, atm, rule_id="t", process="identification", process_key="transformation",
                    table_name="atm_transactions", as_of=AS_OF)
     assert sorted(tuple(r) for r in spark.sql(res.query).collect()) == sorted(tuple(r) for r in res.df.collect())
+
+
+def test_validation_agrees_with_resolution(spark):
+    rs = RuleSet.from_rules(spark, [
+        rule("to_value", [cond("a", ">", "1")], ("goto", "v")),
+        rule("v", [{"lookup_value": '{"k": "1"}'}], process_key="value_lookup"),
+        rule("cyc_a", [cond("a", ">", "1")], ("goto", "cyc_b")),
+        rule("cyc_b", [cond("a", ">", "2")], ("goto", "cyc_a")),
+        rule("head", [cond("a", ">", "1")], ("goto", "tail")),
+        rule("tail", [cond("a", ">", "1"), cond("b", "<", "2")]),          # goto target: empty join is AND
+        rule("or_goto", [cond("a", ">", "1", "OR")], ("goto", "tail")),
+        rule("g", [{"lookup_value": " where x > 1"}], process="filtration", process_key="groupby_lookup"),
+        rule("t", [{"field_name": "a + 1"}], ("", ""), process_key="transformation"),
+        rule("v2", [{"lookup_value": '{"k": "1"}'}, {"field_name": "x"}], process_key="value_lookup"),
+    ])
+    rep = {r.id: r.issues for r in rule_validation(rs, AS_OF).collect()}
+    assert any("query_builder" in i for i in rep["to_value"])
+    assert any("cycle" in i for i in rep["cyc_a"])
+    assert rep["head"] == [] and rep["tail"] == [] and rep["v2"] == []
+    assert any("trailing OR" in i for i in rep["or_goto"])
+    assert any("group by" in i for i in rep["g"])
+    assert any("transformation needs" in i for i in rep["t"])
+
+
+def test_stage_without_table_output_stops_the_run(spark, current_rules, atm):
+    from ruleforge.operators.stages import Stage, run_stages
+    from ruleforge.operators.validation import stage_audit
+    run = run_stages(current_rules, atm, [Stage("rule_2", "identification", "value_lookup", "true",
+                                                options={"value_key": "flag"}),
+                                          Stage("rule_4", "identification", "query_builder", "false")],
+                     as_of=AS_OF)
+    assert run.df is None and not run.ok
+    rows = [(r.stage, r.status) for r in stage_audit(spark, run, ["v", "b"]).collect()]
+    assert rows == [("v", "no output"), ("b", "skipped")]
+    audit = audit_frame(spark, [("v", run.results[0])]).first()
+    assert audit.query == "pass"
+    every = run_rule(current_rules, None, rule_id="rule_2", process="identification",
+                     process_key="value_lookup", as_of=AS_OF)
+    assert audit_frame(spark, [("all", every)]).first().query == '[["check_cheque_transaction", "yes"], ["flag", "pass"]]'
