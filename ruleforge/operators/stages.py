@@ -37,7 +37,7 @@ class StagedRun:
 
     @property
     def ok(self) -> bool:
-        return self.df is not None and all(r.ok for r in self.results)
+        return all(r.ok for r in self.results) and (self.df is not None or not self.results)
 
 
 def run_stages(rules: RuleSet, table: DataFrame | str, stages: Sequence[Stage], *,

@@ -77,12 +77,6 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
     )
 
     goto_targets = sorted({r.then_value for r in rules.rules() if r.is_goto and r.then_value})
-    # goto targets that no rule carries
-    ids = cat.select(F.col("id").alias("target_id")).distinct()
-    gotos = cat.where(F.col("field_name") == "goto").select(*key, F.col("field_value").alias("target_id"))
-    missing = (gotos.join(ids, "target_id", "left_anti")
-               .select(*key, F.format_string("goto target %s is not configured", "target_id").alias("issue")))
-
     conds = (rules.conditions_df(outer=False)
              .select(*key, "cond_pos", *[F.coalesce(F.col(c), F.lit("")).alias(c)
                                          for c in ("field_name", "operator", "join")],
@@ -102,6 +96,9 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
                    "condition %d: join %s must be AND, OR or empty", pos, F.col("join")),
             _issue(is_builder & (join_u == "") & (F.col("cond_pos") < n - 1) & ~F.col("is_target"),
                    "condition %d has no join before condition %d", pos, pos + 1),
+            _issue(is_builder & (join_u == "") & (F.col("cond_pos") < n - 1) & F.col("is_target"),
+                   "condition %d has no join before condition %d: fine inside a goto chain (AND), "
+                   "rejected when the rule is called directly", pos, pos + 1),
             _issue(is_builder & (F.col("then_field") == "goto") & (join_u == "OR") & (F.col("cond_pos") == n - 1),
                    "condition %d: a trailing OR cannot lead into a goto", pos),
             _issue(is_builder & F.col("field_value").isNull(), "condition %d has no field_value", pos),
@@ -117,7 +114,7 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
         )).alias("issue"),
     ).where(F.col("issue").isNotNull())
 
-    extra = (cond_issues.unionByName(missing).unionByName(_resolution_issues(rules, as_of))
+    extra = (cond_issues.unionByName(_resolution_issues(rules, as_of))
              .groupBy(*key).agg(F.array_sort(F.collect_list("issue")).alias("more")))
     out = (header.join(extra, key, "left")
            .select("doc", "rule_pos", "id", "process", "process_key", "active",
