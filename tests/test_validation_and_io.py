@@ -181,3 +181,14 @@ def test_stage_without_table_output_stops_the_run(spark, current_rules, atm):
     every = run_rule(current_rules, None, rule_id="rule_2", process="identification",
                      process_key="value_lookup", as_of=AS_OF)
     assert audit_frame(spark, [("all", every)]).first().query == '[["check_cheque_transaction", "yes"], ["flag", "pass"]]'
+
+
+def test_elapsed_minutes_ignore_session_zone_and_dst(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(1, "2024-03-10 01:30:00"), (1, "2024-03-10 03:30:00")], "g int, t string") \
+            .selectExpr("g", "to_timestamp_ntz(t) as ts")
+        assert time_span(df, ["g"], "ts").first().time_diff == 120.0  # wall-clock minutes
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
