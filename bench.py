@@ -71,39 +71,43 @@ def main() -> None:
     headline = round(sum(results.values()), 4)
 
     scale: dict[str, float] = {}
-    lineitem = table(spark, SF_DIR, "lineitem")
-    keys = ["l_orderkey", "l_linenumber"]
-    for n in (5, 50, 200):
-        rs = RuleSet.from_rules(spark, generated_rules(n))
-        batch = compile_rules(rs, lineitem, as_of=AS_OF)
-        # local tables are single-row-group files: spread many-rule work over the cores
-        spread = n >= 32
-        scale[f"hits_{n}_rules_one_scan"] = timed(lambda b=batch, s=spread: rule_hits(lineitem, b, keys, spread=s),
-                                                  SCALE_REPEAT)
-        scale[f"counts_{n}_rules_count_if"] = timed(lambda b=batch: rule_hit_counts(lineitem, b), SCALE_REPEAT)
-
-        def per_rule(b=batch):
-            for _, p in b.compiled:
-                materialise(lineitem.where(p.column).select(*keys))
-        materialise(lineitem.select(*keys))
-        t0 = time.perf_counter()
-        per_rule()
-        scale[f"hits_{n}_rules_one_query_each"] = round(time.perf_counter() - t0, 4)
-    for n in (200, 1000):
-        rs = RuleSet.from_rules(spark, generated_rules(n))
-        thr = threshold_rules(rs, lineitem, as_of=AS_OF)
-        scale[f"rules_as_data_{n}_rules"] = timed(
-            lambda t=thr: rules_as_data_hits(lineitem, t, keys, spread=True), SCALE_REPEAT)
-        scale[f"interval_counts_{n}_rules"] = timed(lambda t=thr: threshold_hit_counts(lineitem, t),
-                                                    SCALE_REPEAT)
-        if n == 1000:
+    errors: dict[str, str] = {}
+    try:
+        lineitem = table(spark, SF_DIR, "lineitem")
+        keys = ["l_orderkey", "l_linenumber"]
+        for n in (5, 50, 200):
+            rs = RuleSet.from_rules(spark, generated_rules(n))
             batch = compile_rules(rs, lineitem, as_of=AS_OF)
-            scale[f"counts_{n}_rules_count_if"] = timed(lambda b=batch: rule_hit_counts(lineitem, b),
+            # local tables are single-row-group files: spread many-rule work over the cores
+            spread = n >= 32
+            scale[f"hits_{n}_rules_one_scan"] = timed(lambda b=batch, s=spread: rule_hits(lineitem, b, keys, spread=s),
+                                                      SCALE_REPEAT)
+            scale[f"counts_{n}_rules_count_if"] = timed(lambda b=batch: rule_hit_counts(lineitem, b), SCALE_REPEAT)
+
+            def per_rule(b=batch):
+                for _, p in b.compiled:
+                    materialise(lineitem.where(p.column).select(*keys))
+            materialise(lineitem.select(*keys))
+            t0 = time.perf_counter()
+            per_rule()
+            scale[f"hits_{n}_rules_one_query_each"] = round(time.perf_counter() - t0, 4)
+        for n in (200, 1000):
+            rs = RuleSet.from_rules(spark, generated_rules(n))
+            thr = threshold_rules(rs, lineitem, as_of=AS_OF)
+            scale[f"rules_as_data_{n}_rules"] = timed(
+                lambda t=thr: rules_as_data_hits(lineitem, t, keys, spread=True), SCALE_REPEAT)
+            scale[f"interval_counts_{n}_rules"] = timed(lambda t=thr: threshold_hit_counts(lineitem, t),
                                                         SCALE_REPEAT)
+            if n == 1000:
+                batch = compile_rules(rs, lineitem, as_of=AS_OF)
+                scale[f"counts_{n}_rules_count_if"] = timed(lambda b=batch: rule_hit_counts(lineitem, b),
+                                                            SCALE_REPEAT)
+    except Exception as e:  # noqa: BLE001 - still print the headline numbers
+        errors["scale"] = f"{type(e).__name__}: {e}"[:500]
     spark.stop()
     print(json.dumps({"metric": "sum_of_median_query_sec", "value": headline, "unit": "sec",
                       "queries": results, "scale": scale, "sf": os.path.basename(SF_DIR.rstrip("/")),
-                      "cpus": int(CPUS), "repeat": REPEAT}))
+                      "cpus": int(CPUS), "repeat": REPEAT, **({"errors": errors} if errors else {})}))
 
 
 if __name__ == "__main__":
