@@ -340,17 +340,9 @@ class CompiledPredicate:
         return self.where_text
 
 
-def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = False,
-                  extra: Sequence[Condition] = (), first_is_target: bool = False,
-                  known_types: dict[str, T.DataType] | None = None) -> CompiledPredicate:
-    """Compile a query-builder rule and its goto targets into one predicate.
-
-    ``links[0]`` is the rule that was called (or, with ``first_is_target``,
-    the first rule a conditional jumped to); later links are goto targets.
-    Inside goto targets an empty join between two conditions means AND; in
-    the called rule it is a configuration error. ``extra`` conditions (a
-    conditional rule's gate) are ANDed in front.
-    """
+def _flatten(links: Sequence[Rule], extra: Sequence[Condition], first_is_target: bool,
+             ) -> tuple[list[tuple[Condition, str, int]], list]:
+    """Conditions of the chain in order with the connective after each."""
     if not links:
         raise RuleConfigError("nothing to compile")
     flat: list[tuple[Condition, str, int]] = []  # (condition, connective after it, link index)
@@ -377,22 +369,10 @@ def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = Fals
                     conn = ""  # trailing join on the final condition is ignored
             flat.append((cond, conn, li))
 
-    types = operand_types(df, [c.field_name for c, _, _ in flat], known_types)
-    columns = [condition_column(c, t) for (c, _, _), t in zip(flat, types)]
+    return flat, gate_link
 
-    n_gate = len(extra)
-    gate_cols, columns = columns[:n_gate], columns[n_gate:]
-    body = flat[n_gate:]
-    if group_links:
-        per_link: dict[int, list[tuple[Column, str]]] = {}
-        for col, (_, conn, li) in zip(columns, body):
-            per_link.setdefault(li, []).append((col, conn))
-        column = reduce(op.and_, [fold_precedence(v) for _, v in sorted(per_link.items())])
-    else:
-        column = fold_precedence([(col, conn) for col, (_, conn, _) in zip(columns, body)])
-    if gate_cols:  # the gate guards the whole chain, not just its first OR-group
-        column = reduce(op.and_, gate_cols) & column
 
+def _render(flat: list[tuple[Condition, str, int]], n_gate: int, group_links: bool) -> str:
     text = " where"
     joined_prev = False
     for idx, (cond, conn, li) in enumerate(flat):
@@ -411,5 +391,45 @@ def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = Fals
             text += "  {}".format(raw_join)
     if n_gate and not group_links:
         text += " )"
+    return text
+
+
+def chain_text(links: Sequence[Rule], group_links: bool = False, extra: Sequence[Condition] = (),
+               first_is_target: bool = False) -> str:
+    """Only the " where ..." text of a chain (no table needed: literals are
+    rendered, not typed)."""
+    flat, _ = _flatten(links, extra, first_is_target)
+    return _render(flat, len(extra), group_links)
+
+
+def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = False,
+                  extra: Sequence[Condition] = (), first_is_target: bool = False,
+                  known_types: dict[str, T.DataType] | None = None) -> CompiledPredicate:
+    """Compile a query-builder rule and its goto targets into one predicate.
+
+    ``links[0]`` is the rule that was called (or, with ``first_is_target``,
+    the first rule a conditional jumped to); later links are goto targets.
+    Inside goto targets an empty join between two conditions means AND; in
+    the called rule it is a configuration error. ``extra`` conditions (a
+    conditional rule's gate) are ANDed in front.
+    """
+    flat, gate_link = _flatten(links, extra, first_is_target)
+    types = operand_types(df, [c.field_name for c, _, _ in flat], known_types)
+    columns = [condition_column(c, t) for (c, _, _), t in zip(flat, types)]
+
+    n_gate = len(extra)
+    gate_cols, columns = columns[:n_gate], columns[n_gate:]
+    body = flat[n_gate:]
+    if group_links:
+        per_link: dict[int, list[tuple[Column, str]]] = {}
+        for col, (_, conn, li) in zip(columns, body):
+            per_link.setdefault(li, []).append((col, conn))
+        column = reduce(op.and_, [fold_precedence(v) for _, v in sorted(per_link.items())])
+    else:
+        column = fold_precedence([(col, conn) for col, (_, conn, _) in zip(columns, body)])
+    if gate_cols:  # the gate guards the whole chain, not just its first OR-group
+        column = reduce(op.and_, gate_cols) & column
+
+    text = _render(flat, n_gate, group_links)
     return CompiledPredicate(column=column, where_text=text,
                              rule_ids=tuple(r.id for r in links))

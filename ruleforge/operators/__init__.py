@@ -1,5 +1,5 @@
 """DataFrame operators built from rules."""
 
-from .evaluate import RuleResult, run_rule
+from .evaluate import RuleResult, call_rule, run_rule
 
-__all__ = ["RuleResult", "run_rule"]
+__all__ = ["RuleResult", "call_rule", "run_rule"]

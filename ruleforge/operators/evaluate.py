@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..errors import RuleConfigError
 from ..functions.json_lookup import parse_lookup_text
-from ..functions.predicates import CompiledPredicate, compile_chain, typed_value
+from ..functions.predicates import CompiledPredicate, chain_text, compile_chain, typed_value
 from ..plans import resolution as R
 from ..sources.ruleset import Condition, Rule, RuleSet
 
@@ -216,8 +216,12 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
             return _groupby_lookup(spark, df, rule, apply, table_name, aggregates)
         if key == "transformation":
             return _transformation(df, rule, apply, table_name)
-        if df is None:
-            raise RuleConfigError("a query_builder or conditional rule needs a table to type its literals")
+        if df is None:  # no table: hand back the predicate text only (nothing to type literals against)
+            conditional = key == "conditional"
+            extra = gate_conditions(rule) if gate and conditional else ()
+            text = chain_text(res.links, group_links, extra, first_is_target=conditional)
+            return RuleResult(True, True, res.message, query=text,
+                              rule_ids=tuple(r.id for r in res.links))
         compiled = compile_rule(df, res, gate=gate, group_links=group_links)
     except RuleConfigError as e:
         return _reject(str(e), rule)
@@ -355,3 +359,19 @@ def _transformation(df, rule, apply, table_name) -> RuleResult:
     query = f" select {select_list} from {table_name or '{t}'} "
     return RuleResult(True, True, "Successfully returning the transformed table", query=query,
                       df=out, predicate=None, rule_ids=(rule.id,))
+
+
+def call_rule(rules: RuleSet, process: str, process_key: str, rule_id: str, lookup, value_key: str | None,
+              table_name: str | None, dataframes=None, apply_query: bool = True,
+              as_of: dt.date | None = None):
+    """The positional calling shape of a rule call, answered with the
+    5-tuple ``(valid_params, rule_validity, message, query_or_value, df)``.
+
+    ``table_name`` names a registered view (or is empty for text only);
+    ``dataframes`` is accepted for callers that pass it and not used.
+    """
+    table = table_name if table_name and table_name.strip() else None
+    res = run_rule(rules, table, rule_id=rule_id, process=process, process_key=process_key,
+                   is_lookup=lookup, value_key=value_key, as_of=as_of,
+                   apply=bool(apply_query and table), table_name=table_name)
+    return res.as_tuple()

@@ -99,3 +99,22 @@ def test_staged_run_checkpoints_between_stages(current_rules, atm):
         Stage("rule_3", "identification", "query_builder", "false"),
     ], as_of=AS_OF, checkpoint_between=True)
     assert keys(run.df) == TOTAL_LARGE
+
+
+def test_positional_call_shape(current_rules, atm):
+    from ruleforge import call_rule
+    valid, ok, msg, query, df = call_rule(current_rules, "filtration", "query_lookup", "rule_1", "true", "",
+                                          "atm_transactions", [atm], True, as_of=AS_OF)
+    assert (valid, ok, msg) == (True, True, "Successfully returning the lookup query") and df.count() == 7
+    df.createOrReplaceTempView("atm_filtered")
+    out = call_rule(current_rules, "identification", "value_lookup", "rule_2", "true",
+                    "check_cheque_transaction", "", [atm], False, as_of=AS_OF)
+    assert out == (True, True, "Successfully returning the lookup value <yes> for the value key "
+                   "<check_cheque_transaction>.", "yes", None)
+    _, _, _, text, res = call_rule(current_rules, "identification", "conditional", "rule_5", "true", "",
+                                   "atm_filtered", [atm], True, as_of=AS_OF)
+    assert text == " select * from atm_filtered  where transaction_total_amount - cheque_amount >= 10000"
+    assert keys(res) == NET_LARGE
+    _, _, _, fragment, none = call_rule(current_rules, "identification", "query_builder", "rule_4", "false", "",
+                                        "", [atm], True, as_of=AS_OF)
+    assert fragment == " where transaction_total_amount - cheque_amount >= 10000" and none is None
