@@ -217,9 +217,19 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
         if key == "transformation":
             return _transformation(df, rule, apply, table_name)
         if df is None:  # no table: hand back the predicate text only (nothing to type literals against)
+            if mode not in ("filter", "flag"):
+                raise ValueError(f"mode must be 'filter' or 'flag', not {mode!r}")
             conditional = key == "conditional"
             extra = gate_conditions(rule) if gate and conditional else ()
             text = chain_text(res.links, group_links, extra, first_is_target=conditional)
+            if mode == "flag":
+                last = res.links[-1]
+                if not last.then_field or last.is_goto:
+                    raise RuleConfigError(f"Rule {last.id} has no outcome column to flag")
+                value_text = "'" + last.then_value.replace("'", "''") + "'"
+                text = f" case when {text[len(' where'):].strip()} then {value_text} end"
+            if order_by:
+                text += " order by " + ", ".join(order_by)
             return RuleResult(True, True, res.message, query=text,
                               rule_ids=tuple(r.id for r in res.links))
         compiled = compile_rule(df, res, gate=gate, group_links=group_links)

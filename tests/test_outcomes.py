@@ -394,3 +394,15 @@ def test_value_and_conditional_payloads(spark):
     c = run_rule(rs, "no_such_table", rule_id="c", process="identification", process_key="conditional",
                  as_of=AS_OF)
     assert c.as_tuple()[:4] == (False, True, "Conditional process without proper condition setup.", '{"x": "y"}')
+
+
+def test_text_only_calls_honour_mode_and_order(current_rules):
+    flag = run_rule(current_rules, None, rule_id="rule_4", process="identification", process_key="query_builder",
+                    as_of=AS_OF, mode="flag")
+    assert flag.query == " case when transaction_total_amount - cheque_amount >= 10000 then 'true' end"
+    ordered = run_rule(current_rules, None, rule_id="rule_3", process="identification",
+                       process_key="query_builder", as_of=AS_OF, order_by=["id"])
+    assert ordered.query == " where transaction_total_amount >= 10000 order by id"
+    with pytest.raises(ValueError):
+        run_rule(current_rules, None, rule_id="rule_3", process="identification", process_key="query_builder",
+                 as_of=AS_OF, mode="bogus")
