@@ -322,6 +322,8 @@ def threshold_hit_counts(df: DataFrame, thresholds: ThresholdSet | Sequence[Thre
         grid = spark.createDataFrame(
             [(f, k) for f in fields for k in range(len(bounds[f]) + 1)], "field_name string, k int")
         w = Window.partitionBy("field_name").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+        # hist has at most sum(len(bounds[f]) + 1) rows (<= MAX_BOUNDARIES_PER_PASS + fields per pass):
+        # bounded by the rule set, never by the data
         prefix = (grid.join(F.broadcast(hist), ["field_name", "k"], "left")
                   .select("field_name", "k", F.coalesce("n", F.lit(0)).alias("n"))
                   .withColumn("cum", F.sum("n").over(w))
