@@ -187,6 +187,8 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
     the rule's outcome column instead of filtering. ``aggregates`` (alias ->
     SQL expression) are computed per group for ``groupby_lookup`` rules.
     """
+    if mode not in ("filter", "flag"):
+        raise ValueError(f"mode must be 'filter' or 'flag', not {mode!r}")
     if is_lookup is None:
         is_lookup = process_key.strip() in R.LOOKUP_KEYS
     res = R.resolve(rules, process, process_key, rule_id, is_lookup, as_of)
@@ -213,23 +215,14 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
         if key == "query_lookup":
             return _query_lookup(spark, df, rule, apply, table_name, order_by)
         if key == "groupby_lookup":
-            return _groupby_lookup(spark, df, rule, apply, table_name, aggregates)
+            return _groupby_lookup(spark, df, rule, apply, table_name, aggregates, order_by)
         if key == "transformation":
-            return _transformation(df, rule, apply, table_name)
-        if df is None:  # no table: hand back the predicate text only (nothing to type literals against)
-            if mode not in ("filter", "flag"):
-                raise ValueError(f"mode must be 'filter' or 'flag', not {mode!r}")
+            return _transformation(df, rule, apply, table_name, order_by)
+        if df is None:  # no table: hand back the text only (nothing to type literals against)
             conditional = key == "conditional"
             extra = gate_conditions(rule) if gate and conditional else ()
-            text = chain_text(res.links, group_links, extra, first_is_target=conditional)
-            if mode == "flag":
-                last = res.links[-1]
-                if not last.then_field or last.is_goto:
-                    raise RuleConfigError(f"Rule {last.id} has no outcome column to flag")
-                value_text = "'" + last.then_value.replace("'", "''") + "'"
-                text = f" case when {text[len(' where'):].strip()} then {value_text} end"
-            if order_by:
-                text += " order by " + ", ".join(order_by)
+            where = chain_text(res.links, group_links, extra, first_is_target=conditional)
+            text = _builder_text(where, res, None, table_name, mode, order_by)
             return RuleResult(True, True, res.message, query=text,
                               rule_ids=tuple(r.id for r in res.links))
         compiled = compile_rule(df, res, gate=gate, group_links=group_links)
@@ -249,40 +242,72 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
                       predicate=compiled.column, rule_ids=compiled.rule_ids)
 
 
+def _outcome(res: R.Resolution) -> Rule:
+    last = res.links[-1]
+    if not last.then_field or last.is_goto:
+        raise RuleConfigError(f"Rule {last.id} has no outcome column to flag")
+    return last
+
+
+def _builder_text(where: str, res: R.Resolution, df: DataFrame | None, table_name: str | None,
+                  mode: str, order_by: Sequence[str] | None) -> str:
+    """Query text of a builder / conditional rule, the same with or without
+    a table and whether or not it is applied."""
+    if mode == "flag":
+        last = _outcome(res)
+        value_text = "'" + last.then_value.replace("'", "''") + "'"
+        pred_text = where[len(" where"):].strip()
+        existing = _existing_column(df, last.then_field) if df is not None else None
+        if existing is not None:  # keep what earlier rules wrote
+            flag_text = f"case when {pred_text} then {value_text} else {_quote(existing)} end"
+        else:
+            flag_text = f"case when {pred_text} then {value_text} end"
+        if not table_name:
+            text = " " + flag_text
+        elif df is not None:
+            text = " select {} from {} ".format(_projection_text(df, last.then_field, flag_text), table_name)
+        else:
+            text = " select *, {} as {} from {} ".format(flag_text, _quote(last.then_field), table_name)
+    else:
+        text = " select * from {} ".format(table_name) + where if table_name else where
+    if order_by:
+        text += " order by " + ", ".join(order_by)
+    return text
+
+
 def _apply(df, res, rule, compiled, apply, table_name, mode, order_by):
-    """The rule's output DataFrame (analysed) and its query text."""
-    query = compiled.query_text(table_name)
+    """The rule's output DataFrame (analysed, when applied) and its query text."""
+    query = _builder_text(compiled.where_text, res, df, table_name, mode, order_by)
     out = None
-    if apply and df is not None:
-        if mode == "flag":
-            last = res.links[-1]
-            if not last.then_field or last.is_goto:
-                raise RuleConfigError(f"Rule {last.id} has no outcome column to flag")
-            existing = _existing_column(df, last.then_field)
-            value = (typed_value(last.then_value, df.schema[existing].dataType, existing)
-                     if existing is not None else F.lit(last.then_value))
-            flag = F.when(compiled.column, value)
-            value_text = "'" + last.then_value.replace("'", "''") + "'"
-            pred_text = compiled.where_text[len(" where"):].strip()
-            if existing is not None:  # keep what earlier rules wrote
-                flag = flag.otherwise(F.col(existing))
-                flag_text = f"case when {pred_text} then {value_text} else {_quote(existing)} end"
-            else:
-                flag_text = f"case when {pred_text} then {value_text} end"
+    if mode == "flag":
+        last = _outcome(res)
+        existing = _existing_column(df, last.then_field)
+        value = (typed_value(last.then_value, df.schema[existing].dataType, existing)
+                 if existing is not None else F.lit(last.then_value))
+        flag = F.when(compiled.column, value)
+        if existing is not None:
+            flag = flag.otherwise(F.col(existing))
+        if apply:
             out = df.withColumn(last.then_field, flag)
-            query = " select {} from {} ".format(_projection_text(df, last.then_field, flag_text),
-                                                table_name) if table_name else " " + flag_text
-        elif mode == "filter":
-            out = df.where(compiled.column)
-        else:
-            raise ValueError(f"mode must be 'filter' or 'flag', not {mode!r}")
+    elif apply:
+        out = df.where(compiled.column)
+    if out is not None:
         if order_by:
             out = ordered(out, order_by)
-            query += " order by " + ", ".join(order_by)
         out.schema  # analyse now (lazy plans, e.g. streaming)
     return query, out
 
 
+def _ordered_text(query: str, table_name: str | None, order_by: Sequence[str] | None) -> str:
+    """Add ``order by`` to a stored or projected statement: as a subquery
+    when it is a full statement (it may end in its own limit / comment)."""
+    if not order_by:
+        return query
+    if table_name:
+        return " select * from ({}\n) order by {}".format(query.strip(), ", ".join(order_by))
+    return query + "\n order by " + ", ".join(order_by)
+
+
 def ordered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sort by ``keys`` (SQL sort items: ``col``, ``col desc``, ``... nulls
     last``); the remaining columns break ties so that a key shared by very
@@ -319,18 +344,15 @@ def _query_lookup(spark, df, rule, apply, table_name, order_by) -> RuleResult:
         raise RuleConfigError(f"Rule {rule.id} has no lookup query")
     tail = tail.strip()
     out = None
-    query = _with_table(tail, table_name)
+    query = _ordered_text(_with_table(tail, table_name), table_name, order_by)
     if apply and df is not None:
         out = spark.sql("select * from {t} " + _escape_braces(tail), t=df)
         if order_by:
             out = ordered(out, order_by)
-            # wrap: the stored tail may end in its own limit / order by / comment
-            query = (" select * from ({}\n) order by {}".format(query.strip(), ", ".join(order_by))
-                     if table_name else query + "\n order by " + ", ".join(order_by))
     return RuleResult(True, True, R.MSG_QUERY_LOOKUP, query=query, df=out, rule_ids=(rule.id,))
 
 
-def _groupby_lookup(spark, df, rule, apply, table_name, aggregates) -> RuleResult:
+def _groupby_lookup(spark, df, rule, apply, table_name, aggregates, order_by=None) -> RuleResult:
     tail = (_first_lookup(rule) or "").strip()
     keys = grouping_keys(tail)
     if keys is None:
@@ -347,12 +369,15 @@ def _groupby_lookup(spark, df, rule, apply, table_name, aggregates) -> RuleResul
     select_list = ", ".join([keys] + [f"{expr} AS {_quote(name)}" for name, expr in aggs.items()])
     sql = f"select {_escape_braces(select_list)} from {{t}} " + _escape_braces(tail)
     out = spark.sql(sql, t=df) if apply and df is not None else None
+    if out is not None and order_by:
+        out = ordered(out, order_by)
     query = (f" select {select_list} from {table_name} " + tail) if table_name else tail
+    query = _ordered_text(query, table_name, order_by)
     return RuleResult(True, True, "Successfully returning the grouped query", query=query,
                       df=out, rule_ids=(rule.id,))
 
 
-def _transformation(df, rule, apply, table_name) -> RuleResult:
+def _transformation(df, rule, apply, table_name, order_by=None) -> RuleResult:
     target = rule.then_field
     expr = rule.conditions[0].field_name if rule.conditions else ""
     if not target or not expr:
@@ -361,12 +386,16 @@ def _transformation(df, rule, apply, table_name) -> RuleResult:
     column = F.expr(expr)
     out = df.withColumn(target, column) if apply and df is not None else None
     if out is not None:
+        if order_by:
+            out = ordered(out, order_by)
         out.schema  # analyse now so a bad expression is reported as a rule error
     if df is not None:
         select_list = _projection_text(df, target, expr)
     else:
         select_list = f"*, {expr} as {_quote(target)}"
-    query = f" select {select_list} from {table_name or '{t}'} "
+    query = (f" select {select_list} from {table_name} " if table_name
+             else f" {expr} as {_quote(target)}")
+    query = _ordered_text(query, table_name, order_by)
     return RuleResult(True, True, "Successfully returning the transformed table", query=query,
                       df=out, predicate=None, rule_ids=(rule.id,))
 

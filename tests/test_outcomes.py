@@ -406,3 +406,20 @@ def test_text_only_calls_honour_mode_and_order(current_rules):
     with pytest.raises(ValueError):
         run_rule(current_rules, None, rule_id="rule_3", process="identification", process_key="query_builder",
                  as_of=AS_OF, mode="bogus")
+
+
+def test_texts_agree_with_and_without_table(spark, current_rules, atm):
+    kw = dict(rule_id="rule_4", process="identification", process_key="query_builder", as_of=AS_OF,
+              table_name="atm_filtered", order_by=["id"])
+    no_table = run_rule(current_rules, None, **kw)
+    not_applied = run_rule(current_rules, atm, apply=False, **kw)
+    applied = run_rule(current_rules, atm, **kw)
+    assert no_table.query == not_applied.query == applied.query == \
+        " select * from atm_filtered  where transaction_total_amount - cheque_amount >= 10000 order by id"
+    flag_text = run_rule(current_rules, atm, apply=False, mode="flag", **kw).query
+    assert flag_text.startswith(" select `session_id`") and "case when" in flag_text and flag_text.endswith("order by id")
+    rules = [rule("g", [{"lookup_value": " group by session_id"}], process="filtration", process_key="groupby_lookup")]
+    grouped = _call(spark, rules, atm, "g", process="filtration", process_key="groupby_lookup",
+                    table_name="atm_transactions", order_by=["session_id desc"])
+    assert [r.session_id for r in grouped.df.collect()] == [9, 8, 7, 6, 5]
+    assert sorted(tuple(r) for r in spark.sql(grouped.query).collect()) == sorted(tuple(r) for r in grouped.df.collect())
