@@ -189,6 +189,7 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
     """
     if mode not in ("filter", "flag"):
         raise ValueError(f"mode must be 'filter' or 'flag', not {mode!r}")
+    table_name = table_name.strip() if table_name and table_name.strip() else None
     if is_lookup is None:
         is_lookup = process_key.strip() in R.LOOKUP_KEYS
     res = R.resolve(rules, process, process_key, rule_id, is_lookup, as_of)
@@ -393,8 +394,7 @@ def _transformation(df, rule, apply, table_name, order_by=None) -> RuleResult:
         select_list = _projection_text(df, target, expr)
     else:
         select_list = f"*, {expr} as {_quote(target)}"
-    query = (f" select {select_list} from {table_name} " if table_name
-             else f" {expr} as {_quote(target)}")
+    query = f" select {select_list} from {table_name} " if table_name else f" {select_list}"
     query = _ordered_text(query, table_name, order_by)
     return RuleResult(True, True, "Successfully returning the transformed table", query=query,
                       df=out, predicate=None, rule_ids=(rule.id,))

@@ -423,3 +423,10 @@ def test_texts_agree_with_and_without_table(spark, current_rules, atm):
                     table_name="atm_transactions", order_by=["session_id desc"])
     assert [r.session_id for r in grouped.df.collect()] == [9, 8, 7, 6, 5]
     assert sorted(tuple(r) for r in spark.sql(grouped.query).collect()) == sorted(tuple(r) for r in grouped.df.collect())
+
+
+def test_blank_table_name_means_text_only(current_rules):
+    from ruleforge import call_rule
+    out = call_rule(current_rules, "identification", "query_builder", "rule_3", "false", "", "   ", None, True,
+                    as_of=AS_OF)
+    assert out[3] == " where transaction_total_amount >= 10000" and out[4] is None
