@@ -36,6 +36,7 @@ class RuleResult:
     predicate: Column | None = None
     rule_ids: tuple[str, ...] = field(default_factory=tuple)
     has_value: bool = False  # a looked-up value (possibly None) rather than query text
+    applied_as: str | None = None  # "filter" / "flag" for builder and conditional results
 
     @property
     def ok(self) -> bool:
@@ -240,7 +241,7 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
         # an aggregate / window / generator operand: a rule error, not a crash later
         return _reject(f"Rule {rule.id}: {str(e).splitlines()[0]}", rule)
     return RuleResult(True, True, res.message, query=query, df=out,
-                      predicate=compiled.column, rule_ids=compiled.rule_ids)
+                      predicate=compiled.column, rule_ids=compiled.rule_ids, applied_as=mode)
 
 
 def _outcome(res: R.Resolution) -> Rule:

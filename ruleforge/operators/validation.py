@@ -215,23 +215,52 @@ def stage_audit(spark: SparkSession, run, stage_names: Sequence[str]) -> DataFra
     """Audit of a staged run with each stage's output row count.
 
     One row per stage name: ``stage, rule_id, status, message, query,
-    rows_out``. Counts come from Spark (a union of one count per stage; each
-    branch is a scan with the stage's fused filters). A rejected stage has
-    no count, and stages after it are listed as ``skipped``.
+    rows_out``. A stage followed by plain filter stages is counted together
+    with them in one scan (``count_if`` of the accumulated predicates);
+    other stages get a count of their own. A rejected stage has no count,
+    and stages after it are listed as ``skipped``.
     """
-    parts = []
-    for i, name in enumerate(stage_names):
-        res = run.results[i] if i < len(run.results) else None
+    names = list(stage_names)
+    parts, i = [], 0
+
+    def meta(k):
+        res = run.results[k] if k < len(run.results) else None
         if res is None:
-            meta = (name, "", "skipped", "an earlier stage was rejected or produced no table", "")
-        else:
-            status = ("ok" if res.df is not None else "no output") if res.ok else "rejected"
-            meta = (name, ",".join(res.rule_ids), status, res.message, res.query)
-        cols = [F.lit(v).alias(k) for v, k in zip(meta, ("stage", "rule_id", "status", "message", "query"))]
-        if res is not None and meta[2] == "ok":
-            parts.append(res.df.agg(F.count(F.lit(1)).alias("rows_out")).select(*cols, "rows_out"))
-        else:
-            parts.append(spark.range(1).select(*cols, F.lit(None).cast("bigint").alias("rows_out")))
+            return res, (names[k], "", "skipped", "an earlier stage was rejected or produced no table", "")
+        status = ("ok" if res.df is not None else "no output") if res.ok else "rejected"
+        return res, (names[k], ",".join(res.rule_ids), status, res.message, res.query)
+
+    def literal_row(m, count_col):
+        cols = [F.lit(v).alias(c) for v, c in zip(m, ("stage", "rule_id", "status", "message", "query"))]
+        return cols + [count_col.alias("rows_out")]
+
+    while i < len(names):
+        res, m = meta(i)
+        if res is None or m[2] != "ok":
+            parts.append(spark.range(1).select(*literal_row(m, F.lit(None).cast("bigint"))))
+            i += 1
+            continue
+        # this stage's output, plus every following plain filter stage, in one aggregate
+        group = [(m, None)]
+        preds = []
+        j = i + 1
+        while j < len(names):
+            nres, nm = meta(j)
+            if nres is None or nm[2] != "ok" or nres.applied_as != "filter" or nres.predicate is None:
+                break
+            preds.append(nres.predicate)
+            group.append((nm, list(preds)))
+            j += 1
+        aggs = [F.count(F.lit(1)).alias("c0")]
+        for k, (_, ps) in enumerate(group[1:], start=1):
+            cond = ps[0]
+            for p in ps[1:]:
+                cond = cond & p
+            aggs.append(F.count_if(cond).alias(f"c{k}"))
+        counts = res.df.agg(*aggs)
+        rows = F.array(*[F.struct(*literal_row(gm, F.col(f"c{k}"))) for k, (gm, _) in enumerate(group)])
+        parts.append(counts.select(F.inline(rows)))
+        i = j
     if not parts:
         return spark.createDataFrame([], STAGE_AUDIT_SCHEMA)
     out = parts[0]

@@ -192,3 +192,21 @@ def test_elapsed_minutes_ignore_session_zone_and_dst(spark):
         assert time_span(df, ["g"], "ts").first().time_diff == 120.0  # wall-clock minutes
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_stage_audit_counts_filter_chains_in_one_scan(spark, current_rules, atm):
+    from ruleforge.operators.stages import Stage, run_stages
+    from ruleforge.operators.validation import stage_audit
+    stages = [Stage("rule_1", "filtration", "query_lookup", "true"),
+              Stage("rule_3", "identification", "query_builder", "false"),
+              Stage("rule_4", "identification", "query_builder", "false")]
+    run = run_stages(current_rules, atm, stages, as_of=AS_OF)
+    audit = stage_audit(spark, run, ["f", "i3", "i4"])
+    assert [(r.stage, r.rows_out) for r in audit.collect()] == [("f", 7), ("i3", 5), ("i4", 3)]
+    plan = audit._jdf.queryExecution().sparkPlan().toString()   # physical plan before AQE wrapping
+    assert plan.count("FileScan") == 1
+    flagged = run_stages(current_rules, atm, [stages[0], Stage("rule_3", "identification", "query_builder",
+                                                               "false", options={"mode": "flag"}), stages[2]],
+                         as_of=AS_OF)
+    rows = [(r.stage, r.rows_out) for r in stage_audit(spark, flagged, ["f", "flag", "i4"]).collect()]
+    assert rows == [("f", 7), ("flag", 7), ("i4", 3)]
