@@ -12,6 +12,7 @@ import datetime as dt
 import json
 from typing import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -257,7 +258,16 @@ def stage_audit(spark: SparkSession, run, stage_names: Sequence[str]) -> DataFra
             for p in ps[1:]:
                 cond = cond & p
             aggs.append(F.count_if(cond).alias(f"c{k}"))
-        counts = res.df.agg(*aggs)
+        try:
+            counts = res.df.agg(*aggs)
+        except AnalysisException:
+            # e.g. a non-deterministic predicate (rand(), uuid()) cannot sit inside an
+            # aggregate: count each stage on its own output instead
+            for k in range(i, j):
+                kres, km = meta(k)
+                parts.append(kres.df.agg(F.count(F.lit(1)).alias("c")).select(*literal_row(km, F.col("c"))))
+            i = j
+            continue
         rows = F.array(*[F.struct(*literal_row(gm, F.col(f"c{k}"))) for k, (gm, _) in enumerate(group)])
         parts.append(counts.select(F.inline(rows)))
         i = j

@@ -210,3 +210,14 @@ def test_stage_audit_counts_filter_chains_in_one_scan(spark, current_rules, atm)
                          as_of=AS_OF)
     rows = [(r.stage, r.rows_out) for r in stage_audit(spark, flagged, ["f", "flag", "i4"]).collect()]
     assert rows == [("f", 7), ("flag", 7), ("i4", 3)]
+
+
+def test_stage_audit_with_nondeterministic_filter(spark, current_rules, atm):
+    from ruleforge import RuleSet
+    from ruleforge.operators.stages import Stage, run_stages
+    from ruleforge.operators.validation import stage_audit
+    rs = RuleSet.from_rules(spark, [rule("all", [cond("cash_amount", ">=", "0")]),
+                                    rule("sample", [cond("rand(7)", "<", "2")])])   # always true, non-deterministic
+    run = run_stages(rs, atm, [Stage("all", "identification", "query_builder"),
+                               Stage("sample", "identification", "query_builder")], as_of=AS_OF)
+    assert [(r.stage, r.rows_out) for r in stage_audit(spark, run, ["a", "s"]).collect()] == [("a", 10), ("s", 10)]
