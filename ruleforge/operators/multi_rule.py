@@ -171,7 +171,9 @@ def rule_hit_counts(df: DataFrame, batch: RuleBatch,
     parts = []
     for start in range(0, len(batch.compiled), max_rules_per_pass):
         chunk = batch.compiled[start:start + max_rules_per_pass]
-        counts = df.agg(*[F.count_if(p.column).alias(f"h{i}") for i, (_, p) in enumerate(chunk)])
+        # project first: non-deterministic predicates may not sit inside an aggregate
+        flags = df.select(*[p.column.alias(f"h{i}") for i, (_, p) in enumerate(chunk)])
+        counts = flags.agg(*[F.count_if(f"h{i}").alias(f"h{i}") for i in range(len(chunk))])
         pairs = F.array(*[F.struct(F.lit(rid).alias("rule_id"), F.col(f"h{i}").alias("hits"))
                           for i, (rid, _) in enumerate(chunk)])
         parts.append(counts.select(F.inline(pairs)))

@@ -191,3 +191,10 @@ def test_interval_counts_with_dotted_column_and_many_rules(spark):
     thr = threshold_rules(RuleSet.from_rules(spark, rules), df, as_of=AS_OF)
     got = {r.rule_id: r.hits for r in threshold_hit_counts(df, thr).collect()}
     assert got == {f"r{i}": 50 - i for i in range(40)}
+
+
+def test_counts_accept_nondeterministic_rules(spark, atm):
+    rs = RuleSet.from_rules(spark, [rule("always", [cond("rand(3)", "<", "2")]),
+                                    rule("big", [cond("cash_amount", ">=", "20000")])])
+    batch = compile_rules(rs, atm, ["always", "big"], as_of=AS_OF)
+    assert {r.rule_id: r.hits for r in rule_hit_counts(atm, batch).collect()} == {"always": 10, "big": 2}
