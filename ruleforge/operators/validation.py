@@ -252,14 +252,18 @@ def stage_audit(spark: SparkSession, run, stage_names: Sequence[str]) -> DataFra
             preds.append(nres.predicate)
             group.append((nm, list(preds)))
             j += 1
-        aggs = [F.count(F.lit(1)).alias("c0")]
-        for k, (_, ps) in enumerate(group[1:], start=1):
+        conds = []
+        for _, ps in group[1:]:
             cond = ps[0]
             for p in ps[1:]:
                 cond = cond & p
-            aggs.append(F.count_if(cond).alias(f"c{k}"))
+            conds.append(cond)
+        # project the predicates first: an aggregate may not hold non-deterministic ones
+        flags = res.df.select(F.lit(1).alias("c0"), *[c.alias(f"c{k}") for k, c in enumerate(conds, start=1)])
+        aggs = [F.count("c0").alias("c0")] + [F.count_if(f"c{k}").alias(f"c{k}")
+                                              for k in range(1, len(conds) + 1)]
         try:
-            counts = res.df.agg(*aggs)
+            counts = flags.agg(*aggs)
         except AnalysisException:
             # e.g. a non-deterministic predicate (rand(), uuid()) cannot sit inside an
             # aggregate: count each stage on its own output instead
