@@ -5,21 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import exact_dedup, packing, paragraphs, simhash
 from .common import table
 
 
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers; the operators take any path."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"), words=4, radius=4)
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_simhash_near_dedup, op7_best_fit_packing, op8_exact_dedup)}
 
 ORACLE_SQL = {
     "op8_exact_dedup": r"""
