@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, paragraphs, simhash
+from . import exact_dedup, packing, paragraphs, quality_rules, secrets, simhash
 from .common import table
 
 
@@ -24,6 +24,14 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest_columns(secrets.secret_spans(table(spark, sf_dir, "documents")))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -34,7 +42,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_simhash_near_dedup, op7_best_fit_packing, op8_exact_dedup)}
+    op1_substring_dedup, op2_simhash_near_dedup, op5_secret_scans, op6_quality_rules, op7_best_fit_packing,
+    op8_exact_dedup)}
 
 ORACLE_SQL = {
     "op8_exact_dedup": r"""
