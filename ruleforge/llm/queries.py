@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, paragraphs, quality_rules, secrets, simhash
-from .common import table
+from . import (classifier, exact_dedup, language_id, packing, paragraphs, quality_rules, secrets,
+               simhash)
+from .common import held_out, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -24,6 +25,14 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    weights = classifier.fit(docs, table(spark, sf_dir, "labels"))
+    found = classifier.score(docs, weights)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= classifier.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_columns(secrets.secret_spans(table(spark, sf_dir, "documents")))
 
@@ -41,9 +50,15 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predict(docs, language_id.fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_simhash_near_dedup, op5_secret_scans, op6_quality_rules, op7_best_fit_packing,
-    op8_exact_dedup)}
+    op1_substring_dedup, op2_simhash_near_dedup, op3_quality_classifier, op5_secret_scans, op6_quality_rules, op7_best_fit_packing,
+    op8_exact_dedup, op10_language_id)}
 
 ORACLE_SQL = {
     "op8_exact_dedup": r"""
