@@ -36,8 +36,8 @@ from .common import arrow_schema, held_out, id_text, saved, slices
 BITS = 18
 MAX_ROWS = 20_000
 SHARDS = 4
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
+EPOCHS = 6
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.02, 0.0
 CHUNK_WORDS = 1 << 18
 THRESHOLD = 0.3
 

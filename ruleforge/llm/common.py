@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,6 +80,15 @@ def utf8_lists(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def worker_state(key: object, make: Callable):
+    """``make()``, once for each Python worker: a compiled vocabulary and its bounded
+    caches outlive the task. Losing a worker only costs compiling again."""
+    store = sys.modules.setdefault("_ruleforge_llm_worker", types.ModuleType("_ruleforge_llm_worker"))
+    if getattr(store, "key", None) != key:
+        store.key, store.value = key, make()
+    return store.value
+
+
 def arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     return to_arrow_schema(schema)

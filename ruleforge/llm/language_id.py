@@ -35,7 +35,7 @@ from .common import arrow_schema, held_out, id_text, saved, slices
 BITS = 13
 SAMPLE_PER_LANG = 2000
 CENTROIDS = 4
-SLACK = 0.5
+SLACK = 0.4
 CHUNK = 1 << 20
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (classifier, exact_dedup, language_id, packing, paragraphs, quality_rules, secrets,
-               simhash)
+               simhash, token_counts, transducer)
 from .common import held_out, table
 
 
@@ -33,6 +33,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= classifier.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_sentencepiece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.encode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_columns(secrets.secret_spans(table(spark, sf_dir, "documents")))
 
@@ -50,6 +54,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.predict(docs, language_id.fit(docs))
@@ -57,8 +65,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_simhash_near_dedup, op3_quality_classifier, op5_secret_scans, op6_quality_rules, op7_best_fit_packing,
-    op8_exact_dedup, op10_language_id)}
+    op1_substring_dedup, op2_simhash_near_dedup, op3_quality_classifier, op4_sentencepiece_transducer,
+    op5_secret_scans, op6_quality_rules, op7_best_fit_packing, op8_exact_dedup, op9_token_counts,
+    op10_language_id)}
 
 ORACLE_SQL = {
     "op8_exact_dedup": r"""
