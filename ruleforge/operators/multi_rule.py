@@ -4,12 +4,14 @@ The original engine answers one rule per call, so N rules cost N passes
 over the data. Here every rule is compiled to a predicate against the same
 schema and evaluated in a single projection:
 
-* ``rule_hits``   -- long form, one row per (row, rule that fired); built as
-  ``explode(array_compact(array(when(p1, 'r1'), ...)))`` in one codegen'd
-  stage, no shuffle.
-* ``rule_hit_counts`` -- per-rule counts from a global aggregate of
-  ``count_if(p_i)`` (at most 90 rules per pass): map-side partial counts, a
-  one-row-per-task shuffle.
+* ``rule_hits``   -- long form, one row per (row, rule that fired). The rules
+  are cut into slices of ``SLICE``; a row explodes the slices, each slice
+  explodes its rules, and the rules that did not fire (nulls) are filtered
+  out. Scan, both explodes and the filter share one codegen'd stage, and no
+  slice's code grows with the number of rules. No shuffle.
+* ``rule_hit_counts`` -- per-rule counts from one scan for any number of
+  rules: the same labels, counted by rule with map-side partial counts, so at
+  most one row per rule and task crosses the shuffle.
 * ``rule_flags``  -- one boolean column per rule, rows kept.
 * ``rule_hit_lists`` -- one array column of the rules a row satisfies.
 """
@@ -101,7 +103,7 @@ def _drop_unusable(df: DataFrame, batch: RuleBatch) -> None:
     try:  # a flat array, not a deep OR chain: thousands of rules stay shallow
         df.where(F.array_contains(F.array(*[p.column for _, p in batch.compiled]), True)).schema
         return
-    except Exception:  # noqa: BLE001 - any failure: find the culprits one by one
+    except (AnalysisException, ParseException):  # find the culprits one by one
         pass
     keep = []
     for rid, p in batch.compiled:
@@ -135,52 +137,44 @@ def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if current < target else df
 
 
+SLICE = 16  # rules per inner array: the size of one piece of generated code
+
+
 def _labels(batch: RuleBatch) -> Column:
     return F.array_compact(F.array(*[F.when(p.column, F.lit(rid)) for rid, p in batch.compiled]))
 
 
+def _fired(df: DataFrame, batch: RuleBatch, keys: Sequence[str], labels: Sequence, name: str) -> DataFrame:
+    """``keys + [name]``: the label of each rule a row satisfies."""
+    whens = [F.when(p.column, F.lit(label)) for (_, p), label in zip(batch.compiled, labels)]
+    slices = F.array(*[F.array(*whens[i:i + SLICE]) for i in range(0, len(whens), SLICE)])
+    cut = df.select(*keys, F.explode(slices).alias("__slice"))
+    return (cut.select(*[F.col(_quoted(c)) for c in cut.columns[:-1]], F.explode("__slice").alias(name))
+            .where(F.col(name).isNotNull()))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def rule_hits(df: DataFrame, batch: RuleBatch, keys: Sequence[str], *, spread: bool = False) -> DataFrame:
     """``keys + [rule_id]``, one row per rule a row satisfies (duplicates kept).
     ``spread`` applies ``spread_input`` first."""
     if not batch.compiled:
         raise RuleConfigError("no rules to evaluate")
     df = spread_input(df) if spread else df
-    return df.select(*keys, F.explode(_labels(batch)).alias("rule_id"))
-
-
-# Spark compiles a whole stage into one method only while the plan has at most
-# spark.sql.codegen.maxFields (default 100) fields; one count per rule is one
-# field, so counts run in passes of at most this many rules.
-MAX_COUNTS_PER_PASS = 90
+    return _fired(df, batch, keys, batch.rule_ids, "rule_id")
 
 
-def rule_hit_counts(df: DataFrame, batch: RuleBatch,
-                    max_rules_per_pass: int = MAX_COUNTS_PER_PASS) -> DataFrame:
-    """``(rule_id, hits)`` for every compiled rule, zero counts included.
-
-    Each pass is one scan with one global aggregate of ``count_if`` per rule
-    (map-side partial counts; one row per task crosses the shuffle). Large
-    rule sets take several passes, each kept within whole-stage codegen,
-    which measures faster than one wide aggregate that falls back to
-    interpreted evaluation. Every pass re-reads ``df``: if it is expensive
-    to produce (joins, shuffles upstream), persist it first, or count in one
-    pass with ``rule_hit_lists`` + ``explode`` + ``groupBy("rule_id")``.
-    """
+def rule_hit_counts(df: DataFrame, batch: RuleBatch) -> DataFrame:
+    """``(rule_id, hits)`` for every compiled rule, zero counts included, from one scan."""
     if not batch.compiled:
         raise RuleConfigError("no rules to evaluate")
-    parts = []
-    for start in range(0, len(batch.compiled), max_rules_per_pass):
-        chunk = batch.compiled[start:start + max_rules_per_pass]
-        # project first: non-deterministic predicates may not sit inside an aggregate
-        flags = df.select(*[p.column.alias(f"h{i}") for i, (_, p) in enumerate(chunk)])
-        counts = flags.agg(*[F.count_if(f"h{i}").alias(f"h{i}") for i in range(len(chunk))])
-        pairs = F.array(*[F.struct(F.lit(rid).alias("rule_id"), F.col(f"h{i}").alias("hits"))
-                          for i, (rid, _) in enumerate(chunk)])
-        parts.append(counts.select(F.inline(pairs)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    return out
+    places = range(len(batch.compiled))
+    counts = _fired(df, batch, [], places, "place").groupBy("place").agg(F.count(F.lit(1)).alias("hits"))
+    listed = df.sparkSession.createDataFrame(list(enumerate(batch.rule_ids)), "place int, rule_id string")
+    return (listed.join(counts, "place", "left")
+            .select("rule_id", F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits")))
 
 
 def rule_hit_lists(df: DataFrame, batch: RuleBatch, name: str = "hit_rules", *,

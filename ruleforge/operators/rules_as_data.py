@@ -1,18 +1,19 @@
-"""Large sets of simple threshold rules, evaluated as a join.
+"""Large sets of simple threshold rules, evaluated by position instead of one by one.
 
 When a document holds hundreds or thousands of single-condition rules
-(``field >= threshold``), compiling each into its own CASE branch makes one
-huge generated method. Here the rules become rows instead:
-
-    facts  = (keys, field, value) per row and rule field (inline of an array)
-    rules  = (rule_id, field_name, op, threshold)      -- from the driver list
-    hits   = facts JOIN broadcast(rules) ON field_name AND value <op> threshold
-
-The rule side's size is known exactly on the driver (it is the collected
-rule list); it is broadcast in chunks of at most ``max_broadcast_rules`` and
-the chunk results are unioned, so no bound is ever exceeded and no rule is
-dropped. The fact side is never shuffled (``spread=True`` opts into a
-round-robin spread of a small, under-partitioned input).
+(``field >= threshold``), testing each on each row is wasted work. The
+thresholds of a field, sorted, cut the number line into intervals, and a
+value's place among them (a binary search over one constant array) already
+says which rules fire:
+
+* ``x >= t`` and ``x > t`` rules: a prefix of the rules sorted by threshold;
+* ``x < t`` and ``x <= t`` rules: a suffix;
+* ``x = t`` rules: the run of equal thresholds; ``x != t``: the rest.
+
+``rules_as_data_hits`` explodes those slices, so its work grows with the hits
+and not with rows x rules; ``threshold_hit_counts`` only needs a histogram of
+the places. Both are one scan for any number of rules, without a join of the
+data and without a shuffle of rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ import math
 import struct
 from dataclasses import dataclass, field
 from decimal import Decimal
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,19 +38,10 @@ from .multi_rule import predicate_rule_ids, spread_input
 # Comparison operators a threshold rule may use.
 THRESHOLD_OPS = (">=", ">", "<=", "<", "=", "==", "!=", "<>")
 
-# Columns whose values convert to double exactly; the join and the interval
-# histogram compare as double. bigint and decimal rules stay on the compiled
+# Columns whose values convert to double exactly: places are found in double. bigint and decimal rules stay on the compiled
 # path (multi_rule), which compares in the column's own type.
 _EXACT_AS_DOUBLE = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
 
-RULE_ROW_SCHEMA = T.StructType([
-    T.StructField("r_rule_id", T.StringType(), False),
-    T.StructField("r_field", T.StringType(), False),
-    T.StructField("r_op", T.StringType(), False),
-    T.StructField("r_threshold", T.DoubleType(), False),
-])
-
-
 @dataclass(frozen=True)
 class ThresholdRule:
     rule_id: str
@@ -144,106 +135,102 @@ def _as_double_threshold(dtype: T.DataType, op: str, value: Decimal) -> tuple[st
     return op, float(value)
 
 
-def _theta(value: Column, op: Column, threshold: Column) -> Column:
-    return (((op == ">=") & (value >= threshold))
-            | ((op == ">") & (value > threshold))
-            | ((op == "<=") & (value <= threshold))
-            | ((op == "<") & (value < threshold))
-            | (op.isin("=", "==") & (value == threshold))
-            | (op.isin("!=", "<>") & (value != threshold)))
+def _constants(values: Sequence[str], dtype: str) -> Column:
+    """A constant array as one literal, however many values it has."""
+    return F.split(F.lit("\x1f".join(values)), "\x1f").cast(f"array<{dtype}>")
 
 
-FIELD, VALUE = "__rule_field", "__rule_value"
+def _cuts(op: str, t: float) -> tuple[float, ...]:
+    """The boundaries a rule asks about: the smallest double that satisfies ``x >= cut``."""
+    up = math.nextafter(t, math.inf)
+    if op in (">=", "<"):
+        return (t,)
+    if op in (">", "<="):
+        return (up,)
+    return (t, up)  # = / == / != / <>
 
 
-def facts_long(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """``keys + (__rule_field, __rule_value)``: one row per (row, rule field),
-    the field's value as double. Internal names keep keys that are also rule
-    fields (or are called ``value``) apart."""
-    pairs = F.array(*[F.struct(F.lit(f).alias(FIELD), _column(f).cast("double").alias(VALUE))
-                      for f in fields])
-    return (df.select(*keys, F.inline(pairs))
-            .where(F.col(VALUE).isNotNull()))
+def _places(df: DataFrame, keep: Sequence[Column], searches: Sequence[tuple[str, Sequence[float]]]) -> DataFrame:
+    """``keep`` plus ``__p0, __p1, ...``: for search (field, sorted cuts), how many cuts are <= the field's value
+    (null for null; NaN, the largest value in Spark's ordering, is above all cuts).
+
+    A binary search as ``ceil(log2(m))`` projections; each reads the previous place twice, so Catalyst keeps the
+    projections apart and the generated code stays small however many thresholds a field has.
+    """
+    fields = list(dict.fromkeys(f for f, _ in searches))
+    value = {f: F.col(f"__v{i}") for i, f in enumerate(fields)}
+    depth = [max(1, math.ceil(math.log2(len(cuts) + 1))) for _, cuts in searches]
+    arrays = [_constants([repr(c) for c in cuts] + ["Infinity"] * (2 ** d - len(cuts)), "double")
+              for (_, cuts), d in zip(searches, depth)]
+    kept = [f"__k{i}" for i in range(len(keep))]
+    cur = df.select(*[c.alias(n) for c, n in zip(keep, kept)],
+                    *[_column(f).cast("double").alias(f"__v{i}") for i, f in enumerate(fields)],
+                    *[F.lit(0).alias(f"__p{i}") for i in range(len(searches))])
+    for level in range(max(depth)):
+        steps = []
+        for i, (f, _) in enumerate(searches):
+            p = F.col(f"__p{i}")
+            if level < depth[i]:
+                step = 2 ** (depth[i] - 1 - level)
+                p = F.when(F.element_at(arrays[i], p + step) <= value[f], p + step).otherwise(p)
+            steps.append(p.alias(f"__p{i}"))
+        cur = cur.select(*kept, *value.values(), *steps)
+    return cur.select(*kept, *[
+        F.when(value[f].isNotNull(), F.least(F.col(f"__p{i}"), F.lit(len(cuts)))).alias(f"__p{i}")
+        for i, (f, cuts) in enumerate(searches)])
+
+
+def _by_kind(rule_list: Sequence[ThresholdRule]) -> dict[tuple[str, str], list[ThresholdRule]]:
+    """Rules by (field, kind), each list sorted by its first cut."""
+    kinds = {">=": "from", ">": "from", "<": "below", "<=": "below", "=": "at", "==": "at", "!=": "off", "<>": "off"}
+    groups: dict[tuple[str, str], list[ThresholdRule]] = {}
+    for r in rule_list:
+        groups.setdefault((r.field, kinds[r.op]), []).append(r)
+    return {k: sorted(rs, key=lambda r: _cuts(r.op, r.threshold)[0]) for k, rs in sorted(groups.items())}
 
 
 def rules_as_data_hits(df: DataFrame, thresholds: ThresholdSet | Sequence[ThresholdRule],
-                       keys: Sequence[str], *, max_broadcast_rules: int = 50_000,
-                       spread: bool = False) -> DataFrame:
+                       keys: Sequence[str], *, spread: bool = False) -> DataFrame:
     """``keys + [rule_id]`` for every (row, threshold rule) that fires
     (``spread`` applies ``spread_input`` first)."""
     rule_list = list(thresholds.rules if isinstance(thresholds, ThresholdSet) else thresholds)
     if not rule_list:
         raise RuleConfigError("no threshold rules to evaluate")
-    spark = df.sparkSession
-    fields = sorted({r.field for r in rule_list})
-    facts = facts_long(spread_input(df) if spread else df, keys, fields)
-    parts = []
-    for start in range(0, len(rule_list), max_broadcast_rules):
-        chunk = rule_list[start:start + max_broadcast_rules]
-        rows = spark.createDataFrame([(r.rule_id, r.field, r.op, r.threshold) for r in chunk],
-                                     RULE_ROW_SCHEMA)
-        joined = facts.join(
-            F.broadcast(rows),
-            (facts[FIELD] == rows["r_field"])
-            & _theta(facts[VALUE], rows["r_op"], rows["r_threshold"]),
-            "inner")
-        parts.append(joined.select(*keys, F.col("r_rule_id").alias("rule_id")))
-    return reduce(DataFrame.unionAll, parts)
+    searches: list[tuple[str, list[float]]] = []
+    runs: list[Column] = []
+    order = {id(r): i for i, r in enumerate(rule_list)}
+    for (field, kind), rs in _by_kind(rule_list).items():
+        names = _constants([str(i) for i in (order[id(r)] for r in rs)], "int")
+        place = []
+        for k in range(2 if kind in ("at", "off") else 1):
+            place.append(F.col(f"__p{len(searches)}"))
+            searches.append((field, [_cuts(r.op, r.threshold)[k] for r in rs]))
+        n = len(rs)
+        if kind == "from":
+            runs.append(F.slice(names, 1, place[0]))
+        elif kind == "below":
+            runs.append(F.slice(names, place[0] + 1, n - place[0]))
+        elif kind == "at":  # thresholds <= x but not < x
+            runs.append(F.slice(names, place[1] + 1, place[0] - place[1]))
+        else:
+            runs.append(F.slice(names, 1, place[1]))
+            runs.append(F.slice(names, place[0] + 1, n - place[0]))
+    source = spread_input(df) if spread else df
+    columns = source.select(*keys)
+    placed = _places(source, [_column(c) for c in columns.columns], searches)
+    empty = F.array().cast("array<int>")
+    hits = placed.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(columns.columns)],
+                         F.explode(F.concat(*[F.coalesce(r, empty) for r in runs])).alias("__rule"))
+    ids = _constants([r.rule_id for r in rule_list], "string")
+    return hits.select(*[_column(c) for c in columns.columns],
+                       F.element_at(ids, F.col("__rule") + 1).alias("rule_id"))
 
 
 # --------------------------------------------------------------- hit counts
-# Counting hits of many threshold rules does not need (row, rule) pairs. The
-# thresholds of one field cut the number line into intervals; each row falls
-# into exactly one interval (a binary search of about log2(R) flat steps per
-# row), and every threshold rule is satisfied by a
-# contiguous run of intervals. So: histogram of interval indexes per field
-# (map-side combined, at most 2R+1 groups per field), prefix sums over that
-# tiny histogram, and one equi-join per rule on its boundary index.
-
-MAX_BOUNDARIES_PER_PASS = 8192
-MAX_BROADCAST_RULE_ROWS = 100_000
-
-
-def _boundaries(rule: ThresholdRule) -> tuple[float, ...]:
-    t = rule.threshold
-    up = math.nextafter(t, math.inf)
-    if rule.op in (">=", "<"):
-        return (t,)
-    if rule.op in (">", "<="):
-        return (up,)
-    return (t, up)  # = / == / != / <>
-
-
-def _interval_indexes(df: DataFrame, fields: Sequence[str],
-                      bounds: dict[str, list[float]]) -> DataFrame:
-    """Per field, the number of its ``bounds`` that are <= the value
-    (null for null values; NaN, the largest value in Spark's ordering, lands
-    in the top interval).
-
-    Binary search as ``ceil(log2(m))`` flat steps over a constant array, one
-    projection per step: each step reads the previous position twice, so
-    Catalyst keeps the projections apart and the generated code stays small
-    however many thresholds a field has.
-    """
-    values = [_column(f).cast("double") for f in fields]
-    depth = {f: max(1, math.ceil(math.log2(len(bounds[f]) + 1))) for f in fields}
-    arrays = {f: F.array(*[F.lit(b) for b in bounds[f]],
-                         *[F.lit(math.inf)] * (2 ** depth[f] - len(bounds[f])))
-              for f in fields}
-    cur = df.select(*[v.alias(f"__v{i}") for i, v in enumerate(values)],
-                    *[F.lit(0).alias(f"__p{i}") for i in range(len(fields))])
-    for level in range(max(depth.values())):
-        steps = []
-        for i, f in enumerate(fields):
-            p, v = F.col(f"__p{i}"), F.col(f"__v{i}")
-            if level < depth[f]:
-                step = 2 ** (depth[f] - 1 - level)
-                p = F.when(F.element_at(arrays[f], p + step) <= v, p + step).otherwise(p)
-            steps.append(p.alias(f"__p{i}"))
-        cur = cur.select(*[f"__v{i}" for i in range(len(fields))], *steps)
-    return cur.select(*[F.when(F.col(f"__v{i}").isNotNull(),
-                               F.least(F.col(f"__p{i}"), F.lit(len(bounds[f])))).alias(f)
-                        for i, f in enumerate(fields)])
+# Counting hits of many threshold rules does not need (row, rule) pairs: a
+# histogram of places per field (map-side combined, at most 2R+1 groups per
+# field), prefix sums over that small histogram, and one equi-join per rule
+# on its boundary index.
 
 
 def _rule_lookup(rule: ThresholdRule, index: dict[float, int]) -> tuple[int, str]:
@@ -263,82 +250,34 @@ def _rule_lookup(rule: ThresholdRule, index: dict[float, int]) -> tuple[int, str
     return index[t] + 1, "except"        # != / <>
 
 
-# Below this many rules one aggregate of count_if per rule (a single stage)
-# is cheaper than the interval histogram's extra stages.
-INTERVAL_MIN_RULES = 32
-
-_COMPARE = {">=": lambda a, b: a >= b, ">": lambda a, b: a > b, "<=": lambda a, b: a <= b,
-            "<": lambda a, b: a < b, "=": lambda a, b: a == b, "==": lambda a, b: a == b,
-            "!=": lambda a, b: a != b, "<>": lambda a, b: a != b}
-
-
-def _direct_counts(df: DataFrame, rule_list: Sequence[ThresholdRule]) -> DataFrame:
-    counts = df.agg(*[F.count_if(_COMPARE[r.op](_column(r.field).cast("double"), F.lit(r.threshold)))
-                      .alias(f"h{i}") for i, r in enumerate(rule_list)])
-    return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(r.rule_id).alias("rule_id"), F.col(f"h{i}").alias("hits"))
-        for i, r in enumerate(rule_list)])))
-
-
 def threshold_hit_counts(df: DataFrame, thresholds: ThresholdSet | Sequence[ThresholdRule]) -> DataFrame:
-    """``(rule_id, hits)`` for threshold rules, exact, without per-rule work per row."""
+    """``(rule_id, hits)`` for threshold rules, exact, one scan, without per-rule work per row."""
     rule_list = list(thresholds.rules if isinstance(thresholds, ThresholdSet) else thresholds)
     if not rule_list:
         raise RuleConfigError("no threshold rules to evaluate")
-    if len(rule_list) < INTERVAL_MIN_RULES:
-        return _direct_counts(df, rule_list)
     spark = df.sparkSession
-    by_field: dict[str, list[ThresholdRule]] = {}
+    cuts: dict[str, list[float]] = {}
     for r in rule_list:
-        by_field.setdefault(r.field, []).append(r)
-
-    # group fields into passes so that no single scan carries an oversized CASE tree
-    passes: list[list[str]] = [[]]
-    size = 0
-    for f, rs in by_field.items():
-        n = len({b for r in rs for b in _boundaries(r)})
-        if passes[-1] and size + n > MAX_BOUNDARIES_PER_PASS:
-            passes.append([])
-            size = 0
-        passes[-1].append(f)
-        size += n
-
-    results = []
-    for fields in passes:
-        bounds = {f: sorted({b for r in by_field[f] for b in _boundaries(r)}) for f in fields}
-        if any(len(b) > MAX_BOUNDARIES_PER_PASS for b in bounds.values()):
-            # one field with very many thresholds: split its rules, each part exact
-            for f in fields:
-                rs = by_field[f]
-                step = max(1, MAX_BOUNDARIES_PER_PASS // 2)
-                for s in range(0, len(rs), step):
-                    results.append(threshold_hit_counts(df, rs[s:s + step]))
-            continue
-        idx = _interval_indexes(df.select(*[_column(f) for f in fields]), fields, bounds)
-        pairs = F.array(*[F.struct(F.lit(f).alias("field_name"), _column(f).alias("k")) for f in fields])
-        hist = (idx.select(F.inline(pairs))
-                .where(F.col("k").isNotNull())
-                .groupBy("field_name", "k").agg(F.count(F.lit(1)).alias("n")))
-        grid = spark.createDataFrame(
-            [(f, k) for f in fields for k in range(len(bounds[f]) + 1)], "field_name string, k int")
-        w = Window.partitionBy("field_name").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-        # hist has at most sum(len(bounds[f]) + 1) rows (<= MAX_BOUNDARIES_PER_PASS + fields per pass):
-        # bounded by the rule set, never by the data
-        prefix = (grid.join(F.broadcast(hist), ["field_name", "k"], "left")
-                  .select("field_name", "k", F.coalesce("n", F.lit(0)).alias("n"))
-                  .withColumn("cum", F.sum("n").over(w))
-                  .withColumn("total", F.sum("n").over(Window.partitionBy("field_name"))))
-        index = {f: {b: i for i, b in enumerate(bounds[f])} for f in fields}
-        lookups = spark.createDataFrame(
-            [(r.rule_id, r.field, *_rule_lookup(r, index[r.field])) for f in fields for r in by_field[f]],
-            "rule_id string, field_name string, k int, mode string")
-        # both sides are bounded by the rule count, known here on the driver
-        if len(rule_list) <= MAX_BROADCAST_RULE_ROWS:
-            lookups = F.broadcast(lookups)
-        joined = prefix.join(lookups, ["field_name", "k"])
-        hits = (F.when(F.col("mode") == "above", F.col("total") - F.col("cum"))
-                .when(F.col("mode") == "upto", F.col("cum"))
-                .when(F.col("mode") == "only", F.col("n"))
-                .otherwise(F.col("total") - F.col("n")))
-        results.append(joined.select("rule_id", hits.cast("bigint").alias("hits")))
-    return reduce(DataFrame.unionAll, results)
+        cuts.setdefault(r.field, []).extend(_cuts(r.op, r.threshold))
+    searches = [(f, sorted(set(c))) for f, c in cuts.items()]
+    pairs = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"__p{i}").alias("k"))
+                      for i, (f, _) in enumerate(searches)])
+    hist = (_places(df, [], searches).select(F.inline(pairs))
+            .where(F.col("k").isNotNull())
+            .groupBy("field_name", "k").agg(F.count(F.lit(1)).alias("n")))
+    # everything below has at most one row per cut, so it grows with the rules and never with the data
+    grid = spark.createDataFrame([(f, k) for f, c in searches for k in range(len(c) + 1)], "field_name string, k int")
+    w = Window.partitionBy("field_name").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    prefix = (grid.join(hist, ["field_name", "k"], "left")
+              .select("field_name", "k", F.coalesce("n", F.lit(0)).alias("n"))
+              .withColumn("cum", F.sum("n").over(w))
+              .withColumn("total", F.sum("n").over(Window.partitionBy("field_name"))))
+    index = {f: {b: i for i, b in enumerate(c)} for f, c in searches}
+    lookups = spark.createDataFrame([(r.rule_id, r.field, *_rule_lookup(r, index[r.field])) for r in rule_list],
+                                    "rule_id string, field_name string, k int, mode string")
+    joined = prefix.join(lookups, ["field_name", "k"])
+    hits = (F.when(F.col("mode") == "above", F.col("total") - F.col("cum"))
+            .when(F.col("mode") == "upto", F.col("cum"))
+            .when(F.col("mode") == "only", F.col("n"))
+            .otherwise(F.col("total") - F.col("n")))
+    return joined.select("rule_id", hits.cast("bigint").alias("hits"))

@@ -1,6 +1,7 @@
-"""Many rules in one scan, and threshold rules as a broadcast join."""
+"""Many rules in one scan, and threshold rules by position."""
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import AS_OF, cond, rule
 
 from ruleforge import RuleSet
@@ -58,16 +59,15 @@ def test_many_generated_rules_spread_and_match(spark, atm):
         assert counts[f"g{i}"] == atm.where(f"transaction_total_amount {op} {500 * i}").count()
 
 
-def test_rules_as_data_equals_filters_and_chunks(rs, atm):
+def test_rules_as_data_equals_filters(rs, atm):
     thr = threshold_rules(rs, atm, ["big_total", "none", "cash_small"], as_of=AS_OF)
     assert [t.rule_id for t in thr.rules] == ["big_total", "none", "cash_small"]
     full = sorted(tuple(r) for r in rules_as_data_hits(atm, thr, KEYS).collect())
-    chunked = sorted(tuple(r) for r in rules_as_data_hits(atm, thr, KEYS, max_broadcast_rules=1).collect())
     expect = sorted([k + ("big_total",) for k in _brute(atm, "transaction_total_amount >= 15000")]
                     + [k + ("cash_small",) for k in _brute(atm, "cash_amount < 3000")])
-    assert full == expect and chunked == expect
+    assert full == expect
     plan = rules_as_data_hits(atm, thr, KEYS)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "Join" not in plan and "Exchange" not in plan
 
 
 def test_threshold_rules_reject_non_thresholds(rs, atm):
@@ -89,22 +89,30 @@ def test_threshold_hit_counts_match_brute_force(spark):
         op = "=" if r.op == "==" else r.op
         expect = df.where(f"{r.field} {op} {r.threshold!r}").count()
         assert got[r.rule_id] == expect, (r, got[r.rule_id], expect)
-    # split path: force tiny passes, same answer
-    old = RD.MAX_BOUNDARIES_PER_PASS
-    RD.MAX_BOUNDARIES_PER_PASS = 4
-    try:
-        again = {r.rule_id: r.hits for r in threshold_hit_counts(df, rules).collect()}
-    finally:
-        RD.MAX_BOUNDARIES_PER_PASS = old
-    assert again == got
-
-
-def test_counts_in_passes_equal_single_pass(spark, atm):
-    rules = [rule(f"p{i}", [cond("cash_amount", ">=", str(700 * i))]) for i in range(25)]
-    batch = compile_rules(RuleSet.from_rules(spark, rules), atm, as_of=AS_OF)
-    one = sorted(tuple(r) for r in rule_hit_counts(atm, batch).collect())
-    many = sorted(tuple(r) for r in rule_hit_counts(atm, batch, max_rules_per_pass=4).collect())
-    assert one == many and len(one) == 25
+    # the same rules as (row, rule) pairs
+    pairs = rules_as_data_hits(df, rules, ["k"]).groupBy("rule_id").count().collect()
+    assert {r.rule_id: r["count"] for r in pairs} == {k: n for k, n in got.items() if n}
+
+
+@pytest.mark.parametrize("n", [1, 5, 200])
+def test_any_number_of_rules_is_one_scan(spark, n):
+    from ruleforge.operators.rules_as_data import threshold_hit_counts
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    rules = [rule(f"p{i}", [cond("l_extendedprice", ">=" if i % 2 else "<", str(450 * i))]) for i in range(n)]
+    rs = RuleSet.from_rules(spark, rules)
+    batch, thr = compile_rules(rs, df, as_of=AS_OF), threshold_rules(rs, df, as_of=AS_OF)
+    expect = df.agg(*[F.count_if(p.column).alias(rid)
+                      for rid, p in batch.compiled]).first().asDict()
+    keys = ["l_orderkey", "l_linenumber"]
+    for counts in (rule_hit_counts(df, batch), threshold_hit_counts(df, thr)):
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1
+        assert {r.rule_id: r.hits for r in counts.collect()} == expect
+    for hits in (rule_hits(df, batch, keys), rules_as_data_hits(df, thr, keys)):
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1 and "Join" not in plan and "Exchange" not in plan
+        got = {r.rule_id: r["count"] for r in hits.groupBy("rule_id").count().collect()}
+        assert got == {k: v for k, v in expect.items() if v}
 
 
 def test_threshold_rules_refuse_inexact_or_non_finite(spark):

@@ -72,6 +72,13 @@ def test_aggregates_combine_map_side(spark):
         assert "partial_" in phys, name
 
 
-def test_rules_as_data_broadcasts_the_rule_side(spark):
+def test_rules_as_data_hits_need_no_join(spark):
     plan = _plan(spark, "rules_as_data_join")
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "Join" not in plan and "Exchange" not in plan
+    assert re.search(r"\*\(\d+\) Generate", plan)  # inside whole-stage codegen
+
+
+def test_rule_hits_stay_in_one_codegen_stage(spark):
+    plan = _plan(spark, "multi_rule_hits")
+    stages = set(re.findall(r"\*\((\d+)\) (?:Generate|Filter|Project|ColumnarToRow)", plan))
+    assert len(stages) == 1 and len(re.findall(r"\*\(\d+\) Generate", plan)) == plan.count("Generate ") == 2
