@@ -2,7 +2,8 @@
 
 Works on any string column holding a JSON object: a rule's ``lookup_value``
 or a data column such as an event's ``props``. Values come back as text
-(numbers keep their JSON spelling, nested objects their JSON text), missing
+(integers as written; other numbers in Spark's spelling, so ``1.10`` reads
+``1.1`` and ``1E2`` reads ``100.0``; nested objects as their JSON text), missing
 keys and malformed JSON give null.
 """
 

@@ -9,10 +9,13 @@ Decisions (see SURVEY §3.5):
 * The literal is typed by the *left operand's* data type, found by analysing
   ``df.select(expr)`` (no job runs). Numeric operand -> number (float columns
   compare with a float literal); string operand with an all-digit value ->
-  numeric comparison of ``try_cast(lhs as decimal(38, 18))``, or
-  ``decimal(38, 0)`` for text with more than 20 integer digits (``'036' = 36``
-  holds, malformed text is null instead of an error; digits beyond the scale
-  are rounded); boolean / date / timestamp operands -> literal of that type.
+  exact numeric comparison of the text: sign, integer digits and "any non-zero
+  fraction digit" are compared, so no digit is ever rounded (``'036' = 36``
+  holds, malformed text is null instead of an error; text in exponent notation
+  compares as ``decimal(38, 18)``); boolean / date / timestamp operands ->
+  literal of that type.
+* Each condition is built as typed SQL text and the ``Column`` is that text
+  parsed by Spark, so the audited ``executed`` text is what ran, word for word.
 * The rendered text equals the original engine's wherever that text is
   valid SQL; where it was not (a numeric LIKE value rendered ``x LIKE 36%``)
   the value is quoted instead.
@@ -26,11 +29,9 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-import operator as op
 import re
 from dataclasses import dataclass
 from decimal import Decimal
-from functools import reduce
 from typing import Sequence
 
 from pyspark.errors import AnalysisException, ParseException
@@ -41,19 +42,8 @@ from pyspark.sql import types as T
 from ..errors import RuleConfigError
 from ..sources.ruleset import Condition, Rule
 
-# The comparison operators a rule may use and how they map to
-# Column operations; LIKE and NOT LIKE (exact spelling) add a trailing '%'.
-COMPARISONS = {
-    "=": op.eq,
-    "==": op.eq,
-    "<>": op.ne,
-    "!=": op.ne,
-    "<": op.lt,
-    "<=": op.le,
-    ">": op.gt,
-    ">=": op.ge,
-    "<=>": lambda a, b: a.eqNullSafe(b),
-}
+# The comparison operators a rule may use; LIKE and NOT LIKE (exact spelling) add a trailing '%'.
+COMPARISONS = ("=", "==", "<>", "!=", "<", "<=", ">", ">=", "<=>")
 PREFIX_LIKE = ("LIKE", "NOT LIKE")
 CONNECTIVES = ("AND", "OR")
 
@@ -63,8 +53,6 @@ FALSE_TEXT = ("f", "false", "n", "no", "0")
 
 _NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
                   T.FloatType, T.DoubleType, T.DecimalType)
-_STRING_MATCH_INT_DIGITS = 20  # string operands compare as decimal(38, 18) by default
-
 
 _NUMBER_TEXT = re.compile(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$")
 
@@ -150,23 +138,33 @@ def operand_type_map(df: DataFrame, field_names: Sequence[str]) -> dict[str, T.D
     return typed(names)
 
 
-def _number(value: str, field_name: str, dtype: T.DataType) -> Column:
+def sql_string(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_double(x: float) -> str:
+    return f"{x!r}D" if math.isfinite(x) else f"cast('{'-' if x < 0 else ''}Infinity' as double)"
+
+
+def _number(value: str, field_name: str, dtype: T.DataType) -> str:
+    """``value`` as a SQL literal that compares exactly with an operand of ``dtype``."""
     d = parse_number(value)
     if d is None:
         raise RuleConfigError(
             f"value {value!r} is not a number but {field_name} is {dtype.simpleString()}")
     if isinstance(dtype, T.FloatType):
-        return F.lit(float(d)).cast("float")  # compare in the column's own precision
+        return f"cast({_sql_double(float(d))} as float)"  # compare in the column's own precision
     if isinstance(dtype, T.DoubleType):
-        return F.lit(float(d))
+        return _sql_double(float(d))
     if d.adjusted() >= 38:
         # beyond decimal(38)'s range: every value of the operand compares the
         # same way as with the (possibly infinite) double
-        return F.lit(float(d))
+        return _sql_double(float(d))
     if d != 0 and d.adjusted() < -38:
         raise RuleConfigError(f"value {value!r} for {field_name} is finer than any decimal(38) step")
     if d == d.to_integral_value() and abs(d) < 2 ** 63:
-        return F.lit(int(d))
+        return f"{int(d)}" if abs(d) < 2 ** 31 else f"{int(d)}L"
     sign, digits, exponent = d.as_tuple()
     digits = list(digits)
     while len(digits) > 1 and digits[-1] == 0:  # drop trailing zeros exactly (no context rounding)
@@ -176,7 +174,7 @@ def _number(value: str, field_name: str, dtype: T.DataType) -> Column:
         digits, exponent = digits + [0] * exponent, 0
     if max(len(digits), -exponent) > 38:
         raise RuleConfigError(f"value {value!r} for {field_name} has more than 38 significant digits")
-    return F.lit(Decimal((sign, tuple(digits), exponent)))
+    return f"{format(Decimal((sign, tuple(digits), exponent)), 'f')}BD"
 
 
 def _parse_temporal(value: str) -> dt.date | dt.datetime | None:
@@ -221,87 +219,105 @@ def _fits(d: Decimal, dtype: T.DataType) -> bool:
     return math.isfinite(float(d))  # double
 
 
-def typed_value(value: str, dtype: T.DataType, field_name: str) -> Column:
-    """``value`` as a literal of ``dtype`` (used for flag outcomes written
+def typed_value(value: str, dtype: T.DataType, field_name: str) -> str:
+    """``value`` as a SQL literal of ``dtype`` (used for flag outcomes written
     into an existing column); RuleConfigError if it does not convert."""
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
-        return F.lit(value)
+        return sql_string(value)
     if isinstance(dtype, T.BooleanType):
         text = value.strip().lower()
         if text in TRUE_TEXT + FALSE_TEXT:
-            return F.lit(text in TRUE_TEXT)
+            return "true" if text in TRUE_TEXT else "false"
     elif isinstance(dtype, _NUMERIC_TYPES):
         d = parse_number(value)
         if d is not None and _fits(d, dtype):
             if isinstance(dtype, tuple(_INT_BITS)):
-                return F.lit(int(d)).cast(dtype)
-            return F.lit(format(d, "f")).cast(dtype)  # plain notation, exact
+                return f"cast('{int(d)}' as {dtype.simpleString()})"
+            return f"cast('{format(d, 'f')}' as {dtype.simpleString()})"  # plain notation, exact
     elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         parsed = _parse_temporal(value)
         if parsed is not None:
-            iso = parsed.date().isoformat() if isinstance(dtype, T.DateType) else parsed.isoformat(sep=" ")
-            return F.lit(iso).cast(dtype)
+            return _temporal_sql(parsed, dtype)
     raise RuleConfigError(f"outcome value {value!r} does not fit column {field_name} "
                           f"of type {dtype.simpleString()}")
 
 
-def typed_literal_compare(lhs: Column, dtype: T.DataType, field_name: str,
-                          operator: str, value: str) -> Column:
-    """``lhs <operator> value`` with the value typed by ``dtype``."""
-    cmp = COMPARISONS[operator]
+def _temporal_sql(parsed: dt.datetime, dtype: T.DataType) -> str:
+    iso = parsed.date().isoformat() if isinstance(dtype, T.DateType) else parsed.isoformat(sep=" ")
+    return f"cast('{iso}' as {dtype.simpleString()})"
+
+
+def _text_number_sql(x: str, operator: str, value: str) -> str:
+    """Text operand against an all-digit value, by sign, integer digits and fraction; nothing is rounded."""
+    target = f"{int(value)}BD"
+    digits = rf"regexp_extract({x}, r'^\s*[+-]?0*([0-9]*)', 1)"
+    whole = f"coalesce(try_cast({digits} as decimal(38,0)), 0BD)"
+    fraction = rf"{x} rlike r'\.[0-9]*[1-9]'"
+    side = (rf"case when {x} rlike r'^\s*-' and ({digits} != '' or {fraction}) then -1 "
+            f"when length({digits}) > 38 then 1 when {whole} < {target} then -1 when {whole} > {target} then 1 "
+            f"when {fraction} then 1 else 0 end")
+    plain = rf"{x} rlike r'^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$'"
+    return (f"case when {plain} then ({side}) {operator} 0 "
+            f"else try_cast({x} as decimal(38,18)) {operator} {target} end")
+
+
+def comparison_sql(dtype: T.DataType, field_name: str, operator: str, value: str) -> str:
+    """``field_name <operator> value`` as SQL text, the value typed by ``dtype``."""
+    x = f"({field_name}\n)" if "--" in field_name else f"({field_name})"
     if isinstance(dtype, _NUMERIC_TYPES):
-        return cmp(lhs, _number(value, field_name, dtype))
+        return f"{x} {operator} {_number(value, field_name, dtype)}"
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
         if is_plain_number(value):
             if len(value) > 38:
                 raise RuleConfigError(f"numeric value {value!r} is too long")
-            scale = 38 - max(len(value), _STRING_MATCH_INT_DIGITS)
-            fine = lhs.try_cast(f"decimal(38,{scale})")
-            coarse = lhs.try_cast("decimal(38,0)")  # more integer digits than `fine` holds
-            target = F.lit(Decimal(value))
-            return F.when(fine.isNotNull(), cmp(fine, target)).otherwise(cmp(coarse, target))
-        return cmp(lhs, F.lit(value))
+            return _text_number_sql(x, operator, value)
+        return f"{x} {operator} {sql_string(value)}"
     if isinstance(dtype, T.BooleanType):
         text = value.strip().lower()
         if text in TRUE_TEXT:
-            return cmp(lhs, F.lit(True))
+            return f"{x} {operator} true"
         if text in FALSE_TEXT:
-            return cmp(lhs, F.lit(False))
+            return f"{x} {operator} false"
         raise RuleConfigError(f"value {value!r} is not a boolean but {field_name} is boolean")
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         parsed = _parse_temporal(value)
         if parsed is None:
             raise RuleConfigError(
                 f"value {value!r} is not a date/time but {field_name} is {dtype.simpleString()}")
-        iso = parsed.date().isoformat() if isinstance(dtype, T.DateType) else parsed.isoformat(sep=" ")
-        return cmp(lhs, F.lit(iso).cast(dtype))
+        return f"{x} {operator} {_temporal_sql(parsed, dtype)}"
     raise RuleConfigError(f"{field_name} has type {dtype.simpleString()}, which rules cannot compare")
 
 
-def condition_column(cond: Condition, dtype: T.DataType) -> Column:
-    """Compile one builder condition against an operand of type ``dtype``."""
+def condition_sql(cond: Condition, dtype: T.DataType) -> str:
+    """One builder condition against an operand of type ``dtype``, as the SQL text that runs."""
     operator = cond.operator
     value = cond.field_value
     if value is None:
         raise RuleConfigError(f"condition {cond.field_name!r} has no field_value")
-    lhs = _lhs(cond.field_name)
+    _lhs(cond.field_name)
     if operator.upper() in PREFIX_LIKE:
-        text = lhs if isinstance(dtype, T.StringType) else lhs.cast("string")
+        x = f"({cond.field_name}\n)" if "--" in cond.field_name else f"({cond.field_name})"
+        text = x if isinstance(dtype, T.StringType) else f"cast({x} as string)"
         if operator in PREFIX_LIKE:  # exact spelling: prefix match
             if any(ch in value for ch in "%_\\"):
                 trailing = len(value) - len(value.rstrip("\\"))
                 pattern = value + ("\\" if trailing % 2 else "")  # keep the appended % a wildcard
-                matched = text.like(pattern + "%")
+                matched = f"{text} like {sql_string(pattern + '%')}"
             else:
-                matched = text.startswith(value)
+                matched = f"startswith({text}, {sql_string(value)})"
         else:  # other spelling: the value is the whole LIKE pattern
-            matched = text.like(value)
-        return ~matched if operator.upper() == "NOT LIKE" else matched
+            matched = f"{text} like {sql_string(value)}"
+        return f"not ({matched})" if operator.upper() == "NOT LIKE" else matched
     if operator not in COMPARISONS:
         raise RuleConfigError(
             f"operator {operator!r} is not supported; use one of "
             f"{', '.join(list(COMPARISONS) + list(PREFIX_LIKE))}")
-    return typed_literal_compare(lhs, dtype, cond.field_name, operator, value)
+    return comparison_sql(dtype, cond.field_name, operator, value)
+
+
+def condition_column(cond: Condition, dtype: T.DataType) -> Column:
+    """Compile one builder condition against an operand of type ``dtype``."""
+    return F.expr(condition_sql(cond, dtype))
 
 
 def _connective(join: str, rule_id: str) -> str:
@@ -311,20 +327,24 @@ def _connective(join: str, rule_id: str) -> str:
     return j
 
 
-def fold_precedence(items: Sequence[tuple[Column, str]]) -> Column:
-    """Fold ``c1 j1 c2 j2 c3 ...`` with AND binding tighter than OR.
+def fold_precedence(items: Sequence[tuple[str, str]]) -> str:
+    """Fold SQL texts ``c1 j1 c2 j2 c3 ...`` with AND binding tighter than OR.
 
     ``items[i][1]`` is the connective between item i and i+1 (last ignored).
     """
     if not items:
         raise RuleConfigError("no conditions to fold")
-    groups: list[list[Column]] = [[items[0][0]]]
-    for (_, conn), (col, _) in zip(items, items[1:]):
+    groups: list[list[str]] = [[items[0][0]]]
+    for (_, conn), (text, _) in zip(items, items[1:]):
         if conn == "OR":
-            groups.append([col])
+            groups.append([text])
         else:
-            groups[-1].append(col)
-    return reduce(op.or_, [reduce(op.and_, g) for g in groups])
+            groups[-1].append(text)
+    return _all_of([" or ".join(_all_of(g) for g in groups)]) if len(groups) > 1 else _all_of(groups[0])
+
+
+def _all_of(texts: Sequence[str]) -> str:
+    return " and ".join(f"({t})" for t in texts)
 
 
 @dataclass(frozen=True)
@@ -333,6 +353,7 @@ class CompiledPredicate:
     column: Column
     where_text: str          # " where ..." exactly as the SQL text renders it
     rule_ids: tuple[str, ...]
+    executed: str = ""       # the typed SQL predicate ``column`` was parsed from
 
     def query_text(self, table_name: str | None) -> str:
         if table_name and table_name.strip():
@@ -415,21 +436,21 @@ def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = Fals
     """
     flat, gate_link = _flatten(links, extra, first_is_target)
     types = operand_types(df, [c.field_name for c, _, _ in flat], known_types)
-    columns = [condition_column(c, t) for (c, _, _), t in zip(flat, types)]
+    parts = [condition_sql(c, t) for (c, _, _), t in zip(flat, types)]
 
     n_gate = len(extra)
-    gate_cols, columns = columns[:n_gate], columns[n_gate:]
+    gate, parts = parts[:n_gate], parts[n_gate:]
     body = flat[n_gate:]
     if group_links:
-        per_link: dict[int, list[tuple[Column, str]]] = {}
-        for col, (_, conn, li) in zip(columns, body):
-            per_link.setdefault(li, []).append((col, conn))
-        column = reduce(op.and_, [fold_precedence(v) for _, v in sorted(per_link.items())])
+        per_link: dict[int, list[tuple[str, str]]] = {}
+        for part, (_, conn, li) in zip(parts, body):
+            per_link.setdefault(li, []).append((part, conn))
+        executed = _all_of([fold_precedence(v) for _, v in sorted(per_link.items())])
     else:
-        column = fold_precedence([(col, conn) for col, (_, conn, _) in zip(columns, body)])
-    if gate_cols:  # the gate guards the whole chain, not just its first OR-group
-        column = reduce(op.and_, gate_cols) & column
+        executed = fold_precedence([(part, conn) for part, (_, conn, _) in zip(parts, body)])
+    if gate:  # the gate guards the whole chain, not just its first OR-group
+        executed = _all_of([*gate, executed])
 
     text = _render(flat, n_gate, group_links)
-    return CompiledPredicate(column=column, where_text=text,
-                             rule_ids=tuple(r.id for r in links))
+    return CompiledPredicate(column=F.expr(executed), where_text=text,
+                             rule_ids=tuple(r.id for r in links), executed=executed)

@@ -24,13 +24,17 @@ def elapsed_minutes(min_time: Column | str, max_time: Column | str) -> Column:
 
 def time_span(df: DataFrame, keys: Sequence[Column | str], ts_col: str,
               amount_col: str | None = None, *, amount_alias: str = "total_amount",
-              round_to: int | None = 2) -> DataFrame:
-    """Per group: ``n_events, min_time, max_time, <amount_alias>, time_diff``."""
+              round_to: int | None = 2, decimals: int = 6) -> DataFrame:
+    """Per group: ``n_events, min_time, max_time, <amount_alias>, time_diff``.
+
+    Amounts are added as decimals with ``decimals`` places, so the total (a
+    double) does not depend on the order in which partitions are combined."""
     aggs = [F.count(F.lit(1)).alias("n_events"),
             F.min(ts_col).alias("min_time"),
             F.max(ts_col).alias("max_time")]
     if amount_col:
-        total = F.sum(amount_col)
-        aggs.append((F.round(total, round_to) if round_to is not None else total).alias(amount_alias))
+        total = F.sum(F.col(amount_col).cast(f"decimal(28,{decimals})"))
+        total = F.round(total, round_to) if round_to is not None else total
+        aggs.append(total.cast("double").alias(amount_alias))
     return (df.groupBy(*keys).agg(*aggs)
             .withColumn("time_diff", elapsed_minutes("min_time", "max_time")))

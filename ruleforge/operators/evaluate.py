@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..errors import RuleConfigError
 from ..functions.json_lookup import parse_lookup_text
-from ..functions.predicates import CompiledPredicate, chain_text, compile_chain, typed_value
+from ..functions.predicates import CompiledPredicate, chain_text, compile_chain, sql_string, typed_value
 from ..plans import resolution as R
 from ..sources.ruleset import Condition, Rule, RuleSet
 
@@ -37,6 +37,7 @@ class RuleResult:
     rule_ids: tuple[str, ...] = field(default_factory=tuple)
     has_value: bool = False  # a looked-up value (possibly None) rather than query text
     applied_as: str | None = None  # "filter" / "flag" for builder and conditional results
+    executed: str = ""  # the typed SQL that ran; ``query`` keeps the rule language's spelling
 
     @property
     def ok(self) -> bool:
@@ -89,63 +90,25 @@ def _with_table(text: str, table_name: str | None) -> str:
     return text
 
 
-_GROUP_BY = re.compile(r"\bgroup\s+by\b", re.IGNORECASE)
-_AFTER_KEYS = re.compile(
-    r"\b(?:having|order\s+by|sort\s+by|cluster\s+by|distribute\s+by|limit|with\s+(?:rollup|cube))\b",
-    re.IGNORECASE)
-_GROUPING_ANALYTICS = re.compile(r"^(?:grouping\s+sets|rollup|cube)\s*\(", re.IGNORECASE)
-
-
-def _top_level(text: str, pattern: re.Pattern, start: int = 0) -> list[re.Match]:
-    """Matches of ``pattern`` outside parentheses and quoted literals."""
-    depth, quote, escaped, comment, spans = 0, None, False, None, []
-    nest, skip = 0, 0  # block comments nest in Spark SQL; skip = chars of a marker already read
-    for i, ch in enumerate(text):
-        if skip:
-            skip -= 1
-        elif comment == "--":
-            comment = None if ch == "\n" else comment
-        elif comment == "/*":
-            if text.startswith("/*", i):
-                nest, skip = nest + 1, 1
-            elif text.startswith("*/", i):
-                nest, skip = nest - 1, 1
-                if nest == 0:
-                    comment = None
-        elif quote:
-            if escaped:
-                escaped = False
-            elif ch == "\\" and quote != "`":  # backticks escape only by doubling
-                escaped = True
-            elif ch == quote:
-                quote = None
-        elif text.startswith("--", i):
-            comment = "--"
-        elif text.startswith("/*", i):
-            comment, nest, skip = "/*", 1, 1
-        elif ch in "'\"`":
-            quote = ch
-        elif ch == "(":
-            depth += 1
-        elif ch == ")":
-            depth -= 1
-        spans.append(depth == 0 and quote is None and comment is None)
-    return [m for m in pattern.finditer(text, start) if spans[m.start()]]
-
-
-def grouping_keys(tail: str) -> str | None:
+def grouping_keys(spark, tail: str) -> str | None:
     """The keys of the top-level ``group by`` in a stored
-    ``[where ...] group by <keys> [having ...] [order by ...]`` tail."""
-    found = _top_level(tail, _GROUP_BY)
-    if not found:
-        return None
-    start = found[-1].end()
-    after = _top_level(tail, _AFTER_KEYS, start)
-    keys = tail[start:after[0].start() if after else len(tail)].strip()
-    if _GROUPING_ANALYTICS.match(keys):
+    ``[where ...] group by <keys> [having ...] [order by ...]`` tail, as
+    Spark's parser reads them (None when there is no such clause)."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan("select 1 from t\n" + tail)
+    while plan.nodeName() != "Aggregate":
+        if plan.children().size() != 1:
+            return None
+        plan = plan.children().head()
+    keys = plan.groupingExpressions()
+    found = [keys.apply(i) for i in range(keys.size())]
+    if any(k.nodeName() in ("GroupingSets", "Cube") or k.nodeName() == "Rollup"
+           and not re.search(r"with\s+rollup", tail, re.IGNORECASE) for k in found):
         raise RuleConfigError("grouping sets / rollup() / cube() lookups are not supported; "
                               "use 'group by <keys> with rollup' or plain keys")
-    return keys or None
+    if len(found) == 1 and found[0].nodeName() == "Rollup":
+        inner = found[0].children()
+        found = [inner.apply(i) for i in range(inner.size())]
+    return ", ".join(str(k.ordinal()) if k.nodeName() == "UnresolvedOrdinal" else k.sql() for k in found) or None
 
 
 def gate_conditions(rule: Rule) -> list[Condition]:
@@ -174,12 +137,19 @@ def compile_rule(df: DataFrame, res: R.Resolution, gate: bool = False,
                          first_is_target=conditional, known_types=known_types)
 
 
+def in_window(compiled: CompiledPredicate, links: Sequence[Rule], row_date: str) -> CompiledPredicate:
+    """The predicate, for rows whose date lies in the window of every rule of the chain."""
+    window = " and ".join(R.window_sql(r, row_date) for r in links)
+    executed = f"({compiled.executed}) and {window}"
+    return CompiledPredicate(F.expr(executed), _in_window(compiled.where_text, window), compiled.rule_ids, executed)
+
+
 def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, process: str,
              process_key: str, is_lookup=None, value_key: str | None = None,
-             as_of: dt.date | None = None, apply: bool = True, table_name: str | None = None,
+             as_of: dt.date | str | None = None, apply: bool = True, table_name: str | None = None,
              mode: str = "filter", aggregates: Mapping[str, str] | None = None,
              gate: bool = False, group_links: bool = False,
-             order_by: Sequence[str] | None = None) -> RuleResult:
+             order_by: Sequence[str] | None = None, columns: Sequence[str] | None = None) -> RuleResult:
     """Evaluate one rule.
 
     ``table`` is a DataFrame (batch or streaming) or a table/view name;
@@ -187,13 +157,20 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
     what the process key implies. ``mode="flag"`` keeps every row and writes
     the rule's outcome column instead of filtering. ``aggregates`` (alias ->
     SQL expression) are computed per group for ``groupby_lookup`` rules.
+
+    ``as_of`` is the day the validity windows are tested against (default:
+    today), or the name of a date or timestamp column (any SQL expression):
+    then every rule of the chain applies only to rows whose own date lies in
+    its window. ``columns`` projects the output before it is ordered, so an
+    ordered result reads, shuffles and sorts no other column.
     """
     if mode not in ("filter", "flag"):
         raise ValueError(f"mode must be 'filter' or 'flag', not {mode!r}")
     table_name = table_name.strip() if table_name and table_name.strip() else None
     if is_lookup is None:
         is_lookup = process_key.strip() in R.LOOKUP_KEYS
-    res = R.resolve(rules, process, process_key, rule_id, is_lookup, as_of)
+    row_date = as_of if isinstance(as_of, str) else None
+    res = R.resolve(rules, process, process_key, rule_id, is_lookup, R.ANY_DAY if row_date else as_of)
     if not res.accepted:
         return RuleResult(res.valid_params, res.rule_validity, res.message,
                           rule_ids=(res.rule.id,) if res.rule else ())
@@ -211,37 +188,70 @@ def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, pro
             except AnalysisException as e:
                 return _reject(f"Rule {rule.id}: {str(e).splitlines()[0]}", rule)
     spark = df.sparkSession if df is not None else rules.spark  # the data's own session
+    window = " and ".join(R.window_sql(r, row_date) for r in (res.links or (rule,))) if row_date else None
+    shape = _Shape(table_name, order_by, columns)
     try:
         if key == "value_lookup":
+            if row_date:
+                raise RuleConfigError(f"Rule {rule.id}: a value lookup reads no rows to date")
             return _value_lookup(rule, value_key)
+        if window and key in ("query_lookup", "groupby_lookup"):  # the stored text sees only rows in the window
+            df = df.where(F.expr(window)) if df is not None else None
+            shape = _Shape(f"(select * from {table_name} where {window})" if table_name else None, order_by, columns)
         if key == "query_lookup":
-            return _query_lookup(spark, df, rule, apply, table_name, order_by)
+            return _query_lookup(spark, df, rule, apply, shape)
         if key == "groupby_lookup":
-            return _groupby_lookup(spark, df, rule, apply, table_name, aggregates, order_by)
+            return _groupby_lookup(spark, df, rule, apply, aggregates, shape)
         if key == "transformation":
-            return _transformation(df, rule, apply, table_name, order_by)
+            return _transformation(df, rule, apply, shape, window)
         if df is None:  # no table: hand back the text only (nothing to type literals against)
             conditional = key == "conditional"
             extra = gate_conditions(rule) if gate and conditional else ()
             where = chain_text(res.links, group_links, extra, first_is_target=conditional)
-            text = _builder_text(where, res, None, table_name, mode, order_by)
+            text = _builder_text(_in_window(where, window), res, None, mode, shape)
             return RuleResult(True, True, res.message, query=text,
                               rule_ids=tuple(r.id for r in res.links))
         compiled = compile_rule(df, res, gate=gate, group_links=group_links)
+        if window:
+            compiled = in_window(compiled, res.links, row_date)
+        query, executed, out = _apply(df, res, compiled, apply, mode, shape)
     except RuleConfigError as e:
         return _reject(str(e), rule)
     except (AnalysisException, ParseException) as e:
+        # includes an aggregate / window / generator operand: a rule error, not a crash later
         return _reject(f"Rule {rule.id}: {str(e).splitlines()[0]}", rule)
+    return RuleResult(True, True, res.message, query=query, df=out, predicate=compiled.column,
+                      rule_ids=compiled.rule_ids, applied_as=mode, executed=executed)
 
-    try:
-        query, out = _apply(df, res, rule, compiled, apply, table_name, mode, order_by)
-    except RuleConfigError as e:
-        return _reject(str(e), rule)
-    except (AnalysisException, ParseException) as e:
-        # an aggregate / window / generator operand: a rule error, not a crash later
-        return _reject(f"Rule {rule.id}: {str(e).splitlines()[0]}", rule)
-    return RuleResult(True, True, res.message, query=query, df=out,
-                      predicate=compiled.column, rule_ids=compiled.rule_ids, applied_as=mode)
+
+@dataclass(frozen=True)
+class _Shape:
+    """How a result is named, projected and ordered."""
+    table_name: str | None
+    order_by: Sequence[str] | None = None
+    columns: Sequence[str] | None = None
+
+    @property
+    def select_list(self) -> str:
+        return ", ".join(self.columns) if self.columns else "*"
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        if self.order_by:
+            return ordered(df, self.order_by, self.columns)
+        return df.selectExpr(*self.columns) if self.columns else df
+
+    def wrap(self, query: str) -> str:
+        """A full statement, projected and ordered as a subquery (it may end in its own limit / comment)."""
+        if not self.order_by and not self.columns:
+            return query
+        order = " order by " + ", ".join(self.order_by) if self.order_by else ""
+        if self.table_name:
+            return f" select {self.select_list} from ({query.strip()}\n){order}"
+        return query + "\n" + order
+
+
+def _in_window(where_text: str, window: str | None) -> str:
+    return f" where ({where_text.strip()[len('where'):].strip()}) and {window}" if window else where_text
 
 
 def _outcome(res: R.Resolution) -> Rule:
@@ -251,15 +261,20 @@ def _outcome(res: R.Resolution) -> Rule:
     return last
 
 
-def _builder_text(where: str, res: R.Resolution, df: DataFrame | None, table_name: str | None,
-                  mode: str, order_by: Sequence[str] | None) -> str:
+def _builder_text(where: str, res: R.Resolution, df: DataFrame | None, mode: str, shape: _Shape,
+                  typed: bool = False) -> str:
     """Query text of a builder / conditional rule, the same with or without
-    a table and whether or not it is applied."""
+    a table and whether or not it is applied. ``typed`` writes the outcome
+    as the literal that runs instead of as text."""
+    table_name = shape.table_name
     if mode == "flag":
         last = _outcome(res)
+        existing = _existing_column(df, last.then_field) if df is not None else None
         value_text = "'" + last.then_value.replace("'", "''") + "'"
+        if typed:
+            value_text = (typed_value(last.then_value, df.schema[existing].dataType, existing)
+                          if existing is not None else sql_string(last.then_value))
         pred_text = where[len(" where"):].strip()
-        existing = _existing_column(df, last.then_field) if df is not None else None
         if existing is not None:  # keep what earlier rules wrote
             flag_text = f"case when {pred_text} then {value_text} else {_quote(existing)} end"
         else:
@@ -268,23 +283,27 @@ def _builder_text(where: str, res: R.Resolution, df: DataFrame | None, table_nam
             text = " " + flag_text
         elif df is not None:
             text = " select {} from {} ".format(_projection_text(df, last.then_field, flag_text), table_name)
+            return shape.wrap(text) if shape.columns else text + _order_text(shape)
         else:
             text = " select *, {} as {} from {} ".format(flag_text, _quote(last.then_field), table_name)
     else:
-        text = " select * from {} ".format(table_name) + where if table_name else where
-    if order_by:
-        text += " order by " + ", ".join(order_by)
-    return text
+        text = " select {} from {} ".format(shape.select_list, table_name) + where if table_name else where
+    return text + _order_text(shape)
 
 
-def _apply(df, res, rule, compiled, apply, table_name, mode, order_by):
-    """The rule's output DataFrame (analysed, when applied) and its query text."""
-    query = _builder_text(compiled.where_text, res, df, table_name, mode, order_by)
+def _order_text(shape: _Shape) -> str:
+    return " order by " + ", ".join(shape.order_by) if shape.order_by else ""
+
+
+def _apply(df, res, compiled, apply, mode, shape):
+    """The rule's query text, the typed SQL that runs, and its output DataFrame (analysed, when applied)."""
+    query = _builder_text(compiled.where_text, res, df, mode, shape)
+    executed = _builder_text(" where " + compiled.executed, res, df, mode, shape, typed=True)
     out = None
     if mode == "flag":
         last = _outcome(res)
         existing = _existing_column(df, last.then_field)
-        value = (typed_value(last.then_value, df.schema[existing].dataType, existing)
+        value = (F.expr(typed_value(last.then_value, df.schema[existing].dataType, existing))
                  if existing is not None else F.lit(last.then_value))
         flag = F.when(compiled.column, value)
         if existing is not None:
@@ -294,31 +313,24 @@ def _apply(df, res, rule, compiled, apply, table_name, mode, order_by):
     elif apply:
         out = df.where(compiled.column)
     if out is not None:
-        if order_by:
-            out = ordered(out, order_by)
+        out = shape.finish(out)
         out.schema  # analyse now (lazy plans, e.g. streaming)
-    return query, out
-
+    return query, executed, out
 
-def _ordered_text(query: str, table_name: str | None, order_by: Sequence[str] | None) -> str:
-    """Add ``order by`` to a stored or projected statement: as a subquery
-    when it is a full statement (it may end in its own limit / comment)."""
-    if not order_by:
-        return query
-    if table_name:
-        return " select * from ({}\n) order by {}".format(query.strip(), ", ".join(order_by))
-    return query + "\n order by " + ", ".join(order_by)
 
-
-def ordered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def ordered(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Sort by ``keys`` (SQL sort items: ``col``, ``col desc``, ``... nulls
-    last``); the remaining columns break ties so that a key shared by very
-    many rows can still be range-split across tasks."""
+    last``), keeping ``columns`` (default: all). The other kept columns break
+    ties so that a key shared by very many rows can still be range-split
+    across tasks; columns that are not kept are neither read nor sorted."""
     key_names = {k.strip().split()[0].strip("`").lower() for k in keys if k.strip()}
-    ties = [_quote(c) for c, t in df.dtypes if c.lower() not in key_names
+    kept = df.selectExpr(*columns) if columns else df
+    ties = [_quote(c) for c, t in kept.dtypes if c.lower() not in key_names
             and not t.startswith(("array", "map", "struct", "variant"))]
     order = ", ".join(list(keys) + ties)
-    return df.sparkSession.sql("select * from {t} order by " + _escape_braces(order), t=df)
+    select_list = ", ".join(columns) if columns else "*"
+    return df.sparkSession.sql(f"select {_escape_braces(select_list)} from {{t}} order by " + _escape_braces(order),
+                               t=df)
 
 
 def _value_lookup(rule: Rule, value_key: str | None) -> RuleResult:
@@ -340,23 +352,21 @@ def _value_lookup(rule: Rule, value_key: str | None) -> RuleResult:
                       rule_ids=ids)
 
 
-def _query_lookup(spark, df, rule, apply, table_name, order_by) -> RuleResult:
+def _query_lookup(spark, df, rule, apply, shape) -> RuleResult:
     tail = _first_lookup(rule)
     if tail is None or not tail.strip():
         raise RuleConfigError(f"Rule {rule.id} has no lookup query")
     tail = tail.strip()
     out = None
-    query = _ordered_text(_with_table(tail, table_name), table_name, order_by)
+    query = shape.wrap(_with_table(tail, shape.table_name))
     if apply and df is not None:
-        out = spark.sql("select * from {t} " + _escape_braces(tail), t=df)
-        if order_by:
-            out = ordered(out, order_by)
-    return RuleResult(True, True, R.MSG_QUERY_LOOKUP, query=query, df=out, rule_ids=(rule.id,))
+        out = shape.finish(spark.sql("select * from {t} " + _escape_braces(tail), t=df))
+    return RuleResult(True, True, R.MSG_QUERY_LOOKUP, query=query, df=out, rule_ids=(rule.id,), executed=query)
 
 
-def _groupby_lookup(spark, df, rule, apply, table_name, aggregates, order_by=None) -> RuleResult:
+def _groupby_lookup(spark, df, rule, apply, aggregates, shape) -> RuleResult:
     tail = (_first_lookup(rule) or "").strip()
-    keys = grouping_keys(tail)
+    keys = grouping_keys(spark, tail)
     if keys is None:
         raise RuleConfigError(
             f"Rule {rule.id}: groupby_lookup needs '[where ...] group by <columns> ...', got {tail!r}")
@@ -370,35 +380,37 @@ def _groupby_lookup(spark, df, rule, apply, table_name, aggregates, order_by=Non
     aggs = aggregates or {"row_count": "count(*)"}
     select_list = ", ".join([keys] + [f"{expr} AS {_quote(name)}" for name, expr in aggs.items()])
     sql = f"select {_escape_braces(select_list)} from {{t}} " + _escape_braces(tail)
-    out = spark.sql(sql, t=df) if apply and df is not None else None
-    if out is not None and order_by:
-        out = ordered(out, order_by)
-    query = (f" select {select_list} from {table_name} " + tail) if table_name else tail
-    query = _ordered_text(query, table_name, order_by)
+    out = shape.finish(spark.sql(sql, t=df)) if apply and df is not None else None
+    query = (f" select {select_list} from {shape.table_name} " + tail) if shape.table_name else tail
+    query = shape.wrap(query)
     return RuleResult(True, True, "Successfully returning the grouped query", query=query,
-                      df=out, rule_ids=(rule.id,))
+                      df=out, rule_ids=(rule.id,), executed=query)
 
 
-def _transformation(df, rule, apply, table_name, order_by=None) -> RuleResult:
+def _transformation(df, rule, apply, shape, window=None) -> RuleResult:
+    """Every ``when`` entry is one step: its expression becomes the target's new value, and the next
+    step sees it. With a validity window only rows inside it change."""
     target = rule.then_field
-    expr = rule.conditions[0].field_name if rule.conditions else ""
-    if not target or not expr:
+    steps = [c.field_name for c in rule.conditions]
+    if not target or not steps or not all(steps):
         raise RuleConfigError(
-            f"Rule {rule.id}: a transformation needs then.field_name (target) and when[0].field_name (expression)")
-    column = F.expr(expr)
-    out = df.withColumn(target, column) if apply and df is not None else None
-    if out is not None:
-        if order_by:
-            out = ordered(out, order_by)
-        out.schema  # analyse now so a bad expression is reported as a rule error
-    if df is not None:
-        select_list = _projection_text(df, target, expr)
-    else:
-        select_list = f"*, {expr} as {_quote(target)}"
-    query = f" select {select_list} from {table_name} " if table_name else f" {select_list}"
-    query = _ordered_text(query, table_name, order_by)
+            f"Rule {rule.id}: a transformation needs then.field_name (target) and a field_name (expression) in each when")
+    out, source, query = df, shape.table_name, ""
+    for k, expr in enumerate(steps):
+        if window:
+            existing = _existing_column(out, target) if out is not None else (target if k else None)
+            expr = f"case when {window} then {expr} else {_quote(existing) if existing else 'null'} end"
+        select_list = _projection_text(out, target, expr) if out is not None else f"*, {expr} as {_quote(target)}"
+        query = f" select {select_list} from {source} " if source else f" {select_list}"
+        source = f"({query.strip()}\n)" if source else None
+        if out is not None:
+            out = out.withColumn(target, F.expr(expr))  # analysed here, so a bad expression is a rule error
+    if len(steps) > 1 and not shape.table_name:
+        raise RuleConfigError(f"Rule {rule.id}: the text of several transformation steps needs a table name")
+    out = shape.finish(out) if apply and out is not None else None
+    query = shape.wrap(query)
     return RuleResult(True, True, "Successfully returning the transformed table", query=query,
-                      df=out, predicate=None, rule_ids=(rule.id,))
+                      df=out, predicate=None, rule_ids=(rule.id,), executed=query)
 
 
 def call_rule(rules: RuleSet, process: str, process_key: str, rule_id: str, lookup, value_key: str | None,

@@ -10,8 +10,7 @@ schema and evaluated in a single projection:
   out. Scan, both explodes and the filter share one codegen'd stage, and no
   slice's code grows with the number of rules. No shuffle.
 * ``rule_hit_counts`` -- per-rule counts from one scan for any number of
-  rules: the same labels, counted by rule with map-side partial counts, so at
-  most one row per rule and task crosses the shuffle.
+  rules, as counted bit masks of ten rules each.
 * ``rule_flags``  -- one boolean column per rule, rows kept.
 * ``rule_hit_lists`` -- one array column of the rules a row satisfies.
 """
@@ -20,6 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Sequence
 
 from pyspark.errors import AnalysisException, ParseException
@@ -30,7 +30,7 @@ from ..errors import RuleConfigError
 from ..functions.predicates import CompiledPredicate, operand_type_map
 from ..plans import resolution as R
 from ..sources.ruleset import RuleSet
-from .evaluate import compile_rule, gate_conditions
+from .evaluate import compile_rule, gate_conditions, in_window
 
 
 @dataclass
@@ -54,10 +54,13 @@ def predicate_rule_ids(rules: RuleSet) -> list[str]:
 
 
 def compile_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None = None, *,
-                  as_of: dt.date | None = None, gate: bool = False,
+                  as_of: dt.date | str | None = None, gate: bool = False,
                   strict: bool | None = None) -> RuleBatch:
     """Compile each rule (with its goto chain) against ``df``'s schema.
 
+    ``as_of`` may name a date or timestamp column, as in ``run_rule``: each
+    rule then fires only for rows whose own date lies in its window.
+
     Rejected rules are listed in ``rejected``. ``strict`` (default: on when
     ``rule_ids`` are named, off when evaluating every predicate rule of the
     document) makes any rejection raise, so a report on named rules never
@@ -65,10 +68,11 @@ def compile_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None
     """
     if strict is None:
         strict = rule_ids is not None
+    row_date = as_of if isinstance(as_of, str) else None
     batch = RuleBatch()
     resolved = []
     for rid in (rule_ids if rule_ids is not None else predicate_rule_ids(rules)):
-        res = R.resolve_by_id(rules, rid, as_of)
+        res = R.resolve_by_id(rules, rid, R.ANY_DAY if row_date else as_of)
         if not res.accepted or not res.links:
             batch.rejected[rid] = res.message or f"Rule {rid} has nothing to evaluate"
             continue
@@ -85,7 +89,8 @@ def compile_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None
     types = operand_type_map(df, operands)
     for rid, res in resolved:
         try:
-            batch.compiled.append((rid, compile_rule(df, res, gate=gate, known_types=types)))
+            compiled = compile_rule(df, res, gate=gate, known_types=types)
+            batch.compiled.append((rid, in_window(compiled, res.links, row_date) if row_date else compiled))
         except RuleConfigError as e:
             batch.rejected[rid] = str(e)
     _drop_unusable(df, batch)
@@ -144,15 +149,6 @@ def _labels(batch: RuleBatch) -> Column:
     return F.array_compact(F.array(*[F.when(p.column, F.lit(rid)) for rid, p in batch.compiled]))
 
 
-def _fired(df: DataFrame, batch: RuleBatch, keys: Sequence[str], labels: Sequence, name: str) -> DataFrame:
-    """``keys + [name]``: the label of each rule a row satisfies."""
-    whens = [F.when(p.column, F.lit(label)) for (_, p), label in zip(batch.compiled, labels)]
-    slices = F.array(*[F.array(*whens[i:i + SLICE]) for i in range(0, len(whens), SLICE)])
-    cut = df.select(*keys, F.explode(slices).alias("__slice"))
-    return (cut.select(*[F.col(_quoted(c)) for c in cut.columns[:-1]], F.explode("__slice").alias(name))
-            .where(F.col(name).isNotNull()))
-
-
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -163,15 +159,35 @@ def rule_hits(df: DataFrame, batch: RuleBatch, keys: Sequence[str], *, spread: b
     if not batch.compiled:
         raise RuleConfigError("no rules to evaluate")
     df = spread_input(df) if spread else df
-    return _fired(df, batch, keys, batch.rule_ids, "rule_id")
+    whens = [F.when(p.column, F.lit(rid)) for rid, p in batch.compiled]
+    slices = F.array(*[F.array(*whens[i:i + SLICE]) for i in range(0, len(whens), SLICE)])
+    cut = df.select(*keys, F.explode(slices).alias("__slice"))
+    return (cut.select(*[F.col(_quoted(c)) for c in cut.columns[:-1]], F.explode("__slice").alias("rule_id"))
+            .where(F.col("rule_id").isNotNull()))
+
+
+COUNT_BITS = 10  # rules per mask: at most 2**10 groups for each ten rules and task
 
 
 def rule_hit_counts(df: DataFrame, batch: RuleBatch) -> DataFrame:
-    """``(rule_id, hits)`` for every compiled rule, zero counts included, from one scan."""
+    """``(rule_id, hits)`` for every compiled rule, zero counts included, from one scan.
+
+    A row gives one bit mask for each ``COUNT_BITS`` rules; equal masks are
+    counted (map-side partial counts over a bounded number of groups), and only
+    the counted masks are taken apart into rules."""
     if not batch.compiled:
         raise RuleConfigError("no rules to evaluate")
-    places = range(len(batch.compiled))
-    counts = _fired(df, batch, [], places, "place").groupBy("place").agg(F.count(F.lit(1)).alias("hits"))
+    tests = [p.column for _, p in batch.compiled]
+    masks = []
+    for i in range(0, len(tests), COUNT_BITS):
+        bits = [F.when(c, F.lit(1 << k)).otherwise(F.lit(0)) for k, c in enumerate(tests[i:i + COUNT_BITS])]
+        masks.append(reduce(lambda a, b: a + b, bits))
+    # project first: non-deterministic predicates may not sit inside an aggregate
+    seen = (df.select(F.array(*masks).alias("masks")).select(F.posexplode("masks").alias("part", "mask"))
+            .where("mask != 0").groupBy("part", "mask").agg(F.count(F.lit(1)).alias("n")))
+    bit = F.explode(F.sequence(F.lit(0), F.lit(COUNT_BITS - 1)))
+    counts = (seen.select("part", "mask", "n", bit.alias("bit")).where("shiftright(mask, bit) & 1 = 1")
+              .groupBy((F.col("part") * COUNT_BITS + F.col("bit")).alias("place")).agg(F.sum("n").alias("hits")))
     listed = df.sparkSession.createDataFrame(list(enumerate(batch.rule_ids)), "place int, rule_id string")
     return (listed.join(counts, "place", "left")
             .select("rule_id", F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits")))

@@ -46,7 +46,9 @@ def run_stages(rules: RuleSet, table: DataFrame | str, stages: Sequence[Stage],
     """Run ``stages`` in order; stop at the first rejected stage.
 
     A stage without ``view_name`` is named in the next stage's query text as
-    a subquery of its own query, so every audited text can be re-run as is.
+    a subquery of its own query. Each result's ``executed`` text is the typed
+    SQL that ran (on the table or view it names) and can be re-run as is;
+    ``query`` keeps the rule language's spelling, which ANSI mode may refuse.
     ``checkpoint_between`` writes each intermediate result (not the final
     one) with a reliable ``checkpoint()`` into ``spark.checkpoint.dir`` so a
     lost executor does not recompute earlier stages; it is off by default
@@ -56,11 +58,14 @@ def run_stages(rules: RuleSet, table: DataFrame | str, stages: Sequence[Stage],
     """
     current: DataFrame | str = table
     name = table_name if table_name else (table if isinstance(table, str) else None)
+    ran = name  # the same chain of names, as executed
     results: list[RuleResult] = []
     for i, stage in enumerate(stages):
         res = run_rule(rules, current, rule_id=stage.rule_id, process=stage.process,
                        process_key=stage.process_key, is_lookup=stage.is_lookup,
                        as_of=as_of, table_name=name, **stage.options)
+        if name != ran and name and res.executed:
+            res.executed = res.executed.replace(name, ran, 1)
         results.append(res)
         if not res.ok or res.df is None:
             return StagedRun(None, results)
@@ -70,10 +75,11 @@ def run_stages(rules: RuleSet, table: DataFrame | str, stages: Sequence[Stage],
             out = out.checkpoint(eager=True)
         if stage.view_name:
             out.createOrReplaceTempView(stage.view_name)
-            name = stage.view_name
+            name = ran = stage.view_name
         elif name and res.query.lstrip().lower().startswith("select"):
             name = "({}\n)".format(res.query.strip())  # newline: a tail may end in a -- comment
+            ran = "({}\n)".format(res.executed.strip())
         else:
-            name = None
+            name = ran = None
         current = out
     return StagedRun(current if isinstance(current, DataFrame) else None, results)

@@ -12,7 +12,7 @@ import datetime as dt
 import json
 from typing import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +24,6 @@ from ..sources.ruleset import RuleSet, strip_ws
 from .evaluate import RuleResult
 
 RULE_DATE_PATTERN = "d/M/yyyy"
-MAX_BROADCAST_RULES = 100_000
 
 
 def _issue(cond, fmt: str, *args) -> F.Column:
@@ -109,9 +108,12 @@ def rule_validation(rules: RuleSet, as_of: dt.date | None = None) -> DataFrame:
             _issue((F.col("cond_pos") == 0) & F.col("process_key").isin("query_lookup", "groupby_lookup")
                    & (F.trim(F.coalesce(F.col("lookup_value"), F.lit(""))) == ""),
                    "lookup query is empty"),
-            _issue((F.col("cond_pos") == 0) & (F.col("process_key") == "transformation")
+            _issue((F.col("process_key") == "transformation")
                    & ((F.col("field_name") == "") | (F.col("then_field") == "")),
-                   "transformation needs then.field_name (target) and when[0].field_name (expression)"),
+                   "transformation needs then.field_name (target) and a field_name (expression) in each when"),
+            _issue((F.col("cond_pos") >= 1) & F.col("process_key").isin(*R.LOOKUP_KEYS)
+                   & F.col("lookup_value").isNotNull(),
+                   "condition %d: a lookup reads its first lookup_value only, this one is ignored", pos),
         )).alias("issue"),
     ).where(F.col("issue").isNotNull())
 
@@ -139,10 +141,10 @@ def _resolution_issues(rules: RuleSet, as_of: dt.date) -> DataFrame:
                 rows.append((r.doc, r.doc_pos, f"goto chain: {e}"))
         if r.process_key == "groupby_lookup" and r.conditions:
             try:
-                if grouping_keys((r.conditions[0].lookup_value or "").strip()) is None:
+                if grouping_keys(rules.spark, (r.conditions[0].lookup_value or "").strip()) is None:
                     rows.append((r.doc, r.doc_pos, "groupby_lookup tail has no top-level group by"))
-            except RuleConfigError as e:
-                rows.append((r.doc, r.doc_pos, str(e)))
+            except (RuleConfigError, ParseException) as e:
+                rows.append((r.doc, r.doc_pos, str(e).strip().splitlines()[0]))
     return rules.spark.createDataFrame(rows, "doc string, rule_pos int, issue string")
 
 
@@ -152,13 +154,16 @@ REQUEST_COLUMNS = ("process", "process_key", "rule_id", "is_lookup")
 def unmatched_requests(rules: RuleSet, requests: DataFrame) -> DataFrame:
     """Calls (process, process_key, rule_id, is_lookup) that no rule answers,
     with the message the rule call would report. Values are stripped and a
-    null ``is_lookup`` follows from the process key, as in ``run_rule``."""
+    null ``is_lookup`` follows from the process key, as in ``run_rule``.
+
+    The join carries no hint: Spark broadcasts a rule list of ordinary size,
+    and for a larger one adaptive execution splits a combination that very
+    many requests share."""
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))  # noqa: E731 - as the driver rule list
     cat = rules.catalog_df.select(
         blank("process").alias("_p"), blank("process_key").alias("_k"),
         blank("id").alias("_i"), blank("is_lookup").alias("_l")).distinct()
-    if rules.rule_count() <= MAX_BROADCAST_RULES:
-        cat = F.broadcast(cat)
+
     def strip(c: str) -> F.Column:
         return F.coalesce(strip_ws(F.col(c).cast("string")), F.lit(""))
     derived = F.when(strip("process_key").isin(*R.LOOKUP_KEYS), F.lit("true")).otherwise(F.lit("false"))
@@ -180,6 +185,7 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("message", T.StringType()),
     T.StructField("query", T.StringType()),
+    T.StructField("executed", T.StringType()),
     T.StructField("logged_at", T.TimestampType()),
 ])
 
@@ -201,7 +207,7 @@ def audit_frame(spark: SparkSession, entries: Iterable[tuple[str, RuleResult]],
         ok = res.ok
         rows.append((stage, ",".join(res.rule_ids), res.valid_params is True, bool(res.rule_validity),
                      "ok" if ok else "rejected", res.message,
-                     _audit_text(res), when))
+                     _audit_text(res), res.executed or None, when))
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
 
@@ -209,14 +215,14 @@ def audit_stages(spark: SparkSession, stage_names: Sequence[str], results: Seque
     return audit_frame(spark, zip(stage_names, results))
 
 
-STAGE_AUDIT_SCHEMA = "stage string, rule_id string, status string, message string, query string, rows_out bigint"
+STAGE_AUDIT_SCHEMA = "stage string, rule_id string, status string, message string, query string, executed string, rows_out bigint"
 
 
 def stage_audit(spark: SparkSession, run, stage_names: Sequence[str]) -> DataFrame:
     """Audit of a staged run with each stage's output row count.
 
     One row per stage name: ``stage, rule_id, status, message, query,
-    rows_out``. A stage followed by plain filter stages is counted together
+    rows_out``, with ``executed`` (the typed SQL that ran) beside ``query``. A stage followed by plain filter stages is counted together
     with them in one scan (``count_if`` of the accumulated predicates);
     other stages get a count of their own. A rejected stage has no count,
     and stages after it are listed as ``skipped``.
@@ -227,12 +233,12 @@ def stage_audit(spark: SparkSession, run, stage_names: Sequence[str]) -> DataFra
     def meta(k):
         res = run.results[k] if k < len(run.results) else None
         if res is None:
-            return res, (names[k], "", "skipped", "an earlier stage was rejected or produced no table", "")
+            return res, (names[k], "", "skipped", "an earlier stage was rejected or produced no table", "", "")
         status = ("ok" if res.df is not None else "no output") if res.ok else "rejected"
-        return res, (names[k], ",".join(res.rule_ids), status, res.message, res.query)
+        return res, (names[k], ",".join(res.rule_ids), status, res.message, res.query, res.executed)
 
     def literal_row(m, count_col):
-        cols = [F.lit(v).alias(c) for v, c in zip(m, ("stage", "rule_id", "status", "message", "query"))]
+        cols = [F.lit(v).alias(c) for v, c in zip(m, ("stage", "rule_id", "status", "message", "query", "executed"))]
         return cols + [count_col.alias("rows_out")]
 
     while i < len(names):

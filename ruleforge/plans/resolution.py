@@ -34,6 +34,18 @@ MSG_CONDITIONAL_BAD = "Conditional process without proper condition setup."
 RULE_DATE_FORMAT = "%d/%m/%Y"  # day/month/year, zero padding optional
 
 
+ANY_DAY = dt.date.min  # as_of of a call whose windows are tested on each row's own date
+
+
+def window_sql(rule: Rule, row_date: str) -> str:
+    """The rule's validity window on a row's date or timestamp, as SQL (the last day is whole)."""
+    start, end = parse_rule_date(rule.valid_from), parse_rule_date(rule.valid_till)
+    text = f"({row_date}) >= date'{start.isoformat()}'"
+    if end < dt.date.max:
+        text += f" and ({row_date}) < date'{(end + dt.timedelta(days=1)).isoformat()}'"
+    return text
+
+
 def parse_rule_date(text: str | None) -> dt.date | None:
     try:
         return dt.datetime.strptime((text or "").strip(), RULE_DATE_FORMAT).date()
@@ -56,7 +68,7 @@ def inactive_reason(rule: Rule, as_of: dt.date) -> str | None:
     if start is None or end is None:
         return "Rule {} has an unreadable validity window ({!r}, {!r})".format(
             rule.id, rule.valid_from, rule.valid_till)
-    if not start <= as_of <= end:
+    if as_of != ANY_DAY and not start <= as_of <= end:
         return MSG_OUT_OF_RANGE.format(start, end)
     return None
 

@@ -9,6 +9,7 @@ driver can compare it with the matching SQL in ``ORACLE_SQL``.
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,19 +21,19 @@ from .operators.evaluate import RuleResult, run_rule
 from .operators.multi_rule import compile_rules, rule_flags, rule_hit_counts, rule_hits
 from .operators.rules_as_data import rules_as_data_hits, threshold_hit_counts, threshold_rules
 from .operators.stages import Stage, run_stages
-from .operators.validation import stage_audit
+from .operators.validation import stage_audit, unmatched_requests
 from .sources.ruleset import RuleSet
 
 AS_OF = dt.date(2024, 6, 1)
 
 
 def _rule(rule_id: str, process: str, process_key: str, when: list[dict], then=("", ""),
-          is_lookup: str | None = None) -> dict:
+          is_lookup: str | None = None, window=("01/01/2020", "31/12/2999"), is_valid: str = "true") -> dict:
     if is_lookup is None:
         is_lookup = "true" if process_key in ("query_lookup", "value_lookup", "groupby_lookup",
                                               "conditional") else "false"
-    return {"id": rule_id, "name": "TABLE_RULES", "description": rule_id, "is_valid": "true",
-            "valid_from": "01/01/2020", "valid_till": "31/12/2999", "process": process,
+    return {"id": rule_id, "name": "TABLE_RULES", "description": rule_id, "is_valid": is_valid,
+            "valid_from": window[0], "valid_till": window[1], "process": process,
             "process_key": process_key, "is_lookup": is_lookup, "when": when,
             "then": {"field_name": then[0], "field_value": then[1]}}
 
@@ -89,20 +90,47 @@ TABLE_RULES = [
     _rule("hit_status_f", IDENT, "query_builder", [_cond("l_linestatus", "=", "F")]),
     _rule("thr_discount_high", IDENT, "query_builder", [_cond("l_discount", ">=", "0.055")]),
     _rule("thr_tax_low", IDENT, "query_builder", [_cond("l_tax", "<", "0.015")]),
+    _rule("li_price_steps", IDENT, "transformation",
+          [{"field_name": "l_extendedprice - l_quantity"}, {"field_name": "l_extendedprice * 2"}],
+          ("l_extendedprice", "")),
+    # validity windows that end inside the order dates
+    _rule("asof_1997_big", IDENT, "query_builder", [_cond("o_totalprice", ">=", "100000")],
+          window=("01/01/1997", "31/12/1997")),
+    _rule("asof_early_final", IDENT, "query_builder", [_cond("o_orderstatus", "=", "F")],
+          window=("15/06/1993", "30/06/1996")),
+    _rule("asof_chain", IDENT, "query_builder", [_cond("o_orderpriority", "LIKE", "1-")],
+          ("goto", "asof_1997_big"), window=("01/07/1996", "30/06/1997")),
+    _rule("asof_off", IDENT, "query_builder", [_cond("o_totalprice", ">=", "1")], is_valid="false",
+          window=("01/01/1990", "31/12/2999")),
 ]
 
+# generated rules: 240 thresholds over four lineitem columns, every comparison
+GENERATED_FIELDS = [("l_quantity", 1.0, 50.0), ("l_extendedprice", 1000.0, 100000.0),
+                    ("l_discount", 0.0, 0.1), ("l_tax", 0.0, 0.08)]
+GENERATED_OPS = (">=", "<", ">", "<=", "=", "<>")
+
+
+def generated_thresholds(n: int = 240) -> list[tuple[str, str, str, str]]:
+    """(rule id, field, operator, value) of ``n`` generated rules."""
+    out = []
+    for i in range(n):
+        name, low, high = GENERATED_FIELDS[i % len(GENERATED_FIELDS)]
+        step = (i // len(GENERATED_FIELDS) + 1) / (n // len(GENERATED_FIELDS) + 2)
+        out.append((f"gen_{i}", name, GENERATED_OPS[i // 4 % len(GENERATED_OPS)], f"{low + (high - low) * step:.2f}"))
+    return out
+
 MULTI_RULE_IDS = ["hit_qty_high", "hit_price_high", "hit_qty_low", "hit_flag_r", "hit_status_f"]
+VALIDITY_RULE_IDS = ["asof_1997_big", "asof_early_final", "asof_chain", "asof_off"]
 THRESHOLD_RULE_IDS = ["hit_qty_high", "hit_price_high", "hit_qty_low", "thr_discount_high", "thr_tax_low"]
 
+_DOCUMENTS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def table_rules(spark: SparkSession) -> RuleSet:
-    """The query rule document, loaded once per session (kept on the session
-    object, so it goes away with it)."""
-    rs = getattr(spark, "_ruleforge_table_rules", None)
-    if rs is None:
-        rs = RuleSet.from_rules(spark, TABLE_RULES)
-        rs.rules()
-        spark._ruleforge_table_rules = rs
-    return rs
+    """The query rule document, read once per session."""
+    if spark not in _DOCUMENTS:
+        _DOCUMENTS[spark] = RuleSet.from_rules(spark, TABLE_RULES)
+    return _DOCUMENTS[spark]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -201,13 +229,53 @@ def transform_column(spark, sf_dir):
                     process_key="transformation")
 
 
+def transform_steps(spark, sf_dir):
+    return _builder(spark, sf_dir, "lineitem", "li_price_steps", LI_KEYS + ["l_extendedprice"],
+                    process_key="transformation")
+
+
+def rule_validity_asof(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    batch = compile_rules(table_rules(spark), orders, VALIDITY_RULE_IDS, as_of="o_orderdate", strict=False)
+    if set(batch.rejected) != {"asof_off"}:
+        raise RuntimeError(f"rules rejected: {batch.rejected}")
+    return rule_hits(orders, batch, ["o_orderkey"])
+
+
+def rule_requests_unmatched(spark, sf_dir):
+    """Rule calls derived from events: purchases and clicks name rules of the document, the others do not."""
+    kind = F.col("event_type")
+    requests = table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("value") < 5, "filtration").otherwise(" identification ").alias("process"),
+        F.when(kind == "click", "conditional").otherwise("query_builder").alias("process_key"),
+        F.when(kind == "click", "ev_purchase_gate").when(kind == "purchase", "ev_value_big")
+        .otherwise(F.concat(F.lit("ev_"), kind)).alias("rule_id"),
+        F.when(kind == "click", F.lit(None).cast("string")).otherwise("false").alias("is_lookup"))
+    return unmatched_requests(table_rules(spark), requests).select("event_id", "rule_id", "message")
+
+
+def generated_rules(spark):
+    return RuleSet.from_rules(spark, [_rule(rid, IDENT, "query_builder", [_cond(f, op, v)])
+                                      for rid, f, op, v in generated_thresholds()])
+
+
+def rule_hit_counts_240(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem")
+    return rule_hit_counts(df, compile_rules(generated_rules(spark), df, as_of=AS_OF))
+
+
+def rules_as_data_counts_240(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem")
+    return threshold_hit_counts(df, threshold_rules(generated_rules(spark), df, as_of=AS_OF))
+
+
 def groupby_lookup(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
     res = run_rule(table_rules(spark), df, rule_id="li_by_flag", process=FILT,
                    process_key="groupby_lookup", as_of=AS_OF, table_name="lineitem",
                    aggregates={"row_count": "count(*)",
-                               "sum_qty": "round(sum(l_quantity), 2)",
-                               "sum_price": "round(sum(l_extendedprice), 2)"})
+                               "sum_qty": "cast(sum(cast(l_quantity as decimal(18,2))) as double)",
+                               "sum_price": "cast(sum(cast(l_extendedprice as decimal(18,2))) as double)"})
     return _ok(res)
 
 
@@ -222,8 +290,8 @@ def elapsed_minutes(spark, sf_dir):
 
 
 def ordered_result(spark, sf_dir):
-    return _builder(spark, sf_dir, "orders", "ord_big", ["o_orderkey", "o_totalprice"],
-                    order_by=["o_orderkey"])
+    columns = ["o_orderkey", "o_totalprice"]
+    return _builder(spark, sf_dir, "orders", "ord_big", columns, order_by=["o_orderkey"], columns=columns)
 
 
 def staged_filter_identify(spark, sf_dir):
@@ -310,6 +378,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conditional_gated": conditional_gated,
     "then_flag": then_flag,
     "transform_column": transform_column,
+    "transform_steps": transform_steps,
+    "rule_validity_asof": rule_validity_asof,
+    "rule_requests_unmatched": rule_requests_unmatched,
+    "rule_hit_counts_240": rule_hit_counts_240,
+    "rules_as_data_counts_240": rules_as_data_counts_240,
     "groupby_lookup": groupby_lookup,
     "elapsed_minutes": elapsed_minutes,
     "ordered_result": ordered_result,
@@ -326,6 +399,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LI = "l_orderkey, l_linenumber"
 
+
+def _generated_sql() -> str:
+    """(l_orderkey, l_linenumber, rule_id, hit) of every generated rule, in DuckDB SQL."""
+    rules = generated_thresholds()
+    tests = ", ".join(f"{{'rule_id': '{rid}', 'hit': {f} {op} {v}::double}}" for rid, f, op, v in rules)
+    return f"select {_LI}, r.rule_id as rule_id, r.hit as hit from (select {_LI}, unnest([{tests}]) as r from lineitem)"
+
+
+_GENERATED_COUNTS = ("select rule_id, sum(case when hit then 1 else 0 end)::bigint as hits "
+                     f"from ({_generated_sql()}) group by rule_id")
+
 ORACLE_SQL: dict[str, str] = {
     "flt_query_lookup": f"select {_LI}, l_returnflag, l_linestatus, l_quantity from lineitem "
                         "where l_returnflag = 'R' and l_linestatus in ('O','F') and l_quantity > 30",
@@ -350,11 +434,28 @@ ORACLE_SQL: dict[str, str] = {
     "then_flag": f"select {_LI}, l_quantity, case when l_quantity >= 45 then 'true' end as is_large "
                  "from lineitem",
     "transform_column": f"select {_LI}, l_extendedprice - l_quantity as l_extendedprice from lineitem",
-    "groupby_lookup": "select l_returnflag, count(*) as row_count, round(sum(l_quantity), 2) as sum_qty, "
-                      "round(sum(l_extendedprice), 2) as sum_price from lineitem group by l_returnflag",
+    "transform_steps": f"select {_LI}, (l_extendedprice - l_quantity) * 2 as l_extendedprice from lineitem",
+    "rule_validity_asof": " union all ".join([
+        "select o_orderkey, 'asof_1997_big' as rule_id from orders where o_totalprice >= 100000 "
+        "and o_orderdate >= date '1997-01-01' and o_orderdate < date '1998-01-01'",
+        "select o_orderkey, 'asof_early_final' as rule_id from orders where o_orderstatus = 'F' "
+        "and o_orderdate >= date '1993-06-15' and o_orderdate < date '1996-07-01'",
+        "select o_orderkey, 'asof_chain' as rule_id from orders where o_orderpriority like '1-%' "
+        "and o_totalprice >= 100000 and o_orderdate >= date '1997-01-01' and o_orderdate < date '1997-07-01'",
+    ]),
+    "rule_requests_unmatched": "select event_id, case event_type when 'click' then 'ev_purchase_gate' "
+                               "when 'purchase' then 'ev_value_big' else 'ev_' || event_type end as rule_id, "
+                               "'Rules are not configured for the combination of parameters passed.' as message "
+                               "from events where value < 5 or event_type not in ('click', 'purchase')",
+    "rule_hit_counts_240": _GENERATED_COUNTS,
+    "rules_as_data_counts_240": _GENERATED_COUNTS,
+    "groupby_lookup": "select l_returnflag, count(*) as row_count, "
+                      "cast(sum(cast(l_quantity as decimal(18,2))) as double) as sum_qty, "
+                      "cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as sum_price from lineitem group by l_returnflag",
     "elapsed_minutes": "select user_id, strftime(event_day, '%Y-%m-%d') as event_day, n_events, "
                        "total_value, time_diff from (select user_id, cast(ts as date) as event_day, "
-                       "count(*) as n_events, round(sum(value), 2) as total_value, "
+                       "count(*) as n_events, "
+                       "cast(round(sum(cast(value as decimal(28,6))), 2) as double) as total_value, "
                        "(floor(epoch(max(ts))) - floor(epoch(min(ts)))) / 60 as time_diff "
                        "from events group by user_id, cast(ts as date)) where time_diff <= 30",
     "ordered_result": "select o_orderkey, o_totalprice from orders where o_totalprice >= 100000 "
@@ -365,11 +466,14 @@ ORACLE_SQL: dict[str, str] = {
     "rule_audit": "select 'filter' as stage, 'li_returns_open' as rule_id, 'ok' as status, "
                   "'Successfully returning the lookup query' as message, "
                   "' select * from lineitem where l_returnflag = ''R'' and l_linestatus in (''O'',''F'') "
-                  "and l_quantity > 30' as query, count(*) as rows_out from lineitem "
+                  "and l_quantity > 30' as query, "
+                  "' select * from lineitem where l_returnflag = ''R'' and l_linestatus in (''O'',''F'') "
+                  "and l_quantity > 30' as executed, count(*) as rows_out from lineitem "
                   "where l_returnflag = 'R' and l_linestatus in ('O','F') and l_quantity > 30 "
                   "union all select 'identify', 'li_net_value', 'ok', "
                   "'Successfully returning the dynamically generated query', "
                   "' select * from li_open_returns  where l_extendedprice - l_quantity * 1000 >= 10000', "
+                  "' select * from li_open_returns  where ((l_extendedprice - l_quantity * 1000) >= 10000.0D)', "
                   "count(*) from lineitem where l_returnflag = 'R' and l_linestatus in ('O','F') "
                   "and l_quantity > 30 and l_extendedprice - l_quantity * 1000 >= 10000",
     "multi_rule_hits": " union all ".join([

@@ -8,14 +8,14 @@ the same way.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 
 def local_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "ruleforge") -> SparkSession:
-    """A local session with AQE on, the UI off and UTC as session time zone."""
+                  app_name: str = "ruleforge", checkpoint_dir: str | None = None) -> SparkSession:
+    """A local session with AQE on, the UI off and UTC as session time zone.
+    ``checkpoint_dir`` sets ``spark.checkpoint.dir``; without it nothing that checkpoints will run."""
     master = master or f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     builder = (
         SparkSession.builder.master(master)
@@ -30,48 +30,33 @@ def local_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder the cluster configured.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is; if it is unset there, this fails rather than checkpoint to a
-    machine-local folder. Only a local-mode session (tests) gets a scratch
-    folder when the setting is missing.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+def checkpoint_root(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names: shared storage on a cluster,
+    any folder the caller chose in a local session. There is no default, so
+    nothing is ever written to a machine-local folder by accident.
+
+    This is the configured folder itself (stable across applications, unlike
+    ``sc.getCheckpointDir()``, which adds a fresh per-application sub-folder):
+    streaming queries keep their offsets under it so a restarted application
+    resumes instead of reprocessing."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)  # works without a SparkContext too
+    if not configured:
+        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
-        configured = tempfile.mkdtemp(prefix="ruleforge-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
+    return configured
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The configured shared checkpoint folder itself (stable across
-    applications, unlike ``sc.getCheckpointDir()``, which adds a fresh
-    per-application sub-folder). Streaming queries keep their offsets under
-    it so a restarted application resumes instead of reprocessing. Only a
-    local session without the setting (tests) falls back to this
-    application's scratch folder, which does not outlive it."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)  # works without a SparkContext too
-    if configured:
-        return configured
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``checkpoint()`` use the configured folder and return it."""
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
-    return ensure_checkpoint_dir(spark)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(checkpoint_root(spark))
+    return sc.getCheckpointDir()

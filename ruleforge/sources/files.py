@@ -36,9 +36,21 @@ TRANSACTION_TIME_FORMAT = "d/M/y HH:mm:ss.SSSSSS"
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType = TRANSACTION_SCHEMA,
                    header: bool = True) -> DataFrame:
-    """Header CSV with a declared schema (FAILFAST: a bad row is an error)."""
-    return (spark.read.schema(schema).option("header", header)
-            .option("mode", "FAILFAST").csv(path))
+    """CSV with a declared schema (FAILFAST: a bad row is an error).
+
+    With a header, columns are matched by name, in any order; a missing,
+    unknown or repeated name is an error. Every file of a folder must have
+    the header of the first (``enforceSchema`` off: another order fails
+    instead of shifting values).
+    """
+    reader = spark.read.option("header", header).option("mode", "FAILFAST")
+    if not header:
+        return reader.schema(schema).csv(path)
+    found = [c.strip() for c in reader.csv(path).columns]
+    if sorted(found) != sorted(schema.fieldNames()):
+        raise ValueError(f"{path}: header {found} does not name the columns {schema.fieldNames()}")
+    in_file = T.StructType([schema[c] for c in found])
+    return reader.option("enforceSchema", False).schema(in_file).csv(path).select(*schema.fieldNames())
 
 
 def transaction_timestamp(date_col: str = "date", time_col: str = "time") -> Column:
@@ -47,9 +59,10 @@ def transaction_timestamp(date_col: str = "date", time_col: str = "time") -> Col
                               F.lit(TRANSACTION_TIME_FORMAT))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True) -> None:
     """Write a result as header CSV, one file per task (no forced single
-    partition: that would funnel the whole result through one task)."""
+    partition: that would funnel the whole result through one task). An
+    existing folder is refused unless ``mode`` says otherwise."""
     df.write.mode(mode).option("header", header).csv(path)
 
 

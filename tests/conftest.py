@@ -12,9 +12,10 @@ AS_OF = dt.date(2022, 3, 1)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from ruleforge.session import local_session
-    s = local_session("local[4]", shuffle_partitions=4, app_name="ruleforge-tests")
+    s = local_session("local[4]", shuffle_partitions=4, app_name="ruleforge-tests",
+                      checkpoint_dir=str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()
 

@@ -223,11 +223,11 @@ def test_conditional_without_goto_needs_no_table(spark):
     assert res.as_tuple()[:3] == (False, True, "Conditional process without proper condition setup.")
 
 
-def test_grouping_keys_use_the_top_level_group_by():
+def test_grouping_keys_use_the_top_level_group_by(spark):
     from ruleforge.operators.evaluate import grouping_keys
-    assert grouping_keys("where k in (select k from t group by k) group by a, b order by a") == "a, b"
-    assert grouping_keys("where s = 'group by z' group by a having count(*) > 1") == "a"
-    assert grouping_keys("where x > 1") is None
+    assert grouping_keys(spark, "where k in (select k from t group by k) group by a, b order by a") == "a, b"
+    assert grouping_keys(spark, "where s = 'group by z' group by a having count(*) > 1") == "a"
+    assert grouping_keys(spark, "where x > 1") is None
 
 
 def test_flag_stage_texts_rerun_to_the_same_rows(spark, atm):
@@ -274,13 +274,13 @@ def test_flag_into_existing_typed_column(spark, atm):
     assert bad.rule_validity is False and "does not fit" in bad.message
 
 
-def test_grouping_key_edge_cases():
+def test_grouping_key_edge_cases(spark):
     from ruleforge.errors import RuleConfigError
     from ruleforge.operators.evaluate import grouping_keys
-    assert grouping_keys("where s = 'it\\'s' group by a") == "a"
-    assert grouping_keys("group by a, b with rollup") == "a, b"
+    assert grouping_keys(spark, "where s = 'it\\'s' group by a") == "a"
+    assert grouping_keys(spark, "group by a, b with rollup") == "a, b"
     with pytest.raises(RuleConfigError):
-        grouping_keys("group by grouping sets ((a), (b))")
+        grouping_keys(spark, "group by grouping sets ((a), (b))")
 
 
 def test_all_rules_mode_lists_rejections(spark, atm):
@@ -354,8 +354,8 @@ def test_order_by_directions_and_lookup_text(current_rules, atm):
 
 def test_group_by_ordinals_and_comments(spark, atm):
     from ruleforge.operators.evaluate import grouping_keys
-    assert grouping_keys("where x > 1 -- (old\n group by k") == "k"
-    assert grouping_keys("where `a\\` = 1 /* ( */ group by k") == "k"
+    assert grouping_keys(spark, "where x > 1 -- (old\n group by k") == "k"
+    assert grouping_keys(spark, "where `a\\` = 1 /* ( */ group by k") == "k"
     rules = [rule("g", [{"lookup_value": " group by 1"}], process="filtration", process_key="groupby_lookup")]
     res = _call(spark, rules, atm, "g", process="filtration", process_key="groupby_lookup")
     assert sorted((r.session_id, r.row_count) for r in res.df.collect()) == [(5, 2), (6, 2), (7, 2), (8, 2), (9, 2)]
@@ -379,8 +379,8 @@ def test_ordered_lookup_text_wraps_and_ordinal_bounds(spark, atm):
     assert spark.sql(res.query).count() == res.df.count() == 8
     bad = _call(spark, rules, atm, "g", process="filtration", process_key="groupby_lookup")
     assert bad.rule_validity is False and "out of range" in bad.message
-    assert grouping_keys("where a = 1 /*/ group by old */ group by k") == "k"
-    assert grouping_keys("where a /* x /* y */ group by z */ group by k") == "k"
+    assert grouping_keys(spark, "where a = 1 /*/ group by old */ group by k") == "k"
+    assert grouping_keys(spark, "where a /* x /* y */ group by z */ group by k") == "k"
 
 
 def test_value_and_conditional_payloads(spark):
@@ -430,3 +430,77 @@ def test_blank_table_name_means_text_only(current_rules):
     out = call_rule(current_rules, "identification", "query_builder", "rule_3", "false", "", "   ", None, True,
                     as_of=AS_OF)
     assert out[3] == " where transaction_total_amount >= 10000" and out[4] is None
+
+
+def test_transformation_steps_apply_in_order(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    rules = [rule("t", [{"field_name": "a + b"}, {"field_name": "a * 100"}], ("a", ""), process_key="transformation")]
+    df.createOrReplaceTempView("steps_in")
+    res = _call(spark, rules, df, "t", process_key="transformation", table_name="steps_in")
+    assert [tuple(r) for r in res.df.collect()] == [(300, 2)]
+    assert [tuple(r) for r in spark.sql(res.query).collect()] == [(300, 2)]
+    assert "steps" in _call(spark, rules, df, "t", process_key="transformation").message
+
+
+def test_validity_on_each_rows_own_date(spark):
+    import datetime as dt
+    days = [dt.datetime(2021, 1, 1), dt.datetime(2021, 12, 31, 23, 59), dt.datetime(2022, 1, 1), None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "k int, at timestamp")
+    df.createOrReplaceTempView("dated")
+    window = dict(valid_from="02/01/2021", valid_till="31/12/2021")
+    rules = [rule("w", [cond("k", ">=", "0")], ("hit", "yes"), **window),
+             rule("q", [{"lookup_value": " where k >= 0"}], process="filtration", process_key="query_lookup", **window),
+             rule("t", [{"field_name": "k + 10"}], ("k", ""), process_key="transformation", **window),
+             rule("off", [cond("k", ">=", "0")], is_valid="false", **window)]
+    rs = RuleSet.from_rules(spark, rules)
+
+    def call(rid, key, process="identification", **kw):
+        return run_rule(rs, df, rule_id=rid, process=process, process_key=key, as_of="at", table_name="dated", **kw)
+    res = call("w", "query_builder")
+    assert [r.k for r in res.df.collect()] == [1]
+    assert [r.k for r in spark.sql(res.query).collect()] == [r.k for r in spark.sql(res.executed).collect()] == [1]
+    assert [r.hit for r in call("w", "query_builder", mode="flag").df.orderBy("k").collect()] == [None, "yes", None, None]
+    look = call("q", "query_lookup", process="filtration")
+    assert [r.k for r in look.df.collect()] == [r.k for r in spark.sql(look.query).collect()] == [1]
+    assert sorted(r.k for r in call("t", "transformation").df.collect()) == [0, 2, 3, 11]
+    assert not call("off", "query_builder").ok
+
+
+_TEXTS = ["36", "036", " 36 ", "36.0", "36.0000000000000000000", "36.0000000000000000001", "35.9999999999999999999999",
+          "-36", "-0", "0.0", ".5", "-.5", "36x", "", None, "1" * 39, "0" * 50 + "36", "+36", "3.6e1", "37", "99999999999999999999999999999999999999"]
+
+
+@pytest.mark.parametrize("value", ["36", "036", "0", "37", "99999999999999999999999999999999999999"])
+def test_text_numbers_compare_without_rounding(spark, value):
+    import operator
+    from decimal import Decimal, InvalidOperation, localcontext
+    ops = {"=": operator.eq, "!=": operator.ne, "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(_TEXTS)], "i int, s string")
+    for op, test in ops.items():
+        res = _call(spark, [rule("r", [cond("s", op, value)])], df, "r")
+        got = sorted(r.i for r in res.df.collect())
+        want = []
+        for i, t in enumerate(_TEXTS):
+            with localcontext() as c:
+                c.prec = 200
+                try:
+                    number = Decimal((t or "x").strip())
+                except InvalidOperation:
+                    continue
+                if test(number, Decimal(value)):
+                    want.append(i)
+        assert got == want, (op, [_TEXTS[i] for i in set(got) ^ set(want)])
+
+
+def test_executed_text_returns_the_rows_that_ran(spark):
+    df = spark.createDataFrame([(1, "36", 1.5, True), (3, "bad", 2.5, False), (2, "036.0", float("nan"), None),
+                                (None, "x'y\\z", None, True)], "n int, s string, x double, b boolean")
+    df.createOrReplaceTempView("executed_in")
+    cases = [("n", ">=", "2.5"), ("s", "=", "36"), ("s", ">", "35"), ("x", "<", "2"), ("x", ">=", "1e400"), ("b", "=", "yes"),
+             ("s", "LIKE", "x'"), ("s", "LIKE", "x'y\\"), ("s", "NOT LIKE", "0"), ("n", "<=>", "1"), ("s", "=", "x'y\\z"),
+             ("n * 2", "=", "2"), ("n", "<", "99999999999")]
+    for field, op, value in cases:
+        res = _call(spark, [rule("r", [cond(field, op, value)])], df, "r", table_name="executed_in")
+        assert res.ok, (field, op, value, res.message)
+        ran = sorted(map(str, spark.sql(res.executed).collect()))
+        assert ran == sorted(map(str, res.df.collect())), (field, op, value)

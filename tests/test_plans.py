@@ -12,7 +12,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 
 NO_SHUFFLE = ["flt_query_lookup", "pred_ge", "pred_eq", "pred_expr_operand", "pred_like", "pred_not_like",
               "pred_and", "pred_or", "pred_precedence", "pred_bool", "goto_chain", "conditional_goto",
-              "conditional_gated", "then_flag", "transform_column", "staged_filter_identify",
+              "conditional_gated", "then_flag", "transform_column", "transform_steps", "rule_validity_asof", "staged_filter_identify",
               "multi_rule_hits", "multi_rule_flags", "lookup_value_key", "lookup_entries"]
 
 PUSHED = {
@@ -29,6 +29,7 @@ READ = {
     "pred_ge": "struct<o_orderkey:bigint,o_totalprice:double>",
     "pred_like": "struct<p_partkey:bigint,p_type:string>",
     "lookup_value_key": "struct<event_id:bigint,props:string>",
+    "ordered_result": "struct<o_orderkey:bigint,o_totalprice:double>",
 }
 
 
@@ -82,3 +83,8 @@ def test_rule_hits_stay_in_one_codegen_stage(spark):
     plan = _plan(spark, "multi_rule_hits")
     stages = set(re.findall(r"\*\((\d+)\) (?:Generate|Filter|Project|ColumnarToRow)", plan))
     assert len(stages) == 1 and len(re.findall(r"\*\(\d+\) Generate", plan)) == plan.count("Generate ") == 2
+
+
+@pytest.mark.parametrize("name", ["rule_hit_counts_240", "rules_as_data_counts_240"])
+def test_many_rule_counts_scan_once(spark, name):
+    assert _plan(spark, name).count("FileScan parquet") == 1

@@ -67,9 +67,9 @@ def test_expired_rules_are_rejected(current_rules, atm):
     _filtered(current_rules, atm)
     for rid, key, lk in (("rule_4", "query_builder", "false"), ("rule_5", "conditional", "true")):
         res = run_rule(current_rules, "atm_filtered", rule_id=rid, process="identification",
-                       process_key=key, is_lookup=lk, as_of=dt.date(2022, 6, 11))
+                       process_key=key, is_lookup=lk, as_of=dt.date(2022, 9, 21))
         assert res.as_tuple() == (True, False,
-                                  "Rule 2021-12-10 and 2022-06-10 are out of range and is skipped", "", None)
+                                  "Rule 2021-03-05 and 2022-09-20 are out of range and is skipped", "", None)
 
 
 def test_staged_run_registers_views_and_fuses_filters(current_rules, atm, spark):

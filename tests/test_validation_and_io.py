@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from conftest import AS_OF, cond, rule
 
 from ruleforge import RuleSet, run_rule
@@ -221,3 +222,37 @@ def test_stage_audit_with_nondeterministic_filter(spark, current_rules, atm):
     run = run_stages(rs, atm, [Stage("all", "identification", "query_builder"),
                                Stage("sample", "identification", "query_builder")], as_of=AS_OF)
     assert [(r.stage, r.rows_out) for r in stage_audit(spark, run, ["a", "s"]).collect()] == [("a", 10), ("s", 10)]
+
+
+def test_csv_columns_follow_the_header(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from ruleforge.sources.files import read_csv_table
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    (tmp_path / "swapped.csv").write_text("b,a\n1,2\n")
+    assert [tuple(r) for r in read_csv_table(spark, str(tmp_path / "swapped.csv"), schema).collect()] == [(2, 1)]
+    (tmp_path / "other.csv").write_text("b,c\n1,2\n")
+    with pytest.raises(ValueError):
+        read_csv_table(spark, str(tmp_path / "other.csv"), schema)
+
+
+def test_csv_sink_refuses_existing_output(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    from ruleforge.sources.files import write_csv
+    write_csv(spark.range(2), str(tmp_path / "out"))
+    with pytest.raises(AnalysisException):
+        write_csv(spark.range(3), str(tmp_path / "out"))
+    write_csv(spark.range(3), str(tmp_path / "out"), mode="overwrite")
+
+
+def test_ignored_lookups_are_reported(spark):
+    rs = RuleSet.from_rules(spark, [rule("q", [{"lookup_value": " where a > 0"}, {"lookup_value": " where a > 5"}],
+                                         process="filtration", process_key="query_lookup")])
+    issues = rule_validation(rs, AS_OF).collect()[0].issues
+    assert len(issues) == 1 and "first lookup_value only" in issues[0]
+
+
+def test_checkpoint_folder_is_never_invented(spark):
+    from ruleforge.session import checkpoint_root
+    assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
