@@ -177,19 +177,20 @@ def _redactor(at: int, count: int | None, mark: str) -> Callable:
 
         for batch in batches:
             for part in slices(batch):
-                texts = [clean(t) for t in part.column(at).to_pylist()]
+                old = part.column(at).to_pylist()
+                texts = [clean(t) for t in old]
                 columns = list(part.columns)
                 columns[at] = pa.array(texts, pa.string())
                 if count is not None:
-                    kind = columns[count].type
-                    columns[count] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(kind)
+                    sizes = [n if t is o else len(t) for n, t, o in zip(columns[count].to_pylist(), texts, old)]
+                    columns[count] = pa.array(sizes, columns[count].type)
                 yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
     return run
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each span (overlapping ones together) replaced by ``mark``; ``n_chars`` follows the
-    text when there is such a column, all other columns and rows stay as they are."""
+    """``docs`` with each span (overlapping ones together) replaced by ``mark``; where the text
+    changes, ``n_chars`` (if there is such a column) follows it. All other columns and rows stay as they are."""
     names = docs.columns
     count = names.index("n_chars") if "n_chars" in names else None
     return docs.mapInArrow(_redactor(names.index("text"), count, mark), docs.schema)

@@ -1,0 +1,59 @@
+"""The pipeline against a brute-force version on the smallest tables, and the registered queries."""
+
+import re
+from collections import defaultdict
+
+import pytest
+from llm_data import HAVE_TABLES, SMALL, edge_docs, no_docs
+from test_dedup_operators import brute_groups
+from test_token_operators import check_packing
+
+import __spark_entry__ as E
+import corpus_pipeline
+from ruleforge.llm import language_id, secrets
+from ruleforge.llm.queries import QUERIES
+
+needs_tables = pytest.mark.skipif(not HAVE_TABLES, reason="test tables not present")
+
+
+def test_queries_and_stages_are_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(E.queries())
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "secret_scan", "packing"]
+
+
+@needs_tables
+def test_pipeline_matches_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    judged = language_id.predict(docs, language_id.fit(docs)).collect()
+    left = {r.doc_id: texts[r.doc_id] for r in judged if not r.rejected}
+    same = defaultdict(list)
+    for i, t in left.items():
+        same[re.sub(r"[\x20\x09-\x0D]+", " ", t or "")].append(i)
+    left = {min(ids): left[min(ids)] for ids in same.values()}
+    left = {i: left[i] for i, _, c in brute_groups(sorted(left.items()), 4) if i == c}
+    scanner = secrets.Scanner()
+    for i, t in left.items():
+        out, end = [], 0
+        for _, a, b in scanner.spans(t):
+            if a >= end:
+                out += [t[end:a], "[SECRET]"]
+            end = max(end, b)
+        left[i] = "".join(out) + t[end:]
+    rows = corpus_pipeline.run(spark, SMALL).collect()
+    assert {r.doc_id for r in rows} == set(left) and len(left) < len(texts)
+    n, least = check_packing(rows, {i: [t] for i, t in left.items()}, 4096)
+    assert n <= least + 1
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_take_awkward_and_empty_documents(spark, stage):
+    name, step = corpus_pipeline.STAGES[stage]
+    docs = edge_docs(spark)
+    out = step(spark, docs, SMALL)
+    if stage < 4:
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    assert 0 < out.count()
+    empty = step(spark, no_docs(spark), SMALL)
+    assert empty.count() == 0 and empty.columns == out.columns

@@ -1,0 +1,193 @@
+"""Secrets, quality rules, classifier, language identification against brute force or held-out rows."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from llm_data import HAVE_TABLES, edge_docs, no_docs
+from pyspark.sql import functions as F
+
+from ruleforge.llm import classifier, language_id, quality_rules, secrets
+from ruleforge.llm.common import held_out
+
+MEDIUM = "/root/testdata/sf0.01"
+needs_tables = pytest.mark.skipif(not HAVE_TABLES, reason="test tables not present")
+
+
+# ------------------------------------------------------------------ secrets
+def brute_spans(text):
+    found = [("assign", m.start(), m.end()) for m in re.finditer(secrets.ASSIGN, text, re.A | re.I) if len(m.group(2)) >= 6]
+    found += [("access", m.start(), m.end()) for m in re.finditer(secrets.ACCESS, text) if m.end() - m.start() >= 20]
+    found += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 24]
+    return sorted(found, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+
+
+def test_spans_equal_plain_scanning():
+    rng = random.Random(2)
+    parts = ["password", "Passwd", "SECRET", "token", "api_key", "apikey", "=", ":", " ", '"', "'", "AKIA", "akia",
+             "ABCDEFGH12345678", "0123456789abcdef", "deadbeef", "İ", "K", "ſ", "\n", "x", "é", "🦄", "abcdef"]
+    scanner = secrets.Scanner()
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        got = [(secrets.KINDS[k], a, b) for k, a, b in scanner.spans(text)]
+        assert [s for s in got if s[0] in ("assign", "access", "hex")] == brute_spans(text), text
+
+
+def _token(body, good=True):
+    crc, tail = zlib.crc32(body.encode()) ^ (not good), ""
+    for _ in range(6):
+        crc, d = divmod(crc, 62)
+        tail = secrets.BASE62[d] + tail
+    return body + tail
+
+
+def test_checksums_decide_the_added_kinds():
+    body = "Ab0" * 10
+    header = "eyJhbGciOiJIUzI1NiJ9"  # {"alg":"HS256"}
+    text = (f"ghp_{_token(body)} ghp_{_token(body, False)} npm_{_token(body)} {header}.eyJhIjoxfQ.sig eyJxx.eyJyy.sig "
+            "-----BEGIN PRIVATE KEY-----\n" + "QUJD" * 20 + "\n-----END PRIVATE KEY-----")
+    kinds = [secrets.KINDS[k] for k, _, _ in secrets.Scanner().spans(text)]
+    assert kinds == ["token", "token", "jwt", "key"]
+
+
+def test_secret_columns_on_awkward_documents(spark):
+    docs = edge_docs(spark)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = secrets.digest_columns(secrets.secret_spans(docs)).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        spans = brute_spans(texts[r.doc_id])
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in spans) for k in ("assign", "access", "hex"))
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and r.spans == joined
+    assert secrets.secret_spans(no_docs(spark)).count() == 0
+
+
+def test_redaction_blanks_spans_only(spark):
+    docs = edge_docs(spark)
+    clean = secrets.redact(docs)
+    assert clean.schema == docs.schema
+    before = {r.doc_id: r for r in docs.collect()}
+    for r in clean.collect():
+        old = before[r.doc_id]
+        if not brute_spans(old.text or ""):
+            assert r == old
+        else:
+            assert "[SECRET]" in r.text and not brute_spans(r.text) and r.n_chars == len(r.text)
+    assert secrets.redact(no_docs(spark)).count() == 0
+    assert secrets.redact(docs.drop("n_chars")).columns == [c for c in docs.columns if c != "n_chars"]
+
+
+# ------------------------------------------------------------ quality rules
+def brute_counts(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen = collections.Counter(zip(w, w[1:], w[2:]))
+    cover = {k + d for k in range(len(w) - 2) if seen[(w[k], w[k + 1], w[k + 2])] > 1 for d in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(cover),
+            len(w) < 50 or 100 * len(cover) > 50 * len(w))
+
+
+def test_base_counts_match_brute_force(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["a", "b", "cc ", " ", "\n", "\t", "#", "|", "a b a b ", "\x0b", " ", "é"])
+                     for _ in range(rng.randint(0, 200))) for _ in range(150)]
+    docs = edge_docs(spark, [None, *texts])
+    source = {r.doc_id: r.text for r in docs.collect()}
+    for r in quality_rules.base_counts(docs).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == \
+            brute_counts(source[r.doc_id])
+
+
+def test_outliers_go_and_clean_documents_stay(spark):
+    rng = random.Random(5)
+
+    def clean():
+        return "\n".join(" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+                                  for _ in range(rng.randint(20, 60))) for _ in range(rng.randint(3, 6)))
+    texts = [clean() for _ in range(160)]
+    bad = {i: texts[i].replace(" ", " ### ") for i in (20, 60, 100)} | {140: "\n".join(t + " zz" for t in [texts[3].split("\n")[0]] * 1)
+                                                                       .replace(" ", " %%|$$ ")}
+    docs = spark.createDataFrame([(i, bad.get(i, t), "en", "s" if i % 2 else "t") for i, t in enumerate(texts)],
+                                 "doc_id bigint, text string, lang string, source string")
+    rows = {r.doc_id: r for r in quality_rules.verdicts(docs).collect()}
+    assert {i for i, r in rows.items() if not r.kept} >= set(bad) - {i for i, r in rows.items() if r.base_failed}
+    assert all(rows[i].kept for i in rows if i not in bad and not rows[i].base_failed)
+
+
+def test_small_groups_and_awkward_documents_reject_nothing_beyond_the_base(spark):
+    docs = edge_docs(spark)
+    rows = quality_rules.verdicts(docs).collect()
+    assert len(rows) == docs.count()
+    assert all(r.kept == (not r.base_failed) and r.distance is None for r in rows)
+    assert quality_rules.verdicts(no_docs(spark)).count() == 0
+
+
+def test_quality_rules_use_no_python(spark):
+    plan = quality_rules.base_counts(edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange hash" not in plan
+
+
+def test_chi_squared_quantiles():
+    assert math.isclose(quality_rules.chi2_quantile(0.95, 1), 3.841459, rel_tol=1e-5)
+    assert math.isclose(quality_rules.chi2_quantile(0.5, 5), 4.351460, rel_tol=1e-5)
+
+
+# --------------------------------------------------------------- classifier
+@needs_tables
+def test_classifier_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    weights = classifier.fit(docs, labels)
+    rows = (classifier.score(docs, weights).join(labels, "doc_id").where(held_out(F.col("doc_id"))).collect())
+    assert np.mean([(r.score >= 0.3) == (r.quality == 1) for r in rows]) >= 0.93
+    good, poor = ([r.score for r in rows if r.quality == q] for q in (1, 0))
+    assert np.mean([g > p for g in good for p in poor]) >= 0.98
+    # held-out labels are never looked at
+    flipped = labels.withColumn("quality", F.when(held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert np.allclose(classifier.fit(docs, flipped), weights)
+
+
+def test_classifier_on_awkward_documents(spark):
+    docs = edge_docs(spark)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(24)] + [(3, None, 0), (None, 1, 0), (777, 1, 0), (4, 1, 0)],
+                                   "doc_id bigint, quality int, toxic int")
+    rows = classifier.score(docs, classifier.fit(docs, labels)).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    nothing = classifier.fit(no_docs(spark), labels)
+    assert {r.score for r in classifier.score(docs, nothing).collect()} == {0.5}
+    assert classifier.score(no_docs(spark), nothing).count() == 0
+
+
+# ------------------------------------------------------------------ language
+@needs_tables
+def test_language_on_held_out_rows(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    model = language_id.fit(docs)
+    rows = language_id.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where(held_out(F.col("doc_id"))).collect()
+    assert np.mean([r.lang_pred == r.lang for r in rows]) >= 0.97
+    assert np.mean([r.rejected for r in rows]) <= 0.02
+    hidden = docs.withColumn("lang", F.when(held_out(F.col("doc_id")), "xx").otherwise(F.col("lang")))
+    assert "xx" not in language_id.fit(hidden)["langs"]
+    strange = spark.createDataFrame([(1, "漢字仮名交文 " * 30), (2, "12 !!"), (3, None), (4, "")], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in language_id.predict(strange, model).collect()}
+    assert got[1].rejected and got[1].lang_pred in model["langs"]
+    assert all((got[i].lang_pred, got[i].score, got[i].rejected) == ("und", 0.0, True) for i in (2, 3, 4))
+
+
+def test_language_on_awkward_documents(spark):
+    docs = edge_docs(spark)
+    model = language_id.fit(docs)
+    rows = language_id.predict(docs, model).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    kept = language_id.keep_known(docs, model)
+    assert kept.schema == docs.schema
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((r.doc_id for r in rows if not r.rejected), key=str)
+    empty = language_id.fit(no_docs(spark))
+    assert {r.lang_pred for r in language_id.predict(docs, empty).collect()} == {"und"}
+    assert language_id.predict(no_docs(spark), model).count() == 0

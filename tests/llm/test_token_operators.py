@@ -1,0 +1,146 @@
+"""Packing, the SentencePiece transducer and token counts against the libraries."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from llm_data import HAVE_TABLES, SMALL, edge_docs, no_docs
+
+from ruleforge.llm import packing, token_counts, transducer
+from ruleforge.llm.piece_model import PieceModel
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+WORDS, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
+needs_tables = pytest.mark.skipif(not HAVE_TABLES, reason="test tables not present")
+
+ODD = ["a", "B", "the", " ", "  ", "\n", "\x1c", "\x85", "é", "é", "É", "ΑΣ", ".", ",", "...", ".,", "'s", "n't", "1", "23",
+       "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "🦄", "漢", "字", "İ", "ß", "!!,", "ſ", "K", "ing", "tion", "\t", "²", "▁", "   "]
+
+
+def odd_texts(n, seed, skip=()):
+    rng = random.Random(seed)
+    parts = [p for p in ODD if p not in skip]
+    return ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+
+
+# ------------------------------------------------------------------ packing
+def test_chunk_ids_equal_the_library_on_whole_texts():
+    from tokenizers import Tokenizer
+    with open(WORDS, encoding="utf-8") as f:
+        raw = f.read()
+    whole, chunks = Tokenizer.from_str(raw), packing.ChunkIds(raw, limit=200)
+    texts = odd_texts(3000, 1)
+    for at in range(0, 3000, 50):
+        part = texts[at:at + 50]
+        for t, got in zip(part, chunks.ids([t.encode() for t in part])):
+            assert np.frombuffer(got, "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, t
+
+
+def test_best_fit_fills_bins():
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(1, 400, 2000)
+    bins, places, fills = packing.best_fit(sizes, 1000)
+    assert fills.max() <= 1000 and len(fills) <= -(-sizes.sum() // 1000) + 2
+    for b in range(len(fills)):
+        mine = sorted((p, s) for p, s, x in zip(places, sizes, bins) if x == b)
+        assert [p for p, _ in mine] == np.concatenate(([0], np.cumsum([s for _, s in mine])[:-1])).tolist()
+
+
+def check_packing(rows, texts, capacity):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(WORDS)
+    by_doc, by_seq = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_seq.setdefault(r.sequence_id, []).append(r)
+    for i, copies in texts.items():
+        ids = np.array(t.encode(copies[0] or "", add_special_tokens=False).ids + [1], "<u4")
+        want = sorted((k, at, len(ids[at:at + capacity]), zlib.crc32(ids[at:at + capacity].tobytes()))
+                      for k, at in enumerate(range(0, len(ids), capacity))) * len(copies)
+        assert sorted((r.piece, r.start, r.length, r.ids_crc32) for r in by_doc[i]) == sorted(want)
+    for mine in by_seq.values():
+        mine.sort(key=lambda r: r.offset)
+        assert mine[0].offset == 0 and all(a.offset + a.length == b.offset for a, b in zip(mine, mine[1:]))
+        assert mine[-1].offset + mine[-1].length <= capacity
+    return len(by_seq), -(-sum(r.length for r in rows) // capacity)
+
+
+@pytest.mark.parametrize("capacity, block", [(4096, 100_000), (64, 3)])
+def test_packing_awkward_documents(spark, capacity, block):
+    docs = edge_docs(spark)
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r.doc_id, []).append(r.text)
+    rows = packing.pack(docs, WORDS, capacity=capacity, block=block, slack=1).collect()
+    check_packing(rows, texts, capacity)
+    assert packing.pack(no_docs(spark), WORDS).count() == 0
+
+
+@needs_tables
+def test_packing_is_nearly_tight_and_keeps_ids(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = packing.pack(docs.repartition(8), WORDS, keep_ids=True).collect()
+    n, least = check_packing(rows, {r.doc_id: [r.text] for r in docs.collect()}, 4096)
+    assert n <= least + 1
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+
+
+# ----------------------------------------------------- transducer and counts
+@pytest.fixture(scope="module")
+def raw():
+    with open(PIECES, "rb") as f:
+        return f.read()
+
+
+def test_encoding_equals_sentencepiece(raw):
+    import sentencepiece
+    sp, t = sentencepiece.SentencePieceProcessor(model_proto=raw), transducer.Transducer(raw)
+    for text in [*odd_texts(3000, 3), *(" " * n + "xyz" for n in range(60)), *(" " * n for n in range(60)), "x" * 5000]:
+        ids = np.frombuffer(t.encode(text), "<i4").tolist()
+        assert ids == sp.encode(text), text
+        assert t.decode(ids) == sp.decode(ids), text
+
+
+def as_unigram(raw):
+    """The same vocabulary as a unigram model: only the model type in the trainer's settings changes."""
+    at = raw.rindex(b"tok_v0\x18\x02")
+    return raw[:at] + b"tok_v0\x18\x01" + raw[at + 8:]
+
+
+def test_unigram_paths_equal_the_tokenizers_library(raw):
+    from tokenizers import Tokenizer, models
+    uni = as_unigram(raw)
+    m = PieceModel(uni)
+    whole = Tokenizer(models.Unigram([(p, s if k == 1 else 0.0) for p, s, k in zip(m.pieces, m.scores, m.kinds)], 0, True))
+    count, t = token_counts.Counter(uni), transducer.Transducer(uni)
+    for text in odd_texts(2000, 4, skip=("▁", "<|endoftext|>", "<|ENDOFTEXT|>")):
+        want = whole.encode(m.normalise(text)).ids
+        assert count(text)[2] == len(want) == len(t.encode(text)) // 4, text
+
+
+def test_bpe_counts_equal_sentencepiece(raw):
+    import sentencepiece
+    sp, count = sentencepiece.SentencePieceProcessor(model_proto=raw), token_counts.Counter(raw)
+    for text in odd_texts(3000, 5):
+        assert count(text)[0] == len(sp.encode(text)), text
+
+
+def test_token_operators_on_awkward_documents(spark, raw):
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_proto=raw)
+    docs = edge_docs(spark)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = transducer.encode(docs, PIECES).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        if texts[r.doc_id] is None:
+            assert r.ids is None and r.n_ids is None and r.round_trip is None
+        else:
+            assert r.ids == sp.encode(texts[r.doc_id]) and r.n_ids == len(r.ids)
+            assert r.round_trip == ("▁" not in texts[r.doc_id])
+    back = {r.doc_id: r.text for r in transducer.decode(transducer.encode(docs, PIECES), PIECES).collect()}
+    assert all(back[i] == (t if t is None else t.replace("▁", " ")) for i, t in texts.items())
+    counts = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, PIECES).collect()}
+    assert counts == {i: len(sp.encode(t or "")) for i, t in texts.items()}
+    assert transducer.encode(no_docs(spark), PIECES).count() == token_counts.token_counts(no_docs(spark), PIECES).count() == 0
