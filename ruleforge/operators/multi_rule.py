@@ -120,26 +120,15 @@ def _drop_unusable(df: DataFrame, batch: RuleBatch) -> None:
     batch.compiled = keep
 
 
-def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Opt-in: give CPU-heavy rule evaluation at least one task per core.
-
-    Round-robin repartitions a batch input that has fewer partitions than
-    ``min_partitions`` (default: the default parallelism) -- worth it when a
-    small input with a few large row groups meets hundreds of rules. Reading
-    the partition count plans the input; if the input contains a shuffle,
-    AQE runs that upstream stage to know it. On a cluster-sized table the
-    scan already has thousands of splits: leave it off there.
+def spread_input(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Opt-in: deal the rows of a batch input round-robin over ``partitions``
+    tasks (default: the default parallelism). Worth it when a small input
+    with a few large row groups meets hundreds of rules; a cluster-sized table
+    already scans into thousands of splits: leave it off there.
     """
     if df.isStreaming:
         return df
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): spread as asked
-        n = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        return df.repartition(n)
-    return df.repartition(target) if current < target else df
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
 SLICE = 16  # rules per inner array: the size of one piece of generated code
