@@ -59,6 +59,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_ROWS = 200_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a saved table of narrow rows) marked for broadcast if it has at most ``rows`` rows; else as it is,
+    for an ordinary join that adaptive execution may split. Either way the result is the same."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def id_text(docs: DataFrame, *more: str) -> DataFrame:
     """Only the columns an operator reads, so clashing extra columns cannot matter."""
     return docs.select("doc_id", *more, F.col("text").cast("string").alias("text"))
