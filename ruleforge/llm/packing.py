@@ -21,6 +21,7 @@ repeated rows are packed each; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -31,27 +32,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema, id_text, saved, slices, utf8_lists
+from .common import arrow_schema, id_text, saved, slices, utf8_lists, worker_state
 
 CAPACITY = 4096
 END_ID = 1
 SLACK = 32
 BLOCK_ITEMS = 100_000
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 600_000
 
 
 class ChunkIds(dict):
-    """White-space separated chunk (UTF-8) -> its ids as little-endian unsigned 32-bit bytes."""
+    """White-space separated chunk (UTF-8) -> its ids as little-endian unsigned 32-bit bytes.
+
+    For vocabularies that ignore case and part letters from stops (probed once), texts are lower-cased and
+    stops split off before the look-up, so that fewer chunks are new; a text that may hold a special token, whose
+    spelling counts, is left as it is. Chunks of a-z alone go straight to the merge model.
+    """
 
     def __init__(self, tokenizer_json: str, limit: int = CACHE_CHUNKS):
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_str(tokenizer_json), limit
+        self.stops = re.compile(rb"([a-z])([.,])")
+        special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = {t[:2] for t in special if len(t) > 1}
+
+        def ids(text: str) -> list[int]:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+        probes = ("probe", "zebra", "a", "tion", "internationalisation", "xqzw")
+        self.folds = not any(len(t) < 2 for t in special) and all(
+            ids(p) == ids(p.upper()) and ids(p + ".,") == ids(p) + ids(".,") for p in probes)
+        self.direct = self.folds and all(ids(p) == [t.id for t in self.tokenizer.model.tokenize(p)] for p in probes)
 
     def learn(self, chunks: set[bytes]) -> None:
         """Tokenise the chunks not yet known, many at a time."""
         if len(self) > self.limit:
             self.clear()
         new = [c for c in chunks if c not in self]
+        if self.direct:
+            rest, tokenize = [], self.tokenizer.model.tokenize
+            for c in new:
+                if c.isascii() and c.isalpha() and c.islower():
+                    self[c] = np.array([t.id for t in tokenize(c.decode())], "<u4").tobytes()
+                else:
+                    rest.append(c)
+            new = rest
         for at in range(0, len(new), 5000):
             part = new[at:at + 5000]
             code = self.tokenizer.encode([c.decode("utf-8", "replace") for c in part], is_pretokenized=True,
@@ -63,8 +88,13 @@ class ChunkIds(dict):
             for k, c in enumerate(part):
                 self[c] = raw[4 * cuts[k]:4 * cuts[k + 1]]
 
+    def _chunks(self, text: bytes) -> list[bytes]:
+        if self.folds and not any(m in text for m in self.marks):
+            text = self.stops.sub(rb"\1 \2", text.lower())
+        return text.split()
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        split = [self._chunks(t) for t in texts]
         self.learn(set().union(*split))
         return [b"".join(map(self.__getitem__, s)) for s in split]
 
@@ -96,7 +126,8 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 def _pack_texts(tokenizer_json, end_id: int, capacity: int, block: int, keep_ids: bool, schema: pa.Schema) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = ChunkIds(tokenizer_json.value)
+        raw = tokenizer_json.value
+        cache = worker_state(("chunk ids", hash(raw)), lambda: ChunkIds(raw))
         end = np.array([end_id], "<u4").tobytes()
         next_bin = TaskContext.get().partitionId() << 36
         ids, rows, held = [], {n: [] for n in ("piece", "start", "length", "ids_crc32", "ids")}, 0
