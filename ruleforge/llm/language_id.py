@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema, held_out, id_text, saved, slices
+from .common import arrow_schema, bounded, held_out, id_text, saved, slices
 
 BITS = 13
 SAMPLE_PER_LANG = 2000
@@ -107,18 +107,23 @@ def _sample_vectors(bits: int, idf) -> Callable:
         grams = Grams(bits)
         for batch in batches:
             for part in slices(batch):
-                rows = [(lang, order, vector(c, idf.value).tobytes())
-                        for lang, order, text in zip(*(x.to_pylist() for x in part.columns))
-                        if (c := grams.counts(text)) is not None]
+                rows = []
+                for lang, order, text in zip(*(x.to_pylist() for x in part.columns)):
+                    if (c := grams.counts(text)) is not None:
+                        v = vector(c, idf.value)
+                        at = np.flatnonzero(v)
+                        rows.append((lang, order, at.astype("<i4").tobytes(), v[at].tobytes()))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["lang", "order", "vector"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["lang", "order", "place", "value"])
     return run
 
 
-def _cluster(k: int, rounds: int = 12) -> Callable:
+def _cluster(k: int, size: int, rounds: int = 12) -> Callable:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["order", "vector"])
-        x = np.stack([np.frombuffer(v, np.float32) for v in rows["vector"]])
+        rows = rows.sort_values(["order", "place"])
+        x = np.zeros((len(rows), size), np.float32)
+        for i, (at, v) in enumerate(zip(rows["place"], rows["value"])):
+            x[i, np.frombuffer(at, "<i4")] = np.frombuffer(v, np.float32)
         mean = x.mean(axis=0)
         centres = [x[np.argmax(x @ mean)]]
         while len(centres) < min(k, len(x)):  # the next start is the row farthest from those taken
@@ -151,11 +156,13 @@ def fit(docs: DataFrame, bits: int = BITS, sample_per_lang: int = SAMPLE_PER_LAN
     idf = (np.log((1 + df[size]) / (1 + df[:size])) + 1).astype(np.float32)
     shared = spark.sparkContext.broadcast(idf)
     share = (F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 62) - 1))) / float(1 << 62)
-    langs = train.groupBy("lang").agg(F.count("*").alias("rows"))
+    # one row a language, so the texts are not shuffled to meet it
+    langs = bounded(saved(train.groupBy("lang").agg(F.count("*").alias("rows")), "lang-rows"))
     sample = (train.withColumn("order", share).join(langs, "lang")
               .where(F.col("order") * F.col("rows") < sample_per_lang).select("lang", "order", "text"))
-    vectors = saved(sample.mapInArrow(_sample_vectors(bits, shared), "lang string, order double, vector binary"), "lang-sample")
-    found = (vectors.groupBy("lang").applyInPandas(_cluster(centroids), "lang string, low double, centroid binary")
+    vectors = saved(sample.mapInArrow(_sample_vectors(bits, shared), "lang string, order double, place binary, value binary"),
+                    "lang-sample")
+    found = (vectors.groupBy("lang").applyInPandas(_cluster(centroids, size), "lang string, low double, centroid binary")
              .collect())
     found.sort(key=lambda r: (r["lang"], r["centroid"]))
     return {"bits": bits, "idf": idf, "langs": [r["lang"] for r in found], "low": np.array([r["low"] for r in found]),
