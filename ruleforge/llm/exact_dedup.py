@@ -6,8 +6,10 @@ one space; null counts as empty.
 1. One scan reduces each row to (length, hash of the first ``prefix`` characters).
 2. Lengths that occur once are settled; of the rest, (length, prefix hash)
    pairs that occur once are settled. Both counts are combined map-side.
-3. Only rows whose pair is left have their full content hashed (SHA-256), and
-   groups are formed on (length, full hash).
+3. Rows whose pair is left have their full content hashed (SHA-256), and groups are
+   formed on (length, full hash). While the pairs left are few enough to broadcast,
+   no other content is hashed; beyond that every row is hashed where it is read,
+   because moving texts to a join costs more than hashing them.
 
 Defined results: a null text is the empty text; all empty texts are one group;
 a ``doc_id`` that repeats with an equal text is one document that stays
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, id_text, saved
+from .common import BROADCAST_ROWS, SPACE_CLASS, bounded, id_text, saved
 
 PREFIX = 256
 
@@ -43,15 +45,20 @@ def exact_groups(docs: DataFrame, prefix: int = PREFIX, digest_all: bool = False
     lengths = pairs.groupBy("len").agg(F.sum("n").alias("n_len")).where("n_len > 1").select("len")
     left = saved(pairs.where("n > 1").join(lengths, "len", "left_semi")
                  .select("len", "head", F.lit(True).alias("again")), "exact-pairs")
-    full = F.sha2(F.col("t").cast("binary"), 256)
-    hashed = (keyed.join(left, ["len", "head"], "left")
-              .select("doc_id", "len", F.coalesce("again", F.lit(False)).alias("again"),
-                      F.unhex(full if digest_all else F.when(F.col("again"), full)).alias("digest")))
+    full, again = F.unhex(F.sha2(F.col("t").cast("binary"), 256)), F.coalesce("again", F.lit(False))
+    if digest_all or left.count() > BROADCAST_ROWS:
+        # every text is hashed where it is read: the join moves no text, however many pairs are left
+        hashed = (keyed.select("doc_id", "len", "head", full.alias("digest")).join(left, ["len", "head"], "left")
+                  .select("doc_id", "len", again.alias("again"), "digest"))
+    else:
+        hashed = (keyed.join(F.broadcast(left), ["len", "head"], "left")
+                  .select("doc_id", "len", again.alias("again"), F.when(again, full).alias("digest")))
     hashed = saved(hashed, "exact-hashed")
     again, alone = hashed.where("again"), hashed.where("not again")
     ids = again.groupBy("len", "digest", "doc_id").agg(F.count("*").alias("same_id"))
     groups = ids.groupBy("len", "digest").agg(F.min("doc_id").alias("keep_id"), F.sum("same_id").alias("group_size"))
-    found = again.join(groups, ["len", "digest"])
+    # a table of its own, so that the join back may split a group with very many copies
+    found = again.join(saved(groups, "exact-groups"), ["len", "digest"])
     many = ids.where("same_id > 1").select("len", "digest", "doc_id", "same_id")
     found = (found.join(many, (found.len == many.len) & (found.digest == many.digest)
                         & found.doc_id.eqNullSafe(many.doc_id), "left")
@@ -68,15 +75,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     A doc_id that repeats with equal texts (``same_id`` above 1) is narrowed to
     one of its rows; only those rows are shuffled whole.
     """
-    stay = saved(exact_groups(docs).where("kept").groupBy("doc_id")
-                 .agg(F.max("same_id").alias("same_id")), "exact-stay")
+    ids = saved(exact_groups(docs).groupBy("doc_id").agg(
+        F.max("kept").alias("kept"), F.max(F.when(F.col("kept"), F.col("same_id"))).alias("same_id")), "exact-ids")
     key = docs["doc_id"]
 
-    def with_ids(ids: DataFrame) -> DataFrame:
-        ids = ids.select(F.col("doc_id").alias("__stay_id"))
-        return docs.join(ids, key.eqNullSafe(F.col("__stay_id")), "left_semi")
+    def with_ids(some: DataFrame, how: str) -> DataFrame:
+        some = bounded(some.select(F.col("doc_id").alias("__id")))
+        return docs.join(some, key.eqNullSafe(F.col("__id")), how)
 
-    one = with_ids(stay.where("same_id = 1"))
-    several = with_ids(stay.where("same_id > 1"))
+    one = with_ids(ids.where("not kept or same_id > 1"), "left_anti")
+    several = with_ids(ids.where("kept and same_id > 1"), "left_semi")
     shrunk = several.withColumn("__same", F.sha2(normalised(F.col("text").cast("string")).cast("binary"), 256))
     return one.unionByName(shrunk.dropDuplicates(["doc_id", "__same"]).drop("__same"))
