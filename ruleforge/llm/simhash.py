@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import block_pairs, bucket_blocks
-from .common import id_text, saved, slices, utf8_lists
+from .common import bounded, id_text, saved, slices, utf8_lists
 from .components import connected_components
 
 SHINGLE_WORDS = 4
@@ -153,6 +153,6 @@ def fingerprint_text(fp: Column) -> Column:
 def keep_first(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of their group, all columns as they are."""
     groups = near_groups(docs, words, radius)
-    stay = saved(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                 .select(F.col("doc_id").alias("__stay_id")).distinct(), "simhash-stay")
-    return docs.join(stay, docs["doc_id"].eqNullSafe(F.col("__stay_id")), "left_semi")
+    ids = groups.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
+    gone = bounded(saved(ids.where("not stays").select(F.col("doc_id").alias("__gone_id")), "simhash-gone"))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__gone_id")), "left_anti")
