@@ -41,7 +41,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, id_text, saved
+from .common import SPACE_CLASS, bounded, id_text, saved
 
 MIN_WORDS = 50
 SUBSET = 0.75
@@ -50,6 +50,7 @@ MIN_ROWS = 50
 CONFIDENCE = 0.9999
 MARGIN = 2.0
 BINS_PER_OCTAVE = 16
+GROUPS = 20_000  # up to so many groups, estimates (about 250 bytes a group and start) are broadcast
 
 # Statistic -> smallest scale it is given.
 FLOORS = {"log_words": 0.25, "word_length": 0.25, "symbol_rate": 0.4, "dup_lines": 0.1, "repeat_share": 0.1}
@@ -182,23 +183,25 @@ def verdicts(docs: DataFrame, subset: float = SUBSET, steps: int = STEPS, min_ro
     """Base counts, ``base_failed``, ``distance`` (squared, null without an estimate) and ``kept`` per row."""
     counts = saved(base_counts(docs, "lang", "source"), "quality-counts")
     own, pooled = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
-    large = (counts.where("not base_failed").groupBy(own.alias("own")).agg(F.count("*").alias("rows"))
-             .where(F.col("rows") >= min_rows).select("own"))
-    stats = (counts.withColumn("own_g", own).join(large, F.col("own_g") == F.col("own"), "left")
+    large = saved(counts.where("not base_failed").groupBy(own.alias("own")).agg(F.count("*").alias("rows"))
+                  .where(F.col("rows") >= min_rows).select("own"), "quality-groups")
+    # one row a group: joined by broadcast while that is bounded, so that the rows are not shuffled for each step
+    hint = F.broadcast if bounded(large, GROUPS) is not large else (lambda df: df)
+    stats = (counts.withColumn("own_g", own).join(hint(large), F.col("own_g") == F.col("own"), "left")
              .withColumn("g", F.coalesce("own", pooled)).withColumns(_statistics()))
     stats = saved(stats, "quality-stats")
     good = stats.where("not base_failed")
     middle = good.groupBy("g").agg(F.count("*").alias("rows"), *[F.percentile_approx(x, 0.5).alias(f"med_{i}")
                                                                 for i, x in enumerate(FLOORS)])
     middle = middle.where(F.col("rows") >= min_rows)
-    spread = good.join(middle, "g").groupBy("g").agg(*[
+    spread = good.join(hint(middle), "g").groupBy("g").agg(*[
         F.percentile_approx(F.abs(F.col(x) - F.col(f"med_{i}")), 0.5).alias(f"mad_{i}") for i, x in enumerate(FLOORS)])
     scales = saved(middle.join(spread, "g").select("g", *[f"med_{i}" for i in range(P)], *[
         F.greatest(1.4826 * F.col(f"mad_{i}"), F.lit(floor)).alias(f"scale_{i}")
         for i, floor in enumerate(FLOORS.values())]), "quality-scales")
     z = {f"z_{i}": (F.col(x) - F.col(f"med_{i}")) / F.col(f"scale_{i}") for i, x in enumerate(FLOORS)}
     zs = [F.col(c) for c in z]
-    points = saved(good.join(scales, "g").select("g", *[c.alias(n) for n, c in z.items()]), "quality-points")
+    points = saved(good.join(hint(scales), "g").select("g", *[c.alias(n) for n, c in z.items()]), "quality-points")
 
     size = F.sqrt(sum((c * c for c in zs), F.lit(1e-12)))
     starts = [(points, [F.lit(0.0)] * P), (points, [F.tanh(c) for c in zs]), (points, [c / size for c in zs])]
@@ -209,22 +212,22 @@ def verdicts(docs: DataFrame, subset: float = SUBSET, steps: int = STEPS, min_ro
     keys = ["g", "start"]
     for _ in range(steps):
         params = saved(params, "quality-params")
-        placed = points.join(params, "g").select(*keys, *zs, _bin(_distance()).alias("bin"))
+        placed = points.join(hint(params), "g").select(*keys, *zs, _bin(_distance()).alias("bin"))
         cut = _cut(placed, keys, subset)
-        params = _estimate(placed.join(cut, keys).where("bin <= cut"), keys, zs)
+        params = _estimate(placed.join(hint(cut), keys).where("bin <= cut"), keys, zs)
     params = saved(params, "quality-params")
     best = params.groupBy("g").agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
     raw = params.join(best, keys)
 
-    median_bin = _cut(points.join(raw, "g").select("g", _bin(_distance()).alias("bin")), ["g"], 0.5)
+    median_bin = _cut(points.join(hint(raw), "g").select("g", _bin(_distance()).alias("bin")), ["g"], 0.5)
     middle_d2 = F.pow(F.lit(2.0), (F.col("cut") + 0.5) / BINS_PER_OCTAVE)
     scaled = saved(raw.join(median_bin, "g").withColumn(
         "stretch", middle_d2 / F.lit(chi2_quantile(0.5, P))), "quality-raw")
-    near = points.join(scaled, "g").where(_distance() <= F.col("stretch") * chi2_quantile(0.975, P))
+    near = points.join(hint(scaled), "g").where(_distance() <= F.col("stretch") * chi2_quantile(0.975, P))
     final = saved(_estimate(near.select("g", *zs), ["g"], zs).select("g", *PARAMS).join(scales, "g"), "quality-final")
 
     limit = margin * chi2_quantile(confidence, P)
-    judged = (stats.join(final, "g", "left").withColumns(z).withColumn("distance", _distance()))
+    judged = (stats.join(hint(final), "g", "left").withColumns(z).withColumn("distance", _distance()))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
         (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)).alias("kept"))
