@@ -90,12 +90,15 @@ def utf8_lists(column: pa.Array) -> list[bytes]:
 
 
 def worker_state(key: object, make: Callable):
-    """``make()``, once for each Python worker: a compiled vocabulary and its bounded
-    caches outlive the task. Losing a worker only costs compiling again."""
+    """``make()``, once for each Python worker: compiled vocabularies and bounded caches
+    outlive the task. The two used last are kept; losing a worker only costs making them again."""
     store = sys.modules.setdefault("_ruleforge_llm_worker", types.ModuleType("_ruleforge_llm_worker"))
-    if getattr(store, "key", None) != key:
-        store.key, store.value = key, make()
-    return store.value
+    kept = store.__dict__.setdefault("kept", {})
+    value = kept.pop(key) if key in kept else make()
+    kept[key] = value
+    while len(kept) > 2:
+        del kept[next(iter(kept))]
+    return value
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:
