@@ -274,3 +274,28 @@ def test_paragraphs_on_awkward_documents(spark):
         assert texts[r.doc_id][r.start:r.end] == texts[r.doc_id].split("\n")[r.para_no]
     assert paragraphs.repeated_paragraphs(no_docs(spark)).count() == 0
     assert paragraphs.without_repeats(edge_docs(spark)).count() == edge_docs(spark).count()
+
+
+def random_words(rng, n):
+    return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def planted(sizes, docs_each, seed):
+    """Documents of plain words, without sentences, with a run in the middle: rows, and {doc_id: (start, end, size)}."""
+    rng = random.Random(seed)
+    runs, rows, want = {n: " ".join(random_words(rng, n)) for n in sizes}, [], {}
+    for k in range(docs_each):
+        for n, run in runs.items():
+            head, tail = (" ".join(random_words(rng, rng.randint(5, 60))) for _ in range(2))
+            want[len(rows)] = (len(head) + 1, len(head) + 1 + len(run), n)
+            rows.append((len(rows), f"{head} {run} {tail}"))
+    return rows, want
+
+
+def test_runs_cut_at_any_word_are_found(spark):
+    """No sentence marks, no capitals, one line: runs of 50 words and more are found wherever they begin."""
+    rows, want = planted([50, 51, 55, 60, 90], 6, 12)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = paragraphs.repeated_paragraphs(docs).where("kind = 'passage'").collect()
+    assert {r.doc_id for r in got} == set(want)
+    assert {r.doc_id for r in got if r.removed} == set(want) - set(range(5))
