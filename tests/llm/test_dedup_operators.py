@@ -299,3 +299,13 @@ def test_runs_cut_at_any_word_are_found(spark):
     got = paragraphs.repeated_paragraphs(docs).where("kind = 'passage'").collect()
     assert {r.doc_id for r in got} == set(want)
     assert {r.doc_id for r in got if r.removed} == set(want) - set(range(5))
+
+
+def test_runs_are_found_to_their_ends(spark):
+    """The span is the planted run to the character, and nothing of it is left in the later documents."""
+    rows, want = planted([50, 57, 64, 120], 4, 13)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.start, r.end) for r in paragraphs.repeated_paragraphs(docs).where("kind = 'passage'").collect()}
+    assert got == {i: (a, b) for i, (a, b, _) in want.items()}
+    left = {r.doc_id: r.text for r in paragraphs.without_repeats(docs).collect()}
+    assert all(left[i] == (t if i < 4 else t[:want[i][0]] + t[want[i][1]:]) for i, t in rows)
