@@ -309,3 +309,27 @@ def test_runs_are_found_to_their_ends(spark):
     assert got == {i: (a, b) for i, (a, b, _) in want.items()}
     left = {r.doc_id: r.text for r in paragraphs.without_repeats(docs).collect()}
     assert all(left[i] == (t if i < 4 else t[:want[i][0]] + t[want[i][1]:]) for i, t in rows)
+
+
+def test_passages_with_a_changed_word_are_found(spark):
+    """A changed word in a passage, in other surroundings: the passage goes from its first equal word to its last."""
+    rng = random.Random(21)
+    rows, want = [], {}
+    for size in (51, 60, 75, 95):
+        base = random_words(rng, size)
+        for k, at in enumerate((None, size // 2, size // 3)):
+            run = list(base)
+            if at is not None:
+                run[at] = f"edit{size}x{k}"
+            head, run, tail = (" ".join(x) for x in (random_words(rng, 30), run, random_words(rng, 30)))
+            want[len(rows)] = (len(head) + 1, len(head) + 1 + len(run), len(rows) - k)
+            rows.append((len(rows), f"{head} {run} {tail}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = paragraphs.repeated_paragraphs(docs).where("kind = 'passage' and removed").collect()
+    for i, (start, end, first) in want.items():
+        spans = [(r.start, r.end) for r in got if r.doc_id == i]
+        if i == first:
+            assert not spans
+        else:
+            assert (min(s for s, _ in spans), max(e for _, e in spans)) == (start, end)
+            assert all(r.keep_doc_id == first for r in got if r.doc_id == i)
