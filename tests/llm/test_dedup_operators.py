@@ -333,3 +333,14 @@ def test_passages_with_a_changed_word_are_found(spark):
         else:
             assert (min(s for s, _ in spans), max(e for _, e in spans)) == (start, end)
             assert all(r.keep_doc_id == first for r in got if r.doc_id == i)
+
+
+def test_short_lines_are_paragraphs(spark):
+    """Footers and license lines of 6 words and more, equal or with a changed last word, in other surroundings."""
+    rng = random.Random(31)
+    footer, license_line = "All rights reserved by the author", " ".join(random_words(rng, 30))
+    rows = [(i, "\n".join([" ".join(random_words(rng, 8)), footer if i % 2 else license_line + f" end{i}"])) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = paragraphs.repeated_paragraphs(docs).where("kind = 'paragraph'").collect()
+    assert {(r.doc_id, r.para_no, r.keep_doc_id, r.copies) for r in got} == {(i, 1, i % 2, 4) for i in range(8)}
+    assert all(r.removed == (r.doc_id > 1) for r in got)
