@@ -6,7 +6,7 @@ import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,6 +53,15 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def saved_parts(spark: SparkSession, parts: Iterable[DataFrame], schema: T.StructType, label: str) -> DataFrame:
+    """The rows of all ``parts``, each written before the next one is asked for, read as one table."""
+    path = f"{shared_dir(spark)}/llm-tables/{label}-{uuid.uuid4().hex}"
+    spark.createDataFrame([], schema).write.parquet(path)
+    for part in parts:
+        part.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable ``checkpoint()`` in the shared folder."""
     shared_dir(df.sparkSession)

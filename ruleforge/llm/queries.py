@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (classifier, exact_dedup, language_id, packing, paragraphs, quality_rules, secrets,
+from . import (classifier, exact_dedup, language_id, packing, paragraphs, quality_rules, ranked_search, secrets,
                simhash, token_counts, transducer)
 from .common import held_out, table
 
@@ -64,10 +64,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_simhash_near_dedup, op3_quality_classifier, op4_sentencepiece_transducer,
     op5_secret_scans, op6_quality_rules, op7_best_fit_packing, op8_exact_dedup, op9_token_counts,
-    op10_language_id)}
+    op10_language_id, op13_ranked_search)}
 
 ORACLE_SQL = {
     "op8_exact_dedup": r"""
@@ -76,4 +80,24 @@ ORACLE_SQL = {
              g as (select norm, min(doc_id) as keep_id, count(*) as group_size from t group by norm)
         select t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id as kept, sha256(t.norm) as text_sha256
         from t join g on t.norm = g.norm""",
+    "op13_ranked_search": r"""
+        with words as (
+               select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+               from documents),
+             tf as (select doc_id, term, count(*) as tf from words group by doc_id, term),
+             docs as (select doc_id, sum(tf)::bigint as n from tf group by doc_id),
+             total as (select count(*)::bigint as n_docs, sum(n)::bigint as n_terms from docs),
+             terms as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+                       from tf, total group by term, n_docs),
+             asked as (select item_id, unnest(regexp_extract_all(
+                         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+             scored as (
+               select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::bigint as score
+               from asked join terms using (term) join tf using (term) join docs using (doc_id), total
+               group by item_id, doc_id),
+             ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank
+                        from scored where score > 0)
+        select item_id, rank::integer as rank, doc_id, score from ranked where rank <= 10""",
 }
