@@ -12,8 +12,8 @@ hold impacts in steps of ``STEP``, rounded up.
    the row). For each group one scan counts the document frequencies of its
    terms, and one ranks: a task folds a block of documents into sketches, looks
    all items of the group up in them by one matrix product, and for each item
-   walks down the bounds, scoring exactly, until the next bound is below the
-   k-th score found so far. What was found is carried to the task's next block.
+   walks down the bounds, scoring exactly in steps that double, until the next
+   bound is below the k-th score found so far. What was found is carried to the task's next block.
 3. Each task's best k rows of an item are merged over ``SALTS`` parts and then as one.
 
 No postings are shuffled, no text is sent anywhere, and the sketches are folded
@@ -34,6 +34,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ from .common import arrow_schema, id_text, saved, saved_parts
 BITS = 11
 STEP = 16
 GROUP = 4096
-BLOCK_ROWS, BLOCK_BYTES = 512, 8 << 20
+BLOCK_ROWS, BLOCK_BYTES = 256, 8 << 20
 ITEM_COLUMNS = 512
 SALTS = 32
 PIECE = 1 << 22
@@ -131,8 +132,8 @@ def sketches(counts: list[Counter], m: list[int], coordinates: _Coordinates) ->
     """One row per document: the largest impact at each coordinate, in steps rounded up."""
     width = coordinates.mask + 1
     sizes = [len(c) for c in counts]
-    place = np.fromiter((coordinates[t] for c in counts for t in c), np.int64, sum(sizes))
-    tf = np.fromiter((n for c in counts for n in c.values()), np.int64, sum(sizes))
+    place = np.fromiter(map(coordinates.__getitem__, chain.from_iterable(counts)), np.int64, sum(sizes))
+    tf = np.fromiter(chain.from_iterable(c.values() for c in counts), np.int64, sum(sizes))
     # m as double and rounded down: an impact may only come out larger, never smaller
     low_m = np.floor(np.repeat(np.array(m, np.float64), sizes) * (1 - 1e-12))
     impact = 1e9 * tf / (1000.0 * tf + 8.0 * low_m)
@@ -141,53 +142,63 @@ def sketches(counts: list[Counter], m: list[int], coordinates: _Coordinates) ->
     return out.reshape(len(counts), width)
 
 
-def exact_score(terms: list[tuple[bytes, int]], counts: Counter, m: int) -> int:
-    score = 0
-    for term, w in terms:
-        tf = counts.get(term)
-        if tf:
-            score += w * ((1_000_000_000 * tf) // (1000 * tf + 8 * m))
-    return score
+class _ItemPart:
+    """Some items of a group, their weights by coordinate (for bounds) and by term (for exact scores)."""
+
+    def __init__(self, queries: list, first: int, coordinates: _Coordinates):
+        self.first = first
+        self.terms: dict[bytes, int] = {}
+        table = np.zeros((coordinates.mask + 1, len(queries)), np.float32)
+        self.weights = []
+        for j, (_, terms) in enumerate(queries):
+            for term, w in terms:
+                table[coordinates[term], j] += w
+            self.weights.append((np.array([self.terms.setdefault(t, len(self.terms)) for t, _ in terms]),
+                                 np.array([w for _, w in terms], np.int64)))
+        self.used = np.flatnonzero(table.any(axis=1))
+        self.table = np.ascontiguousarray(table[self.used])
+
+    def bounds(self, sketch: np.ndarray) -> np.ndarray:
+        """A row per item, a column per document; a thousandth more covers every rounding of sums that are not negative."""
+        return (sketch[:, self.used] @ self.table).astype(np.float64).T * (STEP * 1.001)
+
+    def impacts(self, counts: list[Counter], m: list[int]) -> np.ndarray:
+        """Exact impacts of the items' terms, a row per document."""
+        out = np.zeros((len(counts), len(self.terms)), np.int32)
+        for i, c in enumerate(counts):
+            for term in c.keys() & self.terms.keys():
+                out[i, self.terms[term]] = (1_000_000_000 * c[term]) // (1000 * c[term] + 8 * m[i])
+        return out
 
 
 def _rank(items, n_docs: int, n_terms: int, k: int, bits: int, schema: pa.Schema) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = items.value  # [(item, [(term, weight times count)])]
         coordinates = _Coordinates(bits)
-        parts = []
-        for at in range(0, len(queries), ITEM_COLUMNS):
-            part = queries[at:at + ITEM_COLUMNS]
-            table = np.zeros((1 << bits, len(part)), np.float32)
-            for j, (_, terms) in enumerate(part):
-                for term, w in terms:
-                    table[coordinates[term], j] += w
-            used = np.flatnonzero(table.any(axis=1))
-            parts.append((part, used, np.ascontiguousarray(table[used])))
+        parts = [_ItemPart(queries[at:at + ITEM_COLUMNS], at, coordinates) for at in range(0, len(queries), ITEM_COLUMNS)]
         best: list[list[tuple]] = [[] for _ in queries]  # (-score, id is null, id), ascending
         for block in _blocks(batches, 1):
             counts = [term_counts(t) for t in block.column(1).cast(pa.binary()).to_pylist()]
             ids = block.column(0).to_pylist()
             m = [25 + (75 * sum(c.values()) * n_docs) // n_terms for c in counts]
             sketch = sketches(counts, m, coordinates)
-            for p, (part, used, table) in enumerate(parts):
-                # sums of floats that are not negative: a thousandth more covers every rounding
-                bounds = ((sketch[:, used] @ table).astype(np.float64) * (STEP * 1.001)).T
-                for j, (_, terms) in enumerate(part):
-                    kept = best[p * ITEM_COLUMNS + j]
-                    bound = bounds[j]
-                    least = -kept[-1][0] if len(kept) == k else 1
-                    rows = np.flatnonzero(bound >= least)
-                    for i in rows[np.argsort(-bound[rows], kind="stable")].tolist():
-                        if len(kept) == k and bound[i] < -kept[-1][0]:
-                            break
-                        score = exact_score(terms, counts[i], m[i])
-                        if score <= 0:
-                            continue
-                        entry = (-score, ids[i] is None, ids[i] if ids[i] is not None else 0)
-                        if len(kept) < k or entry < kept[-1]:
-                            kept.append(entry)
-                            kept.sort()
-                            del kept[k:]
+            for part in parts:
+                impacts = part.impacts(counts, m)
+                for j, bound in enumerate(part.bounds(sketch)):
+                    kept = best[part.first + j]
+                    at, w = part.weights[j]
+                    rows = np.flatnonzero(bound >= (-kept[-1][0] if len(kept) == k else 1))
+                    rows = rows[np.argsort(-bound[rows], kind="stable")]
+                    done, step = 0, k
+                    while done < len(rows) and (len(kept) < k or bound[rows[done]] >= -kept[-1][0]):
+                        now = rows[done:done + step]
+                        scores = impacts[now[:, None], at] @ w
+                        for i, score in zip(now.tolist(), scores.tolist()):
+                            if score > 0 and (len(kept) < k or score >= -kept[-1][0]):
+                                kept.append((-score, ids[i] is None, ids[i] if ids[i] is not None else 0))
+                                kept.sort()
+                                del kept[k:]
+                        done, step = done + step, 2 * step
         rows = [(queries[q][0], None if none else doc, -score) for q, kept in enumerate(best) for score, none, doc in kept]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
