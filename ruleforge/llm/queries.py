@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (classifier, exact_dedup, language_id, packing, paragraphs, quality_rules, ranked_search, secrets,
+from . import (classifier, exact_dedup, hard_negatives, language_id, packing, paragraphs, quality_rules, ranked_search, secrets,
                simhash, token_counts, transducer)
 from .common import held_out, table
 
@@ -64,6 +64,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -71,7 +77,7 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_simhash_near_dedup, op3_quality_classifier, op4_sentencepiece_transducer,
     op5_secret_scans, op6_quality_rules, op7_best_fit_packing, op8_exact_dedup, op9_token_counts,
-    op10_language_id, op13_ranked_search)}
+    op10_language_id, op12_hard_negatives, op13_ranked_search)}
 
 ORACLE_SQL = {
     "op8_exact_dedup": r"""
@@ -80,6 +86,23 @@ ORACLE_SQL = {
              g as (select norm, min(doc_id) as keep_id, count(*) as group_size from t group by norm)
         select t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id as kept, sha256(t.norm) as text_sha256
         from t join g on t.norm = g.norm""",
+    "op12_hard_negatives": """
+        with v as (select row_number() over () as r, vec_id, if(vec_id % 7 = 0, (label + 1) % 10, label) as label,
+                          list_transform(embedding, lambda x: floor(256 * x::double)) as ints
+                   from embeddings
+                   where label is not null and embedding is not null
+                     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+             s as (select a.r as anchor, a.vec_id as anchor_id, a.label = b.label as same, b.r, b.vec_id,
+                          list_inner_product(a.ints, b.ints)::bigint as score
+                   from v a, v b where a.vec_id % 100 = 0 and a.r != b.r),
+             p as (select * from s where same
+                   qualify row_number() over (partition by anchor order by score desc, vec_id) <= 5),
+             n as (select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score,
+                          s.score as negative_score,
+                          row_number() over (partition by p.anchor, p.r order by s.score desc, s.vec_id) as rank
+                   from p join s on p.anchor = s.anchor and not s.same
+                    and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
+        select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from n where rank <= 10""",
     "op13_ranked_search": r"""
         with words as (
                select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
