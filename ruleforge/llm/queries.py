@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (classifier, exact_dedup, hard_negatives, language_id, packing, paragraphs, quality_rules, ranked_search, secrets,
-               simhash, token_counts, transducer)
+               simhash, token_counts, toxicity, transducer)
 from .common import held_out, table
 
 
@@ -64,6 +64,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -77,7 +84,7 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_simhash_near_dedup, op3_quality_classifier, op4_sentencepiece_transducer,
     op5_secret_scans, op6_quality_rules, op7_best_fit_packing, op8_exact_dedup, op9_token_counts,
-    op10_language_id, op12_hard_negatives, op13_ranked_search)}
+    op10_language_id, op11_toxicity, op12_hard_negatives, op13_ranked_search)}
 
 ORACLE_SQL = {
     "op8_exact_dedup": r"""
