@@ -177,7 +177,7 @@ def _number(value: str, field_name: str, dtype: T.DataType) -> str:
     return f"{format(Decimal((sign, tuple(digits), exponent)), 'f')}BD"
 
 
-def _parse_temporal(value: str) -> dt.date | dt.datetime | None:
+def parse_temporal(value: str) -> dt.date | dt.datetime | None:
     text = value.strip()
     for parse in (dt.datetime.fromisoformat, lambda s: dt.datetime.strptime(s, "%d/%m/%Y")):
         try:
@@ -235,7 +235,7 @@ def typed_value(value: str, dtype: T.DataType, field_name: str) -> str:
                 return f"cast('{int(d)}' as {dtype.simpleString()})"
             return f"cast('{format(d, 'f')}' as {dtype.simpleString()})"  # plain notation, exact
     elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        parsed = _parse_temporal(value)
+        parsed = parse_temporal(value)
         if parsed is not None:
             return _temporal_sql(parsed, dtype)
     raise RuleConfigError(f"outcome value {value!r} does not fit column {field_name} "
@@ -265,7 +265,14 @@ def comparison_sql(dtype: T.DataType, field_name: str, operator: str, value: str
     """``field_name <operator> value`` as SQL text, the value typed by ``dtype``."""
     x = f"({field_name}\n)" if "--" in field_name else f"({field_name})"
     if isinstance(dtype, _NUMERIC_TYPES):
-        return f"{x} {operator} {_number(value, field_name, dtype)}"
+        literal = _number(value, field_name, dtype)
+        d = parse_number(value)
+        if isinstance(dtype, T.LongType) and not -2 ** 63 <= d < 2 ** 63:
+            # beyond bigint: known for every value but null. Spark's own folding of such a comparison keeps null rows
+            edge = "9223372036854775807L" if d > 0 else "cast('-9223372036854775808' as bigint)"
+            holds = operator in ("<>", "!=") or operator in (("<", "<=") if d > 0 else (">", ">="))
+            return f"{x} {('<=' if d > 0 else '>=') if holds else ('>' if d > 0 else '<')} {edge}"
+        return f"{x} {operator} {literal}"
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
         if is_plain_number(value):
             if len(value) > 38:
@@ -280,7 +287,7 @@ def comparison_sql(dtype: T.DataType, field_name: str, operator: str, value: str
             return f"{x} {operator} false"
         raise RuleConfigError(f"value {value!r} is not a boolean but {field_name} is boolean")
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        parsed = _parse_temporal(value)
+        parsed = parse_temporal(value)
         if parsed is None:
             raise RuleConfigError(
                 f"value {value!r} is not a date/time but {field_name} is {dtype.simpleString()}")
@@ -347,6 +354,15 @@ def _all_of(texts: Sequence[str]) -> str:
     return " and ".join(f"({t})" for t in texts)
 
 
+@dataclass(frozen=True)
+class Atom:
+    """One condition with the type of its operand."""
+    operand: str
+    dtype: T.DataType
+    operator: str
+    value: str
+
+
 @dataclass(frozen=True)
 class CompiledPredicate:
     """A rule chain compiled against one DataFrame schema."""
@@ -354,6 +370,7 @@ class CompiledPredicate:
     where_text: str          # " where ..." exactly as the SQL text renders it
     rule_ids: tuple[str, ...]
     executed: str = ""       # the typed SQL predicate ``column`` was parsed from
+    dnf: tuple[tuple[Atom, ...], ...] | None = None  # the same as an OR of ANDs, where conditions say it all
 
     def query_text(self, table_name: str | None) -> str:
         if table_name and table_name.strip():
@@ -451,6 +468,14 @@ def compile_chain(df: DataFrame, links: Sequence[Rule], group_links: bool = Fals
     if gate:  # the gate guards the whole chain, not just its first OR-group
         executed = _all_of([*gate, executed])
 
+    atoms = [Atom(c.field_name, t, c.operator, c.field_value) for (c, _, _), t in zip(flat, types)]
+    alternatives: list[list[Atom]] = [[]]
+    for atom, (_, conn, _) in zip(atoms[n_gate:], body):
+        alternatives[-1].append(atom)
+        if conn == "OR":
+            alternatives.append([])
+    dnf = None if group_links else tuple((*atoms[:n_gate], *a) for a in alternatives)
+
     text = _render(flat, n_gate, group_links)
     return CompiledPredicate(column=F.expr(executed), where_text=text,
-                             rule_ids=tuple(r.id for r in links), executed=executed)
+                             rule_ids=tuple(r.id for r in links), executed=executed, dnf=dnf)

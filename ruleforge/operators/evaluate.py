@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..errors import RuleConfigError
 from ..functions.json_lookup import parse_lookup_text
-from ..functions.predicates import CompiledPredicate, chain_text, compile_chain, sql_string, typed_value
+from ..functions.predicates import Atom, CompiledPredicate, chain_text, compile_chain, sql_string, typed_value
 from ..plans import resolution as R
 from ..sources.ruleset import Condition, Rule, RuleSet
 
@@ -137,11 +137,15 @@ def compile_rule(df: DataFrame, res: R.Resolution, gate: bool = False,
                          first_is_target=conditional, known_types=known_types)
 
 
-def in_window(compiled: CompiledPredicate, links: Sequence[Rule], row_date: str) -> CompiledPredicate:
+def in_window(compiled: CompiledPredicate, links: Sequence[Rule], row_date: str, date_type=None) -> CompiledPredicate:
     """The predicate, for rows whose date lies in the window of every rule of the chain."""
     window = " and ".join(R.window_sql(r, row_date) for r in links)
     executed = f"({compiled.executed}) and {window}"
-    return CompiledPredicate(F.expr(executed), _in_window(compiled.where_text, window), compiled.rule_ids, executed)
+    dnf = None
+    if compiled.dnf is not None and date_type is not None:
+        bounds = tuple(Atom(row_date, date_type, op, day) for r in links for op, day in R.window_bounds(r))
+        dnf = tuple(bounds + conj for conj in compiled.dnf)
+    return CompiledPredicate(F.expr(executed), _in_window(compiled.where_text, window), compiled.rule_ids, executed, dnf)
 
 
 def run_rule(rules: RuleSet, table: DataFrame | str | None, *, rule_id: str, process: str,

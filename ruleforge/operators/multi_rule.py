@@ -9,8 +9,8 @@ schema and evaluated in a single projection:
   explodes its rules, and the rules that did not fire (nulls) are filtered
   out. Scan, both explodes and the filter share one codegen'd stage, and no
   slice's code grows with the number of rules. No shuffle.
-* ``rule_hit_counts`` -- per-rule counts from one scan for any number of
-  rules, as counted bit masks of ten rules each.
+* ``rule_hit_counts`` -- per-rule counts from one scan through the predicate
+  index (``rule_index``): equal operands are evaluated once per row.
 * ``rule_flags``  -- one boolean column per rule, rows kept.
 * ``rule_hit_lists`` -- one array column of the rules a row satisfies.
 """
@@ -18,8 +18,9 @@ schema and evaluated in a single projection:
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass, field
-from functools import reduce
+from itertools import accumulate
 from typing import Sequence
 
 from pyspark.errors import AnalysisException, ParseException
@@ -31,6 +32,7 @@ from ..functions.predicates import CompiledPredicate, operand_type_map
 from ..plans import resolution as R
 from ..sources.ruleset import RuleSet
 from .evaluate import compile_rule, gate_conditions, in_window
+from .rule_index import build_index, index_hit_counts
 
 
 @dataclass
@@ -43,21 +45,52 @@ class RuleBatch:
         return [rid for rid, _ in self.compiled]
 
 
-def predicate_rule_ids(rules: RuleSet) -> list[str]:
+def predicate_rule_ids(rules: RuleSet, stored: bool = False) -> list[str]:
     """Ids whose first rule with conditions (the one ``resolve_by_id`` would
-    pick) is a builder or conditional rule; document order, unique."""
+    pick) is a builder or conditional rule, or with ``stored`` a query lookup;
+    document order, unique."""
     first: dict[str, str] = {}
     for r in rules.rules():
         if r.conditions:
             first.setdefault(r.id, r.process_key)
-    return [rid for rid, key in first.items() if key in ("query_builder", "conditional")]
+    wanted = ("query_builder", "conditional") + (("query_lookup",) if stored else ())
+    return [rid for rid, key in first.items() if key in wanted]
+
+
+_SQL_TEXT_OR_COMMENT = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`(?:[^`]|``)*`|--[^\n]*|/\*.*?\*/", re.DOTALL)
+
+
+def stored_predicate(rule) -> CompiledPredicate:
+    """A stored query tail that only filters, as a predicate. Tails that group, order, limit, join or
+    read another table are no predicate of a row and raise RuleConfigError."""
+    tail = ((rule.conditions[0].lookup_value if rule.conditions else None) or "").strip()
+    start = re.match(r"where\b", tail, re.IGNORECASE)
+    if not start:
+        raise RuleConfigError(f"Rule {rule.id}: the stored query does not begin with where")
+    text = tail[start.end():].strip()
+    bare = _SQL_TEXT_OR_COMMENT.sub(" ", text)
+    if re.search(r"\bselect\b", bare, re.IGNORECASE):
+        raise RuleConfigError(f"Rule {rule.id}: the stored filter holds a subquery")
+    depths = list(accumulate((c == "(") - (c == ")") for c in bare))
+    if depths and (min(depths) < 0 or depths[-1]):
+        raise RuleConfigError(f"Rule {rule.id}: the stored filter's parentheses do not match")
+    executed = f"({text}\n)" if "--" in text else f"({text})"
+    try:
+        F.expr(text)  # alone: 'a = 1 order by b' is no expression
+        column = F.expr(executed)
+    except ParseException:
+        raise RuleConfigError(f"Rule {rule.id}: the stored query does more than filter rows") from None
+    return CompiledPredicate(column, " " + tail, (rule.id,), executed)
 
 
 def compile_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None = None, *,
                   as_of: dt.date | str | None = None, gate: bool = False,
-                  strict: bool | None = None) -> RuleBatch:
+                  strict: bool | None = None, stored: bool = False) -> RuleBatch:
     """Compile each rule (with its goto chain) against ``df``'s schema.
 
+    Stored query rules take part when they are named, or with ``stored`` when
+    the whole document is evaluated; their text must be a filter of the row.
+
     ``as_of`` may name a date or timestamp column, as in ``run_rule``: each
     rule then fires only for rows whose own date lies in its window.
 
@@ -71,8 +104,13 @@ def compile_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None
     row_date = as_of if isinstance(as_of, str) else None
     batch = RuleBatch()
     resolved = []
-    for rid in (rule_ids if rule_ids is not None else predicate_rule_ids(rules)):
+    for rid in (rule_ids if rule_ids is not None else predicate_rule_ids(rules, stored)):
         res = R.resolve_by_id(rules, rid, R.ANY_DAY if row_date else as_of)
+        if res.rule is not None and res.rule.process_key == "query_lookup" and res.valid_params:
+            res = R.resolve(rules, res.rule.process, "query_lookup", rid, True, R.ANY_DAY if row_date else as_of)
+            if res.accepted:
+                resolved.append((rid, res))
+                continue
         if not res.accepted or not res.links:
             batch.rejected[rid] = res.message or f"Rule {rid} has nothing to evaluate"
             continue
@@ -86,11 +124,11 @@ def compile_rules(rules: RuleSet, df: DataFrame, rule_ids: Sequence[str] | None
                     operands += [c.field_name for c in gate_conditions(res.rule)]
                 except RuleConfigError:
                     pass
-    types = operand_type_map(df, operands)
+    types = operand_type_map(df, operands + ([row_date] if row_date else []))
     for rid, res in resolved:
         try:
-            compiled = compile_rule(df, res, gate=gate, known_types=types)
-            batch.compiled.append((rid, in_window(compiled, res.links, row_date) if row_date else compiled))
+            compiled = compile_rule(df, res, gate=gate, known_types=types) if res.links else stored_predicate(res.rule)
+            batch.compiled.append((rid, in_window(compiled, res.links or (res.rule,), row_date, types.get(row_date)) if row_date else compiled))
         except RuleConfigError as e:
             batch.rejected[rid] = str(e)
     _drop_unusable(df, batch)
@@ -155,31 +193,9 @@ def rule_hits(df: DataFrame, batch: RuleBatch, keys: Sequence[str], *, spread: b
             .where(F.col("rule_id").isNotNull()))
 
 
-COUNT_BITS = 10  # rules per mask: at most 2**10 groups for each ten rules and task
-
-
 def rule_hit_counts(df: DataFrame, batch: RuleBatch) -> DataFrame:
-    """``(rule_id, hits)`` for every compiled rule, zero counts included, from one scan.
-
-    A row gives one bit mask for each ``COUNT_BITS`` rules; equal masks are
-    counted (map-side partial counts over a bounded number of groups), and only
-    the counted masks are taken apart into rules."""
-    if not batch.compiled:
-        raise RuleConfigError("no rules to evaluate")
-    tests = [p.column for _, p in batch.compiled]
-    masks = []
-    for i in range(0, len(tests), COUNT_BITS):
-        bits = [F.when(c, F.lit(1 << k)).otherwise(F.lit(0)) for k, c in enumerate(tests[i:i + COUNT_BITS])]
-        masks.append(reduce(lambda a, b: a + b, bits))
-    # project first: non-deterministic predicates may not sit inside an aggregate
-    seen = (df.select(F.array(*masks).alias("masks")).select(F.posexplode("masks").alias("part", "mask"))
-            .where("mask != 0").groupBy("part", "mask").agg(F.count(F.lit(1)).alias("n")))
-    bit = F.explode(F.sequence(F.lit(0), F.lit(COUNT_BITS - 1)))
-    counts = (seen.select("part", "mask", "n", bit.alias("bit")).where("shiftright(mask, bit) & 1 = 1")
-              .groupBy((F.col("part") * COUNT_BITS + F.col("bit")).alias("place")).agg(F.sum("n").alias("hits")))
-    listed = df.sparkSession.createDataFrame(list(enumerate(batch.rule_ids)), "place int, rule_id string")
-    return (listed.join(counts, "place", "left")
-            .select("rule_id", F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits")))
+    """``(rule_id, hits)`` for every compiled rule, zero counts included, from one scan through the predicate index."""
+    return index_hit_counts(df, build_index(df, batch.compiled))
 
 
 def rule_hit_lists(df: DataFrame, batch: RuleBatch, name: str = "hit_rules", *,

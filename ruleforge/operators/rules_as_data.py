@@ -25,21 +25,22 @@ from dataclasses import dataclass, field
 from decimal import Decimal
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import RuleConfigError
-from ..functions.predicates import parse_number
+from ..functions.predicates import Atom, CompiledPredicate, parse_number
 from ..plans import resolution as R
 from ..sources.ruleset import RuleSet
 from .multi_rule import predicate_rule_ids, spread_input
+from .rule_index import build_index, index_hit_counts
 
 # Comparison operators a threshold rule may use.
 THRESHOLD_OPS = (">=", ">", "<=", "<", "=", "==", "!=", "<>")
 
-# Columns whose values convert to double exactly: places are found in double. bigint and decimal rules stay on the compiled
-# path (multi_rule), which compares in the column's own type.
+# Columns whose values convert to double exactly: places are found in double. bigint and decimal rules, and rules of several
+# conditions, go through the predicate index (rule_index), which compares in the column's own type.
 _EXACT_AS_DOUBLE = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
 
 @dataclass(frozen=True)
@@ -226,58 +227,16 @@ def rules_as_data_hits(df: DataFrame, thresholds: ThresholdSet | Sequence[Thresh
                        F.element_at(ids, F.col("__rule") + 1).alias("rule_id"))
 
 
-# --------------------------------------------------------------- hit counts
-# Counting hits of many threshold rules does not need (row, rule) pairs: a
-# histogram of places per field (map-side combined, at most 2R+1 groups per
-# field), prefix sums over that small histogram, and one equi-join per rule
-# on its boundary index.
-
-
-def _rule_lookup(rule: ThresholdRule, index: dict[float, int]) -> tuple[int, str]:
-    """(interval index to read, how to turn the prefix sums into the count)."""
-    t = rule.threshold
-    up = math.nextafter(t, math.inf)
-    if rule.op == ">=":
-        return index[t], "above"         # intervals > j : total - cum(j)
-    if rule.op == "<":
-        return index[t], "upto"          # intervals <= j : cum(j)
-    if rule.op == ">":
-        return index[up], "above"
-    if rule.op == "<=":
-        return index[up], "upto"
-    if rule.op in ("=", "=="):
-        return index[t] + 1, "only"      # the interval [t, nextafter(t))
-    return index[t] + 1, "except"        # != / <>
-
-
 def threshold_hit_counts(df: DataFrame, thresholds: ThresholdSet | Sequence[ThresholdRule]) -> DataFrame:
-    """``(rule_id, hits)`` for threshold rules, exact, one scan, without per-rule work per row."""
+    """``(rule_id, hits)`` for threshold rules, exact, one scan, without per-rule work per row: each field's places
+    are counted (map-side combined, at most 2R+1 groups per field) and only the counted places meet the rules."""
     rule_list = list(thresholds.rules if isinstance(thresholds, ThresholdSet) else thresholds)
     if not rule_list:
         raise RuleConfigError("no threshold rules to evaluate")
-    spark = df.sparkSession
-    cuts: dict[str, list[float]] = {}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    compiled = []
     for r in rule_list:
-        cuts.setdefault(r.field, []).extend(_cuts(r.op, r.threshold))
-    searches = [(f, sorted(set(c))) for f, c in cuts.items()]
-    pairs = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"__p{i}").alias("k"))
-                      for i, (f, _) in enumerate(searches)])
-    hist = (_places(df, [], searches).select(F.inline(pairs))
-            .where(F.col("k").isNotNull())
-            .groupBy("field_name", "k").agg(F.count(F.lit(1)).alias("n")))
-    # everything below has at most one row per cut, so it grows with the rules and never with the data
-    grid = spark.createDataFrame([(f, k) for f, c in searches for k in range(len(c) + 1)], "field_name string, k int")
-    w = Window.partitionBy("field_name").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    prefix = (grid.join(hist, ["field_name", "k"], "left")
-              .select("field_name", "k", F.coalesce("n", F.lit(0)).alias("n"))
-              .withColumn("cum", F.sum("n").over(w))
-              .withColumn("total", F.sum("n").over(Window.partitionBy("field_name"))))
-    index = {f: {b: i for i, b in enumerate(c)} for f, c in searches}
-    lookups = spark.createDataFrame([(r.rule_id, r.field, *_rule_lookup(r, index[r.field])) for r in rule_list],
-                                    "rule_id string, field_name string, k int, mode string")
-    joined = prefix.join(lookups, ["field_name", "k"])
-    hits = (F.when(F.col("mode") == "above", F.col("total") - F.col("cum"))
-            .when(F.col("mode") == "upto", F.col("cum"))
-            .when(F.col("mode") == "only", F.col("n"))
-            .otherwise(F.col("total") - F.col("n")))
-    return joined.select("rule_id", hits.cast("bigint").alias("hits"))
+        column = _column(r.field)
+        atom = Atom("`" + r.field.replace("`", "``") + "`", types[r.field], r.op, repr(r.threshold))
+        compiled.append((r.rule_id, CompiledPredicate(column, "", (r.rule_id,), dnf=((atom,),))))
+    return index_hit_counts(df, build_index(df, compiled))

@@ -37,13 +37,18 @@ RULE_DATE_FORMAT = "%d/%m/%Y"  # day/month/year, zero padding optional
 ANY_DAY = dt.date.min  # as_of of a call whose windows are tested on each row's own date
 
 
-def window_sql(rule: Rule, row_date: str) -> str:
-    """The rule's validity window on a row's date or timestamp, as SQL (the last day is whole)."""
+def window_bounds(rule: Rule) -> list[tuple[str, str]]:
+    """The rule's validity window as (operator, ISO day) conditions on a row's date (the last day is whole)."""
     start, end = parse_rule_date(rule.valid_from), parse_rule_date(rule.valid_till)
-    text = f"({row_date}) >= date'{start.isoformat()}'"
+    bounds = [(">=", start.isoformat())]
     if end < dt.date.max:
-        text += f" and ({row_date}) < date'{(end + dt.timedelta(days=1)).isoformat()}'"
-    return text
+        bounds.append(("<", (end + dt.timedelta(days=1)).isoformat()))
+    return bounds
+
+
+def window_sql(rule: Rule, row_date: str) -> str:
+    """The rule's validity window on a row's date or timestamp, as SQL."""
+    return " and ".join(f"({row_date}) {op} date'{day}'" for op, day in window_bounds(rule))
 
 
 def parse_rule_date(text: str | None) -> dt.date | None:

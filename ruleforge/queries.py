@@ -19,6 +19,7 @@ from .functions.json_lookup import json_entries, json_value
 from .operators.elapsed import time_span
 from .operators.evaluate import RuleResult, run_rule
 from .operators.multi_rule import compile_rules, rule_flags, rule_hit_counts, rule_hits
+from .operators.rule_index import build_index, first_hits, index_hits
 from .operators.rules_as_data import rules_as_data_hits, threshold_hit_counts, threshold_rules
 from .operators.stages import Stage, run_stages
 from .operators.validation import stage_audit, unmatched_requests
@@ -119,6 +120,7 @@ def generated_thresholds(n: int = 240) -> list[tuple[str, str, str, str]]:
         out.append((f"gen_{i}", name, GENERATED_OPS[i // 4 % len(GENERATED_OPS)], f"{low + (high - low) * step:.2f}"))
     return out
 
+STORED_RULE_IDS = ["li_returns_open", "hit_qty_high", "li_flag_precedence", "li_net_value", "hit_status_f"]
 MULTI_RULE_IDS = ["hit_qty_high", "hit_price_high", "hit_qty_low", "hit_flag_r", "hit_status_f"]
 VALIDITY_RULE_IDS = ["asof_1997_big", "asof_early_final", "asof_chain", "asof_off"]
 THRESHOLD_RULE_IDS = ["hit_qty_high", "hit_price_high", "hit_qty_low", "thr_discount_high", "thr_tax_low"]
@@ -269,6 +271,105 @@ def rules_as_data_counts_240(spark, sf_dir):
     return threshold_hit_counts(df, threshold_rules(generated_rules(spark), df, as_of=AS_OF))
 
 
+def generated_conjunctions(n: int = 200) -> list[tuple[str, list[tuple[str, str, str, str]]]]:
+    """(rule id, [(field, operator, value, join)]) of ``n`` rules of one to three conditions over lineitem."""
+    out = []
+    for i in range(n):
+        quantity, price = str(2 + i % 47), str(2000 + 450 * (i % 200))
+        conds = [("l_quantity", (">=", "<", "<>", "=")[i % 4], quantity, "AND"), ("l_extendedprice", ("<", ">=")[i // 4 % 2], price, "")]
+        if i % 3 == 1:
+            conds = [("l_returnflag", ("=", "<>")[i // 3 % 2], "ANR"[i % 3], "AND"), *conds]
+        elif i % 3 == 2:
+            conds = [conds[0], ("l_linestatus", "=", "OF"[i // 3 % 2], "OR"), ("l_discount", ">", f"0.0{i % 10}", "")]
+        out.append((f"and_{i}", conds))
+    return out
+
+
+def generated_texts(n: int = 500) -> list[tuple[str, list[tuple[str, str, str, str]]]]:
+    """The same for ``n`` rules over the text columns of part."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    out = []
+    for i in range(n):
+        start = letters[i % 26] + letters[i // 26 * 7 % 26]
+        brand, kind = f"Brand#{1 + i % 25}", ("STANDARD", "ECONOMY", "SMALL", "MEDIUM", "LARGE", "PROMO")[i // 5 % 6]
+        out.append((f"text_{i}", [
+            [("p_name", "LIKE", start[:1 + i // 5 % 2], "")],
+            [("p_name", (">=", "<")[i // 5 % 2], start, "")],
+            [("p_brand", "=", brand, "")],
+            [("p_brand", "LIKE", brand[:7], "AND"), ("p_name", "<", start, "")],
+            [("p_type", "<>", kind, "AND"), ("p_name", "NOT LIKE", start[0], "OR"), ("p_brand", "=", brand, "")],
+        ][i % 5]))
+    return out
+
+
+EXACT_FIELDS = ("l_linenumber + 9007199254740990L", "cast(l_orderkey as decimal(38,18))")
+
+
+def generated_exact() -> list[tuple[str, list[tuple[str, str, str, str]]]]:
+    """Thresholds that double cannot tell apart: around 2**53, and in the last place of decimal(38,18)."""
+    whole = [str(2 ** 53 + k) for k in range(-2, 6)]
+    fine = [f"{k}{end}" for k in (100, 2500, 7001) for end in (".000000000000000001", "", ".999999999999999999")]
+    return [(f"exact_{i}", [(field, op, value, "")]) for i, (field, op, value) in enumerate(
+        (field, op, value) for field, values in zip(EXACT_FIELDS, (whole, fine)) for op in GENERATED_OPS for value in values)]
+
+
+def generated_versions(n: int = 1000) -> list[tuple[str, list[tuple[str, str, str, str]], tuple[dt.date, dt.date]]]:
+    """Rule versions over orders, each valid for one to thirteen weeks."""
+    out = []
+    for i in range(n):
+        start = dt.date(1995, 1, 1) + dt.timedelta(days=i * 12 // 5)
+        conds = [("o_totalprice", (">=", "<")[i % 2], str(1000 * (i % 300)), "")]
+        if i % 3 == 0:
+            conds = [("o_orderstatus", "=", "FOP"[i // 3 % 3], "AND"), *conds]
+        out.append((f"version_{i}", conds, (start, start + dt.timedelta(days=7 * (1 + i % 13) - 1))))
+    return out
+
+
+def _generated_set(spark, rules) -> RuleSet:
+    window = lambda w: tuple(d.strftime("%d/%m/%Y") for d in w)
+    return RuleSet.from_rules(spark, [_rule(rid, IDENT, "query_builder", [_cond(*c) for c in conds],
+                                            **({"window": window(w[0])} if w else {})) for rid, conds, *w in rules])
+
+
+def _index_counts(spark, df, rules, as_of=AS_OF) -> DataFrame:
+    return rule_hit_counts(df, compile_rules(_generated_set(spark, rules), df, [r[0] for r in rules], as_of=as_of))
+
+
+def rule_index_conjunctions(spark, sf_dir):
+    """Counts of 200 rules of several conditions, through the predicate index."""
+    return _index_counts(spark, table(spark, sf_dir, "lineitem"), generated_conjunctions())
+
+
+def rule_index_texts(spark, sf_dir):
+    """Counts of 500 text rules: equality, order and prefixes by place in the text order."""
+    return _index_counts(spark, table(spark, sf_dir, "part"), generated_texts())
+
+
+def rule_index_exact(spark, sf_dir):
+    """Counts of bigint and decimal thresholds, compared in the operand's own type."""
+    return _index_counts(spark, table(spark, sf_dir, "lineitem"), generated_exact())
+
+
+def rule_versions_asof(spark, sf_dir):
+    """Counts of 1000 dated rule versions; an order meets only versions valid on its own date."""
+    return _index_counts(spark, table(spark, sf_dir, "orders"), generated_versions(), "o_orderdate")
+
+
+def first_firing_rule(spark, sf_dir):
+    """The first rule of a list of 200 that fires, for every lineitem."""
+    df = table(spark, sf_dir, "lineitem")
+    rules = generated_conjunctions()[::-1]
+    batch = compile_rules(_generated_set(spark, rules), df, [r[0] for r in rules], as_of=AS_OF)
+    return first_hits(df, build_index(df, batch.compiled), LI_KEYS)
+
+
+def stored_and_built_hits(spark, sf_dir):
+    """A stored query, built predicates and a goto-free precedence rule in one scan."""
+    df = table(spark, sf_dir, "lineitem")
+    batch = compile_rules(table_rules(spark), df, STORED_RULE_IDS, as_of=AS_OF)
+    return index_hits(df, build_index(df, batch.compiled), LI_KEYS)
+
+
 def groupby_lookup(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
     res = run_rule(table_rules(spark), df, rule_id="li_by_flag", process=FILT,
@@ -383,6 +484,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_requests_unmatched": rule_requests_unmatched,
     "rule_hit_counts_240": rule_hit_counts_240,
     "rules_as_data_counts_240": rules_as_data_counts_240,
+    "rule_index_conjunctions": rule_index_conjunctions,
+    "rule_index_texts": rule_index_texts,
+    "rule_index_exact": rule_index_exact,
+    "rule_versions_asof": rule_versions_asof,
+    "first_firing_rule": first_firing_rule,
+    "stored_and_built_hits": stored_and_built_hits,
     "groupby_lookup": groupby_lookup,
     "elapsed_minutes": elapsed_minutes,
     "ordered_result": ordered_result,
@@ -410,6 +517,36 @@ def _generated_sql() -> str:
 _GENERATED_COUNTS = ("select rule_id, sum(case when hit then 1 else 0 end)::bigint as hits "
                      f"from ({_generated_sql()}) group by rule_id")
 
+
+
+def _conditions_sql(conds) -> str:
+    """Conditions of a generated rule in DuckDB SQL (AND binds tighter, as in the rules)."""
+    parts = []
+    for field, op, value, join in conds:
+        if op in ("LIKE", "NOT LIKE"):
+            test = f"{field} {op} '{value}%'"
+        elif field in EXACT_FIELDS:
+            kind = "bigint" if field == EXACT_FIELDS[0] else "decimal(38,18)"
+            test = f"{field.replace('990L', '990')} {op} '{value}'::{kind}"
+        else:
+            test = f"{field} {op} " + (value if value.replace(".", "").isdigit() else f"'{value}'")
+        parts.append(test + (f" {join} " if join else ""))
+    return "".join(parts)
+
+
+def _counts_sql(tbl: str, rules, date: str | None = None) -> str:
+    """(rule_id, hits) of generated rules, zero counts included."""
+    tests = []
+    for rid, conds, *window in rules:
+        test = f"({_conditions_sql(conds)})"
+        if window:
+            (start, end), = window
+            test += f" and {date} >= date '{start}' and {date} < date '{end + dt.timedelta(days=1)}'"
+        tests.append(f"{{'rule_id': '{rid}', 'hit': {test}}}")
+    return ("select r.rule_id as rule_id, sum(case when r.hit then 1 else 0 end)::bigint as hits "
+            f"from (select unnest([{', '.join(tests)}]) as r from {tbl}) group by 1")
+
+
 ORACLE_SQL: dict[str, str] = {
     "flt_query_lookup": f"select {_LI}, l_returnflag, l_linestatus, l_quantity from lineitem "
                         "where l_returnflag = 'R' and l_linestatus in ('O','F') and l_quantity > 30",
@@ -449,6 +586,17 @@ ORACLE_SQL: dict[str, str] = {
                                "from events where value < 5 or event_type not in ('click', 'purchase')",
     "rule_hit_counts_240": _GENERATED_COUNTS,
     "rules_as_data_counts_240": _GENERATED_COUNTS,
+    "rule_index_conjunctions": _counts_sql("lineitem", generated_conjunctions()),
+    "rule_index_texts": _counts_sql("part", generated_texts()),
+    "rule_index_exact": _counts_sql("lineitem", generated_exact()),
+    "rule_versions_asof": _counts_sql("orders", generated_versions(), "o_orderdate"),
+    "first_firing_rule": f"select {_LI}, case " + " ".join(
+        f"when {_conditions_sql(conds)} then '{rid}'" for rid, conds in generated_conjunctions()[::-1]) + " end as rule_id from lineitem",
+    "stored_and_built_hits": " union all ".join(f"select {_LI}, '{rid}' as rule_id from lineitem where {test}" for rid, test in (
+        ("li_returns_open", "l_returnflag = 'R' and l_linestatus in ('O','F') and l_quantity > 30"),
+        ("hit_qty_high", "l_quantity >= 40"), ("hit_status_f", "l_linestatus = 'F'"),
+        ("li_flag_precedence", "l_returnflag = 'R' or l_returnflag = 'A' and l_quantity >= 40"),
+        ("li_net_value", "l_extendedprice - l_quantity * 1000 >= 10000"))),
     "groupby_lookup": "select l_returnflag, count(*) as row_count, "
                       "cast(sum(cast(l_quantity as decimal(18,2))) as double) as sum_qty, "
                       "cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as sum_price from lineitem group by l_returnflag",
