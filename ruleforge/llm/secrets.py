@@ -98,6 +98,7 @@ class Scanner:
             for word in words:
                 self.automaton.add_word(word, (KINDS.index(kind), len(word)))
         self.automaton.make_automaton()
+        self.run_of = re.compile(r"[A-Za-z0-9_-]*").match
         # hex digits become "h", every other byte "."; one byte a character after the ASCII replacement
         self.classes = bytes(ord("h") if chr(b) in "0123456789abcdef" else ord(".") for b in range(256))
 
@@ -109,6 +110,7 @@ class Scanner:
             if len(low) != len(text):  # the one letter that grows when lower-cased
                 low = text.replace("İ", "i").lower()
             past = dict.fromkeys(self.tests, 0)
+            jwt, run_of = KINDS.index("jwt"), self.run_of
             for last, (kind, size) in self.automaton.iter(low):
                 at = last + 1 - size
                 if at >= past[kind]:
@@ -117,12 +119,13 @@ class Scanner:
                         past[kind] = m.end()
                         if valid(m):
                             found.append((kind, at, m.end()))
+                    elif kind == jwt:  # a later hit in the same run of characters ends at the same dot and fails as well
+                        past[kind] = run_of(text, at).end()
             classes = text.encode("ascii", "replace").translate(self.classes)
             run, end = b"h" * MIN_HEX, 0
             while (at := classes.find(run, end)) >= 0:
-                end = at + MIN_HEX
-                while classes[end:end + 1] == b"h":
-                    end += 1
+                end = classes.find(b".", at + MIN_HEX)
+                end = len(classes) if end < 0 else end
                 found.append((KINDS.index("hex"), at, end))
         found.sort(key=lambda s: (s[1], s[0]))
         return found
