@@ -182,7 +182,8 @@ def verdicts(docs: DataFrame, subset: float = SUBSET, steps: int = STEPS, min_ro
              confidence: float = CONFIDENCE, margin: float = MARGIN) -> DataFrame:
     """Base counts, ``base_failed``, ``distance`` (squared, null without an estimate) and ``kept`` per row."""
     counts = saved(base_counts(docs, "lang", "source"), "quality-counts")
-    own, pooled = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
+    names = {"ignoreNullFields": "false"}  # a null source is a group of its own, not the pool of its language
+    own, pooled = F.to_json(F.struct("lang", "source"), names), F.to_json(F.struct("lang"), names)
     large = saved(counts.where("not base_failed").groupBy(own.alias("own")).agg(F.count("*").alias("rows"))
                   .where(F.col("rows") >= min_rows).select("own"), "quality-groups")
     # one row a group: joined by broadcast while that is bounded, so that the rows are not shuffled for each step
