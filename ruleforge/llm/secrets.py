@@ -119,7 +119,7 @@ class Scanner:
                         past[kind] = m.end()
                         if valid(m):
                             found.append((kind, at, m.end()))
-                    elif kind == jwt:  # a later hit in the same run of characters ends at the same dot and fails as well
+                    elif kind == jwt and text.startswith("eyJ", at):  # a later hit in the same run of characters ends at the same dot and fails as well
                         past[kind] = run_of(text, at).end()
             classes = text.encode("ascii", "replace").translate(self.classes)
             run, end = b"h" * MIN_HEX, 0

@@ -1,0 +1,255 @@
+"""Hard negatives, ranked search and toxicity against plain versions."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_data import HAVE_TABLES, SMALL, edge_docs, no_docs
+from pyspark.sql import functions as F
+
+from ruleforge.llm import hard_negatives, ranked_search, toxicity
+
+# ------------------------------------------------------------ ranked search
+TERM = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _terms(text):
+    return [t.translate(LOWER) for t in TERM.findall(text or "")]
+
+
+def _ranks(docs, items, k=10):
+    """By the contract's words: every document scored for every item."""
+    counts = [(d, Counter(_terms(t))) for d, t in docs]
+    n_docs = sum(1 for _, c in counts if c)
+    n_terms = sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for doc, c in counts:
+            n = sum(c.values())
+            score = 0
+            for t in _terms(text):
+                if c.get(t):
+                    m = 100 - 75 + (75 * n * n_docs) // n_terms
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += w * ((1000000000 * c[t]) // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0, doc))
+        out += [(item, r, s[3], -s[0]) for r, s in enumerate(sorted(scored, key=lambda s: s[:3])[:k], 1)]
+    return sorted(out, key=str)
+
+
+def _prose(rng, n):
+    words = [f"w{int(rng.paretovariate(0.7)) % 900}" for _ in range(n)]
+    return " ".join(w.upper() if rng.random() < 0.1 else w for w in words)
+
+
+@pytest.mark.parametrize("group, bits, rows", [(4096, 11, 256), (3, 4, 7)])
+def test_ranks_equal_scoring_everything(spark, monkeypatch, group, bits, rows):
+    rng = random.Random(3)
+    docs = [(i, _prose(rng, rng.choice([0, 3, 20, 200, 2000]))) for i in range(300)]
+    docs += [(None, docs[5][1]), (5, docs[5][1]), (5, docs[5][1]), (900, None), (901, "?!"), (902, "É é ß 漢字 w1\x00w2")]
+    items = [(i, _prose(rng, rng.choice([2, 10, 60]))) for i in range(12)] + [(3, "w1 w1 w2"), (50, None), (51, ""), (52, "unheard"),
+                                                                          (None, "漢字 É"), (53, "w1"), (53, "w1")]
+    frame = spark.createDataFrame([(d, t, "x") for d, t in docs], "doc_id bigint, text string, score string").repartition(4)
+    asked = spark.createDataFrame(items, "item_id bigint, text string").repartition(2)
+    monkeypatch.setattr(ranked_search, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(ranked_search, "PIECE", 64)
+    got = sorted((tuple(r) for r in ranked_search.search(frame, asked, group=group, bits=bits).collect()), key=str)
+    assert got == _ranks(docs, items)
+
+
+def test_bounds_hold_and_prune():
+    rng = random.Random(4)
+    docs = [ranked_search.term_counts(_prose(rng, 150).encode()) for _ in range(200)]
+    m = [25 + 75 * sum(c.values()) // 150 for c in docs]
+    coordinates = ranked_search._Coordinates(11)
+    sketch = ranked_search.sketches(docs, m, coordinates)
+    queries = [(0, [(t, 1000 + len(t)) for t in ranked_search.term_counts(_prose(rng, 30).encode())])]
+    part = ranked_search._ItemPart(queries, 0, coordinates)
+    exact = part.impacts(docs, m)[:, part.weights[0][0]] @ part.weights[0][1]
+    bound = part.bounds(sketch)[0]
+    assert (bound >= exact).all()
+    assert np.median(bound / np.maximum(exact, 1)) < 2
+
+
+def test_search_on_awkward_and_empty_tables(spark):
+    asked = spark.createDataFrame([(1, "word1x1 alpha3 tie")], "item_id bigint, text string")
+    got = ranked_search.search(edge_docs(spark), asked).collect()
+    assert [r["rank"] for r in sorted(got, key=lambda r: r["rank"])] == list(range(1, len(got) + 1)) and len(got) >= 5
+    assert ranked_search.search(no_docs(spark), asked).collect() == []
+    assert ranked_search.search(edge_docs(spark), asked.limit(0)).collect() == []
+
+
+# ------------------------------------------------------------ hard negatives
+VECTORS = "vec_id bigint, label int, embedding array<float>, score string, row string"
+
+
+def _mined(rows, anchor, k=5, n=10):
+    """Every row scored against every anchor."""
+    good = [(v, lab, [math.floor(256 * float(np.float32(x))) for x in e]) for v, lab, e in rows
+            if lab is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
+    out = []
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    late = lambda v: (v is None, v or 0)
+    for i, (v, lab, e) in enumerate(good):
+        if v is None or not anchor(v):
+            continue
+        scored = [(dot(e, x), w, m, j) for j, (w, m, x) in enumerate(good) if j != i]
+        same = sorted((s for s in scored if s[2] == lab), key=lambda s: (-s[0], *late(s[1]), s[3]))[:k]
+        for p in same:
+            hits = sorted((s for s in scored if s[2] != lab and 30 * p[0] <= 100 * s[0] <= 90 * p[0]), key=lambda s: (-s[0], *late(s[1])))[:n]
+            out += [(v, p[1], r, h[1], p[0], h[0]) for r, h in enumerate(hits, 1)]
+    return sorted(out, key=str)
+
+
+def _vectors(rng, n, size):
+    centres = [[rng.gauss(0, 1) for _ in range(size)] for _ in range(4)]
+    rows = []
+    for i in range(n):
+        lab = rng.randrange(4)
+        mix = centres[rng.choice([lab, rng.randrange(4)])]
+        rows.append((i, lab, [c * 0.2 + rng.gauss(0, 0.1) for c in mix]))
+    rows += [(None, 1, rows[0][2]), (3, 2, rows[3][2]), (20, None, rows[1][2]), (40, 1, None), (60, 0, [float("nan")] * size),
+             (80, 0, [None] + [0.0] * (size - 1)), (100, 1, [0.0] * size), (120, 2, rows[7][2][:3]), (140, 3, [])]
+    return rows + rows[10:14] + [(5000 + i, 1, rows[2][2]) for i in range(40)]
+
+
+@pytest.mark.parametrize("size, group, block, chunk", [(16, 16_384, 2048, 128), (70, 7, 32, 3)])
+def test_hard_negatives_equal_scoring_everything(spark, monkeypatch, size, group, block, chunk):
+    rows = _vectors(random.Random(size), 260, size)
+    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], VECTORS).repartition(3)
+    monkeypatch.setattr(hard_negatives, "BLOCK", block)
+    monkeypatch.setattr(hard_negatives, "CHUNK", chunk)
+    got = hard_negatives.mine(frame, F.col("vec_id") % 20 == 0, group=group).collect()
+    expect = _mined(rows, lambda v: v % 20 == 0)
+    assert len(expect) > 300
+    assert sorted((tuple(r) for r in got), key=str) == expect
+
+
+def test_intervals_always_hold():
+    rng = np.random.default_rng(1)
+    vectors = rng.integers(-60, 60, (300, 24))
+    vectors[::7] *= 20
+    signs = hard_negatives._signs(32)
+    turned = hard_negatives.rotated(vectors, signs)
+    assert np.allclose((turned ** 2).sum(axis=1), (vectors.astype(float) ** 2).sum(axis=1))
+    (batch,) = hard_negatives._encode(32, 24)(iter([__import__("pyarrow").RecordBatch.from_pydict(
+        {"id": list(range(300)), "row": list(range(300)), "label": [0] * 300, "vector": vectors.tolist()})]))
+    block = hard_negatives._Block([c.to_pylist()[0] for c in batch.columns], 32, 24)
+    low, high = hard_negatives._Anchors(vectors[:50], 32).intervals(slice(0, 50), block)
+    exact = vectors[:50] @ vectors.T
+    assert (low <= exact).all() and (exact <= high).all()
+    width = (high - low) / (2 * np.outer(block.norm[:50], block.norm))
+    assert np.median(width) < 0.7  # much less than the plain product of the norms
+
+
+def test_mining_empty_tables(spark):
+    empty = spark.createDataFrame([], VECTORS)
+    assert hard_negatives.mine(empty, F.col("vec_id") % 20 == 0).collect() == []
+    alone = spark.createDataFrame([(0, 1, [1.0, 2.0], "", "")], VECTORS)
+    assert hard_negatives.mine(alone, F.col("vec_id") % 20 == 0).collect() == []
+    huge = spark.createDataFrame([(0, 1, [1e30], "", ""), (1, 1, [1.0], "", "")], VECTORS)
+    with pytest.raises(Exception, match="component lies outside"):
+        hard_negatives.mine(huge, F.col("vec_id") % 20 == 0)
+
+
+# ------------------------------------------------------------------ toxicity
+def test_features_of_a_text():
+    words = toxicity._Words({"idiot": 3.0, "stup-": 2.0})
+    names = dict(zip(toxicity.FEATURES, toxicity.text_features("You 1d10t, you are STUPIDLY late!! a b c Idiot.", words)))
+    assert names["log_words"] == math.log1p(10)
+    assert names["hits_rate"] == pytest.approx(20) and names["stems_rate"] == pytest.approx(10)
+    assert names["revealed_rate"] == pytest.approx(10) and names["second_person_rate"] == pytest.approx(20)
+    assert names["near_rate"] == pytest.approx(20)  # the last hit stands seven words behind the last "you"
+    assert names["max_weight"] == 3.0 and names["caps_words"] == pytest.approx(10)
+    assert names["exclamations"] > 0 and names["spaced_letters"] > 0
+    assert not toxicity.text_features(None, words).any() and not toxicity.text_features(" \n", words).any()
+
+
+def test_long_texts_are_read_whole(monkeypatch):
+    words = toxicity._Words({"idiot": 3.0})
+    text = "plain words " * 3000 + "you idiot " + "plain words " * 3000
+    whole = toxicity.text_features(text, words)
+    monkeypatch.setattr(toxicity, "PIECE", 100)
+    assert np.allclose(toxicity.text_features(text, words), whole) and whole[5] > 0
+
+
+def _toxic_docs(rng, n):
+    rude = ["idiot", "moron", "scumbag", "trashlike"]
+    docs, labels = [], []
+    for i in range(n):
+        words = [f"word{rng.randrange(500)}" for _ in range(rng.randrange(10, 80))]
+        bad = rng.random() < 0.25
+        for _ in range(2 * bad):
+            w = rng.choice(rude)
+            words.insert(rng.randrange(len(words)), w.replace("i", "1") if rng.random() < 0.2 else w)
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    return docs, labels
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = _toxic_docs(random.Random(8), 900)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id bigint, toxic int"), trees=8)
+    scored = (toxicity.score(frame, model).withColumn("held", toxicity.held_out(F.col("doc_id"))).collect())
+    truth = dict(labels)
+    held = [(r["score"] >= 0.3, truth[r["doc_id"]]) for r in scored if r["held"]]
+    assert 150 < len(held) < 300 and all(0 <= r["score"] <= 1 for r in scored)
+    caught = sum(p for p, y in held if y) / sum(y for _, y in held)
+    wrong = sum(p for p, y in held if not y) / sum(not y for _, y in held)
+    assert caught > 0.9 and wrong < 0.05
+    # labels of held-out rows are not learnt: turning them changes no score
+    turned = [(i, y if not held_id(i) else 1 - y) for i, y in labels]
+    again = toxicity.score(frame, toxicity.fit(frame, spark.createDataFrame(turned, "doc_id bigint, toxic int"), trees=8)).collect()
+    assert {(r["doc_id"], round(r["score"], 9)) for r in again} == {(r["doc_id"], round(r["score"], 9)) for r in scored}
+
+
+def held_id(i):
+    import zlib
+    return zlib.crc32(str(i).encode()) % 4 == 2
+
+
+def test_scores_rise_with_the_raw_score(spark):
+    """Isotonic calibration keeps the order, and its values are those of pooling adjacent violators."""
+    docs, labels = _toxic_docs(random.Random(9), 400)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id bigint, toxic int"), trees=4)
+    raw = toxicity._raw(toxicity._with_features(frame, [model.lexicon], F.lit(0)), model.trees).collect()
+    score = {r["doc_id"]: r["score"] for r in toxicity.score(frame, model).collect()}
+    ordered = sorted((r["raw"], score[r["doc_id"]]) for r in raw)
+    assert all(a[1] <= b[1] + 1e-12 for a, b in zip(ordered, ordered[1:]))
+
+
+@pytest.mark.parametrize("marks, expect", [([], 0.5), ([(3, 1), (7, 1)], 1.0), ([(3, 0)], 0.0), ([(3, None), (None, 1), (999, 1)], 0.5)])
+def test_labels_of_one_kind(spark, marks, expect):
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    model = toxicity.fit(edge_docs(spark), labels)
+    found = toxicity.score(edge_docs(spark), model).collect()
+    assert len(found) == edge_docs(spark).count() and {r["score"] for r in found} == {expect}
+    assert toxicity.score(no_docs(spark), model).collect() == []
+
+
+def test_toxicity_on_awkward_documents(spark):
+    docs = edge_docs(spark)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)] * 2, "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, trees=2)
+    found = toxicity.score(docs, model).collect()
+    assert len(found) == docs.count() and all(0 <= r["score"] <= 1 for r in found)
+
+
+@pytest.mark.skipif(not HAVE_TABLES, reason="test tables")
+def test_queries_have_the_contract_columns(spark):
+    from ruleforge.llm.queries import QUERIES
+    want = {"op11_toxicity": [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")],
+            "op12_hard_negatives": [("anchor_id", "bigint"), ("positive_id", "bigint"), ("rank", "int"), ("negative_id", "bigint"),
+                                    ("positive_score", "bigint"), ("negative_score", "bigint")],
+            "op13_ranked_search": [("item_id", "bigint"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint")]}
+    for name, columns in want.items():
+        assert QUERIES[name](spark, SMALL).dtypes == columns
