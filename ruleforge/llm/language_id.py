@@ -6,7 +6,7 @@ idf, unit length). Document frequencies come from all training rows: each
 task adds up its own and sends one row per place. Each language's vectors are
 clustered by spherical k-means into a few centroids, fitted on a sample of
 at most ``sample_per_lang`` training rows of that language (rows of the lowest hashes
-of id and text; a documented bound, so a language with a third of all rows costs no
+of id, text and place; a documented bound, so a language with a third of all rows costs no
 more than others, and neither do rows with null or repeated ids). A text gets the language of the centroid with the highest cosine.
 
 Rejection by distance: a centroid's language also keeps a lowest similarity,
@@ -155,10 +155,10 @@ def fit(docs: DataFrame, bits: int = BITS, sample_per_lang: int = SAMPLE_PER_LAN
         df[r["place"]] = r["n"]
     idf = (np.log((1 + df[size]) / (1 + df[:size])) + 1).astype(np.float32)
     shared = spark.sparkContext.broadcast(idf)
-    share = (F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1))) / float(1 << 62)
+    share = (F.xxhash64("doc_id", "text", F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << 62) - 1))) / float(1 << 62)
     # one row a language, so the texts are not shuffled to meet it
     langs = bounded(saved(train.groupBy("lang").agg(F.count("*").alias("rows")), "lang-rows"))
-    # rows of equal id and text share their hash: the rank, cut to the bound in each task first, holds the sample to it
+    # the place of the row keeps equal rows apart; the rank, cut in each task first, holds the sample to its bound
     sample = (train.withColumn("order", share).join(langs, "lang")
               .where(F.col("order") * F.col("rows") < sample_per_lang).select("lang", "order", "text")
               .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order")))
