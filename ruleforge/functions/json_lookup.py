@@ -39,6 +39,13 @@ def json_value(c: Column | str, key: str | Column) -> Column:
     return F.try_element_at(json_object(c), k)
 
 
+def json_typed(c: Column | str, path: str, dtype: str) -> Column:
+    """The value at ``path`` (``$.a.b[0]``) of the JSON text in ``c`` as ``dtype``, keeping JSON's own types on the way:
+    numbers are not read as text, nested objects may be taken as structs, arrays, maps or ``variant``. Null where the text
+    is not JSON, the path is missing, the value is JSON null or does not convert."""
+    return F.try_variant_get(F.try_parse_json(c if isinstance(c, Column) else F.col(c)), path, dtype)
+
+
 def json_entries(c: Column | str) -> Column:
     """``array<struct<key,value>>`` of the object's entries (for ``inline``)."""
     return F.map_entries(json_object(c))

@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.json_lookup import json_entries, json_value
+from .functions.json_lookup import json_entries, json_typed, json_value
 from .operators.elapsed import time_span
 from .operators.evaluate import RuleResult, run_rule
 from .operators.multi_rule import compile_rules, rule_flags, rule_hit_counts, rule_hits
@@ -463,6 +463,18 @@ def lookup_entries(spark, sf_dir):
     return events.select("event_id", F.inline(json_entries("props")).alias("prop_key", "prop_value"))
 
 
+def lookup_typed_values(spark, sf_dir):
+    """Values of every event's JSON by their JSON type, from the document itself and from one nested around it."""
+    events = table(spark, sf_dir, "events")
+    nested = F.concat(F.lit('{"outer": {"list": [null, '), "props", F.lit('], "id": '), F.col("event_id").cast("string"), F.lit("}}"))
+    return events.select("event_id", json_typed("props", "$.k", "int").alias("k_int"), json_typed("props", "$.k", "double").alias("k_double"),
+                         json_typed("props", "$.missing", "int").alias("k_missing"),
+                         json_typed(nested, "$.outer.list[0]", "int").alias("k_null"),
+                         json_typed(nested, "$.outer.list[1].k", "bigint").alias("k_nested"),
+                         json_typed(nested, "$.outer.id", "bigint").alias("id_nested"),
+                         json_typed(nested, "$.outer.list[1]", "boolean").alias("no_boolean"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flt_query_lookup": flt_query_lookup,
     "pred_ge": pred_ge,
@@ -502,6 +514,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rules_as_data_counts": rules_as_data_counts,
     "lookup_value_key": lookup_value_key,
     "lookup_entries": lookup_entries,
+    "lookup_typed_values": lookup_typed_values,
 }
 
 _LI = "l_orderkey, l_linenumber"
@@ -657,6 +670,10 @@ ORACLE_SQL: dict[str, str] = {
         "select 'thr_discount_high' as rule_id, count(*) as hits from lineitem where l_discount >= 0.055",
         "select 'thr_tax_low' as rule_id, count(*) as hits from lineitem where l_tax < 0.015",
     ]),
+    "lookup_typed_values": "select event_id, cast(json_extract_string(props, '$.k') as integer) as k_int, "
+                           "cast(json_extract_string(props, '$.k') as double) as k_double, null::integer as k_missing, "
+                           "null::integer as k_null, cast(json_extract_string(props, '$.k') as bigint) as k_nested, "
+                           "event_id as id_nested, null::boolean as no_boolean from events",
     "lookup_value_key": "select event_id, json_extract_string(props, '$.k') as prop_value from events",
     "lookup_entries": "select event_id, prop_key, json_extract_string(props, '$.\"' || prop_key || '\"') "
                       "as prop_value from (select event_id, props, unnest(json_keys(props)) as prop_key "

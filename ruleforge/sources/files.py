@@ -53,6 +53,41 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType = TRANSA
     return reader.option("enforceSchema", False).schema(in_file).csv(path).select(*schema.fieldNames())
 
 
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType = TRANSACTION_SCHEMA,
+                          ) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejected)`` of CSV files with headers: a bad row goes to a side table instead of ending the load.
+
+    Each file's own header orders its columns, so the files of a folder may
+    differ in order. ``good`` has the declared columns. ``rejected`` has
+    ``file``, ``row`` (the line) and ``reason``: the line does not fit the
+    schema (a value of another type, too few or too many values), or no line of
+    its file names the columns. Header and blank lines are in neither, every
+    other line is in exactly one. A row is one line: quoted values may hold
+    commas but no line breaks.
+    """
+    names = schema.fieldNames()
+    spelled = F.transform(F.split(F.regexp_replace("value", r'["\r\uFEFF]', ""), ","), lambda c: F.trim(c))
+    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+             .withColumn("__header", F.when(F.array_sort(spelled) == F.array(*[F.lit(n) for n in sorted(names)]),
+                                            F.array_join(spelled, ","))))
+    # one row per file; the layouts are orders of the declared names that really occur
+    heads = lines.where("__header is not null").groupBy("file").agg(F.min("__header").alias("layout"))
+    layouts = sorted(r["layout"] for r in heads.select("layout").distinct().collect())
+    rows = lines.where(F.col("__header").isNull() & (F.trim("value") != "")).drop("__header").join(heads, "file", "left")
+    parsed = F.lit(None).cast(T.StructType([*schema.fields, T.StructField("__bad", T.StringType())]))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
+    for layout in layouts:
+        in_file = T.StructType([schema[c] for c in layout.split(",")] + [T.StructField("__bad", T.StringType())])
+        found = F.from_csv("value", in_file.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+        parsed = F.when(F.col("layout") == layout, F.struct(*[found[c].alias(c) for c in names], found["__bad"].alias("__bad"))).otherwise(parsed)
+    read = rows.withColumn("__row", parsed)
+    reason = (F.when(F.col("layout").isNull(), "no header of the file names the columns")
+              .when(F.col("__row.__bad").isNotNull(), "the line does not fit the schema"))
+    read = read.withColumn("__reason", reason)
+    good = read.where("__reason is null").select(*[F.col("__row")[c].alias(c) for c in names])
+    return good, read.where("__reason is not null").select("file", F.col("value").alias("row"), F.col("__reason").alias("reason"))
+
+
 def transaction_timestamp(date_col: str = "date", time_col: str = "time") -> Column:
     """``dd/MM/yyyy`` date + ``HH:mm:ss.SSSSSS`` time -> TIMESTAMP_NTZ."""
     return F.to_timestamp_ntz(F.concat_ws(" ", F.col(date_col), F.col(time_col)),
