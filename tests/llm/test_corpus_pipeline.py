@@ -18,7 +18,7 @@ needs_tables = pytest.mark.skipif(not HAVE_TABLES, reason="test tables not prese
 
 def test_queries_and_stages_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "secret_scan", "packing"]
 
 
