@@ -10,9 +10,9 @@ with probability below n*n / 2^65.
 The verdict on texts that pass the base rules is a minimum-covariance-determinant
 (MCD) estimate over five transformed statistics for each (lang, source) group:
 
-1. The statistics are centred on the group's median and scaled by its MAD, with a
-   floor for each (``FLOORS``) so that a statistic most texts share exactly, such
-   as "no symbols", does not make every other value an outlier.
+1. The statistics are centred on the group's median and scaled by its MAD. A mean
+   over few words is a noisy one, so the word length's distance to the median counts
+   n / (n + ``PRIOR_WORDS``); its spread is then much the same for short and long texts.
 2. Three deterministic starts: unit scatter, the scatter of tanh-squeezed values,
    and the spatial-sign scatter.
 3. Concentration steps: distances under the current estimate, the share ``subset``
@@ -20,9 +20,15 @@ The verdict on texts that pass the base rules is a minimum-covariance-determinan
    estimate. The cut is read from a histogram of log distances (counts combined
    map-side), so a group of any size costs one partial row per bin and task.
 4. The start with the smallest determinant wins; its scatter is scaled to the
-   median distance and re-weighted once over rows within the 97.5 % quantile.
+   median distance and re-weighted once over rows within the 97.5 % quantile, with
+   the consistency factor of a normal distribution cut there.
 5. A text is rejected when its squared Mahalanobis distance exceeds the chi-squared
-   quantile ``confidence`` times ``margin``.
+   quantile ``confidence``.
+
+Variances are the estimate's own. Only where the chosen rows of a group are next to
+constant in a statistic, as when nearly all texts are without symbols, its standard
+deviation counts as ``FLOORS`` (in the statistic's unit): the scatter would be
+singular, and every text with one symbol an outlier.
 
 Covariances come from sums of products, and Cholesky factors and their inverses
 are generated column expressions over one row per group and start.
@@ -47,13 +53,14 @@ MIN_WORDS = 50
 SUBSET = 0.75
 STEPS = 5
 MIN_ROWS = 50
+REWEIGHT = 0.975
+PRIOR_WORDS = 100
 CONFIDENCE = 0.9999
-MARGIN = 2.0
 BINS_PER_OCTAVE = 16
 GROUPS = 20_000  # up to so many groups, estimates (about 250 bytes a group and start) are broadcast
 
-# Statistic -> smallest scale it is given.
-FLOORS = {"log_words": 0.25, "word_length": 0.25, "symbol_rate": 0.4, "dup_lines": 0.1, "repeat_share": 0.1}
+# Statistic -> smallest standard deviation, for groups in which it is next to constant.
+FLOORS = {"log_words": 0.05, "word_length": 0.05, "symbol_rate": 0.4, "dup_lines": 0.1, "repeat_share": 0.1}
 P = len(FLOORS)
 
 
@@ -120,6 +127,13 @@ def _statistics() -> dict[str, Column]:
     }
 
 
+def _centred() -> list[Column]:
+    """The statistics as distances to the medians ``med_i``."""
+    n = F.col("n_words").cast("double")
+    weight = {"word_length": n / (n + PRIOR_WORDS)}
+    return [(F.col(x) - F.col(f"med_{i}")) * weight.get(x, F.lit(1.0)) for i, x in enumerate(FLOORS)]
+
+
 def _factors(moments: DataFrame) -> DataFrame:
     """Inverse Cholesky factors ``w_i_j`` and ``logdet`` of the covariance columns ``c_i_j``."""
     for j in range(P):
@@ -148,20 +162,22 @@ def _distance() -> Column:
     return out
 
 
-def _estimate(rows: DataFrame, keys: list[str], values: list[Column], centred: bool = True) -> DataFrame:
-    """Mean and covariance (variances at least 1) of ``values`` per group, as parameter columns."""
-    n = F.count("*")
+def _estimate(rows: DataFrame, keys: list[str], values: list[Column], floors: DataFrame, factor: float = 1.0,
+              centred: bool = True) -> DataFrame:
+    """Mean and covariance (times ``factor``) of ``values`` per group, as parameter columns. ``floors`` has the least
+    variances ``f_i`` of each group."""
     sums = rows.groupBy(*keys).agg(
-        n.alias("n"), *[F.sum(v).alias(f"s_{i}") for i, v in enumerate(values)],
+        F.count("*").alias("n"), *[F.sum(v).alias(f"s_{i}") for i, v in enumerate(values)],
         *[F.sum(values[i] * values[j]).alias(f"p_{i}_{j}") for i in range(P) for j in range(i + 1)])
-    mean = {f"m_{i}": F.col(f"s_{i}") / F.col("n") if centred else F.lit(0.0) for i in range(P)}
-    sums = sums.withColumns(mean)
+    sums = sums.join(floors, "g").withColumns(
+        {f"m_{i}": F.col(f"s_{i}") / F.col("n") if centred else F.lit(0.0) for i in range(P)})
     sums = sums.withColumns({
-        f"c_{i}_{j}": F.col(f"p_{i}_{j}") / F.col("n") - F.col(f"m_{i}") * F.col(f"m_{j}")
+        f"c_{i}_{j}": factor * (F.col(f"p_{i}_{j}") / F.col("n") - F.col(f"m_{i}") * F.col(f"m_{j}"))
         for i in range(P) for j in range(i + 1)})
-    # the unit of z is a robust scale; a subset tighter than that (all texts without symbols) counts as that wide
-    sums = sums.withColumns({f"c_{i}_{i}": F.greatest(f"c_{i}_{i}", F.lit(1.0)) for i in range(P)})
-    return _factors(sums).select(*keys, *PARAMS, "logdet")
+    at_floor = sum((F.when(F.col(f"c_{i}_{i}") < F.col(f"f_{i}"), 2 ** i).otherwise(0) for i in range(P)), F.lit(0))
+    sums = sums.withColumn("at_floor", at_floor)
+    sums = sums.withColumns({f"c_{i}_{i}": F.greatest(f"c_{i}_{i}", f"f_{i}") for i in range(P)})
+    return _factors(sums).select(*keys, *PARAMS, "logdet", "at_floor")
 
 
 def _bin(d2: Column) -> Column:
@@ -179,8 +195,9 @@ def _cut(bins: DataFrame, keys: list[str], share: float) -> DataFrame:
 
 
 def verdicts(docs: DataFrame, subset: float = SUBSET, steps: int = STEPS, min_rows: int = MIN_ROWS,
-             confidence: float = CONFIDENCE, margin: float = MARGIN) -> DataFrame:
-    """Base counts, ``base_failed``, ``distance`` (squared, null without an estimate) and ``kept`` per row."""
+             confidence: float = CONFIDENCE) -> DataFrame:
+    """Base counts, ``base_failed``, ``distance`` (squared, null without an estimate), ``at_floor`` (the statistics,
+    as bits in the order of ``FLOORS``, whose variance in the row's estimate is the floor) and ``kept`` per row."""
     counts = saved(base_counts(docs, "lang", "source"), "quality-counts")
     names = {"ignoreNullFields": "false"}  # a null source is a group of its own, not the pool of its language
     own, pooled = F.to_json(F.struct("lang", "source"), names), F.to_json(F.struct("lang"), names)
@@ -196,26 +213,30 @@ def verdicts(docs: DataFrame, subset: float = SUBSET, steps: int = STEPS, min_ro
                                                                 for i, x in enumerate(FLOORS)])
     middle = middle.where(F.col("rows") >= min_rows)
     spread = good.join(hint(middle), "g").groupBy("g").agg(*[
-        F.percentile_approx(F.abs(F.col(x) - F.col(f"med_{i}")), 0.5).alias(f"mad_{i}") for i, x in enumerate(FLOORS)])
+        F.percentile_approx(F.abs(x), 0.5).alias(f"mad_{i}") for i, x in enumerate(_centred())])
     scales = saved(middle.join(spread, "g").select("g", *[f"med_{i}" for i in range(P)], *[
         F.greatest(1.4826 * F.col(f"mad_{i}"), F.lit(floor)).alias(f"scale_{i}")
         for i, floor in enumerate(FLOORS.values())]), "quality-scales")
-    z = {f"z_{i}": (F.col(x) - F.col(f"med_{i}")) / F.col(f"scale_{i}") for i, x in enumerate(FLOORS)}
+    floors = hint(scales.select("g", *[F.pow(floor / F.col(f"scale_{i}"), F.lit(2.0)).alias(f"f_{i}")
+                                       for i, floor in enumerate(FLOORS.values())]))
+    z = {f"z_{i}": x / F.col(f"scale_{i}") for i, x in enumerate(_centred())}
     zs = [F.col(c) for c in z]
     points = saved(good.join(hint(scales), "g").select("g", *[c.alias(n) for n, c in z.items()]), "quality-points")
 
-    size = F.sqrt(sum((c * c for c in zs), F.lit(1e-12)))
-    starts = [(points, [F.lit(0.0)] * P), (points, [F.tanh(c) for c in zs]), (points, [c / size for c in zs])]
+    # starts: unit scatter (the least variances of values that are all zero), tanh, spatial signs scaled to unit variance
+    size = F.sqrt(sum((c * c for c in zs), F.lit(1e-12)) / P)
+    ones = floors.select("g", *[F.lit(1.0).alias(f"f_{i}") for i in range(P)])
+    starts = [([F.lit(0.0)] * P, ones), ([F.tanh(c) for c in zs], floors), ([c / size for c in zs], floors)]
     params = None
-    for k, (rows, values) in enumerate(starts):  # start 0 has only the least variances: unit scatter
-        one = _estimate(rows, ["g"], values, centred=False).withColumn("start", F.lit(k))
+    for k, (values, least) in enumerate(starts):
+        one = _estimate(points, ["g"], values, least, centred=False).withColumn("start", F.lit(k))
         params = one if params is None else params.unionByName(one)
     keys = ["g", "start"]
     for _ in range(steps):
         params = saved(params, "quality-params")
         placed = points.join(hint(params), "g").select(*keys, *zs, _bin(_distance()).alias("bin"))
         cut = _cut(placed, keys, subset)
-        params = _estimate(placed.join(hint(cut), keys).where("bin <= cut"), keys, zs)
+        params = _estimate(placed.join(hint(cut), keys).where("bin <= cut"), keys, zs, floors)
     params = saved(params, "quality-params")
     best = params.groupBy("g").agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
     raw = params.join(best, keys)
@@ -224,11 +245,13 @@ def verdicts(docs: DataFrame, subset: float = SUBSET, steps: int = STEPS, min_ro
     middle_d2 = F.pow(F.lit(2.0), (F.col("cut") + 0.5) / BINS_PER_OCTAVE)
     scaled = saved(raw.join(median_bin, "g").withColumn(
         "stretch", middle_d2 / F.lit(chi2_quantile(0.5, P))), "quality-raw")
-    near = points.join(hint(scaled), "g").where(_distance() <= F.col("stretch") * chi2_quantile(0.975, P))
-    final = saved(_estimate(near.select("g", *zs), ["g"], zs).select("g", *PARAMS).join(scales, "g"), "quality-final")
+    edge = chi2_quantile(REWEIGHT, P)
+    near = points.join(hint(scaled), "g").where(_distance() <= F.col("stretch") * edge)
+    final = _estimate(near.select("g", *zs), ["g"], zs, floors, factor=REWEIGHT / chi2_cdf(edge, P + 2))
+    final = saved(final.select("g", "at_floor", *PARAMS).join(scales, "g"), "quality-final")
 
-    limit = margin * chi2_quantile(confidence, P)
+    limit = chi2_quantile(confidence, P)
     judged = (stats.join(hint(final), "g", "left").withColumns(z).withColumn("distance", _distance()))
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "at_floor",
         (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)).alias("kept"))
