@@ -131,3 +131,20 @@ def test_edge_documents_pass_through_without_repeats(spark):
     docs = edge_docs(spark)
     out = paragraphs.without_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_passages_do_not_depend_on_the_size_of_blocks(spark, seed):
+    """A passage with one word changed at its own place in each of 16 documents, in surroundings of their own; some twice in one."""
+    import random
+    rng = random.Random(seed)
+    words = lambda n, tag: [f"{tag}{rng.randrange(10**6)}" for _ in range(n)]
+    core = words(90, "c")
+    rows = []
+    for i in range(16):
+        passage = core[:10 + 4 * i] + [f"edit{i}"] + core[11 + 4 * i:]
+        text = words(20 + i, f"d{i}x") + passage + words(30, f"e{i}x")
+        rows.append((i // 2 if i < 4 else i, " ".join(text + (passage[:70] if i % 5 == 0 else []))))
+    docs = spark.createDataFrame([*rows, rows[3]], "doc_id bigint, text string").repartition(3)
+    got = [sorted(map(str, paragraphs.repeated_paragraphs(docs, block=b).collect())) for b in (2, 4, 512)]
+    assert len(got[0]) >= 16 and got[0] == got[1] == got[2]
