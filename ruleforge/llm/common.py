@@ -7,6 +7,7 @@ import tempfile
 import types
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,21 +45,55 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_kept(spark: SparkSession, keep: bool) -> Iterator[None]:
+    """Unless ``keep``, the shuffle files of what is run inside go as soon as each query is through; with ``keep``
+    the session decides. For queries whose whole result is written, since nothing reads the files again."""
+    if keep:
+        yield
+        return
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def saved(df: DataFrame, label: str, tidy: bool = False) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: cuts the
-    lineage, so an executor lost later costs a read and not the whole job."""
+    lineage, so an executor lost later costs a read and not the whole job.
+    With ``tidy`` the write's shuffle files go once it is done."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-tables/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_kept(spark, not tidy):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def saved_parts(spark: SparkSession, parts: Iterable[DataFrame], schema: T.StructType, label: str) -> DataFrame:
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of ``saved`` tables. Only for tables that nothing still to be run reads: what was made from
+    them must have been written itself."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/llm-tables/" not in folder:
+                raise ValueError(f"not a saved table: {folder}")
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def saved_parts(spark: SparkSession, parts: Iterable[DataFrame], schema: T.StructType, label: str,
+                tidy: bool = False) -> DataFrame:
     """The rows of all ``parts``, each written before the next one is asked for, read as one table."""
     path = f"{shared_dir(spark)}/llm-tables/{label}-{uuid.uuid4().hex}"
     spark.createDataFrame([], schema).write.parquet(path)
-    for part in parts:
-        part.write.mode("append").parquet(path)
+    with shuffles_kept(spark, not tidy):
+        for part in parts:
+            part.write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

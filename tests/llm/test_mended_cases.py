@@ -5,7 +5,9 @@ import re
 import subprocess
 import sys
 import time
+from pathlib import Path
 
+import numpy as np
 import pytest
 from llm_data import edge_docs
 
@@ -148,3 +150,51 @@ def test_passages_do_not_depend_on_the_size_of_blocks(spark, seed):
     docs = spark.createDataFrame([*rows, rows[3]], "doc_id bigint, text string").repartition(3)
     got = [sorted(map(str, paragraphs.repeated_paragraphs(docs, block=b).collect())) for b in (2, 4, 512)]
     assert len(got[0]) >= 16 and got[0] == got[1] == got[2]
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 3, 1000])
+def test_every_window_of_places_has_an_anchor_of_its_least_value(kinds):
+    """Also in text that repeats itself, where neighbouring anchors of one value are thinned out."""
+    from ruleforge.llm.paragraphs import _anchors, _shingles
+
+    rng = np.random.default_rng(kinds)
+    for window in (1, 2, 7, 17):
+        words = rng.integers(0, kinds, 300).astype(np.uint64)
+        words[100:160] = 5  # a run of one word
+        value = _shingles(words, 3)
+        keys, at = _anchors(words, 3, window)
+        assert (value[at].view(np.int64) == keys).all()
+        chosen = np.zeros(len(value), bool)
+        chosen[at] = True
+        for i in range(len(value) - window + 1):
+            here = value[i:i + window]
+            assert (chosen[i:i + window] & (here == here.min())).any()
+        assert chosen[100:158].sum() <= 58 if window < 3 else chosen[100:158].sum() <= 2 * (58 // window + 2)
+
+
+def test_band_keys_of_many_paragraphs_equal_those_of_each_alone():
+    from ruleforge.llm.paragraphs import _band_keys, _mixed, _multipliers, _shingles
+
+    rng = np.random.default_rng(4)
+    bands, rows = 4, 3
+    for span in (1, 2, 5):
+        texts = [rng.integers(0, 40, n).astype(np.uint64) for n in [1, 2, 3, 4, 5, 6, 9, 1, 9000, 4, 5, *rng.integers(1, 60, 50)]]
+        got = _band_keys(np.concatenate(texts), np.array([len(t) for t in texts]), span, bands, rows)
+        for text, keys in zip(texts, got):
+            sh = np.unique(_shingles(text, min(span, len(text))))
+            low = (sh * _multipliers(7, (bands * rows, 1)) + _multipliers(8, (bands * rows, 1))).min(axis=1)
+            own = _mixed((low.reshape(bands, rows) * _multipliers(9, (bands, rows))).sum(axis=1, dtype=np.uint64))
+            assert (keys == own).all()
+
+
+def test_written_tables_go_as_soon_as_nothing_reads_them(spark, tmp_path):
+    from ruleforge.llm.common import discard, saved, shared_dir
+
+    table = saved(spark.range(10).repartition(3), "kept-for-a-while", tidy=True)
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "llm-tables"
+    assert table.count() == 10 and list(folder.glob("kept-for-a-while-*"))
+    discard(table)
+    assert not list(folder.glob("kept-for-a-while-*"))
+    with pytest.raises(ValueError, match="not a saved table"):
+        spark.range(3).write.parquet(str(tmp_path / "own"))
+        discard(spark.read.parquet(str(tmp_path / "own")))
