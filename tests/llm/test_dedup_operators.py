@@ -344,3 +344,70 @@ def test_short_lines_are_paragraphs(spark):
     got = paragraphs.repeated_paragraphs(docs).where("kind = 'paragraph'").collect()
     assert {(r.doc_id, r.para_no, r.keep_doc_id, r.copies) for r in got} == {(i, 1, i % 2, 4) for i in range(8)}
     assert all(r.removed == (r.doc_id > 1) for r in got)
+
+
+def brute_equal_passages(docs, words):
+    """Every window against every other one, neighbours merged."""
+    rows = [(i, t or "") for i, t in docs]
+    order = lambda i, *rest: (i is not None, i or 0, *rest)
+    windows, groups = [], defaultdict(list)
+    for i, t in rows:
+        spans = [m.span() for m in re.finditer(r"\S+", t)]
+        for k in range(len(spans) - words + 1):
+            one = (i, t, k, spans[k][0], spans[k + words - 1][1])
+            name = tuple(t[one[3]:one[4]].lower().split())
+            groups[name].append(one)
+            windows.append((name, one))
+    runs = defaultdict(list)
+    for name, (i, t, k, a, b) in windows:
+        if len(groups[name]) > 1:
+            keep = min(groups[name], key=lambda w: order(w[0], w[3], w[4]))
+            runs[i, t, keep[0], not (i == keep[0] and a < keep[4])].append((a, b, k, k + words, len(groups[name])))
+    found = set()
+    for (i, _, keep, removed), spans in runs.items():
+        merged = []
+        for a, b, k, z, n in sorted(set(spans)):
+            if merged and a <= merged[-1][1]:
+                m = merged[-1]
+                merged[-1] = (m[0], max(b, m[1]), m[2], max(z, m[3]), max(n, m[4]))
+            else:
+                merged.append((a, b, k, z, n))
+        found |= {(i, keep, removed, *m) for m in merged}
+    return found
+
+
+def test_equal_windows_match_brute_force(spark):
+    """Text that repeats itself, in one row only and in several, other white space, copies, repeated rows, null ids."""
+    rng = random.Random(41)
+    cycle, shared, twice = (random_words(rng, n) for n in (7, 40, 30))
+    plain = lambda n: random_words(rng, n)
+    texts = [plain(9) + cycle * 9 + plain(5), plain(4) + twice + plain(8) + twice + plain(3),
+             plain(6) + shared + plain(6), plain(3) + shared[5:] + cycle * 4, ["on"] * 70 + shared, ["on"] * 45 + plain(4),
+             plain(5) + twice[:25] + plain(2) + shared + plain(3) + shared[:22]]
+    rows = [(i + 1, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(20, rows[0][1]), (3, rows[2][1]), (21, rows[3][1].replace(" ", "  ", 9)), (None, rows[4][1]),
+             (None, "lead " + rows[6][1]), (22, None), (1, " ".join(shared) + " \n " + " ".join(twice))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for words in (20, 12):
+        anchors = paragraphs.passage_anchors(docs, words)
+        shared_keys = anchors.groupBy("key").agg(F.count("*").alias("n"), F.max("here").alias("here")).where("n > 1")
+        hits = anchors.drop("here").join(shared_keys.select("key", (F.col("n") > F.col("here")).alias("far")), "key")
+        got = {(r.doc_id, r.keep_doc_id, r.removed, r.start, r.end, r.first_word, r.end_word, r.copies)
+               for r in paragraphs.equal_passages(docs, hits, words).collect()}
+        assert got == brute_equal_passages(rows, words)
+
+
+def test_copies_are_compared_once(spark, monkeypatch):
+    """Of equal texts only the windows of one are compared, and text that repeats itself is settled in its row."""
+    rng, sizes, saved = random.Random(43), {}, paragraphs._saved
+
+    def counted(df, label):
+        table = saved(df, label)
+        sizes[label] = table.count()
+        return table
+    monkeypatch.setattr(paragraphs, "_saved", counted)
+    text, cycle = " ".join(random_words(rng, 200)), " ".join(random_words(rng, 9) * 20)
+    docs = spark.createDataFrame([(i, text) for i in range(30)] + [(99, cycle)], "doc_id bigint, text string")
+    got = {(r.doc_id, r.start, r.end, r.removed) for r in paragraphs.repeated_paragraphs(docs).where("kind = 'passage'").collect()}
+    assert {(i, 0, len(text), i > 0) for i in range(30)} <= got and any(r[0] == 99 for r in got)
+    assert sizes["passage-windows"] == 200 - 50 + 1
